@@ -1,0 +1,28 @@
+"""Broadcast only behind a checked row bound; beyond it, a shuffle join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pintime.config import BROADCAST_MAX_ROWS
+
+_checked: dict[str, int] = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      cache_key: str | None = None) -> DataFrame:
+    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check counts at most ``max_rows + 1`` rows, so it stays cheap even on a
+    large table. Read-only inputs may pass ``cache_key`` (e.g. the file path)
+    so repeated plans skip the count. Above the bound the plain frame is
+    returned and Spark plans a sort-merge (or AQE-converted) join.
+    """
+    if cache_key is not None and cache_key in _checked:
+        n = _checked[cache_key]
+    else:
+        n = df.limit(max_rows + 1).count()
+        if cache_key is not None:
+            _checked[cache_key] = n
+    return F.broadcast(df) if n <= max_rows else df
