@@ -72,3 +72,11 @@ BROADCAST_MAX_ROWS = 2_000_000
 # buckets of this many days so one hot key spreads over many tasks; the newest
 # row of earlier buckets is carried in, so results stay exact.
 ASOF_BUCKET_DAYS = 91
+
+# Fixed value: the single key the notebooks filter on ('Virginia' in the
+# reference); a nation present at every test scale stands in for it.
+FILTER_STATE = "NATION_19"
+# End of the first increment and the upsert windows.
+FIRST_INCREMENT_END = "1998-06-30 00:00:00"
+UPSERT_LATE_WINDOW = ("1997-01-01", "1997-12-31")
+UPSERT_NEW_AFTER = "1999-06-30"

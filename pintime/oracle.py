@@ -149,3 +149,138 @@ ORACLE_SQL: dict[str, str] = {
     "training_set": sql("SELECT * FROM training_set", *TRAINING_CTES),
     "training_set_clean": sql("SELECT * FROM training_set_clean", *TRAINING_CTES, TRAINING_CLEAN),
 }
+
+
+def _newest(src: str, feats: list[str], where: str = "TRUE") -> str:
+    cols = ", ".join(feats)
+    return f"""
+    SELECT state, date AS event_ts, {cols} FROM (
+      SELECT *, row_number() OVER (PARTITION BY state ORDER BY date DESC) AS rn
+      FROM {src} WHERE date IS NOT NULL AND ({where})) WHERE rn = 1"""
+
+
+_X = ", ".join(config.X_COLS)
+_Y = config.Y_COL
+_TS_A = tuple(f"TIMESTAMP '{d}'" for d in config.DRIFT_WINDOW_A)
+_TS_B = tuple(f"TIMESTAMP '{d}'" for d in config.DRIFT_WINDOW_B)
+_FS = config.FILTER_STATE
+_ALL_COUNT = COUNT_VIEW_FEATURES
+
+
+def window_ctes(tag: str, lo: str, hi: str, year: int) -> list[tuple[str, str]]:
+    ent = (f"entity_{tag}", f"SELECT state, date AS event_timestamp FROM count_features "
+                            f"WHERE date BETWEEN {lo} AND {hi}")
+    chain = asof_ctes(f"ts_{tag}", f"entity_{tag}", ["state", "event_timestamp"], TRAINING_SIDES)
+    clean = (f"win_{tag}", f"SELECT *, {year} AS year FROM ts_{tag} WHERE "
+             + " AND ".join(f"{c} IS NOT NULL" for c in
+                            ["state", "event_timestamp", *config.TREND_FEATURES, *_ALL_COUNT]))
+    return [ent, *chain, clean]
+
+
+WINDOW_CTES = (window_ctes("a", *_TS_A, int(config.DRIFT_WINDOW_A[0][:4]))
+               + window_ctes("b", *_TS_B, int(config.DRIFT_WINDOW_B[0][:4]))
+               + [("win_union", "SELECT * FROM win_a UNION ALL BY NAME SELECT * FROM win_b")])
+
+SNAPSHOT_CTES = [
+    ("snap_trend", _newest("trend_typed", list(config.TREND_FEATURES))),
+    ("snap_counts", _newest("count_features", _ALL_COUNT)),
+]
+
+
+def lookup_sql(keys: str) -> str:
+    return f"""
+    SELECT k.state, {', '.join('t.' + c for c in config.TREND_FEATURES)},
+           c.lag_1_weekly_vaccinations_count, c.lag_2_weekly_vaccinations_count
+    FROM ({keys}) k LEFT JOIN snap_trend t ON t.state = k.state
+                    LEFT JOIN snap_counts c ON c.state = k.state"""
+
+
+def _corr_sql() -> str:
+    parts = []
+    for f in config.X_COLS:
+        expr = (f"round(corr(CAST({f} AS DOUBLE), CAST({_Y} AS DOUBLE)), 9) AS corr, "
+                f"count(CASE WHEN {f} IS NOT NULL AND {_Y} IS NOT NULL THEN 1 END) AS n")
+        parts.append(f"SELECT CAST(NULL AS INTEGER) AS year, '{f}' AS feature, {expr} FROM win_union")
+        parts.append(f"SELECT year, '{f}' AS feature, {expr} FROM win_union GROUP BY year")
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLE_SQL.update({
+    "src_feature_table": sql(f"SELECT state, date, {', '.join(_ALL_COUNT)} FROM count_features"),
+    "typed_features": sql("SELECT * FROM trend_typed"),
+    "serving_projection": sql("SELECT state, date, lag_1_weekly_vaccinations_count, "
+                              "lag_2_weekly_vaccinations_count FROM count_features"),
+    "feature_matrix": sql(f"SELECT {_X}, {_Y} FROM training_set_clean",
+                          *TRAINING_CTES, TRAINING_CLEAN),
+    "filter_state": sql(f"SELECT * FROM training_set_clean WHERE state = '{_FS}'",
+                        *TRAINING_CTES, TRAINING_CLEAN),
+    "filter_between": sql("SELECT state, date AS event_timestamp FROM count_features "
+                          f"WHERE date BETWEEN {_TS_A[0]} AND {_TS_A[1]}"),
+    "sorted_training_set": sql("SELECT * FROM training_set_clean ORDER BY event_timestamp, state",
+                               *TRAINING_CTES, TRAINING_CLEAN),
+    "head_rows": sql(f"SELECT * FROM training_set_clean WHERE state = '{_FS}' "
+                     "ORDER BY event_timestamp, state LIMIT 5", *TRAINING_CTES, TRAINING_CLEAN),
+    "tail_rows": sql(f"SELECT * FROM (SELECT * FROM training_set_clean WHERE state = '{_FS}' "
+                     "ORDER BY event_timestamp DESC, state DESC LIMIT 5) ORDER BY event_timestamp, state",
+                     *TRAINING_CTES, TRAINING_CLEAN),
+    "describe_target": sql(f"""
+    SELECT count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+           min(x) AS min, round(quantile_cont(x, 0.25), 6) AS p25,
+           round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75,
+           max(x) AS max
+    FROM (SELECT CAST({_Y} AS DOUBLE) AS x FROM training_set_clean WHERE state = '{_FS}')""",
+                           *TRAINING_CTES, TRAINING_CLEAN),
+    "stage_counts": sql("""
+    SELECT 'loaded' AS stage, count(*) AS n_rows, count(DISTINCT location) AS n_keys FROM daily_counts
+    UNION ALL SELECT 'filtered', count(*), count(DISTINCT location) FROM clean_daily
+    UNION ALL SELECT 'weekly', count(*), count(DISTINCT location) FROM weekly_counts"""),
+    "training_set_from_df": sql("SELECT * FROM tdf", (
+        "entity_df", "SELECT state, date AS event_timestamp FROM trend_features"),
+        *asof_ctes("tdf", "entity_df", ["state", "event_timestamp"], TRAINING_SIDES)),
+    "temporal_split_train": sql(f"""
+    SELECT {_X}, {_Y} FROM training_set_clean,
+      (SELECT max(event_timestamp) - INTERVAL 7 DAY AS s FROM training_set_clean) m
+    WHERE event_timestamp <= m.s""", *TRAINING_CTES, TRAINING_CLEAN),
+    "temporal_split_test": sql(f"""
+    SELECT {_X}, {_Y} FROM training_set_clean,
+      (SELECT max(event_timestamp) - INTERVAL 7 DAY AS s FROM training_set_clean) m
+    WHERE event_timestamp > m.s""", *TRAINING_CTES, TRAINING_CLEAN),
+    "online_snapshot": sql("SELECT * FROM snap_counts", *SNAPSHOT_CTES),
+    "materialize_increment": sql("SELECT * FROM snap_counts", *SNAPSHOT_CTES),
+    "online_upsert": sql(f"""
+    SELECT state, event_ts, {', '.join(_ALL_COUNT)} FROM (
+      SELECT *, row_number() OVER (PARTITION BY state ORDER BY event_ts DESC, is_new DESC) AS rn
+      FROM (SELECT *, 0 AS is_new FROM up_snap UNION ALL SELECT *, 1 AS is_new FROM up_inc))
+    WHERE rn = 1""",
+                         ("up_snap", _newest("count_features", _ALL_COUNT,
+                                             f"date <= TIMESTAMP '{config.FIRST_INCREMENT_END}'")),
+                         ("up_inc", _newest("count_features", _ALL_COUNT,
+                                            f"date BETWEEN TIMESTAMP '{config.UPSERT_LATE_WINDOW[0]}' "
+                                            f"AND TIMESTAMP '{config.UPSERT_LATE_WINDOW[1]}' "
+                                            f"OR date > TIMESTAMP '{config.UPSERT_NEW_AFTER}'"))),
+    "online_expire": sql(f"""
+    SELECT * FROM snap_trend
+    WHERE event_ts >= (SELECT max(event_ts) FROM snap_trend) - INTERVAL {SHORT_TTL_DAYS} DAY""",
+                         *SNAPSHOT_CTES),
+    "online_lookup": sql(lookup_sql("SELECT DISTINCT location AS state FROM daily_counts"),
+                         *SNAPSHOT_CTES),
+    "refresh_job": sql(lookup_sql("SELECT DISTINCT state FROM count_features"), *SNAPSHOT_CTES),
+    "overwrite_roundtrip": sql("SELECT * FROM trend_features"),
+    "csv_roundtrip": sql("SELECT * FROM count_features"),
+    "requests_from_json": sql("SELECT strftime(date, '%Y-%m-%d') || '/' || state AS id, state "
+                              "FROM count_features"),
+    "drift_window": sql("SELECT * FROM win_a ORDER BY event_timestamp, state", *WINDOW_CTES),
+    "window_union": sql(f"SELECT *, {_Y} AS target FROM win_union", *WINDOW_CTES),
+    "feature_histogram": sql("""
+    SELECT year, bin, round(lo + (hi - lo) / 10 * bin, 6) AS lo,
+           round(lo + (hi - lo) / 10 * (bin + 1), 6) AS hi, count(*) AS n
+    FROM (SELECT year, lo, hi,
+                 CAST(CASE WHEN hi = lo THEN 0
+                      ELSE least(floor((x - lo) / (hi - lo) * 10), 9) END AS INTEGER) AS bin
+          FROM (SELECT year, CAST(lag_1_vaccine_interest AS DOUBLE) AS x FROM win_union) u,
+               (SELECT min(CAST(lag_1_vaccine_interest AS DOUBLE)) AS lo,
+                       max(CAST(lag_1_vaccine_interest AS DOUBLE)) AS hi FROM win_union) b
+          WHERE x IS NOT NULL)
+    GROUP BY year, bin, lo, hi""", *WINDOW_CTES),
+    "feature_target_corr": sql(_corr_sql(), *WINDOW_CTES),
+})

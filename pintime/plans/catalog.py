@@ -106,3 +106,294 @@ def clean_training_set(spark, sf_dir) -> DataFrame:
 @query("training_set_clean")
 def training_set_clean(spark, sf_dir):
     return clean_training_set(spark, sf_dir)
+
+
+# ---- definitions, projections, filters, sorts ------------------------------
+
+@query("src_feature_table")
+def src_feature_table(spark, sf_dir):
+    ws = open_workspace(spark, sf_dir)
+    return ws.counts.to_df(spark)
+
+
+@query("typed_features")
+def typed_features(spark, sf_dir):
+    ws = open_workspace(spark, sf_dir)
+    return ws.trend.to_df(spark)
+
+
+@query("serving_projection")
+def serving_projection(spark, sf_dir):
+    ws = open_workspace(spark, sf_dir)
+    proj = ws.serving.projections()[1]
+    return proj.view.to_df(spark, proj.features)
+
+
+@query("feature_matrix")
+def feature_matrix(spark, sf_dir):
+    return clean_training_set(spark, sf_dir).select(*config.X_COLS, config.Y_COL)
+
+
+def state_rows(spark, sf_dir) -> DataFrame:
+    return clean_training_set(spark, sf_dir).where(F.col("state") == config.FILTER_STATE)
+
+
+@query("filter_state")
+def filter_state(spark, sf_dir):
+    return state_rows(spark, sf_dir)
+
+
+@query("filter_between")
+def filter_between(spark, sf_dir):
+    open_workspace(spark, sf_dir)
+    from pintime.plans.windows import window_entity_query
+    return spark.sql(window_entity_query(*config.DRIFT_WINDOW_A))
+
+
+@query("sorted_training_set")
+def sorted_training_set(spark, sf_dir):
+    return clean_training_set(spark, sf_dir).orderBy(config.EVENT_TS, "state")
+
+
+@query("head_rows")
+def head_rows(spark, sf_dir):
+    from pintime.operators.explore import head
+    return head(state_rows(spark, sf_dir), [config.EVENT_TS, "state"])
+
+
+@query("tail_rows")
+def tail_rows(spark, sf_dir):
+    from pintime.operators.explore import tail
+    return tail(state_rows(spark, sf_dir), [config.EVENT_TS, "state"])
+
+
+@query("describe_target")
+def describe_target(spark, sf_dir):
+    from pintime.operators.explore import describe
+    return describe(state_rows(spark, sf_dir), config.Y_COL)
+
+
+@query("stage_counts")
+def stage_counts(spark, sf_dir):
+    from pintime.operators.explore import stage_counts as counts
+    daily = daily_counts(spark, sf_dir)
+    weekly = feat.weekly_counts(daily)
+    return counts([("loaded", daily), ("filtered", feat.clean_daily(daily)),
+                   ("weekly", weekly)], key="location")
+
+
+@query("training_set_from_df")
+def training_set_from_df(spark, sf_dir):
+    ws = open_workspace(spark, sf_dir)
+    entity = ws.trend_table().select("state", F.col("date").alias(config.EVENT_TS))
+    return get_historical_features(spark, ws.training, entity_df=entity)
+
+
+# ---- temporal split --------------------------------------------------------
+
+def _split(spark, sf_dir):
+    from pintime.operators.split import temporal_split
+    data = clean_training_set(spark, sf_dir).select(
+        "state", config.EVENT_TS, *config.X_COLS, config.Y_COL)
+    return temporal_split(data, 1, config.EVENT_TS, by="week")
+
+
+@query("temporal_split_train")
+def temporal_split_train(spark, sf_dir):
+    return _split(spark, sf_dir)[0]
+
+
+@query("temporal_split_test")
+def temporal_split_test(spark, sf_dir):
+    return _split(spark, sf_dir)[1]
+
+
+# ---- online store ------------------------------------------------------------
+
+def _max_ts(df: DataFrame, col: str):
+    return df.agg(F.max(col).alias("m")).first()["m"]
+
+
+@query("online_snapshot")
+def online_snapshot(spark, sf_dir):
+    from pintime.plans.online import latest_snapshot
+    ws = open_workspace(spark, sf_dir)
+    return latest_snapshot(ws.counts.to_df(spark), ws.counts)
+
+
+def _store(spark, label):
+    from pintime.plans.online import SnapshotStore
+    from pintime.session import scratch_dir
+    return SnapshotStore(spark, scratch_dir(spark, label))
+
+
+@query("materialize_increment")
+def materialize_increment(spark, sf_dir):
+    from datetime import datetime
+
+    from pintime.plans.online import materialize_incremental
+    ws = open_workspace(spark, sf_dir)
+    store = _store(spark, "materialize")
+    first_end = datetime.fromisoformat(config.FIRST_INCREMENT_END)
+    materialize_incremental(spark, store, ws.counts, end_ts=first_end)
+    last_end = _max_ts(ws.count_table(), "date")
+    return materialize_incremental(spark, store, ws.counts, end_ts=max(last_end, first_end))
+
+
+@query("online_upsert")
+def online_upsert(spark, sf_dir):
+    from pintime.functions.time import ts_lit
+    from pintime.operators.latest import latest_per_key, upsert
+    ws = open_workspace(spark, sf_dir)
+    src = ws.counts.to_df(spark)
+    feats = ws.counts.feature_names
+    snap = latest_per_key(src.where(F.col("date") <= ts_lit(config.FIRST_INCREMENT_END)),
+                          ["state"], "date", feats)
+    lo, hi = config.UPSERT_LATE_WINDOW
+    inc_rows = src.where(F.col("date").between(ts_lit(lo), ts_lit(hi))
+                         | (F.col("date") > ts_lit(config.UPSERT_NEW_AFTER)))
+    inc = latest_per_key(inc_rows, ["state"], "date", feats)
+    return upsert(snap, inc, ["state"], feats)
+
+
+@query("online_expire")
+def online_expire(spark, sf_dir):
+    from pintime.operators.latest import SNAPSHOT_TS, expire
+    from pintime.plans.online import latest_snapshot
+    ws = open_workspace(spark, sf_dir)
+    snap = latest_snapshot(ws.trend.to_df(spark), ws.trend)
+    as_of = snap.agg(F.max(SNAPSHOT_TS).alias("_as_of"))
+    j = snap.crossJoin(F.broadcast(as_of))
+    return expire(j, F.col("_as_of"), config.SHORT_TTL).drop("_as_of")
+
+
+def _published_store(spark, ws, label):
+    from pintime.plans.online import materialize_incremental
+    store = _store(spark, label)
+    for view, table in ((ws.trend, ws.trend_table()), (ws.counts, ws.count_table())):
+        end = _max_ts(table, "date")
+        if end is not None:
+            materialize_incremental(spark, store, view, end_ts=end)
+    return store
+
+
+def request_states(spark, sf_dir) -> DataFrame:
+    """Keys to look up: every location seen in the raw daily data (excluded
+    ones included, so unknown keys are exercised)."""
+    return daily_counts(spark, sf_dir).select(F.col("location").alias("state")).distinct()
+
+
+@query("online_lookup")
+def online_lookup(spark, sf_dir):
+    from pintime.plans.online import get_online_features
+    ws = open_workspace(spark, sf_dir)
+    store = _published_store(spark, ws, "lookup")
+    return get_online_features(store, ws.serving, request_states(spark, sf_dir))
+
+
+@query("refresh_job")
+def refresh_job(spark, sf_dir):
+    from pintime.plans.refresh import refresh
+    from pintime.session import scratch_dir
+    root = scratch_dir(spark, "refresh")
+    store, ws = refresh(spark, sf_dir, root)
+    from pintime.plans.online import get_online_features
+    keys = ws.counts.source.read(spark).select("state").distinct()
+    return get_online_features(store, ws.serving, keys)
+
+
+# ---- sources and sinks -------------------------------------------------------
+
+@query("overwrite_roundtrip")
+def overwrite_roundtrip(spark, sf_dir):
+    from pintime.session import scratch_dir
+    from pintime.sources.sinks import overwrite_table, read_table_at
+    path = scratch_dir(spark, "overwrite")
+    trend = feat.trend_features(trend_points(spark, sf_dir))
+    overwrite_table(trend.where(F.col("state") == config.FILTER_STATE), path)
+    overwrite_table(trend, path)
+    return read_table_at(spark, path)
+
+
+def _daily_csv_roundtrip(spark, sf_dir, root):
+    """Raw daily counts out to CSV (with a column the job ignores) and back."""
+    from pintime.sources.csv import DAILY_CSV_SCHEMA, read_csv_columns, write_csv
+    daily = daily_counts(spark, sf_dir)
+    raw = daily.select("date", "location", F.col("daily_count").alias("total_count"),
+                       "daily_count")
+    write_csv(raw, f"{root}/daily_csv")
+    return read_csv_columns(spark, f"{root}/daily_csv", DAILY_CSV_SCHEMA,
+                            ["date", "location", "daily_count"])
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    from pintime.session import scratch_dir
+    from pintime.sources.csv import COUNT_CSV_SCHEMA, load_csv, write_csv
+    root = scratch_dir(spark, "csv")
+    counts = feat.count_features(_daily_csv_roundtrip(spark, sf_dir, root))
+    write_csv(counts, f"{root}/weekly_csv")
+    return load_csv(spark, f"{root}/weekly_csv", COUNT_CSV_SCHEMA, f"{root}/weekly_table")
+
+
+@query("csv_load_bad_records")
+def csv_load_bad_records(spark, sf_dir):
+    """Count features to CSV plus a second file whose first two rows carry a
+    non-numeric count; the load passes (2 bad records) and keeps the rest."""
+    from pintime.session import scratch_dir
+    from pintime.sources.csv import COUNT_CSV_SCHEMA, load_csv, write_csv
+    root = scratch_dir(spark, "csvbad")
+    counts = feat.count_features(daily_counts(spark, sf_dir))
+    write_csv(counts, f"{root}/in/good")
+    damaged = (counts.where(F.col("state") == config.FILTER_STATE)
+               .orderBy("date").limit(2)
+               .select(F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), "state",
+                       F.lit("n/a").alias("lag_1_weekly_vaccinations_count"),
+                       F.col("weekly_vaccinations_count").cast("string"),
+                       F.col("lag_2_weekly_vaccinations_count").cast("string")))
+    damaged.write.mode("overwrite").option("header", True).csv(f"{root}/in/bad")
+    return load_csv(spark, f"{root}/in/*", COUNT_CSV_SCHEMA, f"{root}/table")
+
+
+@query("requests_from_json")
+def requests_from_json(spark, sf_dir):
+    from pintime.session import scratch_dir
+    from pintime.sources.requests import build_requests, read_request_keys, write_requests
+    path = scratch_dir(spark, "requests")
+    open_workspace(spark, sf_dir)
+    rows = spark.table(config.COUNT_TABLE).select(
+        F.concat_ws("/", F.date_format("date", "yyyy-MM-dd"), "state").alias("id"), "state")
+    write_requests(build_requests(rows, "id", "state"), path)
+    return read_request_keys(spark, path)
+
+
+# ---- drift windows -----------------------------------------------------------
+
+@query("drift_window")
+def drift_window(spark, sf_dir):
+    from pintime.plans.windows import fetch_window
+    ws = open_workspace(spark, sf_dir)
+    return fetch_window(spark, ws, *config.DRIFT_WINDOW_A, sort=True)
+
+
+@query("window_union")
+def window_union(spark, sf_dir):
+    from pintime.plans.windows import window_union as union
+    ws = open_workspace(spark, sf_dir)
+    return union(spark, ws, target="target")
+
+
+@query("feature_histogram")
+def feature_histogram(spark, sf_dir):
+    from pintime.operators.explore import histogram
+    from pintime.plans.windows import window_union as union
+    ws = open_workspace(spark, sf_dir)
+    return histogram(union(spark, ws), "lag_1_vaccine_interest", by="year", bins=10)
+
+
+@query("feature_target_corr")
+def feature_target_corr(spark, sf_dir):
+    from pintime.operators.explore import correlations
+    from pintime.plans.windows import window_union as union
+    ws = open_workspace(spark, sf_dir)
+    return correlations(union(spark, ws), config.X_COLS, config.Y_COL, by="year")
