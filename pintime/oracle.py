@@ -284,3 +284,132 @@ ORACLE_SQL.update({
     GROUP BY year, bin, lo, hi""", *WINDOW_CTES),
     "feature_target_corr": sql(_corr_sql(), *WINDOW_CTES),
 })
+
+
+def _round_p(expr: str) -> str:
+    return f"(CASE WHEN ({expr}) < 5e-7 THEN 0.0::DOUBLE ELSE round({expr}, 6) END)"
+
+
+def _ks_p(lam: str) -> str:
+    series = (f"list_sum(list_transform(range(1, 101), lambda k: 2::DOUBLE * power(-1::DOUBLE, k - 1) "
+              f"* exp(-2::DOUBLE * k * k * ({lam}) * ({lam}))))")
+    return (f"CASE WHEN ({lam}) < 0.2 THEN 1::DOUBLE "
+            f"ELSE least(1::DOUBLE, greatest(0::DOUBLE, {series})) END")
+
+
+def _chi2_p(x: str, dof: str) -> str:
+    a = f"(({dof}) / 2::DOUBLE)"
+    z = f"(({x}) / 2::DOUBLE)"
+    n = f"CAST(floor({z} + 12 * sqrt({z}) + 40) AS INTEGER)"
+    term = (f"exp({a} * ln({z}) - {z} - lgamma({a} + 1) + n * ln({z}) "
+            f"- (lgamma({a} + n + 1) - lgamma({a} + 1)))")
+    return (f"CASE WHEN ({x}) <= 0 OR ({dof}) <= 0 THEN 1::DOUBLE "
+            f"WHEN {z} > {a} + 50 * sqrt({a}) + 60 THEN 0::DOUBLE "
+            f"ELSE least(1::DOUBLE, greatest(0::DOUBLE, "
+            f"1 - list_sum(list_transform(range(0, {n} + 1), lambda n: {term})))) END")
+
+
+def _long_union(src: str, feats: list[str], side: int) -> str:
+    return "\n UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value, {side} AS side "
+        f"FROM {src} WHERE {f} IS NOT NULL AND NOT isnan(CAST({f} AS DOUBLE))" for f in feats)
+
+
+KS_CTES = [
+    ("ks_long", _long_union("win_a", list(config.X_COLS), 0) + "\n UNION ALL "
+     + _long_union("win_b", list(config.X_COLS), 1)),
+    ("ks_counts", """SELECT feature, value, count(*) FILTER (WHERE side = 0) AS na,
+           count(*) FILTER (WHERE side = 1) AS nb FROM ks_long GROUP BY feature, value"""),
+    ("ks_cdf", """SELECT feature, value,
+           sum(na) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS ca,
+           sum(nb) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cb,
+           sum(na) OVER (PARTITION BY feature) AS n_a, sum(nb) OVER (PARTITION BY feature) AS n_b
+           FROM ks_counts"""),
+    ("ks_d", "SELECT feature, n_a, n_b, max(abs(ca / n_a - cb / n_b)) AS d FROM ks_cdf "
+             "GROUP BY feature, n_a, n_b"),
+    ("ks_result", f"""SELECT feature, round(d, 9) AS statistic,
+           {_round_p(_ks_p('d * sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b))'))} AS p_value,
+           CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b FROM ks_d"""),
+]
+
+
+def chi2_ctes(tag: str, long_sql: str, name: str) -> list[tuple[str, str]]:
+    ea = "((oa + ob) * n_a / (n_a + n_b))"
+    eb = "((oa + ob) * n_b / (n_a + n_b))"
+    return [
+        (f"{tag}_long", long_sql),
+        (f"{tag}_tab", f"""SELECT cat, count(*) FILTER (WHERE side = 0) AS oa,
+               count(*) FILTER (WHERE side = 1) AS ob FROM {tag}_long
+               WHERE cat IS NOT NULL GROUP BY cat"""),
+        (f"{tag}_tot", f"SELECT sum(oa) AS n_a, sum(ob) AS n_b, count(*) AS k FROM {tag}_tab"),
+        (f"{tag}_stat", f"""SELECT n_a, n_b, k,
+               sum(power(oa - {ea}, 2) / {ea} + power(ob - {eb}, 2) / {eb}) AS x
+               FROM {tag}_tab, {tag}_tot GROUP BY n_a, n_b, k"""),
+        (f"{tag}_result", f"""SELECT '{name}' AS feature, round(x, 6) AS statistic,
+               CAST(k - 1 AS BIGINT) AS dof, {_round_p(_chi2_p('x', 'k - 1'))} AS p_value,
+               CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b FROM {tag}_stat"""),
+    ]
+
+
+_DECILES = ", ".join(str(i / 10) for i in range(1, 10))
+STATE_CHI2 = chi2_ctes("cs", "SELECT CAST(state AS VARCHAR) AS cat, 0 AS side FROM win_a "
+                             "UNION ALL SELECT CAST(state AS VARCHAR), 1 FROM win_b", "state")
+TARGET_CHI2 = [("t_edges", f"SELECT list_transform(quantile_cont(CAST({_Y} AS DOUBLE), "
+                           f"[{_DECILES}]), lambda q: round(q, 6)) AS e FROM win_a")] + chi2_ctes(
+    "ct", f"""SELECT CAST(len(list_filter(e, lambda q: q < CAST({_Y} AS DOUBLE))) AS VARCHAR) AS cat,
+              0 AS side FROM win_a, t_edges WHERE {_Y} IS NOT NULL
+              UNION ALL
+              SELECT CAST(len(list_filter(e, lambda q: q < CAST({_Y} AS DOUBLE))) AS VARCHAR), 1
+              FROM win_b, t_edges WHERE {_Y} IS NOT NULL""", "target")
+
+REPORT_CTES = KS_CTES + STATE_CHI2 + TARGET_CHI2 + [
+    ("r_means", """SELECT feature, round(avg(CASE WHEN side = 0 THEN value END), 6) AS mean_a,
+           round(avg(CASE WHEN side = 1 THEN value END), 6) AS mean_b FROM ks_long GROUP BY feature"""),
+    ("r_rows", """
+    SELECT k.feature, 'ks' AS test, k.statistic, k.p_value, k.n_a, k.n_b, m.mean_a, m.mean_b
+    FROM ks_result k LEFT JOIN r_means m ON m.feature = k.feature
+    UNION ALL SELECT feature, 'chi2', statistic, p_value, n_a, n_b, NULL::DOUBLE, NULL::DOUBLE
+    FROM cs_result
+    UNION ALL SELECT feature, 'chi2', statistic, p_value, n_a, n_b, NULL::DOUBLE, NULL::DOUBLE
+    FROM ct_result"""),
+    ("r_flag", "SELECT *, p_value < 0.05 AS drifted FROM r_rows"),
+    ("r_share", "SELECT round(avg(CAST(drifted AS DOUBLE)), 6) AS share_drifted FROM r_flag"),
+]
+
+_OOB_CUR = "\n UNION ALL ".join(
+    f"SELECT state, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM oob_snap"
+    for f in config.X_COLS)
+OOB_CTES = [
+    ("oob_snap", lookup_sql("SELECT DISTINCT state FROM count_features")),
+    ("oob_base", _long_union("win_a", list(config.X_COLS), 0)),
+    ("oob_bounds", "SELECT feature, round(quantile_cont(value, 0.01), 6) AS lo, "
+                   "round(quantile_cont(value, 0.99), 6) AS hi FROM oob_base GROUP BY feature"),
+    ("oob_cur", _OOB_CUR),
+]
+
+ORACLE_SQL.update({
+    "scalar_functions": sql(f"""
+    SELECT state, date, CAST(CAST(date AS DATE) AS TIMESTAMP) AS date_ts,
+           date >= TIMESTAMP '{config.DRIFT_WINDOW_A[0]}' AS after_start,
+           CAST(strptime(strftime(date, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS day,
+           strftime(date, '%Y-%m-%d %H:%M:%S') AS date_text,
+           CAST(year(date) AS INTEGER) AS year, date - INTERVAL 7 DAY AS week_before,
+           decode(encode(state)) AS state_text,
+           CAST(to_json([lag_1_weekly_vaccinations_count, weekly_vaccinations_count,
+                         lag_2_weekly_vaccinations_count]) AS VARCHAR) AS counts_json,
+           CAST(to_json({{'state': state, 'lag_1_weekly_vaccinations_count':
+                          lag_1_weekly_vaccinations_count}}) AS VARCHAR) AS row_json
+    FROM count_features"""),
+    "drift_ks": sql("SELECT * FROM ks_result", *WINDOW_CTES, *KS_CTES),
+    "drift_chi2": sql("SELECT * FROM cs_result", *WINDOW_CTES, *STATE_CHI2),
+    "drift_target": sql("SELECT * FROM ct_result", *WINDOW_CTES, *TARGET_CHI2),
+    "drift_report": sql("SELECT r_flag.*, r_share.share_drifted, r_share.share_drifted >= 0.5 "
+                        "AS dataset_drift FROM r_flag, r_share",
+                        *[(n, q.replace(f"{_Y} AS target", f"{_Y}")) for n, q in WINDOW_CTES],
+                        *REPORT_CTES),
+    "online_out_of_bounds": sql("""
+    SELECT c.state, c.feature, c.value, b.lo, b.hi,
+           COALESCE(c.value < b.lo OR c.value > b.hi, FALSE) AS out_of_bounds
+    FROM oob_cur c JOIN oob_bounds b ON b.feature = c.feature""",
+                                *SNAPSHOT_CTES, *WINDOW_CTES, *OOB_CTES),
+})

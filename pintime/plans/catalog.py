@@ -397,3 +397,144 @@ def feature_target_corr(spark, sf_dir):
     from pintime.plans.windows import window_union as union
     ws = open_workspace(spark, sf_dir)
     return correlations(union(spark, ws), config.X_COLS, config.Y_COL, by="year")
+
+
+# ---- scalar functions --------------------------------------------------------
+
+@query("scalar_functions")
+def scalar_functions(spark, sf_dir):
+    """FN-1..FN-10 over the count table (FN-11 runs in requests_from_json)."""
+    from pintime.functions.time import date_to_ts, interval, ts_lit
+    from datetime import timedelta
+    open_workspace(spark, sf_dir)
+    c = spark.table(config.COUNT_TABLE)
+    text = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
+    return c.select(
+        "state", "date",
+        date_to_ts("date").alias("date_ts"),
+        (F.col("date") >= ts_lit(config.DRIFT_WINDOW_A[0])).alias("after_start"),
+        F.to_date(F.date_format("date", "yyyy-MM-dd"), "yyyy-MM-dd").alias("day"),
+        text.alias("date_text"),
+        F.year("date").alias("year"),
+        (F.col("date") - interval(timedelta(weeks=1))).alias("week_before"),
+        F.decode(F.encode("state", "UTF-8"), "UTF-8").alias("state_text"),
+        F.to_json(F.array("lag_1_weekly_vaccinations_count", "weekly_vaccinations_count",
+                          "lag_2_weekly_vaccinations_count")).alias("counts_json"),
+        F.to_json(F.struct("state", "lag_1_weekly_vaccinations_count")).alias("row_json"),
+    )
+
+
+# ---- model (rows-only: results depend on the library) -----------------------
+
+TREES_IN_QUERIES = 10
+
+
+def _model_data(spark, sf_dir):
+    return clean_training_set(spark, sf_dir).select(
+        "state", config.EVENT_TS, *config.X_COLS, config.Y_COL)
+
+
+@query("train_predict")
+def train_predict(spark, sf_dir):
+    from pintime.plans.model import fit, gbt_pipeline
+    data = _model_data(spark, sf_dir)
+    model = fit(data, gbt_pipeline(trees=TREES_IN_QUERIES))
+    return model.transform(data).select("state", config.EVENT_TS, config.Y_COL,
+                                        F.col("prediction").cast("float").alias("prediction"))
+
+
+@query("validation_mae")
+def validation_mae(spark, sf_dir):
+    from pintime.operators.split import temporal_split
+    from pintime.plans.model import fit, gbt_pipeline, mae
+    train, test = temporal_split(_model_data(spark, sf_dir), 1, config.EVENT_TS, by="week")
+    model = fit(train, gbt_pipeline(trees=TREES_IN_QUERIES))
+    return mae(model, test)
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    from pintime.plans.model import feature_importance as importance
+    from pintime.plans.model import fit, gbt_pipeline
+    model = fit(_model_data(spark, sf_dir), gbt_pipeline(trees=TREES_IN_QUERIES))
+    return importance(spark, model)
+
+
+@query("batch_score")
+def batch_score(spark, sf_dir):
+    """Requests (JSON) -> online features -> assembled vector -> prediction,
+    one distributed job for all keys."""
+    from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, score
+    from pintime.plans.online import get_online_features
+    from pintime.session import scratch_dir
+    from pintime.sources.requests import build_requests, read_request_keys, write_requests
+    ws = open_workspace(spark, sf_dir)
+    registry = ModelRegistry(spark, scratch_dir(spark, "models"))
+    registry.save("predict-counts", fit(_model_data(spark, sf_dir),
+                                        gbt_pipeline(trees=TREES_IN_QUERIES)))
+    store = _published_store(spark, ws, "score")
+    req_path = scratch_dir(spark, "score-requests")
+    keys = request_states(spark, sf_dir).withColumn("id", F.col("state"))
+    write_requests(build_requests(keys, "id", "state"), req_path)
+    feats = get_online_features(store, ws.serving, read_request_keys(spark, req_path))
+    return score(registry.load("predict-counts"), feats, keys=("id", "state"))
+
+
+# ---- drift -------------------------------------------------------------------
+
+def _drift_frames(spark, sf_dir, target=True):
+    from pintime.plans.windows import split_windows
+    from pintime.plans.windows import window_union as union
+    from pintime.session import ensure_checkpoint_dir
+    ws = open_workspace(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    # one point-in-time pass, cut from its lineage so every test reads it once
+    u = union(spark, ws, target="target" if target else None).checkpoint()
+    return split_windows(u)
+
+
+@query("drift_ks")
+def drift_ks(spark, sf_dir):
+    from pintime.operators.drift import ks_test
+    a, b = _drift_frames(spark, sf_dir)
+    return ks_test(a, b, config.X_COLS)
+
+
+@query("drift_chi2")
+def drift_chi2(spark, sf_dir):
+    from pintime.operators.drift import chi2_test
+    a, b = _drift_frames(spark, sf_dir)
+    return chi2_test(a, b, "state")
+
+
+@query("drift_target")
+def drift_target(spark, sf_dir):
+    from pintime.operators.drift import target_drift
+    a, b = _drift_frames(spark, sf_dir)
+    return target_drift(a, b, "target")
+
+
+@query("drift_report")
+def drift_report(spark, sf_dir):
+    from pintime.operators.drift import drift_report as report
+    a, b = _drift_frames(spark, sf_dir)
+    return report(a, b, config.X_COLS, ["state"], target="target")
+
+
+def serving_snapshot(spark, ws) -> DataFrame:
+    """Newest serving features per key of the count table (state + X)."""
+    from pintime.operators.broadcast import bounded_broadcast
+    from pintime.plans.online import latest_snapshot
+    counts = latest_snapshot(ws.counts.to_df(spark), ws.counts).select(
+        "state", "lag_1_weekly_vaccinations_count", "lag_2_weekly_vaccinations_count")
+    trend = latest_snapshot(ws.trend.to_df(spark), ws.trend).select("state", *config.TREND_FEATURES)
+    return counts.join(bounded_broadcast(trend), "state", "left").select("state", *config.X_COLS)
+
+
+@query("online_out_of_bounds")
+def online_out_of_bounds(spark, sf_dir):
+    from pintime.operators.drift import out_of_bounds
+    from pintime.plans.windows import fetch_window
+    ws = open_workspace(spark, sf_dir)
+    baseline = fetch_window(spark, ws, *config.DRIFT_WINDOW_A)
+    return out_of_bounds(baseline, serving_snapshot(spark, ws), config.X_COLS, ["state"])
