@@ -99,15 +99,15 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
             *keys, F.col(s.ts).alias("_ts"), F.lit(0).alias("_side"),
             bucket(s.ts).alias("_b"), F.struct(*parts).alias(fcols[i])))
 
-    frames = [ent, *feats]
+    union = _union_all([ent, *feats])
     if bucket_days:
-        frames.append(_carry_rows(ent, feats, keys, fcols))
+        union = union.unionByName(_carry_rows(union, keys, fcols), allowMissingColumns=True)
 
     order = [F.col("_ts").asc_nulls_first(), F.col("_side").asc()]
     order += [F.col(c).asc_nulls_first() for c in fcols]
     w = (Window.partitionBy(*keys, "_b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = (_union_all(frames)
+    matched = (union
                .select("_side", "_ts", "_e",
                        *[F.last(c, ignorenulls=True).over(w).alias(f"_m{i}")
                          for i, c in enumerate(fcols)])
@@ -122,16 +122,14 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     return matched.select(*out)
 
 
-def _carry_rows(ent: DataFrame, feats: Sequence[DataFrame], keys: list[str],
-                fcols: list[str]) -> DataFrame:
+def _carry_rows(union: DataFrame, keys: list[str], fcols: list[str]) -> DataFrame:
     """For each (key, bucket) holding entity rows, the newest feature struct of
-    every side from strictly earlier buckets. One row per key and bucket, so
-    the per-key window here is small even for the hottest key."""
-    ent_b = (ent.where(F.col("_b").isNotNull()).select(*keys, "_b").distinct()
-             .withColumn("_has_e", F.lit(True)))
-    lasts = [f.groupBy(*keys, "_b").agg(F.max(c).alias(c)) for f, c in zip(feats, fcols)]
-    per_bucket = (_union_all([ent_b, *lasts]).groupBy(*keys, "_b")
-                  .agg(F.max("_has_e").alias("_has_e"), *[F.max(c).alias(c) for c in fcols]))
+    every side from strictly earlier buckets. Built from the same tagged union
+    with one partial aggregation to one row per key and bucket, so the per-key
+    window here is small even for the hottest key."""
+    per_bucket = (union.where(F.col("_b").isNotNull()).groupBy(*keys, "_b")
+                  .agg(F.max(F.col("_side") == 1).alias("_has_e"),
+                       *[F.max(c).alias(c) for c in fcols]))
     earlier = (Window.partitionBy(*keys).orderBy("_b")
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = per_bucket.select(*keys, "_b", "_has_e",

@@ -1,11 +1,9 @@
 """Drift between two windows (DR-2..DR-6).
 
 * Numeric features: two-sample Kolmogorov-Smirnov. Values are unpivoted and
-  counted per (feature, value) with map-side partial aggregation. The running
-  sums that give both empirical CDFs are computed in two levels so no task
-  holds a whole feature: values are range-bucketed by approximate quantiles,
-  each bucket sums locally, and a tiny per-bucket table supplies the offsets
-  of all earlier buckets. The statistic is exact; buckets only spread work.
+  counted per (feature, value) with map-side partial aggregation; the running
+  sums that give both empirical CDFs come from the two-level
+  ``running_totals``, so no task holds a whole feature. Exact.
 * Categorical columns and the binned target: chi-square on the
   side x category table, all categories of either side included.
 * Online values outside a baseline's percentile range.
@@ -19,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pintime.functions.stats import chi2_sf, ks_pvalue, round_p
+from pintime.operators.prefix import exact_quantiles, running_totals
 
 
 def require_rows(df: DataFrame, name: str) -> None:
@@ -40,35 +39,11 @@ def ks_test(a: DataFrame, b: DataFrame, features: Sequence[str], buckets: int =
               .groupBy("feature", "value")
               .agg(F.count_if(F.col("_side") == 0).alias("na"),
                    F.count_if(F.col("_side") == 1).alias("nb")))
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        edges = counts.groupBy("feature").agg(
-            F.percentile_approx("value", qs, 10000).alias("_edges"))
-        # one row per feature: a proven-size broadcast
-        counts = (counts.join(F.broadcast(edges), "feature")
-                  .withColumn("_bk", F.size(F.filter("_edges", lambda e: e < F.col("value"))))
-                  .drop("_edges"))
-    else:
-        counts = counts.withColumn("_bk", F.lit(0))
-    local_w = (Window.partitionBy("feature", "_bk").orderBy("value")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = counts.select("feature", "_bk", F.sum("na").over(local_w).alias("_ca"),
-                          F.sum("nb").over(local_w).alias("_cb"))
-    per_bucket = counts.groupBy("feature", "_bk").agg(F.sum("na").alias("_ta"),
-                                                      F.sum("nb").alias("_tb"))
-    before = (Window.partitionBy("feature").orderBy("_bk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_bucket.select(
-        "feature", "_bk",
-        F.coalesce(F.sum("_ta").over(before), F.lit(0)).alias("_oa"),
-        F.coalesce(F.sum("_tb").over(before), F.lit(0)).alias("_ob"))
-    totals = per_bucket.groupBy("feature").agg(F.sum("_ta").alias("n_a"),
-                                               F.sum("_tb").alias("n_b"))
-    # offsets: features x buckets rows, bounded by the parameters
-    cdf = (local.join(F.broadcast(offsets), ["feature", "_bk"])
-           .join(F.broadcast(totals), "feature"))
-    gap = F.abs((F.col("_ca") + F.col("_oa")) / F.col("n_a")
-                - (F.col("_cb") + F.col("_ob")) / F.col("n_b"))
+    cdf = running_totals(counts, ["feature"], "value", ["na", "nb"], buckets=buckets,
+                         groups_bound=len(features))
+    totals = counts.groupBy("feature").agg(F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"))
+    cdf = cdf.join(F.broadcast(totals), "feature")     # one row per feature
+    gap = F.abs(F.col("_cum_na") / F.col("n_a") - F.col("_cum_nb") / F.col("n_b"))
     d = cdf.groupBy("feature", "n_a", "n_b").agg(F.max(gap).alias("_d"))
     lam = "_d * sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b))"
     return d.select("feature", F.round("_d", digits).alias("statistic"),
@@ -101,10 +76,10 @@ def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None,
 
 
 def decile_edges(baseline: DataFrame, col: str, digits: int = 6) -> DataFrame:
-    """One row: the baseline's deciles of ``col`` (linear interpolation)."""
-    qs = F.array(*[F.lit(i / 10) for i in range(1, 10)])
-    return baseline.agg(F.transform(F.percentile(F.col(col).cast("double"), qs),
-                                    lambda q: F.round(q, digits)).alias("_edges"))
+    """One row: the baseline's deciles of ``col`` (linear interpolation),
+    computed by the distributed exact quantile."""
+    q = exact_quantiles(baseline, col, [i / 10 for i in range(1, 10)])
+    return q.select(F.transform("_q", lambda v: F.round(v, digits)).alias("_edges"))
 
 
 def target_drift(a: DataFrame, b: DataFrame, target: str = "target") -> DataFrame:
@@ -153,8 +128,8 @@ def out_of_bounds(baseline: DataFrame, current: DataFrame, features: Sequence[st
                   digits: int = 6) -> DataFrame:
     """``keys, feature, value, lo, hi, out_of_bounds``: each current value
     against the baseline's ``[lo_q, hi_q]`` percentile range of its feature."""
-    bounds = (_long(baseline, features, 0).groupBy("feature")
-              .agg(F.percentile("value", F.array(F.lit(lo_q), F.lit(hi_q))).alias("_q"))
+    bounds = (exact_quantiles(_long(baseline, features, 0), "value", [lo_q, hi_q],
+                              by=["feature"], groups_bound=len(features))
               .select("feature", F.round(F.col("_q")[0], digits).alias("lo"),
                       F.round(F.col("_q")[1], digits).alias("hi")))
     cur = (current.select(*keys, *[F.col(f).cast("double").alias(f) for f in features])

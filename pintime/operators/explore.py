@@ -1,9 +1,8 @@
 """Exploration aggregates: summary statistics (AGG-6), histogram (AGG-8),
 feature-target correlation (AGG-9), head/tail (SRT-2), stage counts (AGG-4/5).
 
-All are hash aggregations with map-side partial results; the only exact
-quantile (``percentile``) is per group and offered with an approximate switch
-for very large groups.
+All are hash aggregations with map-side partial results; exact quantiles use
+the distributed rank search of ``prefix.exact_quantiles``.
 """
 
 from __future__ import annotations
@@ -13,21 +12,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pintime.operators.prefix import exact_quantiles
+
 
 def describe(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = False,
              digits: int = 6) -> DataFrame:
     """pandas ``describe()``: count, mean, sample std, min, quartiles
     (linear interpolation), max. ``df.summary()`` is not used: its quartiles
-    are nearest-rank. ``approx=True`` uses ``percentile_approx`` instead."""
+    are nearest-rank. ``approx=True`` uses ``percentile_approx`` instead of
+    the distributed exact quantile."""
     x = F.col(col).cast("double")
-    if approx:
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-    else:
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     aggs = [F.count(x).alias("count"), F.round(F.avg(x), digits).alias("mean"),
             F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"),
-            q.alias("_q"), F.max(x).alias("max")]
+            F.max(x).alias("max")]
+    if approx:
+        aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("_q"))
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    if not approx:
+        # exact quartiles without gathering a group's values in one task
+        q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by=by)
+        g = g.join(q, list(by), "left") if by else g.join(q, F.lit(True), "left")
     return g.select(*by, "count", "mean", "std", "min",
                     F.round(F.col("_q")[0], digits).alias("p25"),
                     F.round(F.col("_q")[1], digits).alias("p50"),

@@ -50,9 +50,22 @@ class Workspace:
         return self.spark.table(config.TREND_TABLE)
 
 
-def open_workspace(spark: SparkSession, sf_dir: str) -> Workspace:
+# The workspace whose views are currently registered, per session. Views are
+# session-global names, so opening another directory re-registers them.
+_current: dict[int, Workspace] = {}
+
+
+def open_workspace(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Workspace:
+    """Register the views for ``sf_dir`` (reused while they are still the
+    registered ones; ``refresh=True`` re-lists the input files)."""
+    cur = _current.get(id(spark))
+    if (not refresh and cur is not None and cur.spark is spark and cur.sf_dir == sf_dir
+            and spark.catalog.tableExists(config.COUNT_TABLE)):
+        return cur
     register_raw_views(spark, sf_dir)
     trend_features(spark.table("trend_points")).createOrReplaceTempView(config.TREND_TABLE)
     count_features(spark.table("daily_counts")).createOrReplaceTempView(config.COUNT_TABLE)
     repo = build_repo(spark, trend_view(), count_view())
-    return Workspace(spark, sf_dir, repo)
+    ws = Workspace(spark, sf_dir, repo)
+    _current[id(spark)] = ws
+    return ws

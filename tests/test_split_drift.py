@@ -53,3 +53,26 @@ def test_chi2_and_empty_window(spark):
         require_rows(a.limit(0), "empty")
     with pytest.raises(ValueError):
         drift_report(a.limit(0), b, [], ["c"], target=None).collect()
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from pintime.operators.prefix import exact_quantiles
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", "c"]), float(rnd.randint(0, 60)) + rnd.choice([0, 0.5]))
+            for _ in range(700)] + [("d", 5.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+    for buckets in (1, 4, 16):
+        ours = {r.g: r._q for r in exact_quantiles(df, "x", probs, by=["g"],
+                                                      buckets=buckets).collect()}
+        ref = {r.g: r.q for r in df.groupBy("g").agg(
+            F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+        assert ours.keys() == ref.keys()
+        for g in ref:
+            assert [round(v, 9) for v in ours[g]] == [round(v, 9) for v in ref[g]]
+    glob = exact_quantiles(df, "x", [0.5]).first()._q[0]
+    assert glob == df.agg(F.percentile("x", 0.5)).first()[0]
