@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The reference has no stream source, watermark, event-time window or stateful
+operator; its only recurring work is a daily batch trigger that rebuilds the
+feature tables and publishes them incrementally. That is
+``pintime.plans.refresh.refresh`` plus ``plans.online.materialize_incremental``,
+run by any scheduler.
+"""
