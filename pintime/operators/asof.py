@@ -16,10 +16,11 @@ Plan, Spark-first (no range join, no per-row fan-out):
    Features travel as one struct, so a newest row's null feature stays null
    instead of being back-filled from an older row.
 3. Skew: the window partitions by ``(key, time bucket)``, not by key alone,
-   so a key holding a third of all rows still spreads over many tasks. A small
-   carry table (one row per key and bucket, built with partial aggregation)
-   hands each bucket the newest feature row of all earlier buckets; it enters
-   the union as a row that sorts first in its bucket.
+   so a key holding a third of all rows still spreads over many tasks. The
+   same window also yields each bucket's newest feature row; from those, a
+   small carry table (one row per key and bucket, aggregated without any
+   further shuffle or sort) gives every bucket the newest row of all earlier
+   buckets, used for entity rows with no match inside their own bucket.
 4. TTL is checked on the carried struct's own timestamp.
 
 Null keys never match: feature rows with a null key or time are dropped,
@@ -100,18 +101,23 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
             bucket(s.ts).alias("_b"), F.struct(*parts).alias(fcols[i])))
 
     union = _union_all([ent, *feats])
-    if bucket_days:
-        union = union.unionByName(_carry_rows(union, keys, fcols), allowMissingColumns=True)
-
     order = [F.col("_ts").asc_nulls_first(), F.col("_side").asc()]
     order += [F.col(c).asc_nulls_first() for c in fcols]
-    w = (Window.partitionBy(*keys, "_b").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = (union
-               .select("_side", "_ts", "_e",
-                       *[F.last(c, ignorenulls=True).over(w).alias(f"_m{i}")
-                         for i, c in enumerate(fcols)])
-               .where(F.col("_side") == 1))
+    part = Window.partitionBy(*keys, "_b").orderBy(*order)
+    running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = [F.last(c, ignorenulls=True).over(running).alias(f"_m{i}")
+            for i, c in enumerate(fcols)]
+    if bucket_days:
+        whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        cols += [F.last(c, ignorenulls=True).over(whole).alias(f"_z{i}")
+                 for i, c in enumerate(fcols)]
+    passed = union.select(*keys, "_b", "_side", "_ts", "_e", *cols)
+    matched = passed.where(F.col("_side") == 1)
+    if bucket_days:
+        carry = _carry_table(passed, keys, len(fcols))
+        matched = matched.join(carry, [*keys, "_b"], "left")
+        for i in range(len(fcols)):
+            matched = matched.withColumn(f"_m{i}", F.coalesce(f"_m{i}", f"_c{i}"))
 
     out = [F.col("_e")[c].alias(c) for c in ent_cols]
     for i, s in enumerate(sides):
@@ -122,18 +128,23 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     return matched.select(*out)
 
 
-def _carry_rows(union: DataFrame, keys: list[str], fcols: list[str]) -> DataFrame:
-    """For each (key, bucket) holding entity rows, the newest feature struct of
-    every side from strictly earlier buckets. Built from the same tagged union
-    with one partial aggregation to one row per key and bucket, so the per-key
-    window here is small even for the hottest key."""
-    per_bucket = (union.where(F.col("_b").isNotNull()).groupBy(*keys, "_b")
-                  .agg(F.max(F.col("_side") == 1).alias("_has_e"),
-                       *[F.max(c).alias(c) for c in fcols]))
+def _carry_table(passed: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """``keys, _b, _c<i>``: for each (key, bucket) holding entity rows, the
+    newest feature struct of every side from strictly earlier buckets.
+
+    The window output is already partitioned and sorted by (key, bucket), so
+    the per-bucket aggregate needs no shuffle and no sort; the result has one
+    row per key and bucket, so the per-key window over it is small even for
+    the hottest key."""
+    per_bucket = (passed.groupBy(*keys, "_b")
+                  # reads the entity struct (not _side) so this branch needs the
+                  # same columns as the main one and Spark reuses one shuffle
+                  .agg(F.max(F.col("_e").isNotNull()).alias("_has_e"),
+                       *[F.first(f"_z{i}").alias(f"_z{i}") for i in range(n)]))
     earlier = (Window.partitionBy(*keys).orderBy("_b")
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = per_bucket.select(*keys, "_b", "_has_e",
-                                *[F.max(c).over(earlier).alias(c) for c in fcols])
+                                *[F.max(f"_z{i}").over(earlier).alias(f"_c{i}") for i in range(n)])
     useful = F.col("_has_e") & reduce(lambda a, b: a | b,
-                                      [F.col(c).isNotNull() for c in fcols])
-    return carried.where(useful).select(*keys, F.lit(-1).alias("_side"), "_b", *fcols)
+                                      [F.col(f"_c{i}").isNotNull() for i in range(n)])
+    return carried.where(useful).select(*keys, "_b", *[f"_c{i}" for i in range(n)])
