@@ -30,3 +30,17 @@ def fill_zero_all(df: DataFrame) -> DataFrame:
 def drop_any_null(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """``dropna()``: drops rows holding a null (or a NaN) in any column."""
     return df.na.drop(how="any", subset=list(subset) if subset else None)
+
+
+def as_nullable_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``astype('Int64', errors='ignore')`` per column: a column whose non-null
+    values are all whole numbers becomes ``bigint`` (nulls stay null); a column
+    holding any fractional value is left as it is (a plain cast would truncate
+    1.7 to 1). The check is one global aggregate returning one row."""
+    cols = list(cols)
+    if not cols:
+        return df
+    checks = df.agg(*[F.coalesce(F.bool_and(F.col(c) == F.floor(F.col(c))), F.lit(True))
+                      .alias(c) for c in cols]).first()
+    return df.select(*[F.col(c).cast("bigint").alias(c) if c in cols and checks[c] else F.col(c)
+                       for c in df.columns])

@@ -86,11 +86,15 @@ def tail(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
 
 
-def stage_counts(stages: Sequence[tuple[str, DataFrame]], key: str) -> DataFrame:
+def stage_counts(stages: Sequence[tuple[str, DataFrame]], key: str,
+                 approx: bool = False) -> DataFrame:
     """``stage, n_rows, n_keys``: rows and distinct non-null keys per stage, as
-    one union of global aggregates (one small row each)."""
+    one union of global aggregates (one small row each). ``approx=True``
+    counts keys with HyperLogLog++ instead."""
+    distinct = ((lambda c: F.approx_count_distinct(c)) if approx
+                else (lambda c: F.count_distinct(c)))
     frames = [df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("n_rows"),
-                     F.count_distinct(F.col(key)).alias("n_keys"))
+                     distinct(F.col(key)).alias("n_keys"))
               for name, df in stages]
     out = frames[0]
     for f in frames[1:]:

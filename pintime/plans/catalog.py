@@ -430,8 +430,13 @@ TREES_IN_QUERIES = 10
 
 
 def _model_data(spark, sf_dir):
+    """The model's input, checkpointed once: boosting iterates over it, and fit
+    and transform then read the same materialized rows instead of re-running
+    the point-in-time join (the checkpoint also cuts the lineage)."""
+    from pintime.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     return clean_training_set(spark, sf_dir).select(
-        "state", config.EVENT_TS, *config.X_COLS, config.Y_COL)
+        "state", config.EVENT_TS, *config.X_COLS, config.Y_COL).checkpoint()
 
 
 @query("train_predict")

@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+import logging
+
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pintime.plans.features import count_features, trend_features
@@ -16,6 +18,8 @@ from pintime.plans.workspace import Workspace
 from pintime.sources.sinks import overwrite_table
 from pintime.sources.tables import daily_counts, trend_points
 
+log = logging.getLogger(__name__)
+
 
 def refresh(spark: SparkSession, sf_dir: str, root: str,
             end_ts: datetime | None = None, full_refresh: bool = False
@@ -25,8 +29,16 @@ def refresh(spark: SparkSession, sf_dir: str, root: str,
     ``end_ts`` defaults to the newest event time in each table (an explicit
     end makes reruns repeatable; FN-7)."""
     counts_path, trend_path = f"{root}/tables/counts", f"{root}/tables/trends"
-    overwrite_table(count_features(daily_counts(spark, sf_dir)), counts_path)
-    overwrite_table(trend_features(trend_points(spark, sf_dir)), trend_path)
+    # AGG-4: row and key counts ride along with the writes (no extra job)
+    c_obs, t_obs = Observation("weekly_counts"), Observation("trend_features")
+    counts_df = count_features(daily_counts(spark, sf_dir)).observe(
+        c_obs, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("state").alias("keys"))
+    trend_df = trend_features(trend_points(spark, sf_dir)).observe(
+        t_obs, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("state").alias("keys"))
+    overwrite_table(counts_df, counts_path)
+    overwrite_table(trend_df, trend_path)
+    for obs in (c_obs, t_obs):
+        log.info("%s: %s", obs.name, obs.get)
     trend, counts = trend_view(path=trend_path), count_view(path=counts_path)
     repo = build_repo(spark, trend, counts)
     store = SnapshotStore(spark, f"{root}/online")

@@ -45,3 +45,22 @@ def test_model_registry_versions(spark, tmp_root):
     assert reg.latest("m") is None
     assert reg.save("m", model) == 1 and reg.save("m", model) == 2
     assert reg.load("m").transform(df).count() == 1
+
+
+def test_poisson_pipeline_and_unknown_key_scores_null(spark):
+    from pyspark.sql import functions as F
+
+    from pintime import config
+    from pintime.plans.model import fit, poisson_pipeline, score
+    rows = [tuple(float((i * (j + 3)) % 7) for j in range(8)) + (float(i % 5),)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in
+                                               [*config.X_COLS, config.Y_COL]))
+    model = fit(df, poisson_pipeline())
+    preds = model.transform(df).select("prediction").collect()
+    assert all(p.prediction >= 0 for p in preds)
+    unknown = df.limit(1).select(F.lit("Z").alias("state"),
+                                 *[F.lit(None).cast("double").alias(c) for c in config.X_COLS])
+    from pintime.plans.model import gbt_pipeline
+    gbt = fit(df, gbt_pipeline(trees=2))
+    assert score(gbt, unknown).first().prediction is None

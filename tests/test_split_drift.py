@@ -76,3 +76,32 @@ def test_exact_quantiles_match_percentile(spark):
             assert [round(v, 9) for v in ours[g]] == [round(v, 9) for v in ref[g]]
     glob = exact_quantiles(df, "x", [0.5]).first()._q[0]
     assert glob == df.agg(F.percentile("x", 0.5)).first()[0]
+
+
+def test_chi2_matches_mllib(spark):
+    """Our SQL statistic and p-value against MLlib's ChiSquareTest on the
+    same side x category table."""
+    import random
+
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+    from pyspark.sql import functions as F
+    rnd = random.Random(5)
+    a = spark.createDataFrame([(rnd.choice("pqrs"),) for _ in range(400)], "c string")
+    b = spark.createDataFrame([(rnd.choice("pqrst"),) for _ in range(300)], "c string")
+    ours = chi2_test(a, b, "c").first()
+    both = a.withColumn("side", F.lit(0.0)).unionByName(b.withColumn("side", F.lit(1.0)))
+    idx = StringIndexer(inputCol="c", outputCol="ci").fit(both).transform(both)
+    vec = VectorAssembler(inputCols=["ci"], outputCol="v").transform(idx)
+    ref = ChiSquareTest.test(vec, "v", "side").first()
+    assert ours.dof == ref.degreesOfFreedom[0]
+    assert abs(ours.statistic - ref.statistics[0]) < 1e-6
+    assert abs(ours.p_value - ref.pValues[0]) < 1e-6
+
+
+def test_nullable_int_rule(spark):
+    from pintime.functions.nulls import as_nullable_int
+    df = spark.createDataFrame([(1.0, 1.7), (None, 2.0)], "a double, b double")
+    out = as_nullable_int(df, ["a", "b"])
+    assert dict(out.dtypes) == {"a": "bigint", "b": "double"}
+    assert sorted(r.a for r in out.collect() if r.a is not None) == [1]
