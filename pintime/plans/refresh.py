@@ -37,8 +37,8 @@ def refresh(spark: SparkSession, sf_dir: str, root: str,
         t_obs, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("state").alias("keys"))
     overwrite_table(counts_df, counts_path)
     overwrite_table(trend_df, trend_path)
-    for obs in (c_obs, t_obs):
-        log.info("%s: %s", obs.name, obs.get)
+    for name, obs in (("weekly_counts", c_obs), ("trend_features", t_obs)):
+        log.info("%s: %s", name, obs.get)
     trend, counts = trend_view(path=trend_path), count_view(path=counts_path)
     repo = build_repo(spark, trend, counts)
     store = SnapshotStore(spark, f"{root}/online")
