@@ -80,3 +80,8 @@ FILTER_STATE = "NATION_19"
 FIRST_INCREMENT_END = "1998-06-30 00:00:00"
 UPSERT_LATE_WINDOW = ("1997-01-01", "1997-12-31")
 UPSERT_NEW_AFTER = "1999-06-30"
+# A (key, bucket) group with more distinct entity rows than this is split
+# over several salted partitions (its feature rows are copied to each).
+ASOF_HOT_ROWS = 2_000_000
+ASOF_MAX_SALTS = 4096
+ASOF_MAX_HOT_GROUPS = 100_000

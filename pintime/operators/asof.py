@@ -21,7 +21,14 @@ Plan, Spark-first (no range join, no per-row fan-out):
    small carry table (one row per key and bucket, aggregated without any
    further shuffle or sort) gives every bucket the newest row of all earlier
    buckets, used for entity rows with no match inside their own bucket.
-4. TTL is checked on the carried struct's own timestamp.
+4. A key can be hot inside one bucket too (all rows at one instant), and a
+   third of all rows can be identical copies. Identical entity rows are
+   folded into one row with a count by partial aggregation before any
+   shuffle, and restored at the end. A pre-pass counts distinct entity rows
+   per (key, bucket); groups above ``hot_rows`` are split over several
+   salted partitions by a hash of the row, with that group's feature rows
+   copied to each salt. Results stay exact.
+5. TTL is checked on the carried struct's own timestamp.
 
 Null keys never match: feature rows with a null key or time are dropped,
 entity rows with a null key keep null features.
@@ -37,7 +44,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pintime.config import ASOF_BUCKET_DAYS
+from pintime.config import ASOF_BUCKET_DAYS, ASOF_HOT_ROWS, ASOF_MAX_HOT_GROUPS, ASOF_MAX_SALTS
 from pintime.functions.time import day_bucket
 
 
@@ -62,11 +69,20 @@ def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
               keys: Sequence[str], entity_ts: str = "event_timestamp",
-              bucket_days: int | None = ASOF_BUCKET_DAYS) -> DataFrame:
+              bucket_days: int | None = ASOF_BUCKET_DAYS,
+              hot_rows: int | None = ASOF_HOT_ROWS,
+              collapse_copies: bool = True) -> DataFrame:
     """Entity columns (in order) followed by each side's features (in order).
 
-    ``bucket_days=None`` partitions by key only (no carry table); use it when
-    keys are many and evenly sized.
+    ``bucket_days=None`` partitions by key only (no carry table).
+    ``hot_rows``: a (key, bucket) group with more distinct entity rows than
+    this is split over ``ceil(rows / hot_rows)`` salted partitions, its feature
+    rows copied to each (``None`` turns the pre-pass off).
+    ``collapse_copies``: identical entity rows are joined once and their
+    copies restored at the end (partial aggregation folds them per task
+    before any shuffle).
+    With ``hot_rows`` set, the collapsed entity rows are checkpointed (eager,
+    under ``spark.checkpoint.dir``) so the pre-pass does not recompute them.
     """
     if isinstance(sides, AsofSide):
         sides = [sides]
@@ -86,8 +102,24 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
         return F.lit(0).cast("long")
 
     fcols = [f"_f{i}" for i in range(len(sides))]
-    ent = entity.select(*keys, F.col(entity_ts).alias("_ts"), F.lit(1).alias("_side"),
-                        bucket(entity_ts).alias("_b"), F.struct(*ent_cols).alias("_e"))
+    ent = entity.select(*keys, F.col(entity_ts).alias("_ts"), bucket(entity_ts).alias("_b"),
+                        F.struct(*ent_cols).alias("_e"))
+    if collapse_copies:
+        ent = ent.groupBy(*keys, "_b", "_ts", "_e").agg(F.count(F.lit(1)).alias("_dup"))
+    else:
+        ent = ent.withColumn("_dup", F.lit(1).cast("long"))
+    ent = ent.withColumn("_side", F.lit(1))
+    if hot_rows:
+        # materialize the (collapsed) entity rows once: the hot-group pre-pass
+        # and the join both read them, and the checkpoint cuts their lineage
+        from pyspark.sql import Observation
+
+        from pintime.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(entity.sparkSession)
+        seen = Observation("asof_entity_rows")
+        ent = ent.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint()
+        if (seen.get.get("rows") or 0) <= hot_rows:
+            hot_rows = None      # no group can exceed the bound: skip the pre-pass
 
     feats = []
     for i, s in enumerate(sides):
@@ -100,10 +132,25 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
             *keys, F.col(s.ts).alias("_ts"), F.lit(0).alias("_side"),
             bucket(s.ts).alias("_b"), F.struct(*parts).alias(fcols[i])))
 
+    hot = _hot_groups(ent, keys, hot_rows) if hot_rows else None
+
+    if hot is None:
+        ent = ent.withColumn("_salt", F.lit(0))
+        feats = [f.withColumn("_salt", F.lit(0)) for f in feats]
+    else:
+        # hot groups: entity rows spread by hash, feature rows copied to every salt
+        ent = (ent.join(hot, [*keys, "_b"], "left")
+               .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
+                           .otherwise(F.pmod(F.xxhash64("_e"), F.col("_n")).cast("int")))
+               .drop("_n"))
+        feats = [f.join(hot, [*keys, "_b"], "left")
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_n") - 1, F.lit(0)))))
+                 .drop("_n") for f in feats]
+
     union = _union_all([ent, *feats])
     order = [F.col("_ts").asc_nulls_first(), F.col("_side").asc()]
     order += [F.col(c).asc_nulls_first() for c in fcols]
-    part = Window.partitionBy(*keys, "_b").orderBy(*order)
+    part = Window.partitionBy(*keys, "_b", "_salt").orderBy(*order)
     running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.last(c, ignorenulls=True).over(running).alias(f"_m{i}")
             for i, c in enumerate(fcols)]
@@ -111,13 +158,15 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
         whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         cols += [F.last(c, ignorenulls=True).over(whole).alias(f"_z{i}")
                  for i, c in enumerate(fcols)]
-    passed = union.select(*keys, "_b", "_side", "_ts", "_e", *cols)
+    passed = union.select(*keys, "_b", "_salt", "_side", "_ts", "_e", "_dup", *cols)
     matched = passed.where(F.col("_side") == 1)
     if bucket_days:
         carry = _carry_table(passed, keys, len(fcols))
         matched = matched.join(carry, [*keys, "_b"], "left")
         for i in range(len(fcols)):
             matched = matched.withColumn(f"_m{i}", F.coalesce(f"_m{i}", f"_c{i}"))
+    if collapse_copies:
+        matched = matched.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_dup"))))
 
     out = [F.col("_e")[c].alias(c) for c in ent_cols]
     for i, s in enumerate(sides):
@@ -128,19 +177,43 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     return matched.select(*out)
 
 
+def _hot_groups(ent: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+    """``keys, _b, _n``: (key, bucket) groups holding more than ``hot_rows``
+    distinct entity rows and the number of salts each gets. A pre-pass over
+    the entity keys (hash aggregation); the result is at most
+    ``rows / hot_rows`` groups, and only the first ``ASOF_MAX_HOT_GROUPS`` of
+    them are split (the rest still run, unsplit). ``None`` when no group is hot.
+    """
+    sizes = (ent.where(F.col("_b").isNotNull()).groupBy(*keys, "_b")
+             .agg(F.count(F.lit(1)).alias("_rows"))
+             .where(F.col("_rows") > F.lit(hot_rows))
+             .select(*keys, "_b", F.least(F.ceil(F.col("_rows") / F.lit(hot_rows)),
+                                          F.lit(ASOF_MAX_SALTS)).cast("int").alias("_n")))
+    found = sizes.limit(ASOF_MAX_HOT_GROUPS).collect()
+    if not found:
+        return None
+    spark = ent.sparkSession
+    # a literal table of bounded size: broadcast without recomputing the pre-pass
+    return F.broadcast(spark.createDataFrame(found, sizes.schema))
+
+
 def _carry_table(passed: DataFrame, keys: list[str], n: int) -> DataFrame:
     """``keys, _b, _c<i>``: for each (key, bucket) holding entity rows, the
     newest feature struct of every side from strictly earlier buckets.
 
-    The window output is already partitioned and sorted by (key, bucket), so
-    the per-bucket aggregate needs no shuffle and no sort; the result has one
-    row per key and bucket, so the per-key window over it is small even for
-    the hottest key."""
-    per_bucket = (passed.groupBy(*keys, "_b")
-                  # reads the entity struct (not _side) so this branch needs the
-                  # same columns as the main one and Spark reuses one shuffle
-                  .agg(F.max(F.col("_e").isNotNull()).alias("_has_e"),
-                       *[F.first(f"_z{i}").alias(f"_z{i}") for i in range(n)]))
+    The window output is already partitioned and sorted by (key, bucket,
+    salt), so the first aggregate needs no shuffle and no sort; every salt of
+    a bucket saw the same feature rows, so any salt's bucket-newest will do.
+    The result has one row per key and bucket, so the per-key window over it
+    is small even for the hottest key."""
+    per_salt = (passed.groupBy(*keys, "_b", "_salt")
+                # reads the entity struct (not _side) so this branch needs the
+                # same columns as the main one and Spark reuses one shuffle
+                .agg(F.max(F.col("_e").isNotNull()).alias("_has_e"),
+                     *[F.first(f"_z{i}").alias(f"_z{i}") for i in range(n)]))
+    per_bucket = (per_salt.groupBy(*keys, "_b")
+                  .agg(F.max("_has_e").alias("_has_e"),
+                       *[F.max(f"_z{i}").alias(f"_z{i}") for i in range(n)]))
     earlier = (Window.partitionBy(*keys).orderBy("_b")
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = per_bucket.select(*keys, "_b", "_has_e",

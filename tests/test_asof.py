@@ -17,12 +17,12 @@ FEAT = T.StructType([T.StructField("state", T.StringType()),
 D = datetime.fromisoformat
 
 
-def run(spark, ents, feats, ttl=None, bucket_days=91):
+def run(spark, ents, feats, ttl=None, bucket_days=91, **kw):
     e = spark.createDataFrame(ents, ENT)
     f = spark.createDataFrame(feats, FEAT)
     side = AsofSide(df=f, ts="date", features=["f", "g"], ttl=ttl)
     return sorted((r.tag, r.f, r.g) for r in
-                  asof_join(e, side, ["state"], bucket_days=bucket_days).collect())
+                  asof_join(e, side, ["state"], bucket_days=bucket_days, **kw).collect())
 
 
 @pytest.mark.parametrize("bucket_days", [None, 1, 91])
@@ -67,8 +67,10 @@ def brute(ents, feats, ttl):
     return sorted(out, key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("ttl_days,bucket_days", [(None, 3), (2, 5), (10, None), (0, 7), (1000, 1)])
-def test_matches_brute_force(spark, ttl_days, bucket_days):
+@pytest.mark.parametrize("ttl_days,bucket_days,hot_rows",
+                         [(None, 3, None), (2, 5, 3), (10, None, 7), (0, 7, None), (1000, 1, 2),
+                          (5, 30, 4)])
+def test_matches_brute_force(spark, ttl_days, bucket_days, hot_rows):
     rnd = random.Random(7 + (ttl_days or 0))
     base = D("2021-01-01")
     keys = ["A", "B", "C", None]
@@ -83,8 +85,11 @@ def test_matches_brute_force(spark, ttl_days, bucket_days):
         feats.append((k, t, rnd.choice([None, float(rnd.randint(0, 9))]), float(rnd.randint(0, 9))))
     ents = [(rnd.choice(keys + ["Z"]), base + timedelta(days=rnd.randint(-5, 70), hours=rnd.choice([0, 12])), i)
             for i in range(400)]
+    # a block of rows at one instant of one key, and exact copies (same tag)
+    ents += [("A", base + timedelta(days=20), 400 + i) for i in range(60)]
+    ents += [("B", base + timedelta(days=33), 999)] * 40
     ttl = None if ttl_days is None else timedelta(days=ttl_days)
-    got = run(spark, ents, feats, ttl=ttl, bucket_days=bucket_days)
+    got = run(spark, ents, feats, ttl=ttl, bucket_days=bucket_days, hot_rows=hot_rows)
     assert got == brute(ents, feats, ttl)
 
 
