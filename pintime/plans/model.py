@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
@@ -85,17 +84,14 @@ class ModelRegistry:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        spark.createDataFrame([], self._SCHEMA).write.mode("append").parquet(
+            f"{self.root}/_versions")
 
-    def _versions(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self._SCHEMA).parquet(f"{self.root}/_versions")
-        except AnalysisException:
-            return None
+    def _versions(self) -> DataFrame:
+        return self.spark.read.schema(self._SCHEMA).parquet(f"{self.root}/_versions")
 
     def latest(self, name: str) -> int | None:
         v = self._versions()
-        if v is None:
-            return None
         return v.where(F.col("name") == name).agg(F.max("version").alias("m")).first()["m"]
 
     def save(self, name: str, model: PipelineModel) -> int:

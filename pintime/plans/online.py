@@ -17,7 +17,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,17 +42,16 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # an empty append creates the state table if missing and is a no-op
+        # otherwise, so reads never depend on a missing path
+        spark.createDataFrame([], _STATE_SCHEMA).write.mode("append").parquet(
+            f"{self.root}/_state")
 
-    def _state(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_STATE_SCHEMA).parquet(f"{self.root}/_state")
-        except AnalysisException:
-            return None
+    def _state(self) -> DataFrame:
+        return self.spark.read.schema(_STATE_SCHEMA).parquet(f"{self.root}/_state")
 
     def current(self, view: str) -> Published | None:
         state = self._state()
-        if state is None:
-            return None
         row = (state.where(F.col("view") == view)
                .agg(F.max(F.struct("version", "end_ts")).alias("m")).first())
         if row is None or row["m"] is None:
