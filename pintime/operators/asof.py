@@ -133,11 +133,10 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
             bucket(s.ts).alias("_b"), F.struct(*parts).alias(fcols[i])))
 
     hot = _hot_groups(ent, keys, hot_rows) if hot_rows else None
-
-    if hot is None:
-        ent = ent.withColumn("_salt", F.lit(0))
-        feats = [f.withColumn("_salt", F.lit(0)) for f in feats]
-    else:
+    # the salt column exists only when some group is split, so window
+    # partitions and the carry join always share the same key columns
+    salt = [] if hot is None else ["_salt"]
+    if hot is not None:
         # hot groups: entity rows spread by hash, feature rows copied to every salt
         ent = (ent.join(hot, [*keys, "_b"], "left")
                .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
@@ -150,7 +149,7 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     union = _union_all([ent, *feats])
     order = [F.col("_ts").asc_nulls_first(), F.col("_side").asc()]
     order += [F.col(c).asc_nulls_first() for c in fcols]
-    part = Window.partitionBy(*keys, "_b", "_salt").orderBy(*order)
+    part = Window.partitionBy(*keys, "_b", *salt).orderBy(*order)
     running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.last(c, ignorenulls=True).over(running).alias(f"_m{i}")
             for i, c in enumerate(fcols)]
@@ -158,11 +157,17 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
         whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         cols += [F.last(c, ignorenulls=True).over(whole).alias(f"_z{i}")
                  for i, c in enumerate(fcols)]
-    passed = union.select(*keys, "_b", "_salt", "_side", "_ts", "_e", "_dup", *cols)
+    passed = union.select(*keys, "_b", *salt, "_side", "_ts", "_e", "_dup", *cols)
     matched = passed.where(F.col("_side") == 1)
     if bucket_days:
-        carry = _carry_table(passed, keys, len(fcols))
-        matched = matched.join(carry, [*keys, "_b"], "left")
+        carry = _carry_table(passed, keys, salt, len(fcols))
+        # keyed like the window's partitions, so only the small carry side moves
+        if hot is not None:
+            carry = (carry.join(hot, [*keys, "_b"], "left")
+                     .withColumn("_salt", F.explode(F.sequence(
+                         F.lit(0), F.coalesce(F.col("_n") - 1, F.lit(0)))))
+                     .drop("_n"))
+        matched = matched.join(carry, [*keys, "_b", *salt], "left")
         for i in range(len(fcols)):
             matched = matched.withColumn(f"_m{i}", F.coalesce(f"_m{i}", f"_c{i}"))
     if collapse_copies:
@@ -197,7 +202,7 @@ def _hot_groups(ent: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | N
     return F.broadcast(spark.createDataFrame(found, sizes.schema))
 
 
-def _carry_table(passed: DataFrame, keys: list[str], n: int) -> DataFrame:
+def _carry_table(passed: DataFrame, keys: list[str], salt: list[str], n: int) -> DataFrame:
     """``keys, _b, _c<i>``: for each (key, bucket) holding entity rows, the
     newest feature struct of every side from strictly earlier buckets.
 
@@ -206,7 +211,7 @@ def _carry_table(passed: DataFrame, keys: list[str], n: int) -> DataFrame:
     a bucket saw the same feature rows, so any salt's bucket-newest will do.
     The result has one row per key and bucket, so the per-key window over it
     is small even for the hottest key."""
-    per_salt = (passed.groupBy(*keys, "_b", "_salt")
+    per_salt = (passed.groupBy(*keys, "_b", *salt)
                 # reads the entity struct (not _side) so this branch needs the
                 # same columns as the main one and Spark reuses one shuffle
                 .agg(F.max(F.col("_e").isNotNull()).alias("_has_e"),
