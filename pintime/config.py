@@ -85,3 +85,6 @@ UPSERT_NEW_AFTER = "1999-06-30"
 ASOF_HOT_ROWS = 2_000_000
 ASOF_MAX_SALTS = 4096
 ASOF_MAX_HOT_GROUPS = 100_000
+# Exact quantiles and KS running sums use one task per group only while the
+# checked number of distinct (group, value) pairs stays within this bound.
+QUANTILE_SINGLE_TASK_MAX = 1_000_000

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pintime.functions.stats import chi2_sf, ks_pvalue, round_p
-from pintime.operators.prefix import exact_quantiles, running_totals
+from pintime.config import QUANTILE_SINGLE_TASK_MAX
+from pintime.operators.prefix import exact_quantiles, materialize_counted, running_totals
 
 
 def require_rows(df: DataFrame, name: str) -> None:
@@ -33,12 +34,19 @@ def _long(df: DataFrame, features: Sequence[str], side: int) -> DataFrame:
 
 
 def ks_test(a: DataFrame, b: DataFrame, features: Sequence[str], buckets: int = 16,
-            digits: int = 9) -> DataFrame:
-    """``feature, statistic, p_value, n_a, n_b``."""
+            digits: int = 9,
+            single_task_max: int | None = QUANTILE_SINGLE_TASK_MAX) -> DataFrame:
+    """``feature, statistic, p_value, n_a, n_b``. Running sums use one task
+    per feature only while the checked count of distinct (feature, value)
+    pairs is within ``single_task_max``; beyond it (or with ``None``) they are
+    spread over ``buckets`` value ranges."""
     counts = (_long(a, features, 0).unionByName(_long(b, features, 1))
               .groupBy("feature", "value")
               .agg(F.count_if(F.col("_side") == 0).alias("na"),
                    F.count_if(F.col("_side") == 1).alias("nb")))
+    counts, distinct = materialize_counted(counts, "ks_values")
+    if single_task_max is not None and distinct <= single_task_max:
+        buckets = 1      # checked: few enough values for one running sum per feature
     cdf = running_totals(counts, ["feature"], "value", ["na", "nb"], buckets=buckets,
                          groups_bound=len(features))
     totals = counts.groupBy("feature").agg(F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pintime.config import BROADCAST_MAX_ROWS
+from pintime.config import BROADCAST_MAX_ROWS, QUANTILE_SINGLE_TASK_MAX
 from pintime.operators.broadcast import bounded_broadcast
 
 
@@ -62,16 +62,41 @@ def running_totals(df: DataFrame, part: Sequence[str], order: str, cols: Sequenc
                         for c in cols])
 
 
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` (reliable, under ``spark.checkpoint.dir``) and return
+    it with its row count, observed during the same job."""
+    from pyspark.sql import Observation
+
+    from pintime.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    obs = Observation(label)
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint()
+    return out, int(obs.get.get("rows") or 0)
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     by: Sequence[str] = (), buckets: int = 16,
-                    groups_bound: int | None = None) -> DataFrame:
+                    groups_bound: int | None = None,
+                    single_task_max: int | None = QUANTILE_SINGLE_TASK_MAX) -> DataFrame:
     """``by..., _q``: array of exact quantiles of ``col`` per group, linear
     interpolation between the order statistics at ``p * (n - 1)`` (pandas /
-    ``quantile_cont``). Work is spread by value ranges (see module doc)."""
+    ``quantile_cont``).
+
+    Values are first counted per distinct value and materialized once. When
+    there are at most ``single_task_max`` distinct (group, value) pairs in all,
+    one ``percentile(value, p, frequency)`` aggregate finishes the job (its
+    buffer is bounded by that checked count). Beyond it, work is spread by
+    value ranges (see module doc), so no group is gathered in one task."""
     by = list(by)
     x = F.col(col).cast("double")
     counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by, x.alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
+    if single_task_max is not None:
+        counts, distinct = materialize_counted(counts, "quantile_values")
+        if distinct <= single_task_max:
+            pct = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]), F.col("_n"))
+            g = counts.groupBy(*by).agg(pct.alias("_q")) if by else counts.agg(pct.alias("_q"))
+            return g.where(F.col("_q").isNotNull())
     cum = running_totals(counts, by, "_v", ["_n"], buckets=buckets, groups_bound=groups_bound)
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
     cum = _attach(cum, totals, by, groups_bound)

@@ -39,7 +39,8 @@ def test_ks_buckets_do_not_change_statistic(spark):
     rnd = random.Random(3)
     a = spark.createDataFrame([(float(rnd.randint(0, 40)),) for _ in range(300)], "x double")
     b = spark.createDataFrame([(float(rnd.randint(5, 45)),) for _ in range(250)], "x double")
-    vals = {ks_test(a, b, ["x"], buckets=k).first().statistic for k in (1, 3, 16)}
+    vals = {ks_test(a, b, ["x"], buckets=k, single_task_max=None).first().statistic
+            for k in (1, 3, 16)} | {ks_test(a, b, ["x"]).first().statistic}
     assert len(vals) == 1
 
 
@@ -66,15 +67,15 @@ def test_exact_quantiles_match_percentile(spark):
             for _ in range(700)] + [("d", 5.0)]
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
-    for buckets in (1, 4, 16):
-        ours = {r.g: r._q for r in exact_quantiles(df, "x", probs, by=["g"],
-                                                      buckets=buckets).collect()}
+    for buckets, single in ((1, None), (4, None), (16, None), (16, 10 ** 6)):
+        ours = {r.g: r._q for r in exact_quantiles(df, "x", probs, by=["g"], buckets=buckets,
+                                                      single_task_max=single).collect()}
         ref = {r.g: r.q for r in df.groupBy("g").agg(
             F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
         assert ours.keys() == ref.keys()
         for g in ref:
             assert [round(v, 9) for v in ours[g]] == [round(v, 9) for v in ref[g]]
-    glob = exact_quantiles(df, "x", [0.5]).first()._q[0]
+    glob = exact_quantiles(df, "x", [0.5], single_task_max=None).first()._q[0]
     assert glob == df.agg(F.percentile("x", 0.5)).first()[0]
 
 
