@@ -65,8 +65,11 @@ class SnapshotStore:
         cur = self.current(view)
         return None if cur is None else self.spark.read.parquet(self.path(view, cur.version))
 
-    def publish(self, view: str, snap: DataFrame, end_ts: datetime) -> Published:
-        cur = self.current(view)
+    def publish(self, view: str, snap: DataFrame, end_ts: datetime,
+                current: Published | None = None) -> Published:
+        """Write ``snap`` as the next version, then record it. ``current`` is
+        the version the caller read; it is re-read when not given."""
+        cur = current if current is not None else self.current(view)
         version = 1 if cur is None else cur.version + 1
         snap.write.mode("errorifexists").parquet(self.path(view, version))
         state = self.spark.createDataFrame([(view, end_ts, version)], _STATE_SCHEMA)
@@ -91,10 +94,10 @@ def materialize_incremental(spark: SparkSession, store: SnapshotStore, view: Fea
     inc = latest_per_key(src.where(cond), view.join_keys, ts, view.feature_names,
                          created=view.source.created_timestamp_column)
     if cur is not None:
-        prev = store.snapshot(view.name)
+        prev = spark.read.parquet(store.path(view.name, cur.version))
         inc = upsert(prev, inc, view.join_keys, view.feature_names)
-    store.publish(view.name, inc, end_ts)
-    return store.snapshot(view.name)
+    pub = store.publish(view.name, inc, end_ts, current=cur)
+    return spark.read.parquet(store.path(view.name, pub.version))
 
 
 def get_online_features(store: SnapshotStore, service: FeatureService,
