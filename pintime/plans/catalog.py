@@ -7,16 +7,37 @@ returns a lazy DataFrame whose column names match the oracle SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pintime import config
-from pintime.functions.nulls import drop_any_null
+from pintime.functions.nulls import drop_any_null, not_in_keep_nulls
+from pintime.functions.time import date_to_ts, interval, ts_lit
 from pintime.operators.asof import AsofSide, asof_join
+from pintime.operators.broadcast import bounded_broadcast
+from pintime.operators.drift import chi2_test, ks_test, out_of_bounds, target_drift
+from pintime.operators.drift import drift_report as report
+from pintime.operators.explore import correlations, describe, head, histogram, tail
+from pintime.operators.explore import stage_counts as stage_count_table
+from pintime.operators.latest import SNAPSHOT_TS, expire, latest_per_key, upsert
+from pintime.operators.split import temporal_split
 from pintime.plans import features as feat
+from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, mae, score
+from pintime.plans.model import feature_importance as importance
+from pintime.plans.online import (SnapshotStore, get_online_features, latest_snapshot,
+                                  materialize_incremental)
+from pintime.plans.refresh import refresh
 from pintime.plans.retrieval import get_historical_features
+from pintime.plans.windows import fetch_window, split_windows, window_entity_query
+from pintime.plans.windows import window_union as drift_windows
 from pintime.plans.workspace import open_workspace
+from pintime.session import ensure_checkpoint_dir, scratch_dir
+from pintime.sources.csv import (COUNT_CSV_SCHEMA, DAILY_CSV_SCHEMA, load_csv,
+                                 read_csv_columns, write_csv)
+from pintime.sources.requests import build_requests, read_request_keys, write_requests
+from pintime.sources.sinks import overwrite_table, read_table_at
 from pintime.sources.tables import daily_counts, trend_points
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +78,6 @@ def count_features(spark, sf_dir):
 @query("filter_not_in")
 def filter_not_in(spark, sf_dir):
     d = daily_counts(spark, sf_dir)
-    from pintime.functions.nulls import not_in_keep_nulls
     return d.where(not_in_keep_nulls("location", config.EXCLUDED_LOCATIONS)
                    & (F.col("date") >= F.lit(config.DATE_FLOOR).cast("date")))
 
@@ -146,7 +166,6 @@ def filter_state(spark, sf_dir):
 @query("filter_between")
 def filter_between(spark, sf_dir):
     open_workspace(spark, sf_dir)
-    from pintime.plans.windows import window_entity_query
     return spark.sql(window_entity_query(*config.DRIFT_WINDOW_A))
 
 
@@ -157,28 +176,24 @@ def sorted_training_set(spark, sf_dir):
 
 @query("head_rows")
 def head_rows(spark, sf_dir):
-    from pintime.operators.explore import head
     return head(state_rows(spark, sf_dir), [config.EVENT_TS, "state"])
 
 
 @query("tail_rows")
 def tail_rows(spark, sf_dir):
-    from pintime.operators.explore import tail
     return tail(state_rows(spark, sf_dir), [config.EVENT_TS, "state"])
 
 
 @query("describe_target")
 def describe_target(spark, sf_dir):
-    from pintime.operators.explore import describe
     return describe(state_rows(spark, sf_dir), config.Y_COL)
 
 
 @query("stage_counts")
 def stage_counts(spark, sf_dir):
-    from pintime.operators.explore import stage_counts as counts
     daily = daily_counts(spark, sf_dir)
     weekly = feat.weekly_counts(daily)
-    return counts([("loaded", daily), ("filtered", feat.clean_daily(daily)),
+    return stage_count_table([("loaded", daily), ("filtered", feat.clean_daily(daily)),
                    ("weekly", weekly)], key="location")
 
 
@@ -192,7 +207,6 @@ def training_set_from_df(spark, sf_dir):
 # ---- temporal split --------------------------------------------------------
 
 def _split(spark, sf_dir):
-    from pintime.operators.split import temporal_split
     data = clean_training_set(spark, sf_dir).select(
         "state", config.EVENT_TS, *config.X_COLS, config.Y_COL)
     return temporal_split(data, 1, config.EVENT_TS, by="week")
@@ -216,22 +230,17 @@ def _max_ts(df: DataFrame, col: str):
 
 @query("online_snapshot")
 def online_snapshot(spark, sf_dir):
-    from pintime.plans.online import latest_snapshot
     ws = open_workspace(spark, sf_dir)
     return latest_snapshot(ws.counts.to_df(spark), ws.counts)
 
 
 def _store(spark, label):
-    from pintime.plans.online import SnapshotStore
-    from pintime.session import scratch_dir
     return SnapshotStore(spark, scratch_dir(spark, label))
 
 
 @query("materialize_increment")
 def materialize_increment(spark, sf_dir):
-    from datetime import datetime
 
-    from pintime.plans.online import materialize_incremental
     ws = open_workspace(spark, sf_dir)
     store = _store(spark, "materialize")
     first_end = datetime.fromisoformat(config.FIRST_INCREMENT_END)
@@ -242,8 +251,6 @@ def materialize_increment(spark, sf_dir):
 
 @query("online_upsert")
 def online_upsert(spark, sf_dir):
-    from pintime.functions.time import ts_lit
-    from pintime.operators.latest import latest_per_key, upsert
     ws = open_workspace(spark, sf_dir)
     src = ws.counts.to_df(spark)
     feats = ws.counts.feature_names
@@ -258,8 +265,6 @@ def online_upsert(spark, sf_dir):
 
 @query("online_expire")
 def online_expire(spark, sf_dir):
-    from pintime.operators.latest import SNAPSHOT_TS, expire
-    from pintime.plans.online import latest_snapshot
     ws = open_workspace(spark, sf_dir)
     snap = latest_snapshot(ws.trend.to_df(spark), ws.trend)
     as_of = snap.agg(F.max(SNAPSHOT_TS).alias("_as_of"))
@@ -268,7 +273,6 @@ def online_expire(spark, sf_dir):
 
 
 def _published_store(spark, ws, label):
-    from pintime.plans.online import materialize_incremental
     store = _store(spark, label)
     for view, table in ((ws.trend, ws.trend_table()), (ws.counts, ws.count_table())):
         end = _max_ts(table, "date")
@@ -285,7 +289,6 @@ def request_states(spark, sf_dir) -> DataFrame:
 
 @query("online_lookup")
 def online_lookup(spark, sf_dir):
-    from pintime.plans.online import get_online_features
     ws = open_workspace(spark, sf_dir)
     store = _published_store(spark, ws, "lookup")
     return get_online_features(store, ws.serving, request_states(spark, sf_dir))
@@ -293,11 +296,8 @@ def online_lookup(spark, sf_dir):
 
 @query("refresh_job")
 def refresh_job(spark, sf_dir):
-    from pintime.plans.refresh import refresh
-    from pintime.session import scratch_dir
     root = scratch_dir(spark, "refresh")
     store, ws = refresh(spark, sf_dir, root)
-    from pintime.plans.online import get_online_features
     keys = ws.counts.source.read(spark).select("state").distinct()
     return get_online_features(store, ws.serving, keys)
 
@@ -306,8 +306,6 @@ def refresh_job(spark, sf_dir):
 
 @query("overwrite_roundtrip")
 def overwrite_roundtrip(spark, sf_dir):
-    from pintime.session import scratch_dir
-    from pintime.sources.sinks import overwrite_table, read_table_at
     path = scratch_dir(spark, "overwrite")
     trend = feat.trend_features(trend_points(spark, sf_dir))
     overwrite_table(trend.where(F.col("state") == config.FILTER_STATE), path)
@@ -317,7 +315,6 @@ def overwrite_roundtrip(spark, sf_dir):
 
 def _daily_csv_roundtrip(spark, sf_dir, root):
     """Raw daily counts out to CSV (with a column the job ignores) and back."""
-    from pintime.sources.csv import DAILY_CSV_SCHEMA, read_csv_columns, write_csv
     daily = daily_counts(spark, sf_dir)
     raw = daily.select("date", "location", F.col("daily_count").alias("total_count"),
                        "daily_count")
@@ -328,8 +325,6 @@ def _daily_csv_roundtrip(spark, sf_dir, root):
 
 @query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
-    from pintime.session import scratch_dir
-    from pintime.sources.csv import COUNT_CSV_SCHEMA, load_csv, write_csv
     root = scratch_dir(spark, "csv")
     counts = feat.count_features(_daily_csv_roundtrip(spark, sf_dir, root))
     write_csv(counts, f"{root}/weekly_csv")
@@ -340,8 +335,6 @@ def csv_roundtrip(spark, sf_dir):
 def csv_load_bad_records(spark, sf_dir):
     """Count features to CSV plus a second file whose first two rows carry a
     non-numeric count; the load passes (2 bad records) and keeps the rest."""
-    from pintime.session import scratch_dir
-    from pintime.sources.csv import COUNT_CSV_SCHEMA, load_csv, write_csv
     root = scratch_dir(spark, "csvbad")
     counts = feat.count_features(daily_counts(spark, sf_dir))
     write_csv(counts, f"{root}/in/good")
@@ -357,8 +350,6 @@ def csv_load_bad_records(spark, sf_dir):
 
 @query("requests_from_json")
 def requests_from_json(spark, sf_dir):
-    from pintime.session import scratch_dir
-    from pintime.sources.requests import build_requests, read_request_keys, write_requests
     path = scratch_dir(spark, "requests")
     open_workspace(spark, sf_dir)
     rows = spark.table(config.COUNT_TABLE).select(
@@ -371,32 +362,26 @@ def requests_from_json(spark, sf_dir):
 
 @query("drift_window")
 def drift_window(spark, sf_dir):
-    from pintime.plans.windows import fetch_window
     ws = open_workspace(spark, sf_dir)
     return fetch_window(spark, ws, *config.DRIFT_WINDOW_A, sort=True)
 
 
 @query("window_union")
 def window_union(spark, sf_dir):
-    from pintime.plans.windows import window_union as union
     ws = open_workspace(spark, sf_dir)
-    return union(spark, ws, target="target")
+    return drift_windows(spark, ws, target="target")
 
 
 @query("feature_histogram")
 def feature_histogram(spark, sf_dir):
-    from pintime.operators.explore import histogram
-    from pintime.plans.windows import window_union as union
     ws = open_workspace(spark, sf_dir)
-    return histogram(union(spark, ws), "lag_1_vaccine_interest", by="year", bins=10)
+    return histogram(drift_windows(spark, ws), "lag_1_vaccine_interest", by="year", bins=10)
 
 
 @query("feature_target_corr")
 def feature_target_corr(spark, sf_dir):
-    from pintime.operators.explore import correlations
-    from pintime.plans.windows import window_union as union
     ws = open_workspace(spark, sf_dir)
-    return correlations(union(spark, ws), config.X_COLS, config.Y_COL, by="year")
+    return correlations(drift_windows(spark, ws), config.X_COLS, config.Y_COL, by="year")
 
 
 # ---- scalar functions --------------------------------------------------------
@@ -404,8 +389,6 @@ def feature_target_corr(spark, sf_dir):
 @query("scalar_functions")
 def scalar_functions(spark, sf_dir):
     """FN-1..FN-10 over the count table (FN-11 runs in requests_from_json)."""
-    from pintime.functions.time import date_to_ts, interval, ts_lit
-    from datetime import timedelta
     open_workspace(spark, sf_dir)
     c = spark.table(config.COUNT_TABLE)
     text = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
@@ -433,7 +416,6 @@ def _model_data(spark, sf_dir):
     """The model's input, checkpointed once: boosting iterates over it, and fit
     and transform then read the same materialized rows instead of re-running
     the point-in-time join (the checkpoint also cuts the lineage)."""
-    from pintime.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     return clean_training_set(spark, sf_dir).select(
         "state", config.EVENT_TS, *config.X_COLS, config.Y_COL).checkpoint()
@@ -441,7 +423,6 @@ def _model_data(spark, sf_dir):
 
 @query("train_predict")
 def train_predict(spark, sf_dir):
-    from pintime.plans.model import fit, gbt_pipeline
     data = _model_data(spark, sf_dir)
     model = fit(data, gbt_pipeline(trees=TREES_IN_QUERIES))
     return model.transform(data).select("state", config.EVENT_TS, config.Y_COL,
@@ -450,8 +431,6 @@ def train_predict(spark, sf_dir):
 
 @query("validation_mae")
 def validation_mae(spark, sf_dir):
-    from pintime.operators.split import temporal_split
-    from pintime.plans.model import fit, gbt_pipeline, mae
     train, test = temporal_split(_model_data(spark, sf_dir), 1, config.EVENT_TS, by="week")
     model = fit(train, gbt_pipeline(trees=TREES_IN_QUERIES))
     return mae(model, test)
@@ -459,8 +438,6 @@ def validation_mae(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    from pintime.plans.model import feature_importance as importance
-    from pintime.plans.model import fit, gbt_pipeline
     model = fit(_model_data(spark, sf_dir), gbt_pipeline(trees=TREES_IN_QUERIES))
     return importance(spark, model)
 
@@ -469,10 +446,6 @@ def feature_importance(spark, sf_dir):
 def batch_score(spark, sf_dir):
     """Requests (JSON) -> online features -> assembled vector -> prediction,
     one distributed job for all keys."""
-    from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, score
-    from pintime.plans.online import get_online_features
-    from pintime.session import scratch_dir
-    from pintime.sources.requests import build_requests, read_request_keys, write_requests
     ws = open_workspace(spark, sf_dir)
     registry = ModelRegistry(spark, scratch_dir(spark, "models"))
     registry.save("predict-counts", fit(_model_data(spark, sf_dir),
@@ -488,48 +461,39 @@ def batch_score(spark, sf_dir):
 # ---- drift -------------------------------------------------------------------
 
 def _drift_frames(spark, sf_dir, target=True):
-    from pintime.plans.windows import split_windows
-    from pintime.plans.windows import window_union as union
-    from pintime.session import ensure_checkpoint_dir
     ws = open_workspace(spark, sf_dir)
     ensure_checkpoint_dir(spark)
     # one point-in-time pass, cut from its lineage so every test reads it once
-    u = union(spark, ws, target="target" if target else None).checkpoint()
+    u = drift_windows(spark, ws, target="target" if target else None).checkpoint()
     return split_windows(u)
 
 
 @query("drift_ks")
 def drift_ks(spark, sf_dir):
-    from pintime.operators.drift import ks_test
     a, b = _drift_frames(spark, sf_dir)
     return ks_test(a, b, config.X_COLS)
 
 
 @query("drift_chi2")
 def drift_chi2(spark, sf_dir):
-    from pintime.operators.drift import chi2_test
     a, b = _drift_frames(spark, sf_dir)
     return chi2_test(a, b, "state")
 
 
 @query("drift_target")
 def drift_target(spark, sf_dir):
-    from pintime.operators.drift import target_drift
     a, b = _drift_frames(spark, sf_dir)
     return target_drift(a, b, "target")
 
 
 @query("drift_report")
 def drift_report(spark, sf_dir):
-    from pintime.operators.drift import drift_report as report
     a, b = _drift_frames(spark, sf_dir)
     return report(a, b, config.X_COLS, ["state"], target="target")
 
 
 def serving_snapshot(spark, ws) -> DataFrame:
     """Newest serving features per key of the count table (state + X)."""
-    from pintime.operators.broadcast import bounded_broadcast
-    from pintime.plans.online import latest_snapshot
     counts = latest_snapshot(ws.counts.to_df(spark), ws.counts).select(
         "state", "lag_1_weekly_vaccinations_count", "lag_2_weekly_vaccinations_count")
     trend = latest_snapshot(ws.trend.to_df(spark), ws.trend).select("state", *config.TREND_FEATURES)
@@ -538,8 +502,6 @@ def serving_snapshot(spark, ws) -> DataFrame:
 
 @query("online_out_of_bounds")
 def online_out_of_bounds(spark, sf_dir):
-    from pintime.operators.drift import out_of_bounds
-    from pintime.plans.windows import fetch_window
     ws = open_workspace(spark, sf_dir)
     baseline = fetch_window(spark, ws, *config.DRIFT_WINDOW_A)
     return out_of_bounds(baseline, serving_snapshot(spark, ws), config.X_COLS, ["state"])
