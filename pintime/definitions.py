@@ -128,11 +128,13 @@ class FeatureService:
 @dataclass
 class FeatureRepo:
     """FS-5 / FS-10: registers definitions after checking them against the
-    source schemas, looks services up by name, and tears tables down."""
+    source schemas (path sources also become temp views named after the
+    source), looks services up by name, and tears tables and views down."""
 
     entities: dict[str, Entity] = field(default_factory=dict)
     views: dict[str, FeatureView] = field(default_factory=dict)
     services: dict[str, FeatureService] = field(default_factory=dict)
+    registered: set[str] = field(default_factory=set)
 
     def apply(self, spark: SparkSession, objects: Sequence) -> FeatureRepo:
         for obj in objects:
@@ -142,6 +144,10 @@ class FeatureRepo:
                 if obj.name in self.views and self.views[obj.name] is not obj:
                     raise ValueError(f"duplicate feature view name {obj.name!r}")
                 self._check_view(spark, obj)
+                if obj.source.path is not None and obj.source.table is None:
+                    # expose path sources to SQL (entity queries) under the source name
+                    obj.source.read(spark).createOrReplaceTempView(obj.source.name)
+                    self.registered.add(obj.source.name)
                 self.views[obj.name] = obj
             elif isinstance(obj, FeatureService):
                 if obj.name in self.services and self.services[obj.name] is not obj:
@@ -186,6 +192,9 @@ class FeatureRepo:
             if table:
                 spark.sql(f"DROP VIEW IF EXISTS {table}")
                 spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for name in self.registered:
+            spark.catalog.dropTempView(name)
+        self.registered.clear()
         self.views.clear()
         self.services.clear()
         self.entities.clear()

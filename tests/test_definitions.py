@@ -64,3 +64,14 @@ def test_poisson_pipeline_and_unknown_key_scores_null(spark):
     from pintime.plans.model import gbt_pipeline
     gbt = fit(df, gbt_pipeline(trees=2))
     assert score(gbt, unknown).first().prediction is None
+
+
+def test_path_source_registered_and_torn_down(spark, tmp_root):
+    spark.sql("select 'A' as state, timestamp_ntz'2021-01-04 00:00:00' as date, 2.5D as x") \
+        .write.parquet(f"{tmp_root}/v")
+    v = FeatureView("pv", [Entity("state", ("state",))], timedelta(days=1),
+                    [Field("x", T.FloatType())], FeatureSource("pv_src", "date", path=f"{tmp_root}/v"))
+    repo = FeatureRepo().apply(spark, [v])
+    assert spark.sql("select count(*) as n from pv_src").first().n == 1
+    repo.teardown(spark)
+    assert not spark.catalog.tableExists("pv_src")
