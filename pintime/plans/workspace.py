@@ -1,8 +1,11 @@
 """A workspace binds one data directory: raw views, the two feature tables as
 temp views, and the registered definitions.
 
-Feature tables are lazy plans here (queries recompute them from the given
-tables); the refresh job (FS-11) writes them out instead.
+As in the reference, the feature tables are built once from the raw tables and
+written (parquet, under the shared checkpoint root); retrieval, publishing and
+drift then read the written tables instead of rebuilding them per query. The
+written tables also cut lineage, so a lost executor re-reads files rather
+than re-aggregating the raw data.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from pintime import config
 from pintime.definitions import FeatureRepo, FeatureService, FeatureView
 from pintime.plans.features import count_features, trend_features
 from pintime.plans.repo import build_repo, count_view, trend_view
+from pintime.session import scratch_dir
+from pintime.sources.sinks import overwrite_table
 from pintime.sources.tables import register_raw_views
 
 
@@ -55,16 +60,33 @@ class Workspace:
 _current: dict[int, Workspace] = {}
 
 
-def open_workspace(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Workspace:
+# Feature tables already written per (session, data directory).
+_written: dict[tuple[int, str], tuple[str, str]] = {}
+
+
+def open_workspace(spark: SparkSession, sf_dir: str, refresh: bool = False,
+                   materialize: bool = True) -> Workspace:
     """Register the views for ``sf_dir`` (reused while they are still the
-    registered ones; ``refresh=True`` re-lists the input files)."""
+    registered ones). ``refresh=True`` rebuilds the feature tables from the
+    raw tables; ``materialize=False`` keeps them as lazy plans."""
     cur = _current.get(id(spark))
     if (not refresh and cur is not None and cur.spark is spark and cur.sf_dir == sf_dir
             and spark.catalog.tableExists(config.COUNT_TABLE)):
         return cur
     register_raw_views(spark, sf_dir)
-    trend_features(spark.table("trend_points")).createOrReplaceTempView(config.TREND_TABLE)
-    count_features(spark.table("daily_counts")).createOrReplaceTempView(config.COUNT_TABLE)
+    trend = trend_features(spark.table("trend_points"))
+    counts = count_features(spark.table("daily_counts"))
+    if materialize:
+        key = (id(spark), sf_dir)
+        if refresh or key not in _written:
+            root = scratch_dir(spark, "workspace")
+            overwrite_table(trend, f"{root}/trends")
+            overwrite_table(counts, f"{root}/counts")
+            _written[key] = (f"{root}/trends", f"{root}/counts")
+        trend_path, counts_path = _written[key]
+        trend, counts = spark.read.parquet(trend_path), spark.read.parquet(counts_path)
+    trend.createOrReplaceTempView(config.TREND_TABLE)
+    counts.createOrReplaceTempView(config.COUNT_TABLE)
     repo = build_repo(spark, trend_view(), count_view())
     ws = Workspace(spark, sf_dir, repo)
     _current[id(spark)] = ws
