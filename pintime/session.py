@@ -42,9 +42,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def _configured_root(spark: SparkSession) -> str | None:
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
+    root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     return root or None
@@ -57,10 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
         return root
+    # `spark.checkpoint.dir` cannot be changed on a running session; set the
+    # context's checkpoint directory, which later calls read back
     root = tempfile.mkdtemp(prefix="pintime-ckpt-")
-    spark.conf.set(_CHECKPOINT_KEY, root)
     spark.sparkContext.setCheckpointDir(root)
-    return root
+    return spark.sparkContext.getCheckpointDir() or root
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
