@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pintime import config
+from pintime.functions.vectors import feature_array
 
 
 def assembler(cols: Sequence[str] = config.X_COLS, out: str = "features") -> VectorAssembler:
@@ -65,11 +66,13 @@ def feature_importance(spark: SparkSession, model: PipelineModel,
 
 
 def score(model: PipelineModel, features: DataFrame, keys: Sequence[str] = ("state",)) -> DataFrame:
-    """ML-7: ``keys, prediction float``; a key with no stored features at all
-    scores NULL (Q14)."""
+    """ML-7: ``keys, feature_values array<float>, prediction float``: the
+    8-wide FP32 feature tensor the lookup step hands to the model (FN-9) and
+    the prediction. A key with no stored features at all scores NULL (Q14)."""
     known = F.greatest(*[F.col(c).isNotNull() for c in config.X_COLS])
     pred = model.transform(features.withColumn("_known", known))
-    return pred.select(*keys, F.when(F.col("_known"), F.col("prediction").cast("float"))
+    return pred.select(*keys, feature_array(config.X_COLS).alias("feature_values"),
+                       F.when(F.col("_known"), F.col("prediction").cast("float"))
                        .alias("prediction"))
 
 
