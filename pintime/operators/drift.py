@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pintime.functions.stats import chi2_sf, ks_pvalue, round_p
@@ -68,9 +68,10 @@ def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None,
          .where(F.col("_cat").isNotNull()))
     table = u.groupBy("_cat").agg(F.count_if(F.col("_side") == 0).alias("oa"),
                                   F.count_if(F.col("_side") == 1).alias("ob"))
-    tot = table.agg(F.sum("oa").alias("n_a"), F.sum("ob").alias("n_b"),
-                    F.count(F.lit(1)).alias("k"))
-    cells = table.crossJoin(F.broadcast(tot))
+    # table totals as one scalar subquery: [n_a, n_b, number of categories]
+    tot = table.agg(F.array(F.sum("oa"), F.sum("ob"), F.count(F.lit(1)))).scalar()
+    cells = table.select("oa", "ob", tot[0].alias("n_a"), tot[1].alias("n_b"),
+                         tot[2].alias("k"))
     ea = (F.col("oa") + F.col("ob")) * F.col("n_a") / (F.col("n_a") + F.col("n_b"))
     eb = (F.col("oa") + F.col("ob")) * F.col("n_b") / (F.col("n_a") + F.col("n_b"))
     term = (F.pow(F.col("oa") - ea, 2) / ea) + (F.pow(F.col("ob") - eb, 2) / eb)
@@ -93,12 +94,14 @@ def decile_edges(baseline: DataFrame, col: str, digits: int = 6) -> DataFrame:
 def target_drift(a: DataFrame, b: DataFrame, target: str = "target") -> DataFrame:
     """Chi-square on the target cut at the baseline's deciles (raw counts are
     too sparse for a contingency table)."""
-    edges = F.broadcast(decile_edges(a, target))   # one row
+    edges = decile_edges(a, target).scalar()     # one array, a scalar subquery
 
     def binned(df):
-        return (df.select(target).crossJoin(edges)
-                .select(F.size(F.filter("_edges", lambda e: e < F.col(target).cast("double")))
-                        .alias("_bin"), F.col(target)))
+        # bind the edges to a column first: lambdas cannot hold subqueries
+        with_edges = df.select(F.col(target), edges.alias("_edges"))
+        return with_edges.select(
+            F.size(F.filter("_edges", lambda e: e < F.col(target).cast("double"))).alias("_bin"),
+            F.col(target))
     return chi2_test(binned(a).where(F.col(target).isNotNull()),
                      binned(b).where(F.col(target).isNotNull()), "_bin", name=target)
 
@@ -126,8 +129,10 @@ def drift_report(a: DataFrame, b: DataFrame, numeric: Sequence[str],
                                          F.lit(None).cast("double").alias("mean_a"),
                                          F.lit(None).cast("double").alias("mean_b")))
     rows = rows.withColumn("drifted", F.col("p_value") < F.lit(threshold))
-    verdict = rows.agg(F.round(F.avg(F.col("drifted").cast("double")), 6).alias("share_drifted"))
-    return (rows.crossJoin(F.broadcast(verdict))   # one row
+    # one row per tested column (a bound fixed by the arguments), so a
+    # whole-frame window is small
+    share_col = F.round(F.avg(F.col("drifted").cast("double")).over(Window.partitionBy()), 6)
+    return (rows.withColumn("share_drifted", share_col)
             .withColumn("dataset_drift", F.col("share_drifted") >= F.lit(share)))
 
 

@@ -31,7 +31,8 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = Fal
     if not approx:
         # exact quartiles without gathering a group's values in one task
         q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by=by)
-        g = g.join(q, list(by), "left") if by else g.join(q, F.lit(True), "left")
+        g = (g.join(q, list(by), "left") if by
+             else g.withColumn("_q", q.select("_q").scalar()))
     return g.select(*by, "count", "mean", "std", "min",
                     F.round(F.col("_q")[0], digits).alias("p25"),
                     F.round(F.col("_q")[1], digits).alias("p50"),
@@ -40,21 +41,18 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = Fal
 
 def histogram(df: DataFrame, col: str, by: str, bins: int = 10) -> DataFrame:
     """``by, bin, lo, hi, n``: equal-width bins over the global min..max of
-    ``col``; the maximum falls in the last bin. The one-row bounds frame is a
-    proven-size broadcast."""
+    ``col``; the maximum falls in the last bin. The bounds are one scalar
+    subquery."""
     x = F.col(col).cast("double")
-    bounds = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    raw = F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(bins))
-    b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-        F.least(raw, F.lit(bins - 1))).cast("int")
-    binned = df.where(x.isNotNull()).crossJoin(F.broadcast(bounds)).select(
-        by, b.alias("bin"), "_lo", "_hi")
-    return (binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"),
-                                          F.first("_lo").alias("_lo"),
-                                          F.first("_hi").alias("_hi"))
-            .select(by, "bin", F.round(F.col("_lo") + width * F.col("bin"), 6).alias("lo"),
-                    F.round(F.col("_lo") + width * (F.col("bin") + 1), 6).alias("hi"), "n"))
+    bounds = df.agg(F.array(F.min(x), F.max(x))).scalar()
+    lo, hi = bounds[0], bounds[1]
+    width = (hi - lo) / F.lit(bins)
+    raw = F.floor((x - lo) / (hi - lo) * F.lit(bins))
+    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
+    binned = df.where(x.isNotNull()).select(by, b.alias("bin"))
+    return (binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
+            .select(by, "bin", F.round(lo + width * F.col("bin"), 6).alias("lo"),
+                    F.round(lo + width * (F.col("bin") + 1), 6).alias("hi"), "n"))
 
 
 def correlations(df: DataFrame, features: Sequence[str], target: str, by: str | None = None,

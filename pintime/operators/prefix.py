@@ -27,8 +27,10 @@ def _small(df: DataFrame, rows_bound: int | None) -> DataFrame:
 
 
 def _attach(big: DataFrame, small: DataFrame, on: list[str], rows_bound: int | None) -> DataFrame:
+    """Add ``small``'s columns to ``big``: an equi-join on ``on``, or, for a
+    global (one-row) ``small``, one scalar subquery per column."""
     if not on:
-        return big.crossJoin(F.broadcast(small))     # one row
+        return big.select("*", *[small.select(c).scalar().alias(c) for c in small.columns])
     return big.join(_small(small, rows_bound), on)
 
 

@@ -21,11 +21,10 @@ def temporal_split(df: DataFrame, n: int, timestamp_col: str, by: str = "week",
                    drop: Sequence[str] = ("state",)) -> tuple[DataFrame, DataFrame]:
     """``ts <= max - n`` is training, later rows are test; the timestamp and
     key columns are dropped (the key name is a parameter, Q9). The global max
-    is a one-row aggregate, broadcast to every row (JN-4)."""
+    is a scalar subquery (JN-4): one aggregate, compared with every row."""
     delta = split_delta(n, by)
-    mx = df.agg(F.max(timestamp_col).alias("_split"))
-    j = df.crossJoin(F.broadcast(mx.select((F.col("_split") - F.lit(delta)).alias("_split"))))
-    cols = [timestamp_col, *drop, "_split"]
-    train = j.where(F.col(timestamp_col) <= F.col("_split")).drop(*cols)
-    test = j.where(F.col(timestamp_col) > F.col("_split")).drop(*cols)
+    split = df.agg(F.max(timestamp_col)).scalar() - F.lit(delta)
+    cols = [timestamp_col, *drop]
+    train = df.where(F.col(timestamp_col) <= split).drop(*cols)
+    test = df.where(F.col(timestamp_col) > split).drop(*cols)
     return train, test

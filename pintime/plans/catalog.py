@@ -267,9 +267,8 @@ def online_upsert(spark, sf_dir):
 def online_expire(spark, sf_dir):
     ws = open_workspace(spark, sf_dir)
     snap = latest_snapshot(ws.trend.to_df(spark), ws.trend)
-    as_of = snap.agg(F.max(SNAPSHOT_TS).alias("_as_of"))
-    j = snap.crossJoin(F.broadcast(as_of))
-    return expire(j, F.col("_as_of"), config.SHORT_TTL).drop("_as_of")
+    as_of = snap.agg(F.max(SNAPSHOT_TS)).scalar()
+    return expire(snap, as_of, config.SHORT_TTL)
 
 
 def _published_store(spark, ws, label):
