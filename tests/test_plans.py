@@ -47,3 +47,13 @@ def test_time_range_reaches_parquet_scan(spark, tmp_root):
         (F.col("date") > ts_lit("2021-01-05")) & (F.col("date") <= ts_lit("2021-01-10")))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan(df.select("state", "x")))
     assert pushed and "GreaterThan(date" in pushed[0] and "LessThanOrEqual(date" in pushed[0]
+
+
+def test_no_cross_or_nested_loop_join_in_any_query(spark):
+    skip = {"train_predict", "validation_mae", "feature_importance", "batch_score"}
+    for key, fn in entry.queries().items():
+        if key in skip:
+            continue
+        text = plan(fn(spark, SF))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Join Cross"):
+            assert bad not in text, (key, bad)
