@@ -112,3 +112,16 @@ def test_name_collision_raises(spark):
     f = spark.createDataFrame([("A", D("2021-01-05"), 1.0, 2.0)], FEAT)
     with pytest.raises(ValueError):
         asof_join(e, AsofSide(f, "date", ["f", "g"]), ["state"])
+
+
+def test_created_timestamp_breaks_ties(spark):
+    from pintime.operators.latest import latest_per_key
+    feats = spark.createDataFrame(
+        [("A", D("2021-01-04"), D("2021-01-05"), 9.0),     # same event time, created earlier
+         ("A", D("2021-01-04"), D("2021-01-06"), 1.0)],    # created later: wins
+        "state string, date timestamp_ntz, created timestamp_ntz, f double")
+    ents = spark.createDataFrame([("A", D("2021-01-10"), 1)], ENT)
+    out = asof_join(ents, AsofSide(feats, "date", ["f"], created="created"), ["state"]).first()
+    assert out.f == 1.0
+    snap = latest_per_key(feats, ["state"], "date", ["f"], created="created").first()
+    assert snap.f == 1.0
