@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintime.llm.common import table
+from pintime.llm.common import map_arrow, table
 
 LOSS_ROLE = "assistant"
 DELTA_CHARS = 512
@@ -157,7 +157,7 @@ def format_events(events: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 dict(zip(schema.names, zip(*out, strict=True), strict=True)), schema)
 
-    return ordered.mapInArrow(run, "conv_id long, formatted string, "
+    return map_arrow(ordered, run, "conv_id long, formatted string, "
                                    "loss_starts array<long>, loss_ends array<long>")
 
 
@@ -180,7 +180,7 @@ def digests(formatted: DataFrame) -> DataFrame:
                 [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)],
                 schema=schema)
 
-    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, "
+    return map_arrow(formatted, run, "conv_id long, n_turns long, turns_sha256 string, "
                                      "loss_chars long, loss_sha256 string, formatted_chars long")
 
 

@@ -9,7 +9,10 @@ empty result with the full schema.
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +29,30 @@ _UNUSUAL = re.compile(f"[{WHITE.replace(chr(10), '').replace(' ', '')}]")
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+$")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package (once a Spark context)."""
+    context = spark.sparkContext
+    if getattr(context, "_pintime_shipped", None):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # the driver serves the file to the executors for as long as it runs
+    folder = tempfile.TemporaryDirectory()
+    path = os.path.join(folder.name, "pintime_llm.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(at, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+    context._pintime_shipped = folder
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,7 +95,7 @@ def map_text(df: DataFrame, schema: str,
                     [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
                 at = to
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:
