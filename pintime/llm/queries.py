@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pintime.llm.byte_bpe import op8_byte_bpe
 from pintime.llm.chat import op9_chat
+from pintime.llm.language_id import op10_language_id
 from pintime.llm.near_dedup import op6_near_dedup
 from pintime.llm.packing import op1_packing
 from pintime.llm.quality import op3_quality
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat": op9_chat,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
