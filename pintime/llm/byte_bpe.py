@@ -19,15 +19,31 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import struct
 
 import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pintime.llm.common import ChunkCache, chunks, id_text, map_text, table
+from pintime.llm.common import (
+    ChunkCache,
+    chunks,
+    id_text,
+    map_text,
+    simple_pre_tokens,
+    table,
+)
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LEAF = 24          # bytes that one merge loop takes
+LEAF = 6            # bytes that one merge loop takes
+KEPT = 400_000      # merges of short byte strings that are remembered
+
+
+_FORMATS = [struct.Struct(f"<{n}I") for n in range(64)]
+
+
+def _pack(ids: list[int]) -> bytes:
+    return _FORMATS[len(ids)].pack(*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
 
 
 class Codec:
@@ -41,15 +57,22 @@ class Codec:
         self.token = {r: t for t, r in self.rank.items()}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self._stable: dict[tuple[int, int], bool] = {}
-        self.words = ChunkCache(lambda ws: [np.array(self.encode_bytes(w.encode()), "<u4").tobytes()
-                                            for w in ws], limit=400_000)
-        self.chunks = ChunkCache(self._encode_chunks, limit=400_000)
+        self._merged: dict[bytes, list[int]] = {}
+        self.words = ChunkCache(self._encode_words)
+        self.chunks = ChunkCache(self._encode_chunks)
 
     def merge(self, data: bytes) -> list[int]:
         """Lowest rank first, leftmost on ties; for short byte strings."""
-        rank = self.rank
-        if (whole := rank.get(data)) is not None:
+        if (whole := self.rank.get(data)) is not None:
             return [whole]
+        if (known := self._merged.get(data)) is None:
+            if len(self._merged) > KEPT:
+                self._merged.clear()
+            known = self._merged[data] = self._merge(data)
+        return known
+
+    def _merge(self, data: bytes) -> list[int]:
+        rank = self.rank
         parts = [data[i:i + 1] for i in range(len(data))]
         ranks = [rank.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
         while ranks:
@@ -70,15 +93,11 @@ class Codec:
     def stable(self, a: int, b: int) -> bool:
         key = (a, b)
         if (known := self._stable.get(key)) is None:
-            if len(self._stable) > 500_000:
+            if len(self._stable) > KEPT:
                 self._stable.clear()
-            known = self._stable[key] = self._encode(self.token[a] + self.token[b]) == [a, b]
+            known = self._stable[key] = self.merge(self.token[a] + self.token[b]) == [a, b]
         return known
 
-    def _encode(self, data: bytes) -> list[int]:
-        """For the bytes of two tokens: no recursion into ``join``."""
-        return self.merge(data)
-
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of both sides' bytes together."""
         if not left or not right:
@@ -99,14 +118,19 @@ class Codec:
         """Halves are encoded and joined, level by level (no deep recursion)."""
         if len(data) <= LEAF:
             return self.merge(data) if data else []
+        if (whole := self.rank.get(data)) is not None:
+            return [whole]
         level = [self.merge(data[i:i + LEAF]) for i in range(0, len(data), LEAF)]
         while len(level) > 1:
             joined = [self.join(a, b) for a, b in zip(level[::2], level[1::2], strict=False)]
             level = joined + level[len(joined) * 2:]
         return level[0]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        return [_pack(self.encode_bytes(w.encode())) for w in words]
+
     def _encode_chunks(self, parts: list[str]) -> list[bytes]:
-        matches = [(self.pattern.findall(c), []) for c in parts]
+        matches = [(simple_pre_tokens(c) or self.pattern.findall(c), []) for c in parts]
         return [b"".join(v) for v in self.words.values(matches)]
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -98,6 +98,36 @@ def map_text(df: DataFrame, schema: str,
     return map_arrow(df, run, schema)
 
 
+def annotate(df: DataFrame, text_col: str, added: str,
+             work: Callable[[list[str]], dict[str, list]]) -> DataFrame:
+    """All columns of ``df`` and those that ``work(texts)`` adds (null text: empty).
+
+    ``df`` must not have columns of the added names.
+    """
+    arrow = _arrow_schema(added)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+                       + [added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.schema.names.index(text_col))
+            at = 0
+            while at < batch.num_rows:
+                size, to = 0, at
+                while to < batch.num_rows and (to == at or size < GROUP_CHARS):
+                    size += len(column[to].as_buffer() or b"")
+                    to += 1
+                part = batch.slice(at, to - at)
+                texts = [x or "" for x in column.slice(at, to - at).to_pylist()]
+                out = work(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *(pa.array(out[f.name], f.type) for f in arrow)],
+                    names=[*part.schema.names, *arrow.names])
+                at = to
+
+    return map_arrow(df, run, schema)
+
+
 def _arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
              "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
@@ -127,6 +157,17 @@ def chunks(text: str) -> tuple[list[str], list[str]]:
     return words[:1], words[1:]
 
 
+#: A chunk of one Latin word, with or without marks behind it: what the pattern
+#: makes of it needs no general matching.
+_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|&%$#*]*)")
+
+
+def simple_pre_tokens(chunk: str) -> list[str] | None:
+    """The pattern's matches of a chunk, if it is one word with marks; else None."""
+    m = _WORD.fullmatch(chunk)
+    return None if m is None else [m[1], m[2]] if m[2] else [m[1]]
+
+
 class _Kept(dict):
     """A dict that notes the keys it lacks and answers None for them."""
 
@@ -142,40 +183,56 @@ class ChunkCache:
     """Values of chunks; what is new in a group of texts is computed in one call.
 
     ``compute(chunks) -> values``; ``prefix`` begins the chunks of the second
-    list. It is cleared when it holds ``limit`` entries, and chunks longer than
-    ``LONGEST`` are not kept (bounds on memory only).
+    list. It keeps two generations of ``limit`` entries each: when the younger is
+    full it becomes the older, and entries in use move over again, so that words
+    met once don't push out common ones. Chunks longer than ``LONGEST`` are not
+    kept. All this bounds memory only.
     """
 
     LONGEST = 64
 
     def __init__(self, compute: Callable[[list[str]], list], prefix: str = " ",
-                 limit: int = 700_000):
+                 limit: int = 500_000):
         self.compute, self.prefix, self.limit = compute, prefix, limit
         self.plain, self.cut = _Kept(), _Kept()
+        self.old_plain: dict = {}
+        self.old_cut: dict = {}
+
+    def _fill(self) -> list[tuple[_Kept, list[str]]]:
+        """Give the lacking keys their values; returns those that were computed."""
+        new = []
+        for kept, old in ((self.plain, self.old_plain), (self.cut, self.old_cut)):
+            lacking = set(kept.lacks)
+            kept.lacks = []
+            known = old.keys() & lacking
+            kept.update({c: old.pop(c) for c in known})
+            new.append((kept, list(lacking - known)))
+        (_, plain), (_, cut) = new
+        values = self.compute(plain + [self.prefix + c for c in cut])
+        self.plain.update(zip(plain, values, strict=False))
+        self.cut.update(zip(cut, values[len(plain):], strict=True))
+        return new
 
     def values(self, parts: list[tuple[list[str], list[str]]]) -> list[list]:
         """For each text's two lists of chunks, the values in order."""
-        plain, cut = self.plain.__getitem__, self.cut.__getitem__
-        out, again = [], []
         if len(self.plain) + len(self.cut) > self.limit:
-            self.plain.clear()
-            self.cut.clear()
+            self.old_plain, self.old_cut = self.plain, self.cut
+            self.plain, self.cut = _Kept(), _Kept()
+        plain, cut = self.plain.__getitem__, self.cut.__getitem__
+        out, again, seen = [], [], 0
         for i, (a, b) in enumerate(parts):
-            seen = len(self.plain.lacks) + len(self.cut.lacks)
             out.append([*map(plain, a), *map(cut, b)])
-            if len(self.plain.lacks) + len(self.cut.lacks) > seen:
+            lacks = len(self.plain.lacks) + len(self.cut.lacks)
+            if lacks > seen:
                 again.append(i)
+                seen = lacks
         if again:
-            new_plain, new_cut = list(set(self.plain.lacks)), list(set(self.cut.lacks))
-            self.plain.lacks, self.cut.lacks = [], []
-            found = self.compute(new_plain + [self.prefix + c for c in new_cut])
-            self.plain.update(zip(new_plain, found, strict=False))
-            self.cut.update(zip(new_cut, found[len(new_plain):], strict=True))
+            new = self._fill()
             for i in again:
                 a, b = parts[i]
                 out[i] = [*map(plain, a), *map(cut, b)]
-            for kept, new in ((self.plain, new_plain), (self.cut, new_cut)):
-                for c in new:
+            for kept, chunks_ in new:
+                for c in chunks_:
                     if len(c) > self.LONGEST:
                         del kept[c]
         return out

@@ -22,7 +22,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintime.llm.common import ChunkCache, chunks, id_text, map_text, table
+from pintime.llm.common import (
+    ChunkCache,
+    chunks,
+    id_text,
+    map_text,
+    simple_pre_tokens,
+    table,
+)
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 1
@@ -40,7 +47,14 @@ def _cache(path: str) -> ChunkCache:
         return [np.asarray(e.ids, "<u4").tobytes()
                 for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    return ChunkCache(encode)
+    words = ChunkCache(encode)
+
+    def encode_chunks(parts: list[str]) -> list[bytes]:
+        # a chunk that is no simple word goes to the library as it is
+        return [b"".join(v) for v in words.values(
+            [(simple_pre_tokens(c) or [c], []) for c in parts])]
+
+    return ChunkCache(encode_chunks)
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
