@@ -36,22 +36,26 @@ from pyspark.sql import functions as F
 from pintime.llm.common import table
 
 # fixed values of the contract
-SPACE = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_BASE_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-#: Character classes: everything but these is removed and the rest counted. Digits
-#: count with the small letters, and the marks of addresses and numbers with the
-#: stops: personal data in a short text says nothing against its prose.
-CLASSES = {
-    "small": r"[^\p{Ll}\p{Nd}]+",
-    "capital": r"[^\p{Lu}]+",
-    "space": r"[^\x20\x09-\x0D]+",
-    "stop": r"[^.,;:?'\"()+@=/-]+",
-}   # and "other": what remains of the text
+#: Character classes that are rare in prose; white space is what no word holds, and
+#: "small" is all the rest. Digits count with the small letters, and the marks of
+#: addresses and numbers with the stops: personal data in a short text says nothing
+#: against its prose.
+RARE = {
+    "capital": r"\p{Lu}+",
+    "stop": r"[.,;:?'\"()+@=/-]+",
+    "other": r"[^\p{L}\p{Nd}\x20\x09-\x0D.,;:?'\"()+@=/-]+",
+}
+CLASSES = [*RARE, "space", "small"]
+#: What is neither a symbol of the contract nor in a rare class: taken out first, in long
+#: runs, so that the other patterns look at the few characters that remain.
+COMMON = r"[a-z \p{Ll}\p{Nd}\x09-\x0D]+"
 
 TOP_WORDS = 64
 MAX_LETTERS = 6
@@ -77,17 +81,44 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def letters_words(text: Column) -> Column:
     """Lower-cased runs of letters."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), r"[^a-zà-öø-ÿ\p{L}]+"), lambda w: w != "")
 
 
-def n_symbols(text: Column) -> Column:
-    return (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long")
+def _without(text: Column, pattern: str) -> Column:
+    """How many characters of the text the pattern takes."""
+    return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def class_counts(text: Column) -> list[Column]:
-    """Characters of each class, the last class being all others."""
-    known = [F.char_length(F.regexp_replace(text, rx, "")) for rx in CLASSES.values()]
-    return [*known, F.char_length(text) - sum(known[1:], known[0])]
+def uncommon(text: Column) -> Column:
+    return F.regexp_replace(text, COMMON, "")
+
+
+def n_symbols(rest: Column) -> Column:
+    """Symbols of a text, counted in its ``uncommon`` characters."""
+    return _without(rest, f"[{SYMBOLS}]+")
+
+
+def rare_counts(rest: Column) -> dict[str, Column]:
+    """Characters of each rare class, counted in the ``uncommon`` characters."""
+    return {n: _without(rest, rx) for n, rx in RARE.items()}
+
+
+def class_counts(chars: Column, spaces: Column, rare: dict[str, Column]) -> dict[str, Column]:
+    """Characters of each of ``CLASSES``."""
+    return {**rare, "space": spaces, "small": chars - spaces - sum(rare.values(), F.lit(0))}
+
+
+def n_spaces(text: Column) -> Column:
+    """White space characters; each is one byte, and plain replacing is cheap."""
+    lost = [F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+            for c in SPACES]
+    return sum(lost[1:], lost[0]).cast("long")
+
+
+def split_words(text: Column) -> Column:
+    for c in SPACES[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.filter(F.split(text, " "), lambda w: w != "")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -101,32 +132,44 @@ def references(docs: DataFrame, top_words: int = TOP_WORDS, max_letters: int = M
                lang_col: str = "lang") -> References:
     """Reference histograms over all documents; the result has a bound, see above."""
     rows = _rows(docs, id_col, text_col, lang_col).where("lang is not null")
-    names = [*CLASSES, "other"]
-    rows = rows.where((100 * n_symbols(F.col("text")) <= F.char_length("text"))
-                      & (5 * F.char_length(F.regexp_replace("text", CLASSES["capital"], ""))
-                         <= F.char_length(F.regexp_replace("text", r"[^\p{L}]+", ""))))
-    counted = rows.select("lang", *[c.alias(n) for n, c in
-                                    zip(names, class_counts(F.col("text")), strict=True)],
-                          F.size(letters_words(F.col("text"))).alias("n_words"))
-    sums = counted.groupBy("lang").agg(F.count("*").alias("n_docs"),
-                                       *[F.sum(n).cast("double").alias(n) for n in names],
-                                       F.sum("n_words").cast("double").alias("n_words"))
-    total = sums.agg(F.sum("n_docs").alias("n")).scalar()
-    kept = [r for r in sums.where((F.col("n_docs") >= min_share * total) & (F.col("n_words") > 0))
-            .collect()]
-    langs = [r["lang"] for r in kept]
-    words = (rows.where(F.col("lang").isin(langs))
-             .select("lang", F.explode(F.filter(letters_words(F.col("text")),
-                                                lambda w: F.char_length(w) <= max_letters))
-                     .alias("word"))
-             .groupBy("lang", "word").agg(F.count("*").alias("n")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = words.withColumn("place", place).where(F.col("place") <= top_words).collect()
-    size = {r["lang"]: r["n_words"] for r in kept}
-    shares: dict[str, dict[str, float]] = {la: {} for la in langs}
-    for r in sorted(top, key=lambda r: (r["lang"], r["place"])):
-        shares[r["lang"]][r["word"]] = r["n"] / size[r["lang"]]
-    classes = {r["lang"]: [r[n] / sum(r[m] for m in names) for n in names] for r in kept}
+    text = F.col("text")
+    measured = rows.select(
+        "lang", F.char_length("text").alias("chars"), uncommon(text).alias("rest"),
+        n_spaces(text).alias("spaces"), letters_words(text).alias("words"))
+    measured = measured.select(
+        "lang", "chars", "spaces", "words", n_symbols(F.col("rest")).alias("symbols"),
+        *[c.alias(f"_{n}") for n, c in rare_counts(F.col("rest")).items()])
+    counted = class_counts(F.col("chars"), F.col("spaces"), {n: F.col(f"_{n}") for n in RARE})
+    measured = measured.select("lang", "chars", "words", "symbols",
+                               *[c.alias(n) for n, c in counted.items()])
+    prose = (100 * F.col("symbols") <= F.col("chars")) & (
+        5 * F.col("capital") <= F.col("capital") + F.col("small"))
+    # One pass: a first, empty entry carries the document's own numbers. The condition
+    # stands inside the array: as a filter it would be pushed below and every measure
+    # computed twice; and the words themselves must not stand beside what is exploded.
+    short = F.filter("words", lambda w: F.char_length(w) <= max_letters)
+    entries = measured.select("lang", *CLASSES, F.size("words").alias("n_words"), F.when(
+        prose, F.concat(F.array(F.lit("")), short)).alias("entries"))
+    entries = entries.select("lang", *CLASSES, "n_words", F.explode_outer("entries").alias("word")
+                             ).where("word is not null")
+    own = F.col("word") == ""
+    counts = entries.groupBy("lang", "word").agg(
+        F.count("*").alias("n"), F.sum(F.when(own, F.col("n_words"))).alias("n_words"),
+        *[F.sum(F.when(own, F.col(n))).alias(n) for n in CLASSES])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(
+        F.col("word") != "", F.desc("n"), "word"))
+    top = counts.withColumn("place", place).where(F.col("place") <= top_words + 1)
+    total = rows.agg(F.count("*").alias("n")).scalar()
+    usable = F.max(F.when(own, (F.col("n") >= min_share * total) & (F.col("n_words") > 0))).over(
+        Window.partitionBy("lang"))
+    kept = top.withColumn("usable", usable).where("usable").orderBy("lang", "place").collect()
+    classes, shares, size = {}, {}, {}
+    for r in kept:
+        if not r["word"]:
+            classes[r["lang"]] = [r[n] / sum(r[m] for m in CLASSES) for n in CLASSES]
+            shares[r["lang"]], size[r["lang"]] = {}, r["n_words"]
+        else:
+            shares[r["lang"]][r["word"]] = r["n"] / size[r["lang"]]
     return References(classes, shares)
 
 
@@ -140,17 +183,21 @@ def _root(divergence: Column) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
-def class_distance(text: Column, refs: References) -> Column:
-    """Distance of the class histogram to the nearest reference; null for an empty text."""
-    known = F.array(*[F.array(*map(F.lit, q)) for q in refs.classes.values()])
-    doc = F.transform(F.array(*class_counts(text)), lambda c: c / F.char_length(text))
-    return F.when(F.char_length(text) > 0, let(doc, lambda p: F.array_min(F.transform(
-        known, lambda q: _root(F.aggregate(F.zip_with(p, q, _part), F.lit(0.0),
-                                           lambda a, x: a + x))))))
+def class_distance(shares: list[Column], refs: References) -> Column:
+    """Distance of the shares of ``CLASSES`` to the nearest reference."""
+    def distance(q: list[float]) -> Column:
+        parts = [_part(p, F.lit(x)) for p, x in zip(shares, q, strict=True)]
+        return _root(sum(parts[1:], parts[0]))
+
+    return _least([distance(q) for q in refs.classes.values()])
+
 
+def _least(columns: list[Column]) -> Column:
+    return F.least(*columns) if len(columns) > 1 else columns[0]
 
-def word_distance(text: Column, refs: References) -> Column:
-    """Distance of the common-word histogram to the nearest reference; null without a word."""
+
+def word_distance(words: Column, refs: References) -> Column:
+    """Distance of the histogram of common ``words`` to the nearest reference; null without any."""
     vocabulary = sorted({w for words in refs.words.values() for w in words})
 
     def runs(s: Column) -> Column:
@@ -161,11 +208,10 @@ def word_distance(text: Column, refs: References) -> Column:
             F.get(s, i).alias("w"),
             (F.coalesce(F.get(b, k + 1), F.size(s)) - i).cast("double").alias("c"))))
 
-    def distance(found: Column, n: Column, words: dict[str, float]) -> Column:
+    def distance(found: Column, n: Column, place: int, words: dict[str, float]) -> Column:
         other = 1.0 - sum(words.values())
-        shares = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
         own = F.filter(F.transform(found, lambda e: F.struct(
-            (e["c"] / n).alias("p"), F.try_element_at(shares, e["w"]).alias("q"))),
+            (e["c"] / n).alias("p"), F.get(e["q"], F.lit(place)).alias("q"))),
             lambda e: e["q"].isNotNull())
         sums = F.aggregate(own, F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"),
                                          F.lit(0.0).alias("q")),
@@ -177,10 +223,15 @@ def word_distance(text: Column, refs: References) -> Column:
             a["d"] + 0.5 * (F.lit(1.0 - other) - a["q"])
             + _part(F.greatest(1.0 - a["p"], F.lit(0.0)), F.lit(other))))
 
-    return let(letters_words(text), lambda ws: F.when(F.size(ws) > 0, let(
-        F.array_sort(F.filter(ws, lambda w: w.isin(vocabulary))), lambda s: let(
-            runs(s), lambda found: F.array_min(F.array(*[distance(found, F.size(ws), words)
-                                                         for words in refs.words.values()]))))))
+    # each word's share in every reference, null where it is not common
+    shares = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.array(*[
+        F.lit(words.get(w)).cast("double") for words in refs.words.values()]))])
+    found = F.sort_array(F.filter(words, lambda w: w.isin(vocabulary)))
+    return F.when(F.size(words) > 0, let(found, lambda s: let(
+        F.transform(runs(s), lambda r: F.struct(
+            r["c"].alias("c"), F.try_element_at(shares, r["w"]).alias("q"))),
+        lambda r: _least([distance(r, F.size(words), i, own)
+                          for i, own in enumerate(refs.words.values())]))))
 
 
 def repeat_words(words: Column) -> Column:
@@ -189,9 +240,9 @@ def repeat_words(words: Column) -> Column:
     Windows are told apart by 64-bit hashes of their words' 64-bit hashes.
     """
     def covered(windows: Column) -> Column:
-        ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"),
+        ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"),
                                                                           i.alias("i"))))
-        twice = let(ordered, lambda s: F.array_sort(F.transform(F.filter(s, lambda e, k: (
+        twice = let(ordered, lambda s: F.sort_array(F.transform(F.filter(s, lambda e, k: (
             F.coalesce(F.get(s, k - 1)["h"] == e["h"], F.lit(False))
             | F.coalesce(F.get(s, k + 1)["h"] == e["h"], F.lit(False)))), lambda e: e["i"])))
         return let(twice, lambda at: F.aggregate(
@@ -199,68 +250,74 @@ def repeat_words(words: Column) -> Column:
                 F.lit(WINDOW), F.coalesce(i - F.get(at, k - 1), F.lit(WINDOW)))),
             F.lit(0), lambda a, x: a + x))
 
-    windows = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(
-        F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(h, i, WINDOW))))
-    return F.when(F.size(words) < 2, 0).when(F.size(words) <= WINDOW, 0).otherwise(
+    def pairs(h: Column, step: int) -> Column:
+        """Hashes of every entry with the one ``step`` places on."""
+        return F.zip_with(h, F.slice(h, F.lit(step + 1), F.size(h)), lambda a, b: F.xxhash64(a, b))
+
+    # hashes of 2, 4 and 8 words from each place on; the last seven have no window
+    windows = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(
+        pairs(h, 1), lambda h2: let(pairs(h2, 2), lambda h4: F.slice(
+            pairs(h4, 4), F.lit(1), F.size(h) - (WINDOW - 1)))))
+    return F.when(F.size(words) <= WINDOW, 0).otherwise(
         let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), 0)
             .otherwise(covered(w)))).cast("long")
 
 
-def base_rules(text: Column) -> dict[str, Column]:
-    """The contract's counts; ``n_words`` and ``n_repeat_words`` share one split."""
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
+def dup_lines(text: Column) -> Column:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(NOT_SPACE))
-    counts = let(words, lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"),
-        F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)).alias("word_chars"),
-        repeat_words(w).alias("n_repeat_words")))
-    return {
-        "counts": counts,
-        "n_symbols": n_symbols(text),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-    }
-
-
-def quality(docs: DataFrame, refs: References, min_chars: int = MIN_CHARS,
-            min_words: int = MIN_WORDS, max_class_distance: float = MAX_CLASS_DISTANCE,
-            max_word_distance: float = MAX_WORD_DISTANCE, id_col: str = "doc_id",
-            text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
+
+
+def with_verdict(docs: DataFrame, refs: References, min_chars: int = MIN_CHARS,
+                 min_words: int = MIN_WORDS, max_class_distance: float = MAX_CLASS_DISTANCE,
+                 max_word_distance: float = MAX_WORD_DISTANCE, text_col: str = "text",
+                 lang_col: str = "lang") -> DataFrame:
+    """``docs`` with one more column ``_verdict``: its counts, distances and ``kept``.
+
+    What a later step uses more than once is a column of an earlier one, so it is
+    computed once a row.
+    """
+    given = docs.columns
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    measured = docs.withColumns({
+        "_words": let(split_words(text), lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words"))),
+        "_rest": uncommon(text), "_lines": dup_lines(text), "_chars": F.char_length(text),
+        "_spaces": n_spaces(text), "_letters": letters_words(text),
+    })
+    n = F.col("_words.n_words")
+    measured = measured.withColumns({
+        "_symbols": n_symbols(F.col("_rest")),
+        **{f"_{c}": x for c, x in rare_counts(F.col("_rest")).items()}})
+    counts = class_counts(F.col("_chars"), F.col("_spaces"), {c: F.col(f"_{c}") for c in RARE})
+    shares = measured.withColumns({f"_p{i}": F.try_divide(c, F.col("_chars"))
+                                   for i, c in enumerate(counts.values())})
+    none = F.lit(None).cast("double")
+    distances = shares.withColumns({
+        "_class": class_distance([F.col(f"_p{i}") for i in range(len(CLASSES))], refs)
+        if refs.classes else none,
+        "_word": word_distance(F.col("_letters"), refs) if refs.words else none,
+    })
+    repeated = F.col("_words.n_repeat_words")
+    failed = (n < MIN_BASE_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
+    odd_classes = (F.col("_chars") >= min_chars) & (
+        F.coalesce("_class", F.lit(0.0)) > max_class_distance)
+    no_reference = ~F.coalesce(F.col(lang_col).isin([*refs.words]), F.lit(True))
+    odd_words = (n >= min_words) & ~no_reference & (
+        F.coalesce("_word", F.lit(0.0)) > max_word_distance)
+    return distances.select(*given, F.struct(
+        n.alias("n_words"), (F.col("_chars") - F.col("_spaces")).alias("word_chars"), F.col("_symbols").alias("n_symbols"),
+        F.col("_lines").alias("n_dup_lines"), repeated.alias("n_repeat_words"),
+        failed.alias("base_failed"), (~failed & ~odd_classes & ~odd_words).alias("kept"),
+        F.col("_class").alias("class_distance"), F.col("_word").alias("word_distance"),
+    ).alias("_verdict"))
+
+
+def quality(docs: DataFrame, refs: References, id_col: str = "doc_id", text_col: str = "text",
+            lang_col: str = "lang", **limits) -> DataFrame:
     """One row per document: the base counts, both distances, and the verdict ``kept``."""
-    judged = verdicts(F.coalesce(F.col("text"), F.lit("")), F.col("lang"), refs, min_chars,
-                      min_words, max_class_distance, max_word_distance)
     rows = _rows(docs, id_col, text_col, lang_col)
-    return rows.select("doc_id", judged.alias("v")).select("doc_id", "v.*")
-
-
-def verdicts(text: Column, lang: Column, refs: References, min_chars: int = MIN_CHARS,
-             min_words: int = MIN_WORDS, max_class_distance: float = MAX_CLASS_DISTANCE,
-             max_word_distance: float = MAX_WORD_DISTANCE) -> Column:
-    """All of a document's counts, distances and its verdict, as one struct column."""
-    base = base_rules(text)
-    no_distance = F.lit(None).cast("double")
-    raw = F.struct(
-        base["counts"].alias("c"), base["n_symbols"].alias("n_symbols"),
-        base["n_dup_lines"].alias("n_dup_lines"),
-        (class_distance(text, refs) if refs.classes else no_distance).alias("class_distance"),
-        (word_distance(text, refs) if refs.words else no_distance).alias("word_distance"),
-        F.char_length(text).alias("n_chars"))
-
-    def judge(r: Column) -> Column:
-        n, repeated = r["c"]["n_words"], r["c"]["n_repeat_words"]
-        failed = (n < MIN_BASE_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
-        odd_classes = (r["n_chars"] >= min_chars) & (
-            F.coalesce(r["class_distance"], F.lit(0.0)) > max_class_distance)
-        no_reference = ~F.coalesce(lang.isin([*refs.words]), F.lit(True))
-        odd_words = (n >= min_words) & ~no_reference & (
-            F.coalesce(r["word_distance"], F.lit(0.0)) > max_word_distance)
-        return F.struct(n.alias("n_words"), r["c"]["word_chars"].alias("word_chars"),
-                        r["n_symbols"].alias("n_symbols"), r["n_dup_lines"].alias("n_dup_lines"),
-                        repeated.alias("n_repeat_words"), failed.alias("base_failed"),
-                        (~failed & ~odd_classes & ~odd_words).alias("kept"),
-                        r["class_distance"].alias("class_distance"),
-                        r["word_distance"].alias("word_distance"))
-
-    return let(raw, judge)
+    return with_verdict(rows, refs, **limits).select("doc_id", "_verdict.*")
 
 
 COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
