@@ -81,10 +81,14 @@ def fit(labelled: DataFrame, slots: int = SLOTS, sample: int = SAMPLE, min_rows:
                            F.col(text_col).cast("string").alias("text")).where(
         "doc_id is not null and lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
-    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n"))
-    # one row a language: broadcast only if Spark measures it to be small
-    chosen = rows.join(sizes, "lang").where(
-        F.expr("pmod(xxhash64(doc_id, 17), 1000000)") < share * 1_000_000).select("lang", "text")
+    # as many rows as the model has languages
+    known = {r["lang"]: min(1.0, sample / r["n"]) for r in sizes.collect()}
+    if not known:
+        return Model([], np.zeros((slots, 0)))
+    share = F.try_element_at(F.create_map(*[F.lit(x) for p in known.items() for x in p]),
+                             F.col("lang"))
+    chosen = rows.where(F.expr("pmod(xxhash64(doc_id, 17), 1000000)") < share * 1_000_000
+                        ).select("lang", "text")
     schema = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("n", pa.int64())])
 
     def count(batches):
