@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pintime.llm.byte_bpe import op8_byte_bpe
 from pintime.llm.chat import op9_chat
+from pintime.llm.html_extract import op5_html
 from pintime.llm.language_id import op10_language_id
 from pintime.llm.near_dedup import op6_near_dedup
 from pintime.llm.packing import op1_packing
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
     "op3_quality": op3_quality,
+    "op5_html": op5_html,
     "op6_near_dedup": op6_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat": op9_chat,
