@@ -8,6 +8,7 @@ from pintime.llm.html_extract import op5_html
 from pintime.llm.language_id import op10_language_id
 from pintime.llm.near_dedup import op6_near_dedup
 from pintime.llm.packing import op1_packing
+from pintime.llm.personal_data import op7_personal_data
 from pintime.llm.quality import op3_quality
 from pintime.llm.token_counts import op2_token_counts
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op5_html": op5_html,
     "op6_near_dedup": op6_near_dedup,
+    "op7_personal_data": op7_personal_data,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat": op9_chat,
     "op10_language_id": op10_language_id,
