@@ -7,6 +7,7 @@ from pintime.llm.chat import op9_chat
 from pintime.llm.html_extract import op5_html
 from pintime.llm.language_id import op10_language_id
 from pintime.llm.near_dedup import op6_near_dedup
+from pintime.llm.oracle import ORACLE_SQL
 from pintime.llm.packing import op1_packing
 from pintime.llm.personal_data import op7_personal_data
 from pintime.llm.quality import op3_quality
@@ -24,4 +25,4 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
