@@ -279,7 +279,7 @@ def main_text(html: str, model: Model) -> str:
     if not html:
         return ""
     nodes, pieces = parse(html)
-    keep = model.kept(nodes, pieces)
+    keep = model.kept(nodes, pieces) if len(nodes) > 1 else [True]
     return " ".join("".join(" " if k < 0 else t if keep[k] else " " for k, t in pieces).split())
 
 
