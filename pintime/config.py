@@ -1,14 +1,6 @@
 """Fixed values that must equal the reference's for the same results.
 
-Fixed values (feature contract, in the reference's order):
-  model inputs: lag_1_vaccine_interest, lag_2_vaccine_interest,
-    lag_1_vaccine_intent, lag_2_vaccine_intent, lag_1_vaccine_safety,
-    lag_2_vaccine_safety, lag_1_weekly_vaccinations_count,
-    lag_2_weekly_vaccinations_count
-  label: weekly_vaccinations_count
-  trend features: lag_1/lag_2 of vaccine_interest, vaccine_intent, vaccine_safety
-  count features (table column order): lag_1_weekly_vaccinations_count,
-    weekly_vaccinations_count, lag_2_weekly_vaccinations_count
+Fixed values (the lists below are in the reference's order):
   default TTL: 52 * 10 weeks; weekly bins close on Monday (Tue..Mon)
   model: 250 trees, depth 4, seed 42
 
@@ -65,9 +57,6 @@ GBT_TREES = 250
 GBT_DEPTH = 4
 SEED = 42
 
-# Row bound under which a dimension side is broadcast; beyond it, shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
 # Time-bucket width of the as-of join's partitions. A key's rows are split into
 # buckets of this many days so one hot key spreads over many tasks; the newest
 # row of earlier buckets is carried in, so results stay exact.
@@ -80,11 +69,3 @@ FILTER_STATE = "NATION_19"
 FIRST_INCREMENT_END = "1998-06-30 00:00:00"
 UPSERT_LATE_WINDOW = ("1997-01-01", "1997-12-31")
 UPSERT_NEW_AFTER = "1999-06-30"
-# A (key, bucket) group with more distinct entity rows than this is split
-# over several salted partitions (its feature rows are copied to each).
-ASOF_HOT_ROWS = 2_000_000
-ASOF_MAX_SALTS = 4096
-ASOF_MAX_HOT_GROUPS = 100_000
-# Exact quantiles and KS running sums use one task per group only while the
-# checked number of distinct (group, value) pairs stays within this bound.
-QUANTILE_SINGLE_TASK_MAX = 1_000_000

@@ -186,14 +186,17 @@ class FeatureRepo:
         return self.views[name]
 
     def teardown(self, spark: SparkSession) -> None:
-        """Drop every registered source table or view."""
-        for view in self.views.values():
-            table = view.source.table
-            if table:
-                spark.sql(f"DROP VIEW IF EXISTS {table}")
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-        for name in self.registered:
-            spark.catalog.dropTempView(name)
+        """Drop every registered source, by what it is: temp view, view or table."""
+        names = [v.source.table for v in self.views.values() if v.source.table]
+        for name in [*names, *self.registered]:
+            if not spark.catalog.tableExists(name):
+                continue
+            table = spark.catalog.getTable(name)
+            if table.isTemporary:
+                spark.catalog.dropTempView(name)
+            else:
+                kind = "VIEW" if table.tableType == "VIEW" else "TABLE"
+                spark.sql(f"DROP {kind} IF EXISTS {name}")
         self.registered.clear()
         self.views.clear()
         self.services.clear()

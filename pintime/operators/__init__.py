@@ -1,6 +1,5 @@
 """Operators the reference needs beyond single built-in calls."""
 
 from pintime.operators.asof import AsofSide, asof_join
-from pintime.operators.broadcast import bounded_broadcast
 
-__all__ = ["AsofSide", "asof_join", "bounded_broadcast"]
+__all__ = ["AsofSide", "asof_join"]

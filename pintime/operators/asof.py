@@ -5,33 +5,29 @@ key whose time is at or before the entity time and no older than the side's
 TTL (``entity_ts - ttl <= feature_ts <= entity_ts``). Unmatched entity rows keep
 null features; every entity row appears exactly once, duplicates included.
 
-Plan, Spark-first (no range join, no per-row fan-out):
-
-1. Entity rows and the feature rows of *all* sides are tagged and unioned, so
-   several feature views cost one shuffle, not one each.
-2. A running ``last(struct, ignorenulls)`` over a window ordered by
-   ``(ts, side, struct)`` picks, for each entity row, the newest feature row.
-   A feature at the same instant sorts before the entity (visible); feature
-   rows tied on time resolve to the greatest struct, deterministically.
-   Features travel as one struct, so a newest row's null feature stays null
-   instead of being back-filled from an older row.
-3. Skew: the window partitions by ``(key, time bucket)``, not by key alone,
-   so a key holding a third of all rows still spreads over many tasks. The
-   same window also yields each bucket's newest feature row; from those, a
-   small carry table (one row per key and bucket, aggregated without any
-   further shuffle or sort) gives every bucket the newest row of all earlier
-   buckets, used for entity rows with no match inside their own bucket.
-4. A key can be hot inside one bucket too (all rows at one instant), and a
-   third of all rows can be identical copies. Identical entity rows are
-   folded into one row with a count by partial aggregation before any
-   shuffle, and restored at the end. A pre-pass counts distinct entity rows
-   per (key, bucket); groups above ``hot_rows`` are split over several
-   salted partitions by a hash of the row, with that group's feature rows
-   copied to each salt. Results stay exact.
-5. TTL is checked on the carried struct's own timestamp.
-
-Null keys never match: feature rows with a null key or time are dropped,
-entity rows with a null key keep null features.
+Plan, one for every size (no range join, no per-row fan-out, no size switch):
+
+1. A match depends only on (key, instant). So the entity rows' instants and the
+   feature rows of *all* sides become one timeline with one row per key and
+   instant, by an aggregation that is combined in every task first: a third of
+   all rows being copies, or lying at one instant of one key, on either side,
+   costs one row a task. Feature rows tied on time resolve to the greatest
+   struct.
+2. The timeline is cut into (key, time bucket) groups, so a hot key spreads over
+   its buckets and a group has at most as many rows as instants.
+3. The newest feature of each bucket is carried to the later buckets that hold
+   entity instants (one row per key and bucket, a small window by key) and
+   injected there as an older row of the timeline.
+4. A running ``last(struct, ignorenulls)`` in each group then gives every entity
+   instant its newest feature row. Features travel as one struct, so a newest
+   row's null feature stays null instead of being back-filled.
+5. The entity rows join their instants by plain equality: nothing else of them
+   was shuffled before, adaptive execution splits skewed partitions of this join,
+   and a filter on a key of the result reaches both scans.
+6. TTL is checked on the matched struct's own timestamp.
+
+Null keys or times never match: such rows take no part in the timeline and keep
+null features.
 """
 
 from __future__ import annotations
@@ -41,10 +37,10 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pintime.config import ASOF_BUCKET_DAYS, ASOF_HOT_ROWS, ASOF_MAX_HOT_GROUPS, ASOF_MAX_SALTS
+from pintime.config import ASOF_BUCKET_DAYS
 from pintime.functions.time import day_bucket
 
 
@@ -63,26 +59,17 @@ class AsofSide:
         return list(self.names) if self.names is not None else list(self.features)
 
 
-def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
               keys: Sequence[str], entity_ts: str = "event_timestamp",
-              bucket_days: int | None = ASOF_BUCKET_DAYS,
-              hot_rows: int | None = ASOF_HOT_ROWS,
-              collapse_copies: bool = True) -> DataFrame:
+              bucket_days: int | None = ASOF_BUCKET_DAYS) -> DataFrame:
     """Entity columns (in order) followed by each side's features (in order).
 
-    ``bucket_days=None`` partitions by key only (no carry table).
-    ``hot_rows``: a (key, bucket) group with more distinct entity rows than
-    this is split over ``ceil(rows / hot_rows)`` salted partitions, its feature
-    rows copied to each (``None`` turns the pre-pass off).
-    ``collapse_copies``: identical entity rows are joined once and their
-    copies restored at the end (partial aggregation folds them per task
-    before any shuffle).
-    With ``hot_rows`` set, the collapsed entity rows are checkpointed (eager,
-    under ``spark.checkpoint.dir``) so the pre-pass does not recompute them.
+    ``bucket_days``: width of the time buckets (None: one bucket a key); any width
+    gives the same result.
     """
     if isinstance(sides, AsofSide):
         sides = [sides]
@@ -96,133 +83,62 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     if clash:
         raise ValueError(f"feature names collide: {clash}")
 
-    def bucket(c: str):
-        if bucket_days:
-            return day_bucket(c, bucket_days)
-        return F.lit(0).cast("long")
-
-    fcols = [f"_f{i}" for i in range(len(sides))]
-    ent = entity.select(*keys, F.col(entity_ts).alias("_ts"), bucket(entity_ts).alias("_b"),
-                        F.struct(*ent_cols).alias("_e"))
-    if collapse_copies:
-        ent = ent.groupBy(*keys, "_b", "_ts", "_e").agg(F.count(F.lit(1)).alias("_dup"))
-    else:
-        ent = ent.withColumn("_dup", F.lit(1).cast("long"))
-    ent = ent.withColumn("_side", F.lit(1))
-    if hot_rows:
-        # materialize the (collapsed) entity rows once: the hot-group pre-pass
-        # and the join both read them, and the checkpoint cuts their lineage
-        from pyspark.sql import Observation
-
-        from pintime.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(entity.sparkSession)
-        seen = Observation("asof_entity_rows")
-        ent = ent.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint()
-        if (seen.get.get("rows") or 0) <= hot_rows:
-            hot_rows = None      # no group can exceed the bound: skip the pre-pass
-
-    feats = []
-    for i, s in enumerate(sides):
-        parts = [F.col(s.ts).alias("_t")]
-        if s.created:
-            parts.append(F.col(s.created).alias("_c"))
-        parts += [F.col(f) for f in s.features]
-        valid = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, s.ts]])
-        feats.append(s.df.where(valid).select(
-            *keys, F.col(s.ts).alias("_ts"), F.lit(0).alias("_side"),
-            bucket(s.ts).alias("_b"), F.struct(*parts).alias(fcols[i])))
-
-    hot = _hot_groups(ent, keys, hot_rows) if hot_rows else None
-    # the salt column exists only when some group is split, so window
-    # partitions and the carry join always share the same key columns
-    salt = [] if hot is None else ["_salt"]
-    if hot is not None:
-        # hot groups: entity rows spread by hash, feature rows copied to every salt
-        ent = (ent.join(hot, [*keys, "_b"], "left")
-               .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
-                           .otherwise(F.pmod(F.xxhash64("_e"), F.col("_n")).cast("int")))
-               .drop("_n"))
-        feats = [f.join(hot, [*keys, "_b"], "left")
-                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_n") - 1, F.lit(0)))))
-                 .drop("_n") for f in feats]
-
-    union = _union_all([ent, *feats])
-    order = [F.col("_ts").asc_nulls_first(), F.col("_side").asc()]
-    order += [F.col(c).asc_nulls_first() for c in fcols]
-    part = Window.partitionBy(*keys, "_b", *salt).orderBy(*order)
-    running = part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.last(c, ignorenulls=True).over(running).alias(f"_m{i}")
-            for i, c in enumerate(fcols)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    found = [f"_f{i}" for i in range(len(sides))]
+    timeline = _timeline(entity, sides, keys, entity_ts, names, found, bucket_days)
     if bucket_days:
-        whole = part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        cols += [F.last(c, ignorenulls=True).over(whole).alias(f"_z{i}")
-                 for i, c in enumerate(fcols)]
-    passed = union.select(*keys, "_b", *salt, "_side", "_ts", "_e", "_dup", *cols)
-    matched = passed.where(F.col("_side") == 1)
-    if bucket_days:
-        carry = _carry_table(passed, keys, salt, len(fcols))
-        # keyed like the window's partitions, so only the small carry side moves
-        if hot is not None:
-            carry = (carry.join(hot, [*keys, "_b"], "left")
-                     .withColumn("_salt", F.explode(F.sequence(
-                         F.lit(0), F.coalesce(F.col("_n") - 1, F.lit(0)))))
-                     .drop("_n"))
-        matched = matched.join(carry, [*keys, "_b", *salt], "left")
-        for i in range(len(fcols)):
-            matched = matched.withColumn(f"_m{i}", F.coalesce(f"_m{i}", f"_c{i}"))
-    if collapse_copies:
-        matched = matched.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_dup"))))
-
-    out = [F.col("_e")[c].alias(c) for c in ent_cols]
-    for i, s in enumerate(sides):
-        m = F.col(f"_m{i}")
+        timeline = timeline.unionByName(_carried(timeline, names, found))
+    running = (Window.partitionBy(*names, "_b").orderBy(F.col("_ts").asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    matches = timeline.select(
+        *names, "_ts", "_e", *[F.last(f, ignorenulls=True).over(running).alias(f"_m{f}")
+                               for f in found]).where("_e").drop("_e")
+    same = [F.col(f"_entity.{k}") == F.col(n) for k, n in zip(keys, names, strict=True)]
+    joined = entity.alias("_entity").join(
+        matches, _all([*same, F.col(f"_entity.{entity_ts}") == F.col("_ts")]), "left")
+    out = [F.col(f"_entity.{c}") for c in ent_cols]
+    for f, s in zip(found, sides, strict=True):
+        m = F.col(f"_m{f}")
         if s.ttl is not None:
             m = F.when(m["_t"] >= F.col("_ts") - F.lit(s.ttl), m)
-        out += [m[f].alias(n) for f, n in zip(s.features, s.out_names())]
-    return matched.select(*out)
+        out += [m[c].alias(n) for c, n in zip(s.features, s.out_names(), strict=True)]
+    return joined.select(*out)
+
+
+def _timeline(entity: DataFrame, sides: Sequence[AsofSide], keys: list[str], entity_ts: str,
+              names: list[str], found: list[str], bucket_days: int | None) -> DataFrame:
+    """One row per key and instant: its bucket, its feature structs, whether entities need it."""
+    def bucket(c: str) -> Column:
+        return day_bucket(c, bucket_days) if bucket_days else F.lit(0).cast("long")
+
+    def placed(df: DataFrame, ts: str, *cols: Column) -> DataFrame:
+        valid = _all([F.col(k).isNotNull() for k in [*keys, ts]])
+        return df.where(valid).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
+                                      bucket(ts).alias("_b"), F.col(ts).alias("_ts"), *cols)
+
+    frames = [placed(entity, entity_ts, F.lit(True).alias("_e"))]
+    for f, s in zip(found, sides, strict=True):
+        parts = [F.col(s.ts).alias("_t")]
+        if s.created:
+            parts.append(F.col(s.created).alias("_c"))
+        parts += [F.col(c) for c in s.features]
+        frames.append(placed(s.df, s.ts, F.lit(False).alias("_e"), F.struct(*parts).alias(f)))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return union.groupBy(*names, "_b", "_ts").agg(
+        F.max("_e").alias("_e"), *[F.max(f).alias(f) for f in found])
+
 
+def _carried(timeline: DataFrame, names: list[str], found: list[str]) -> DataFrame:
+    """Rows for the buckets with entity instants: the newest features of all earlier buckets.
 
-def _hot_groups(ent: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """``keys, _b, _n``: (key, bucket) groups holding more than ``hot_rows``
-    distinct entity rows and the number of salts each gets. A pre-pass over
-    the entity keys (hash aggregation); the result is at most
-    ``rows / hot_rows`` groups, and only the first ``ASOF_MAX_HOT_GROUPS`` of
-    them are split (the rest still run, unsplit). ``None`` when no group is hot.
+    They have no time of their own, so they come first in their bucket. A struct
+    begins with its time, so the greatest struct of a bucket is the newest.
     """
-    sizes = (ent.where(F.col("_b").isNotNull()).groupBy(*keys, "_b")
-             .agg(F.count(F.lit(1)).alias("_rows"))
-             .where(F.col("_rows") > F.lit(hot_rows))
-             .select(*keys, "_b", F.least(F.ceil(F.col("_rows") / F.lit(hot_rows)),
-                                          F.lit(ASOF_MAX_SALTS)).cast("int").alias("_n")))
-    found = sizes.limit(ASOF_MAX_HOT_GROUPS).collect()
-    if not found:
-        return None
-    spark = ent.sparkSession
-    # a literal table of bounded size: broadcast without recomputing the pre-pass
-    return F.broadcast(spark.createDataFrame(found, sizes.schema))
-
-
-def _carry_table(passed: DataFrame, keys: list[str], salt: list[str], n: int) -> DataFrame:
-    """``keys, _b, _c<i>``: for each (key, bucket) holding entity rows, the
-    newest feature struct of every side from strictly earlier buckets.
-
-    The window output is already partitioned and sorted by (key, bucket,
-    salt), so the first aggregate needs no shuffle and no sort; every salt of
-    a bucket saw the same feature rows, so any salt's bucket-newest will do.
-    The result has one row per key and bucket, so the per-key window over it
-    is small even for the hottest key."""
-    per_salt = (passed.groupBy(*keys, "_b", *salt)
-                # reads the entity struct (not _side) so this branch needs the
-                # same columns as the main one and Spark reuses one shuffle
-                .agg(F.max(F.col("_e").isNotNull()).alias("_has_e"),
-                     *[F.first(f"_z{i}").alias(f"_z{i}") for i in range(n)]))
-    per_bucket = (per_salt.groupBy(*keys, "_b")
-                  .agg(F.max("_has_e").alias("_has_e"),
-                       *[F.max(f"_z{i}").alias(f"_z{i}") for i in range(n)]))
-    earlier = (Window.partitionBy(*keys).orderBy("_b")
+    newest = timeline.groupBy(*names, "_b").agg(
+        F.max("_e").alias("_needed"), *[F.max(f).alias(f) for f in found])
+    earlier = (Window.partitionBy(*names).orderBy("_b")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carried = per_bucket.select(*keys, "_b", "_has_e",
-                                *[F.max(f"_z{i}").over(earlier).alias(f"_c{i}") for i in range(n)])
-    useful = F.col("_has_e") & reduce(lambda a, b: a | b,
-                                      [F.col(f"_c{i}").isNotNull() for i in range(n)])
-    return carried.where(useful).select(*keys, "_b", *[f"_c{i}" for i in range(n)])
+    carried = newest.select(*names, "_b", "_needed", *[
+        F.last(f, ignorenulls=True).over(earlier).alias(f) for f in found]).where("_needed")
+    no_time = F.lit(None).cast(timeline.schema["_ts"].dataType)
+    return carried.select(*names, "_b", no_time.alias("_ts"), F.lit(False).alias("_e"), *found)

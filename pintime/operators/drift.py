@@ -7,6 +7,9 @@
 * Categorical columns and the binned target: chi-square on the
   side x category table, all categories of either side included.
 * Online values outside a baseline's percentile range.
+
+Nothing is rounded here: flags and bins compare exact values, callers round what
+they show. A column without values on one side has a null statistic and p-value.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pintime.functions.stats import chi2_sf, ks_pvalue, round_p
-from pintime.config import QUANTILE_SINGLE_TASK_MAX
-from pintime.operators.prefix import exact_quantiles, materialize_counted, running_totals
+from pintime.functions.stats import chi2_sf, ks_pvalue
+from pintime.operators.prefix import (exact_quantiles, materialize_counted, ranges_for,
+                                      running_totals)
 
 
 def require_rows(df: DataFrame, name: str) -> None:
@@ -33,34 +36,35 @@ def _long(df: DataFrame, features: Sequence[str], side: int) -> DataFrame:
             .withColumn("_side", F.lit(side)))
 
 
-def ks_test(a: DataFrame, b: DataFrame, features: Sequence[str], buckets: int = 16,
-            digits: int = 9,
-            single_task_max: int | None = QUANTILE_SINGLE_TASK_MAX) -> DataFrame:
-    """``feature, statistic, p_value, n_a, n_b``. Running sums use one task
-    per feature only while the checked count of distinct (feature, value)
-    pairs is within ``single_task_max``; beyond it (or with ``None``) they are
-    spread over ``buckets`` value ranges."""
-    counts = (_long(a, features, 0).unionByName(_long(b, features, 1))
-              .groupBy("feature", "value")
-              .agg(F.count_if(F.col("_side") == 0).alias("na"),
-                   F.count_if(F.col("_side") == 1).alias("nb")))
-    counts, distinct = materialize_counted(counts, "ks_values")
-    if single_task_max is not None and distinct <= single_task_max:
-        buckets = 1      # checked: few enough values for one running sum per feature
-    cdf = running_totals(counts, ["feature"], "value", ["na", "nb"], buckets=buckets,
-                         groups_bound=len(features))
-    totals = counts.groupBy("feature").agg(F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"))
+def _counted(a: DataFrame, b: DataFrame, features: Sequence[str]) -> tuple[DataFrame, int]:
+    """``feature, value, na, nb`` per distinct value, written once, and its row count."""
+    return materialize_counted(
+        _long(a, features, 0).unionByName(_long(b, features, 1)).groupBy("feature", "value")
+        .agg(F.count_if(F.col("_side") == 0).alias("na"),
+             F.count_if(F.col("_side") == 1).alias("nb")), "ks_values")
+
+
+def ks_test(a: DataFrame, b: DataFrame, features: Sequence[str],
+            ranges: int | None = None) -> DataFrame:
+    """``feature, statistic, p_value, n_a, n_b, mean_a, mean_b``. Running sums are
+    spread over ``ranges`` value ranges (by default as many as the values need)."""
+    counts, distinct = _counted(a, b, features)
+    cdf = running_totals(counts, ["feature"], "value", ["na", "nb"],
+                         ranges or ranges_for(distinct))
+    mean = lambda n: F.try_divide(F.sum(F.col("value") * F.col(n)), F.sum(n))
+    totals = counts.groupBy("feature").agg(
+        F.sum("na").alias("n_a"), F.sum("nb").alias("n_b"), mean("na").alias("mean_a"),
+        mean("nb").alias("mean_b"))
     cdf = cdf.join(F.broadcast(totals), "feature")     # one row per feature
-    gap = F.abs(F.col("_cum_na") / F.col("n_a") - F.col("_cum_nb") / F.col("n_b"))
-    d = cdf.groupBy("feature", "n_a", "n_b").agg(F.max(gap).alias("_d"))
+    gap = F.abs(F.try_divide("_cum_na", "n_a") - F.try_divide("_cum_nb", "n_b"))
+    d = cdf.groupBy("feature", "n_a", "n_b", "mean_a", "mean_b").agg(F.max(gap).alias("_d"))
     lam = "_d * sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b))"
-    return d.select("feature", F.round("_d", digits).alias("statistic"),
-                    round_p(ks_pvalue(lam)).alias("p_value"),
-                    F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"))
+    return d.select("feature", F.col("_d").alias("statistic"), ks_pvalue(lam).alias("p_value"),
+                    F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"),
+                    "mean_a", "mean_b")
 
 
-def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None,
-              digits: int = 6) -> DataFrame:
+def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """``feature, statistic, dof, p_value, n_a, n_b`` for one categorical
     column (nulls ignored)."""
     u = (a.select(F.col(col).cast("string").alias("_cat"), F.lit(0).alias("_side"))
@@ -74,21 +78,22 @@ def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None,
                          tot[2].alias("k"))
     ea = (F.col("oa") + F.col("ob")) * F.col("n_a") / (F.col("n_a") + F.col("n_b"))
     eb = (F.col("oa") + F.col("ob")) * F.col("n_b") / (F.col("n_a") + F.col("n_b"))
-    term = (F.pow(F.col("oa") - ea, 2) / ea) + (F.pow(F.col("ob") - eb, 2) / eb)
+    term = (F.try_divide(F.pow(F.col("oa") - ea, 2), ea)
+            + F.try_divide(F.pow(F.col("ob") - eb, 2), eb))     # null if a side is empty
     stat = cells.groupBy("n_a", "n_b", "k").agg(F.sum(term).alias("_x"))
     return stat.select(F.lit(name or col).alias("feature"),
-                       F.round("_x", digits).alias("statistic"),
+                       F.col("_x").alias("statistic"),
                        (F.col("k") - 1).cast("long").alias("dof"),
-                       round_p(chi2_sf("_x", "k - 1")).alias("p_value"),
+                       chi2_sf("_x", "k - 1").alias("p_value"),
                        F.col("n_a").cast("long").alias("n_a"),
                        F.col("n_b").cast("long").alias("n_b"))
 
 
-def decile_edges(baseline: DataFrame, col: str, digits: int = 6) -> DataFrame:
+def decile_edges(baseline: DataFrame, col: str) -> DataFrame:
     """One row: the baseline's deciles of ``col`` (linear interpolation),
     computed by the distributed exact quantile."""
     q = exact_quantiles(baseline, col, [i / 10 for i in range(1, 10)])
-    return q.select(F.transform("_q", lambda v: F.round(v, digits)).alias("_edges"))
+    return q.select(F.col("_q").alias("_edges"))
 
 
 def target_drift(a: DataFrame, b: DataFrame, target: str = "target") -> DataFrame:
@@ -113,16 +118,12 @@ def drift_report(a: DataFrame, b: DataFrame, numeric: Sequence[str],
     sizes, plus the share of drifted columns and the dataset verdict."""
     require_rows(a, "reference")
     require_rows(b, "current")
-    means = (_long(a, numeric, 0).unionByName(_long(b, numeric, 1)).groupBy("feature")
-             .agg(F.round(F.avg(F.when(F.col("_side") == 0, F.col("value"))), 6).alias("mean_a"),
-                  F.round(F.avg(F.when(F.col("_side") == 1, F.col("value"))), 6).alias("mean_b")))
-    ks = (ks_test(a, b, numeric).join(means, "feature", "left")
-          .select("feature", F.lit("ks").alias("test"), "statistic", "p_value",
-                  "n_a", "n_b", "mean_a", "mean_b"))
+    rows_ks = ks_test(a, b, numeric).select("feature", F.lit("ks").alias("test"), "statistic",
+                                            "p_value", "n_a", "n_b", "mean_a", "mean_b")
     cat_frames = [chi2_test(a, b, c) for c in categorical]
     if target:
         cat_frames.append(target_drift(a, b, target))
-    rows = ks
+    rows = rows_ks
     for c in cat_frames:
         rows = rows.unionByName(c.select("feature", F.lit("chi2").alias("test"), "statistic",
                                          "p_value", "n_a", "n_b",
@@ -131,20 +132,17 @@ def drift_report(a: DataFrame, b: DataFrame, numeric: Sequence[str],
     rows = rows.withColumn("drifted", F.col("p_value") < F.lit(threshold))
     # one row per tested column (a bound fixed by the arguments), so a
     # whole-frame window is small
-    share_col = F.round(F.avg(F.col("drifted").cast("double")).over(Window.partitionBy()), 6)
+    share_col = F.avg(F.col("drifted").cast("double")).over(Window.partitionBy())
     return (rows.withColumn("share_drifted", share_col)
             .withColumn("dataset_drift", F.col("share_drifted") >= F.lit(share)))
 
 
 def out_of_bounds(baseline: DataFrame, current: DataFrame, features: Sequence[str],
-                  keys: Sequence[str], lo_q: float = 0.01, hi_q: float = 0.99,
-                  digits: int = 6) -> DataFrame:
+                  keys: Sequence[str], lo_q: float = 0.01, hi_q: float = 0.99) -> DataFrame:
     """``keys, feature, value, lo, hi, out_of_bounds``: each current value
     against the baseline's ``[lo_q, hi_q]`` percentile range of its feature."""
-    bounds = (exact_quantiles(_long(baseline, features, 0), "value", [lo_q, hi_q],
-                              by=["feature"], groups_bound=len(features))
-              .select("feature", F.round(F.col("_q")[0], digits).alias("lo"),
-                      F.round(F.col("_q")[1], digits).alias("hi")))
+    bounds = (exact_quantiles(_long(baseline, features, 0), "value", [lo_q, hi_q], by=["feature"])
+              .select("feature", F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi")))
     cur = (current.select(*keys, *[F.col(f).cast("double").alias(f) for f in features])
            .unpivot(list(keys), list(features), "feature", "value"))
     flag = F.coalesce((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi")),

@@ -9,69 +9,72 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pintime.operators.prefix import exact_quantiles
+from pintime.operators.prefix import exact_quantiles, null_safe_join
 
 
-def describe(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = False,
-             digits: int = 6) -> DataFrame:
-    """pandas ``describe()``: count, mean, sample std, min, quartiles
-    (linear interpolation), max. ``df.summary()`` is not used: its quartiles
-    are nearest-rank. ``approx=True`` uses ``percentile_approx`` instead of
-    the distributed exact quantile."""
+def number(col: str) -> Column:
+    """The column as a double, NaN as null (as pandas skips it)."""
     x = F.col(col).cast("double")
-    aggs = [F.count(x).alias("count"), F.round(F.avg(x), digits).alias("mean"),
-            F.round(F.stddev_samp(x), digits).alias("std"), F.min(x).alias("min"),
-            F.max(x).alias("max")]
+    return F.when(~F.isnan(x), x)
+
+
+def describe(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+    """pandas ``describe()``: count, mean, sample std, min, quartiles
+    (linear interpolation), max, of a null group too. ``df.summary()`` is not used:
+    its quartiles are nearest-rank. ``approx=True`` uses ``percentile_approx``
+    instead of the distributed exact quantile."""
+    x = number(col)
+    aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max")]
     if approx:
         aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("_q"))
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     if not approx:
         # exact quartiles without gathering a group's values in one task
         q = exact_quantiles(df, col, [0.25, 0.5, 0.75], by=by)
-        g = (g.join(q, list(by), "left") if by
+        g = (null_safe_join(g, q, list(by), "left") if by
              else g.withColumn("_q", q.select("_q").scalar()))
-    return g.select(*by, "count", "mean", "std", "min",
-                    F.round(F.col("_q")[0], digits).alias("p25"),
-                    F.round(F.col("_q")[1], digits).alias("p50"),
-                    F.round(F.col("_q")[2], digits).alias("p75"), "max")
-
-
-def histogram(df: DataFrame, col: str, by: str, bins: int = 10) -> DataFrame:
-    """``by, bin, lo, hi, n``: equal-width bins over the global min..max of
-    ``col``; the maximum falls in the last bin. The bounds are one scalar
-    subquery."""
-    x = F.col(col).cast("double")
-    bounds = df.agg(F.array(F.min(x), F.max(x))).scalar()
-    lo, hi = bounds[0], bounds[1]
-    width = (hi - lo) / F.lit(bins)
-    raw = F.floor((x - lo) / (hi - lo) * F.lit(bins))
-    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
-    binned = df.where(x.isNotNull()).select(by, b.alias("bin"))
-    return (binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
-            .select(by, "bin", F.round(lo + width * F.col("bin"), 6).alias("lo"),
-                    F.round(lo + width * (F.col("bin") + 1), 6).alias("hi"), "n"))
-
-
-def correlations(df: DataFrame, features: Sequence[str], target: str, by: str | None = None,
-                 digits: int = 9) -> DataFrame:
-    """``[by,] feature, corr, n``: Pearson correlation of each feature with
-    the target, overall (by = null) and per group, in one pass per grouping."""
-    def one(g: DataFrame | None, keys):
-        aggs = [F.struct(F.lit(f).alias("feature"),
-                         F.round(F.corr(F.col(f).cast("double"), F.col(target).cast("double")),
-                                 digits).alias("corr"),
-                         F.count(F.when(F.col(f).isNotNull() & F.col(target).isNotNull(), 1))
-                         .alias("n")).alias(f"_{i}") for i, f in enumerate(features)]
-        agg = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-        arr = F.array(*[F.col(f"_{i}") for i in range(len(features))])
-        return agg.select(*(keys or []), F.inline(arr))
+    return g.select(*by, "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
+                    F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+
+
+def histogram(df: DataFrame, cols: Sequence[str], by: str, bins: int = 10) -> DataFrame:
+    """``by, feature, bin, lo, hi, n``: equal-width bins over the global min..max of
+    each column; the maximum falls in the last bin. All columns in one pass; the
+    bounds are one scalar subquery. Null and NaN values don't count."""
+    bounds = df.agg(F.array(*[F.array(F.min(number(c)), F.max(number(c))) for c in cols])).scalar()
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), number(c).alias("x"),
+                                 bounds[i][0].alias("lo"), bounds[i][1].alias("hi"))
+                        for i, c in enumerate(cols)])
+    long = df.select(by, F.inline(entries)).where("x is not null")
+    width = F.col("hi") - F.col("lo")
+    raw = F.floor((F.col("x") - F.col("lo")) / width * F.lit(bins))
+    b = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
+    edge = lambda k: F.col("lo") + (F.col("hi") - F.col("lo")) / F.lit(bins) * k
+    return (long.select(by, "feature", b.alias("bin"), "lo", "hi")
+            .groupBy(by, "feature", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+            .select(by, "feature", "bin", edge(F.col("bin")).alias("lo"),
+                    edge(F.col("bin") + 1).alias("hi"), "n"))
+
+
+def correlations(df: DataFrame, features: Sequence[str], target: str,
+                 by: str | None = None) -> DataFrame:
+    """``[by, overall,] feature, corr, n``: Pearson correlation of each feature with
+    the target, overall and per group, in one pass (grouping sets). ``overall`` tells
+    the row over all groups from that of a null group."""
+    y = number(target)
+    aggs = [F.struct(F.lit(f).alias("feature"), F.corr(number(f), y).alias("corr"),
+                     F.count(F.when(number(f).isNotNull() & y.isNotNull(), 1)).alias("n"))
+            .alias(f"_{i}") for i, f in enumerate(features)]
+    arr = F.inline(F.array(*[F.col(f"_{i}") for i in range(len(features))]))
     if by is None:
-        return one(df, None)
-    overall = one(df, None).select(F.lit(None).cast(df.schema[by].dataType).alias(by), "*")
-    return overall.unionByName(one(df, [by]))
+        return df.agg(*aggs).select(arr)
+    sets = df.groupingSets([[], [F.col(by)]], F.col(by)).agg(
+        (F.grouping(by) == 1).alias("overall"), *aggs)
+    return sets.select(by, "overall", arr)
 
 
 def head(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -1,8 +1,8 @@
 """Newest value per key (AGG-7), upsert (FS-8) and expiry (FS-9).
 
-All three are single hash aggregations or filters: ``max(struct(ts, ...))`` is
-combined map-side per task, so a key holding a third of the rows costs one
-partial-aggregate row per task, never a per-key sort.
+All three are single aggregations or filters. Spark plans ``max(struct(ts, ...))``
+as a sort-based aggregate: every task sorts its rows by key and combines them, so
+a key holding a third of the rows costs one row per task after that.
 """
 
 from __future__ import annotations

@@ -1,64 +1,65 @@
 """Running totals and exact quantiles without a single-task group.
 
 ``running_totals`` computes inclusive running sums over distinct sorted values
-in two levels: values are range-bucketed by approximate quantiles, each
-bucket sums locally in its own task, and a tiny per-bucket table supplies the
-totals of all earlier buckets. The sums are exact; buckets only spread work,
-so a group with billions of distinct values never lands in one task.
+in two levels: values are cut into ranges at approximate quantiles, each range
+sums locally in its own task, and a small table of the ranges' totals supplies
+what lies before. The sums are exact; the number of ranges follows the number
+of distinct values, so no task gets more than about ``RANGE_ROWS`` of them.
+Joins match null groups too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from pintime.config import BROADCAST_MAX_ROWS, QUANTILE_SINGLE_TASK_MAX
-from pintime.operators.broadcast import bounded_broadcast
+from pintime.session import ensure_checkpoint_dir
 
+#: Distinct values that one range should hold; it sets the number of tasks only.
+RANGE_ROWS = 500_000
 
-def _small(df: DataFrame, rows_bound: int | None) -> DataFrame:
-    """Broadcast a per-group table: directly when its row count is known to be
-    within the bound, otherwise behind a counted check."""
-    if rows_bound is not None and rows_bound <= BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return bounded_broadcast(df)
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
+                   how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which a null key matches a null key."""
+    named = right.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c)
+                           for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return left.join(named, reduce(lambda a, b: a & b, same), how).drop(
+        *[f"_on_{c}" for c in on])
 
-def _attach(big: DataFrame, small: DataFrame, on: list[str], rows_bound: int | None) -> DataFrame:
-    """Add ``small``'s columns to ``big``: an equi-join on ``on``, or, for a
-    global (one-row) ``small``, one scalar subquery per column."""
+
+def attach(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add ``small``'s columns to ``big``: by its groups, or, for one global row, as
+    scalar subqueries."""
     if not on:
         return big.select("*", *[small.select(c).scalar().alias(c) for c in small.columns])
-    return big.join(_small(small, rows_bound), on)
+    return null_safe_join(big, small, on)
 
 
 def running_totals(df: DataFrame, part: Sequence[str], order: str, cols: Sequence[str],
-                   buckets: int = 16, groups_bound: int | None = None) -> DataFrame:
+                   ranges: int) -> DataFrame:
     """``df`` (one row per ``part`` + ``order`` value) plus ``_cum_<c>`` for
-    every ``c`` in ``cols``: the inclusive running sum in ``order``.
-    ``groups_bound``: a known upper bound on the number of ``part`` groups."""
+    every ``c`` in ``cols``: the inclusive running sum in ``order``, worked out in
+    ``ranges`` ranges of each group."""
     part = list(part)
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        edges = df.groupBy(*part).agg(F.percentile_approx(order, qs, 10000).alias("_edges"))
-        edged = _attach(df, edges, part, groups_bound)
-        df = (edged.withColumn("_bk", F.size(F.filter("_edges", lambda e: e < F.col(order))))
-              .drop("_edges"))
-    else:
-        df = df.withColumn("_bk", F.lit(0))
+    cuts = [i / ranges for i in range(1, ranges)] or [0.5]
+    edges = df.groupBy(*part).agg(F.percentile_approx(order, cuts, 10000).alias("_edges"))
+    df = (attach(df, edges, part)
+          .withColumn("_bk", F.size(F.filter("_edges", lambda e: e < F.col(order))))
+          .drop("_edges"))
     local_w = (Window.partitionBy(*part, "_bk").orderBy(order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in cols])
-    per_bucket = df.groupBy(*part, "_bk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
+    per_range = df.groupBy(*part, "_bk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
     before = (Window.partitionBy(*part).orderBy("_bk")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_bucket.select(*part, "_bk", *[
+    offsets = per_range.select(*part, "_bk", *[
         F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])
-    # offsets hold groups x buckets rows; buckets is a parameter
-    bound = None if groups_bound is None else groups_bound * max(buckets, 1)
-    out = local.join(_small(offsets, 1 if not part else bound), [*part, "_bk"])
+    out = null_safe_join(local, offsets, [*part, "_bk"])
     return out.select(*[c for c in local.columns if not c.startswith("_loc_") and c != "_bk"],
                       *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"_cum_{c}")
                         for c in cols])
@@ -67,41 +68,33 @@ def running_totals(df: DataFrame, part: Sequence[str], order: str, cols: Sequenc
 def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Checkpoint ``df`` (reliable, under ``spark.checkpoint.dir``) and return
     it with its row count, observed during the same job."""
-    from pyspark.sql import Observation
-
-    from pintime.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     obs = Observation(label)
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint()
     return out, int(obs.get.get("rows") or 0)
 
 
+def ranges_for(rows: int) -> int:
+    return 1 + rows // RANGE_ROWS
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    by: Sequence[str] = (), buckets: int = 16,
-                    groups_bound: int | None = None,
-                    single_task_max: int | None = QUANTILE_SINGLE_TASK_MAX) -> DataFrame:
-    """``by..., _q``: array of exact quantiles of ``col`` per group, linear
-    interpolation between the order statistics at ``p * (n - 1)`` (pandas /
-    ``quantile_cont``).
-
-    Values are first counted per distinct value and materialized once. When
-    there are at most ``single_task_max`` distinct (group, value) pairs in all,
-    one ``percentile(value, p, frequency)`` aggregate finishes the job (its
-    buffer is bounded by that checked count). Beyond it, work is spread by
-    value ranges (see module doc), so no group is gathered in one task."""
+                    by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``by..., _q``: array of exact quantiles of ``col`` per group (a null group
+    included), linear interpolation between the order statistics at
+    ``p * (n - 1)`` (pandas / ``quantile_cont``); null and NaN values don't count.
+
+    Values are counted per distinct value and written once; the order statistics
+    are then read off the running totals, in ``ranges`` ranges (by default as many
+    as the distinct values need)."""
     by = list(by)
     x = F.col(col).cast("double")
-    counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by, x.alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    if single_task_max is not None:
-        counts, distinct = materialize_counted(counts, "quantile_values")
-        if distinct <= single_task_max:
-            pct = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]), F.col("_n"))
-            g = counts.groupBy(*by).agg(pct.alias("_q")) if by else counts.agg(pct.alias("_q"))
-            return g.where(F.col("_q").isNotNull())
-    cum = running_totals(counts, by, "_v", ["_n"], buckets=buckets, groups_bound=groups_bound)
+    counts, distinct = materialize_counted(
+        df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by, x.alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n")), "quantile_values")
+    cum = running_totals(counts, by, "_v", ["_n"], ranges or ranges_for(distinct))
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    cum = _attach(cum, totals, by, groups_bound)
+    cum = attach(cum, totals, by)
     # 0-based ranks each quantile needs: floor and ceil of p * (n - 1)
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("side"),
                                (F.floor if j == 0 else F.ceil)(

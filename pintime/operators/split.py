@@ -9,22 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def split_delta(n: int, by: str = "week") -> timedelta:
-    if by == "week":
-        return timedelta(weeks=n)
-    if by == "day":
-        return timedelta(days=n)   # assigned, not compared (Q8)
-    raise ValueError("'by' must be one of 'week' or 'day'")
-
-
-def temporal_split(df: DataFrame, n: int, timestamp_col: str, by: str = "week",
+def temporal_split(df: DataFrame, test_span: timedelta, timestamp_col: str,
                    drop: Sequence[str] = ("state",)) -> tuple[DataFrame, DataFrame]:
-    """``ts <= max - n`` is training, later rows are test; the timestamp and
-    key columns are dropped (the key name is a parameter, Q9). The global max
-    is a scalar subquery (JN-4): one aggregate, compared with every row."""
-    delta = split_delta(n, by)
-    split = df.agg(F.max(timestamp_col)).scalar() - F.lit(delta)
-    cols = [timestamp_col, *drop]
-    train = df.where(F.col(timestamp_col) <= split).drop(*cols)
-    test = df.where(F.col(timestamp_col) > split).drop(*cols)
-    return train, test
+    """The rows of the last ``test_span`` are test, all before them training.
+
+    A row exactly ``test_span`` before the newest one trains. The timestamp and key
+    columns are dropped (the key name is a parameter, Q9). The newest time is a
+    scalar subquery (JN-4): one aggregate, compared with every row."""
+    if test_span <= timedelta(0):
+        raise ValueError(f"test_span must be positive, not {test_span}")
+    newest = df.agg(F.max(timestamp_col)).scalar()
+    is_train = F.col(timestamp_col) <= newest - F.lit(test_span)
+    return tuple(df.where(side).drop(timestamp_col, *drop) for side in (is_train, ~is_train))

@@ -200,8 +200,10 @@ def _corr_sql() -> str:
     for f in config.X_COLS:
         expr = (f"round(corr(CAST({f} AS DOUBLE), CAST({_Y} AS DOUBLE)), 9) AS corr, "
                 f"count(CASE WHEN {f} IS NOT NULL AND {_Y} IS NOT NULL THEN 1 END) AS n")
-        parts.append(f"SELECT CAST(NULL AS INTEGER) AS year, '{f}' AS feature, {expr} FROM win_union")
-        parts.append(f"SELECT year, '{f}' AS feature, {expr} FROM win_union GROUP BY year")
+        parts.append(f"SELECT CAST(NULL AS INTEGER) AS year, TRUE AS overall, '{f}' AS feature, {expr} "
+                     "FROM win_union")
+        parts.append(f"SELECT year, FALSE AS overall, '{f}' AS feature, {expr} FROM win_union "
+                     "GROUP BY year")
     return "\nUNION ALL ".join(parts)
 
 
@@ -267,21 +269,31 @@ ORACLE_SQL.update({
     "refresh_job": sql(lookup_sql("SELECT DISTINCT state FROM count_features"), *SNAPSHOT_CTES),
     "overwrite_roundtrip": sql("SELECT * FROM trend_features"),
     "csv_roundtrip": sql("SELECT * FROM count_features"),
+    "csv_load_bad_records": sql("SELECT * FROM count_features"),
+    "feature_tensor": sql("SELECT state, replace('[' || concat_ws(',', "
+                          + ", ".join(f"coalesce(CAST(CAST({c} AS DOUBLE) AS VARCHAR), 'null')"
+                                      for c in config.X_COLS)
+                          + ") || ']', ' ', '') AS tensor, "
+                          + " OR ".join(f"{c} IS NOT NULL" for c in config.X_COLS)
+                          + " AS known FROM looked_up", *SNAPSHOT_CTES,
+                          ("looked_up", lookup_sql("SELECT DISTINCT location AS state "
+                                                   "FROM daily_counts"))),
     "requests_from_json": sql("SELECT strftime(date, '%Y-%m-%d') || '/' || state AS id, state "
                               "FROM count_features"),
     "drift_window": sql("SELECT * FROM win_a ORDER BY event_timestamp, state", *WINDOW_CTES),
     "window_union": sql(f"SELECT *, {_Y} AS target FROM win_union", *WINDOW_CTES),
     "feature_histogram": sql("""
-    SELECT year, bin, round(lo + (hi - lo) / 10 * bin, 6) AS lo,
+    SELECT year, feature, bin, round(lo + (hi - lo) / 10 * bin, 6) AS lo,
            round(lo + (hi - lo) / 10 * (bin + 1), 6) AS hi, count(*) AS n
-    FROM (SELECT year, lo, hi,
+    FROM (SELECT year, feature, lo, hi,
                  CAST(CASE WHEN hi = lo THEN 0
                       ELSE least(floor((x - lo) / (hi - lo) * 10), 9) END AS INTEGER) AS bin
-          FROM (SELECT year, CAST(lag_1_vaccine_interest AS DOUBLE) AS x FROM win_union) u,
-               (SELECT min(CAST(lag_1_vaccine_interest AS DOUBLE)) AS lo,
-                       max(CAST(lag_1_vaccine_interest AS DOUBLE)) AS hi FROM win_union) b
+          FROM (SELECT year, feature, x, min(x) OVER (PARTITION BY feature) AS lo,
+                       max(x) OVER (PARTITION BY feature) AS hi FROM hist_long)
           WHERE x IS NOT NULL)
-    GROUP BY year, bin, lo, hi""", *WINDOW_CTES),
+    GROUP BY year, feature, bin, lo, hi""", *WINDOW_CTES, ("hist_long", "\n UNION ALL ".join(
+        f"SELECT year, '{f}' AS feature, CAST({f} AS DOUBLE) AS x FROM win_union"
+        for f in ["lag_1_vaccine_interest", "lag_1_vaccine_intent", "lag_1_vaccine_safety", _Y]))),
     "feature_target_corr": sql(_corr_sql(), *WINDOW_CTES),
 })
 
@@ -354,8 +366,8 @@ def chi2_ctes(tag: str, long_sql: str, name: str) -> list[tuple[str, str]]:
 _DECILES = ", ".join(str(i / 10) for i in range(1, 10))
 STATE_CHI2 = chi2_ctes("cs", "SELECT CAST(state AS VARCHAR) AS cat, 0 AS side FROM win_a "
                              "UNION ALL SELECT CAST(state AS VARCHAR), 1 FROM win_b", "state")
-TARGET_CHI2 = [("t_edges", f"SELECT list_transform(quantile_cont(CAST({_Y} AS DOUBLE), "
-                           f"[{_DECILES}]), lambda q: round(q, 6)) AS e FROM win_a")] + chi2_ctes(
+TARGET_CHI2 = [("t_edges", f"SELECT quantile_cont(CAST({_Y} AS DOUBLE), [{_DECILES}]) AS e "
+                           "FROM win_a")] + chi2_ctes(
     "ct", f"""SELECT CAST(len(list_filter(e, lambda q: q < CAST({_Y} AS DOUBLE))) AS VARCHAR) AS cat,
               0 AS side FROM win_a, t_edges WHERE {_Y} IS NOT NULL
               UNION ALL
@@ -382,8 +394,8 @@ _OOB_CUR = "\n UNION ALL ".join(
 OOB_CTES = [
     ("oob_snap", lookup_sql("SELECT DISTINCT state FROM count_features")),
     ("oob_base", _long_union("win_a", list(config.X_COLS), 0)),
-    ("oob_bounds", "SELECT feature, round(quantile_cont(value, 0.01), 6) AS lo, "
-                   "round(quantile_cont(value, 0.99), 6) AS hi FROM oob_base GROUP BY feature"),
+    ("oob_bounds", "SELECT feature, quantile_cont(value, 0.01) AS lo, "
+                   "quantile_cont(value, 0.99) AS hi FROM oob_base GROUP BY feature"),
     ("oob_cur", _OOB_CUR),
 ]
 
@@ -408,7 +420,7 @@ ORACLE_SQL.update({
                         *[(n, q.replace(f"{_Y} AS target", f"{_Y}")) for n, q in WINDOW_CTES],
                         *REPORT_CTES),
     "online_out_of_bounds": sql("""
-    SELECT c.state, c.feature, c.value, b.lo, b.hi,
+    SELECT c.state, c.feature, c.value, round(b.lo, 6) AS lo, round(b.hi, 6) AS hi,
            COALESCE(c.value < b.lo OR c.value > b.hi, FALSE) AS out_of_bounds
     FROM oob_cur c JOIN oob_bounds b ON b.feature = c.feature""",
                                 *SNAPSHOT_CTES, *WINDOW_CTES, *OOB_CTES),

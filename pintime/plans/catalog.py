@@ -1,7 +1,9 @@
 """Registered queries: one callable per operator key of SURVEY section 2.
 
 Each takes ``(spark, sf_dir)``, reads the driver's tables under ``sf_dir`` and
-returns a lazy DataFrame whose column names match the oracle SQL.
+returns a DataFrame whose column names match the oracle SQL. Keys that write
+(feature tables, stores, CSV, models) run jobs while they build it. Rounding for
+display happens here, never in the operators.
 """
 
 from __future__ import annotations
@@ -14,9 +16,10 @@ from pyspark.sql import functions as F
 
 from pintime import config
 from pintime.functions.nulls import drop_any_null, not_in_keep_nulls
+from pintime.functions.stats import round_p
 from pintime.functions.time import date_to_ts, interval, ts_lit
+from pintime.functions.vectors import feature_array
 from pintime.operators.asof import AsofSide, asof_join
-from pintime.operators.broadcast import bounded_broadcast
 from pintime.operators.drift import chi2_test, ks_test, out_of_bounds, target_drift
 from pintime.operators.drift import drift_report as report
 from pintime.operators.explore import correlations, describe, head, histogram, tail
@@ -24,7 +27,7 @@ from pintime.operators.explore import stage_counts as stage_count_table
 from pintime.operators.latest import SNAPSHOT_TS, expire, latest_per_key, upsert
 from pintime.operators.split import temporal_split
 from pintime.plans import features as feat
-from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, mae, score
+from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, mae, poisson_pipeline, score
 from pintime.plans.model import feature_importance as importance
 from pintime.plans.online import (SnapshotStore, get_online_features, latest_snapshot,
                                   materialize_incremental)
@@ -91,7 +94,7 @@ def fill_zero(spark, sf_dir):
 
 @query("entity_rows")
 def entity_rows(spark, sf_dir):
-    open_workspace(spark, sf_dir)
+    open_workspace(spark, sf_dir, write=())
     return spark.sql(ENTITY_QUERY)
 
 
@@ -132,19 +135,19 @@ def training_set_clean(spark, sf_dir):
 
 @query("src_feature_table")
 def src_feature_table(spark, sf_dir):
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=())
     return ws.counts.to_df(spark)
 
 
 @query("typed_features")
 def typed_features(spark, sf_dir):
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=())
     return ws.trend.to_df(spark)
 
 
 @query("serving_projection")
 def serving_projection(spark, sf_dir):
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=())
     proj = ws.serving.projections()[1]
     return proj.view.to_df(spark, proj.features)
 
@@ -165,7 +168,7 @@ def filter_state(spark, sf_dir):
 
 @query("filter_between")
 def filter_between(spark, sf_dir):
-    open_workspace(spark, sf_dir)
+    open_workspace(spark, sf_dir, write=())
     return spark.sql(window_entity_query(*config.DRIFT_WINDOW_A))
 
 
@@ -186,7 +189,8 @@ def tail_rows(spark, sf_dir):
 
 @query("describe_target")
 def describe_target(spark, sf_dir):
-    return describe(state_rows(spark, sf_dir), config.Y_COL)
+    return rounded(describe(state_rows(spark, sf_dir), config.Y_COL),
+                   dict.fromkeys(["mean", "std", "p25", "p50", "p75"], 6))
 
 
 @query("stage_counts")
@@ -206,10 +210,16 @@ def training_set_from_df(spark, sf_dir):
 
 # ---- temporal split --------------------------------------------------------
 
+def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Round columns for display; p-values below half the last digit show as 0."""
+    return df.withColumns({c: round_p(F.col(c), d) if c == "p_value" else F.round(c, d)
+                           for c, d in digits.items()})
+
+
 def _split(spark, sf_dir):
     data = clean_training_set(spark, sf_dir).select(
         "state", config.EVENT_TS, *config.X_COLS, config.Y_COL)
-    return temporal_split(data, 1, config.EVENT_TS, by="week")
+    return temporal_split(data, timedelta(weeks=1), config.EVENT_TS)
 
 
 @query("temporal_split_train")
@@ -230,7 +240,7 @@ def _max_ts(df: DataFrame, col: str):
 
 @query("online_snapshot")
 def online_snapshot(spark, sf_dir):
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=())
     return latest_snapshot(ws.counts.to_df(spark), ws.counts)
 
 
@@ -241,7 +251,7 @@ def _store(spark, label):
 @query("materialize_increment")
 def materialize_increment(spark, sf_dir):
 
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=("counts",))
     store = _store(spark, "materialize")
     first_end = datetime.fromisoformat(config.FIRST_INCREMENT_END)
     materialize_incremental(spark, store, ws.counts, end_ts=first_end)
@@ -251,7 +261,7 @@ def materialize_increment(spark, sf_dir):
 
 @query("online_upsert")
 def online_upsert(spark, sf_dir):
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=("counts",))
     src = ws.counts.to_df(spark)
     feats = ws.counts.feature_names
     snap = latest_per_key(src.where(F.col("date") <= ts_lit(config.FIRST_INCREMENT_END)),
@@ -265,7 +275,7 @@ def online_upsert(spark, sf_dir):
 
 @query("online_expire")
 def online_expire(spark, sf_dir):
-    ws = open_workspace(spark, sf_dir)
+    ws = open_workspace(spark, sf_dir, write=("trends",))
     snap = latest_snapshot(ws.trend.to_df(spark), ws.trend)
     as_of = snap.agg(F.max(SNAPSHOT_TS)).scalar()
     return expire(snap, as_of, config.SHORT_TTL)
@@ -350,7 +360,7 @@ def csv_load_bad_records(spark, sf_dir):
 @query("requests_from_json")
 def requests_from_json(spark, sf_dir):
     path = scratch_dir(spark, "requests")
-    open_workspace(spark, sf_dir)
+    open_workspace(spark, sf_dir, write=())
     rows = spark.table(config.COUNT_TABLE).select(
         F.concat_ws("/", F.date_format("date", "yyyy-MM-dd"), "state").alias("id"), "state")
     write_requests(build_requests(rows, "id", "state"), path)
@@ -374,21 +384,25 @@ def window_union(spark, sf_dir):
 @query("feature_histogram")
 def feature_histogram(spark, sf_dir):
     ws = open_workspace(spark, sf_dir)
-    return histogram(drift_windows(spark, ws), "lag_1_vaccine_interest", by="year", bins=10)
+    cols = ["lag_1_vaccine_interest", "lag_1_vaccine_intent", "lag_1_vaccine_safety",
+            config.Y_COL]
+    return rounded(histogram(drift_windows(spark, ws), cols, by="year", bins=10),
+                   {"lo": 6, "hi": 6})
 
 
 @query("feature_target_corr")
 def feature_target_corr(spark, sf_dir):
     ws = open_workspace(spark, sf_dir)
-    return correlations(drift_windows(spark, ws), config.X_COLS, config.Y_COL, by="year")
+    return rounded(correlations(drift_windows(spark, ws), config.X_COLS, config.Y_COL, by="year"),
+                   {"corr": 9})
 
 
 # ---- scalar functions --------------------------------------------------------
 
 @query("scalar_functions")
 def scalar_functions(spark, sf_dir):
-    """FN-1..FN-10 over the count table (FN-11 runs in requests_from_json)."""
-    open_workspace(spark, sf_dir)
+    """FN-1..FN-8, FN-10 over the count table (FN-9: feature_tensor, FN-11: requests_from_json)."""
+    open_workspace(spark, sf_dir, write=())
     c = spark.table(config.COUNT_TABLE)
     text = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
     return c.select(
@@ -408,9 +422,6 @@ def scalar_functions(spark, sf_dir):
 
 # ---- model (rows-only: results depend on the library) -----------------------
 
-TREES_IN_QUERIES = 10
-
-
 def _model_data(spark, sf_dir):
     """The model's input, checkpointed once: boosting iterates over it, and fit
     and transform then read the same materialized rows instead of re-running
@@ -423,21 +434,40 @@ def _model_data(spark, sf_dir):
 @query("train_predict")
 def train_predict(spark, sf_dir):
     data = _model_data(spark, sf_dir)
-    model = fit(data, gbt_pipeline(trees=TREES_IN_QUERIES))
+    model = fit(data, gbt_pipeline())
     return model.transform(data).select("state", config.EVENT_TS, config.Y_COL,
                                         F.col("prediction").cast("float").alias("prediction"))
 
 
+@query("train_predict_poisson")
+def train_predict_poisson(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    model = fit(data, poisson_pipeline())
+    return model.transform(data).select("state", config.EVENT_TS, config.Y_COL,
+                                        F.col("prediction").cast("float").alias("prediction"))
+
+
+@query("feature_tensor")
+def feature_tensor(spark, sf_dir):
+    """FN-9: the 8-wide float vector of every request key, and whether it is known."""
+    ws = open_workspace(spark, sf_dir)
+    store = _published_store(spark, ws, "tensor")
+    feats = get_online_features(store, ws.serving, request_states(spark, sf_dir))
+    known = F.greatest(*[F.col(c).isNotNull() for c in config.X_COLS])
+    return feats.select("state", F.to_json(feature_array(config.X_COLS, "double")).alias("tensor"),
+                        known.alias("known"))
+
+
 @query("validation_mae")
 def validation_mae(spark, sf_dir):
-    train, test = temporal_split(_model_data(spark, sf_dir), 1, config.EVENT_TS, by="week")
-    model = fit(train, gbt_pipeline(trees=TREES_IN_QUERIES))
+    train, test = temporal_split(_model_data(spark, sf_dir), timedelta(weeks=1), config.EVENT_TS)
+    model = fit(train, gbt_pipeline())
     return mae(model, test)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    model = fit(_model_data(spark, sf_dir), gbt_pipeline(trees=TREES_IN_QUERIES))
+    model = fit(_model_data(spark, sf_dir), gbt_pipeline())
     return importance(spark, model)
 
 
@@ -447,8 +477,7 @@ def batch_score(spark, sf_dir):
     one distributed job for all keys."""
     ws = open_workspace(spark, sf_dir)
     registry = ModelRegistry(spark, scratch_dir(spark, "models"))
-    registry.save("predict-counts", fit(_model_data(spark, sf_dir),
-                                        gbt_pipeline(trees=TREES_IN_QUERIES)))
+    registry.save("predict-counts", fit(_model_data(spark, sf_dir), gbt_pipeline()))
     store = _published_store(spark, ws, "score")
     req_path = scratch_dir(spark, "score-requests")
     keys = request_states(spark, sf_dir).withColumn("id", F.col("state"))
@@ -470,25 +499,30 @@ def _drift_frames(spark, sf_dir, target=True):
 @query("drift_ks")
 def drift_ks(spark, sf_dir):
     a, b = _drift_frames(spark, sf_dir)
-    return ks_test(a, b, config.X_COLS)
+    return rounded(ks_test(a, b, config.X_COLS).drop("mean_a", "mean_b"),
+                   {"statistic": 9, "p_value": 6})
 
 
 @query("drift_chi2")
 def drift_chi2(spark, sf_dir):
     a, b = _drift_frames(spark, sf_dir)
-    return chi2_test(a, b, "state")
+    return rounded(chi2_test(a, b, "state"), {"statistic": 6, "p_value": 6})
 
 
 @query("drift_target")
 def drift_target(spark, sf_dir):
     a, b = _drift_frames(spark, sf_dir)
-    return target_drift(a, b, "target")
+    return rounded(target_drift(a, b, "target"), {"statistic": 6, "p_value": 6})
 
 
 @query("drift_report")
 def drift_report(spark, sf_dir):
     a, b = _drift_frames(spark, sf_dir)
-    return report(a, b, config.X_COLS, ["state"], target="target")
+    shown = report(a, b, config.X_COLS, ["state"], target="target")
+    digits = F.when(F.col("test") == "ks", F.round("statistic", 9)).otherwise(
+        F.round("statistic", 6))
+    return rounded(shown.withColumn("statistic", digits),
+                   {"p_value": 6, "mean_a": 6, "mean_b": 6, "share_drifted": 6})
 
 
 def serving_snapshot(spark, ws) -> DataFrame:
@@ -496,11 +530,12 @@ def serving_snapshot(spark, ws) -> DataFrame:
     counts = latest_snapshot(ws.counts.to_df(spark), ws.counts).select(
         "state", "lag_1_weekly_vaccinations_count", "lag_2_weekly_vaccinations_count")
     trend = latest_snapshot(ws.trend.to_df(spark), ws.trend).select("state", *config.TREND_FEATURES)
-    return counts.join(bounded_broadcast(trend), "state", "left").select("state", *config.X_COLS)
+    return counts.join(trend, "state", "left").select("state", *config.X_COLS)
 
 
 @query("online_out_of_bounds")
 def online_out_of_bounds(spark, sf_dir):
     ws = open_workspace(spark, sf_dir)
     baseline = fetch_window(spark, ws, *config.DRIFT_WINDOW_A)
-    return out_of_bounds(baseline, serving_snapshot(spark, ws), config.X_COLS, ["state"])
+    flagged = out_of_bounds(baseline, serving_snapshot(spark, ws), config.X_COLS, ["state"])
+    return rounded(flagged, {"lo": 6, "hi": 6})

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pintime import config
-from pintime.functions.nulls import fill_zero_all, not_in_keep_nulls
+from pintime.functions.nulls import as_nullable_int, fill_zero_all, not_in_keep_nulls
 from pintime.functions.time import date_to_ts, week_ending_monday
 
 _TREND_MEASURES = [
@@ -56,9 +57,12 @@ def clean_daily(daily: DataFrame) -> DataFrame:
 def weekly_counts(daily: DataFrame) -> DataFrame:
     """AGG-2: weekly sum per location over Tue..Mon bins labelled by the
     closing Monday; only observed (week, location) pairs appear."""
-    return (clean_daily(daily)
-            .groupBy(week_ending_monday("date").alias("date"), "location")
-            .agg(F.sum("daily_count").cast("bigint").alias("lag_1_weekly_vaccinations_count")))
+    name = "lag_1_weekly_vaccinations_count"
+    weekly = (clean_daily(daily).groupBy(week_ending_monday("date").alias("date"), "location")
+              .agg(F.sum("daily_count").alias(name)))
+    # PRJ-5: fractional sums stay as they are; whole ones become nullable integers
+    whole = isinstance(weekly.schema[name].dataType, T.IntegralType)
+    return weekly if whole else as_nullable_int(weekly, [name])
 
 
 def count_features(daily: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ levels (MAE) are comparable across libraries.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,18 +36,25 @@ def gbt_pipeline(trees: int = config.GBT_TREES, depth: int = config.GBT_DEPTH,
 
 
 def poisson_pipeline(label: str = config.Y_COL, max_iter: int = 50) -> Pipeline:
-    """Count regression with a log link on standardized features."""
+    """ML-3's count objective: Poisson regression with a log link on standardized
+    features. ``fit`` leaves out rows with a missing feature; scoring keeps them and
+    gives them a null prediction."""
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     glm = GeneralizedLinearRegression(featuresCol="scaled", labelCol=label, family="poisson",
-                                      link="log", maxIter=max_iter, regParam=1e-3)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(config.X_COLS), outputCol="features",
-                                            handleInvalid="skip"), scaler, glm])
+                                      link="log", maxIter=max_iter, regParam=1e-3,
+                                      predictionCol="_glm")
+    missing_null = SQLTransformer(statement="SELECT *, IF(isnan(_glm), NULL, _glm) AS prediction "
+                                            "FROM __THIS__")
+    return Pipeline(stages=[assembler(), scaler, glm, missing_null])
 
 
 def fit(data: DataFrame, pipeline: Pipeline | None = None) -> PipelineModel:
     """ML-3 / ML-5: fit on X + y (rows with a null label cannot train)."""
     pipeline = pipeline or gbt_pipeline()
-    return pipeline.fit(data.where(F.col(config.Y_COL).isNotNull()))
+    rows = data.where(F.col(config.Y_COL).isNotNull())
+    if any(isinstance(s, GeneralizedLinearRegression) for s in pipeline.getStages()):
+        rows = rows.na.drop(subset=list(config.X_COLS))     # a linear model has no missing branch
+    return pipeline.fit(rows)
 
 
 def mae(model: PipelineModel, test: DataFrame, label: str = config.Y_COL) -> DataFrame:
@@ -56,6 +64,15 @@ def mae(model: PipelineModel, test: DataFrame, label: str = config.Y_COL) -> Dat
                     F.count(F.lit(1)).alias("n"))
 
 
+def validation_curve(spark: SparkSession, model: PipelineModel, test: DataFrame,
+                     label: str = config.Y_COL) -> DataFrame:
+    """ML-4: ``trees, mae``: the test error after every boosting round."""
+    rows = model.stages[0].transform(test.where(F.col(label).isNotNull()))
+    errors = model.stages[-1].evaluateEachIteration(rows, "absolute")
+    return spark.createDataFrame(list(enumerate(map(float, errors), start=1)),
+                                 "trees int, mae double")
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel,
                        cols: Sequence[str] = config.X_COLS) -> DataFrame:
     """ML-6: ``feature, importance`` (one row per input column)."""
@@ -78,8 +95,9 @@ def score(model: PipelineModel, features: DataFrame, keys: Sequence[str] = ("sta
 
 class ModelRegistry:
     """ML-8: models saved under integer versions; the next version is the
-    largest stored one plus one (Q12). An append-only version table records
-    each save after the model files are complete."""
+    largest stored one plus one (Q12). Every save writes a directory of its own;
+    an append-only version table records its path after the model files are
+    complete, so a save that died is never seen and blocks nothing."""
 
     _SCHEMA = T.StructType([T.StructField("name", T.StringType()),
                             T.StructField("version", T.LongType()),
@@ -99,7 +117,7 @@ class ModelRegistry:
 
     def save(self, name: str, model: PipelineModel) -> int:
         version = (self.latest(name) or 0) + 1
-        path = f"{self.root}/{name}/{version}"
+        path = f"{self.root}/{name}/{version}-{uuid.uuid4().hex[:12]}"
         model.write().save(path)
         row = self.spark.createDataFrame([(name, version, path)], self._SCHEMA)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
@@ -108,6 +126,8 @@ class ModelRegistry:
     def load(self, name: str, version: int = -1) -> PipelineModel:
         """``version=-1`` loads the latest, as the serving config does."""
         v = self.latest(name) if version == -1 else version
-        if v is None:
-            raise KeyError(f"no saved model {name!r}")
-        return PipelineModel.load(f"{self.root}/{name}/{v}")
+        row = (self._versions().where((F.col("name") == name) & (F.col("version") == v))
+               .agg(F.max("path").alias("path")).first() if v is not None else None)
+        if row is None or row["path"] is None:
+            raise KeyError(f"no saved model {name!r}, version {version}")
+        return PipelineModel.load(row["path"])

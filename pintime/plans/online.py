@@ -2,33 +2,37 @@
 
 Layout under a shared root:
 
-* ``<root>/<view>/v=<n>/``: one complete snapshot per published version,
-  ``keys, event_ts, features``, newest value per key.
-* ``<root>/_state/``: append-only ``view, end_ts, version`` rows; the newest
+* ``<root>/<view>/<version>-<attempt>/``: one complete snapshot per publishing
+  attempt, ``keys, event_ts, features``, newest value per key.
+* ``<root>/_state/``: append-only ``view, end_ts, version, path`` rows; the newest
   version per view is current.
 
-A run reads the current version, writes a *new* directory and appends its
-state row last, so a failed run leaves the previous snapshot in place and
-nothing is ever overwritten while being read.
+A run reads the current version, writes a directory that no other attempt shares
+and appends its state row last. A run that dies in between leaves an orphan
+directory that nothing points to, and the next run goes on as if it had not
+been. The stored end never moves back. Values older than the view's TTL at the
+end are evicted when a snapshot is published.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pintime.definitions import FeatureService, FeatureView
-from pintime.operators.broadcast import bounded_broadcast
-from pintime.operators.latest import SNAPSHOT_TS, latest_per_key, upsert
+from pintime.functions.time import ts_lit
+from pintime.operators.latest import SNAPSHOT_TS, expire, latest_per_key, upsert
 
 _STATE_SCHEMA = T.StructType([
     T.StructField("view", T.StringType(), False),
     T.StructField("end_ts", T.TimestampNTZType(), False),
     T.StructField("version", T.LongType(), False),
+    T.StructField("path", T.StringType(), False),
 ])
 
 
@@ -36,6 +40,7 @@ _STATE_SCHEMA = T.StructType([
 class Published:
     version: int
     end_ts: datetime
+    path: str
 
 
 class SnapshotStore:
@@ -53,17 +58,14 @@ class SnapshotStore:
     def current(self, view: str) -> Published | None:
         state = self._state()
         row = (state.where(F.col("view") == view)
-               .agg(F.max(F.struct("version", "end_ts")).alias("m")).first())
+               .agg(F.max(F.struct("version", "end_ts", "path")).alias("m")).first())
         if row is None or row["m"] is None:
             return None
-        return Published(int(row["m"]["version"]), row["m"]["end_ts"])
-
-    def path(self, view: str, version: int) -> str:
-        return f"{self.root}/{view}/v={version:06d}"
+        return Published(int(row["m"]["version"]), row["m"]["end_ts"], row["m"]["path"])
 
     def snapshot(self, view: str) -> DataFrame | None:
         cur = self.current(view)
-        return None if cur is None else self.spark.read.parquet(self.path(view, cur.version))
+        return None if cur is None else self.spark.read.parquet(cur.path)
 
     def publish(self, view: str, snap: DataFrame, end_ts: datetime,
                 current: Published | None = None) -> Published:
@@ -71,10 +73,12 @@ class SnapshotStore:
         the version the caller read; it is re-read when not given."""
         cur = current if current is not None else self.current(view)
         version = 1 if cur is None else cur.version + 1
-        snap.write.mode("errorifexists").parquet(self.path(view, version))
-        state = self.spark.createDataFrame([(view, end_ts, version)], _STATE_SCHEMA)
+        end_ts = end_ts if cur is None else max(end_ts, cur.end_ts)
+        path = f"{self.root}/{view}/{version:06d}-{uuid.uuid4().hex[:12]}"
+        snap.write.mode("errorifexists").parquet(path)
+        state = self.spark.createDataFrame([(view, end_ts, version, path)], _STATE_SCHEMA)
         state.coalesce(1).write.mode("append").parquet(f"{self.root}/_state")
-        return Published(version, end_ts)
+        return Published(version, end_ts, path)
 
 
 def materialize_incremental(spark: SparkSession, store: SnapshotStore, view: FeatureView,
@@ -83,8 +87,11 @@ def materialize_incremental(spark: SparkSession, store: SnapshotStore, view: Fea
     """FS-7: rows with event time in (last end, end] (first run: from
     ``end - ttl``), newest per key, merged into the snapshot (newest wins),
     published as a new version. Returns the new snapshot."""
-    end_ts = end_ts or datetime.now()
-    cur = None if full_refresh else store.current(view.name)
+    end_ts = end_ts or datetime.now(timezone.utc).replace(tzinfo=None)
+    last = store.current(view.name)
+    if last is not None and not full_refresh:
+        end_ts = max(end_ts, last.end_ts)       # an earlier end adds nothing and moves nothing
+    cur = None if full_refresh else last
     start = cur.end_ts if cur is not None else (end_ts - view.ttl if view.ttl else None)
     src = view.to_df(spark)
     ts = view.source.timestamp_field
@@ -94,17 +101,19 @@ def materialize_incremental(spark: SparkSession, store: SnapshotStore, view: Fea
     inc = latest_per_key(src.where(cond), view.join_keys, ts, view.feature_names,
                          created=view.source.created_timestamp_column)
     if cur is not None:
-        prev = spark.read.parquet(store.path(view.name, cur.version))
+        prev = spark.read.parquet(cur.path)
         inc = upsert(prev, inc, view.join_keys, view.feature_names)
-    pub = store.publish(view.name, inc, end_ts, current=cur)
-    return spark.read.parquet(store.path(view.name, pub.version))
+    if view.ttl is not None:
+        inc = expire(inc, ts_lit(end_ts.isoformat(sep=" ")), view.ttl)
+    pub = store.publish(view.name, inc, end_ts, current=last)
+    return spark.read.parquet(pub.path)
 
 
 def get_online_features(store: SnapshotStore, service: FeatureService,
                         requests: DataFrame) -> DataFrame:
     """JN-3: request rows, left-joined to each view's current snapshot,
-    features in service order. A snapshot is broadcast only while its row
-    count is within the bound; beyond it the join shuffles."""
+    features in service order. Spark broadcasts a snapshot if it measures it to be
+    small, and splits skewed requests otherwise."""
     out = requests
     for proj in service.projections():
         keys = proj.view.join_keys
@@ -113,8 +122,7 @@ def get_online_features(store: SnapshotStore, service: FeatureService,
             types = {f.name: f.dtype for f in proj.view.schema}
             out = out.select("*", *[F.lit(None).cast(types[f]).alias(f) for f in proj.features])
             continue
-        side = bounded_broadcast(snap.select(*keys, *proj.features))
-        out = out.join(side, on=keys, how="left")
+        out = out.join(snap.select(*keys, *proj.features), on=keys, how="left")
     return out.select(*requests.columns, *service.feature_names())
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
 from pintime import config
@@ -21,7 +19,7 @@ def get_historical_features(spark: SparkSession, service: FeatureService,
     """Entity rows + every service feature, point-in-time correct.
 
     Entity rows come from a frame or a SQL string over registered views. Views
-    sharing the same join keys are joined in one pass (one shuffle).
+    sharing the same join keys are joined in one pass.
     ``feature_time_range=(lo, hi)`` bounds the feature scan (pushed to the
     parquet reader); pass ``(min entity ts - ttl, max entity ts)`` when known.
     Errors are raised, not printed (Q7).
@@ -48,6 +46,3 @@ def get_historical_features(spark: SparkSession, service: FeatureService,
         out = asof_join(out, sides, keys, entity_ts=event_timestamp, bucket_days=bucket_days)
     return out
 
-
-def feature_columns(service: FeatureService) -> Sequence[str]:
-    return service.feature_names()

@@ -1,11 +1,10 @@
 """A workspace binds one data directory: raw views, the two feature tables as
 temp views, and the registered definitions.
 
-As in the reference, the feature tables are built once from the raw tables and
-written (parquet, under the shared checkpoint root); retrieval, publishing and
-drift then read the written tables instead of rebuilding them per query. The
-written tables also cut lineage, so a lost executor re-reads files rather
-than re-aggregating the raw data.
+A workspace builds the feature tables from the raw tables and writes them (parquet,
+under the shared checkpoint root), because retrieval, publishing and drift read
+them several times; the written tables also cut lineage, so a lost executor
+re-reads files rather than re-aggregating the raw data.
 """
 
 from __future__ import annotations
@@ -45,9 +44,6 @@ class Workspace:
     def training(self) -> FeatureService:
         return self.repo.get_feature_service("training_features")
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.table(name)
-
     def count_table(self) -> DataFrame:
         return self.spark.table(config.COUNT_TABLE)
 
@@ -55,39 +51,20 @@ class Workspace:
         return self.spark.table(config.TREND_TABLE)
 
 
-# The workspace whose views are currently registered, per session. Views are
-# session-global names, so opening another directory re-registers them.
-_current: dict[int, Workspace] = {}
-
-
-# Feature tables already written per (session, data directory).
-_written: dict[tuple[int, str], tuple[str, str]] = {}
-
+def open_workspace(spark: SparkSession, sf_dir: str,
+                   write: tuple[str, ...] = ("trends", "counts")) -> Workspace:
+    """Build the feature tables from the raw tables under ``sf_dir`` and register them.
 
-def open_workspace(spark: SparkSession, sf_dir: str, refresh: bool = False,
-                   materialize: bool = True) -> Workspace:
-    """Register the views for ``sf_dir`` (reused while they are still the
-    registered ones). ``refresh=True`` rebuilds the feature tables from the
-    raw tables; ``materialize=False`` keeps them as lazy plans."""
-    cur = _current.get(id(spark))
-    if (not refresh and cur is not None and cur.spark is spark and cur.sf_dir == sf_dir
-            and spark.catalog.tableExists(config.COUNT_TABLE)):
-        return cur
+    Nothing is remembered between calls: every workspace reads its sources anew. The
+    tables named in ``write`` are written under a folder of this workspace's own (they
+    are read more than once); the others stay lazy plans."""
     register_raw_views(spark, sf_dir)
-    trend = trend_features(spark.table("trend_points"))
-    counts = count_features(spark.table("daily_counts"))
-    if materialize:
-        key = (id(spark), sf_dir)
-        if refresh or key not in _written:
-            root = scratch_dir(spark, "workspace")
-            overwrite_table(trend, f"{root}/trends")
-            overwrite_table(counts, f"{root}/counts")
-            _written[key] = (f"{root}/trends", f"{root}/counts")
-        trend_path, counts_path = _written[key]
-        trend, counts = spark.read.parquet(trend_path), spark.read.parquet(counts_path)
-    trend.createOrReplaceTempView(config.TREND_TABLE)
-    counts.createOrReplaceTempView(config.COUNT_TABLE)
-    repo = build_repo(spark, trend_view(), count_view())
-    ws = Workspace(spark, sf_dir, repo)
-    _current[id(spark)] = ws
-    return ws
+    root = scratch_dir(spark, "workspace")
+    tables = {"trends": (trend_features(spark.table("trend_points")), config.TREND_TABLE),
+              "counts": (count_features(spark.table("daily_counts")), config.COUNT_TABLE)}
+    for name, (df, view) in tables.items():
+        if name in write:
+            overwrite_table(df, f"{root}/{name}")
+            df = spark.read.parquet(f"{root}/{name}")
+        df.createOrReplaceTempView(view)
+    return Workspace(spark, sf_dir, build_repo(spark, trend_view(), count_view()))

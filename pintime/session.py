@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "pintime") -> SparkSession:
     """Session with the settings the library relies on.
 
@@ -27,8 +27,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.sql.adaptive.enabled", "true")
+    if shuffle_partitions:      # else the cluster's own setting holds
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b.config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
@@ -49,12 +50,15 @@ def _configured_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root; set a local one only if none is set."""
+    """The shared checkpoint root. Only a local master may go without the setting: it
+    gets a temporary folder; a cluster's executors would not share one."""
     root = _configured_root(spark)
     if root:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
         return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     # `spark.checkpoint.dir` cannot be changed on a running session; set the
     # context's checkpoint directory, which later calls read back
     root = tempfile.mkdtemp(prefix="pintime-ckpt-")

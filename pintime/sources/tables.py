@@ -13,8 +13,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintime.operators.broadcast import bounded_broadcast
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -25,24 +23,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return bounded_broadcast(nation, cache_key=table_path(sf_dir, "nation"))
+    return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``date DATE, location STRING, daily_count BIGINT``: orders per day and
     customer nation.
 
-    The customer-to-nation map is broadcast only when its row count is within
-    the bound; otherwise orders and customers meet in a sort-merge join. The
-    count is partially aggregated per task before the (date, location) shuffle.
+    Spark broadcasts the customer-to-nation map if it measures it to be small;
+    otherwise orders and customers meet in a sort-merge join. The count is
+    partially aggregated per task before the (date, location) shuffle.
     """
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     cust_nation = (cust.join(_nation_names(spark, sf_dir),
                              F.col("c_nationkey") == F.col("n_nationkey"))
                    .select("c_custkey", "n_name"))
-    cust_nation = bounded_broadcast(cust_nation,
-                                    cache_key=table_path(sf_dir, "customer") + "#nation")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_custkey", F.to_date("o_orderdate").alias("date"))
     joined = orders.join(cust_nation, F.col("o_custkey") == F.col("c_custkey"))
@@ -62,8 +57,6 @@ def trend_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("s_nationkey") == F.col("n_nationkey"))
                    .select("s_suppkey", F.col("n_name").alias("sub_region_1"),
                            F.col("s_name").alias("sub_region_2")))
-    supp_nation = bounded_broadcast(supp_nation,
-                                    cache_key=table_path(sf_dir, "supplier") + "#nation")
     items = read_table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         F.trunc(F.to_date("l_shipdate"), "week").alias("date"),

@@ -17,18 +17,22 @@ def test_describe_matches_pandas_quartiles(spark):
 
 def test_histogram_constant_and_edges(spark):
     df = spark.createDataFrame([(1, 2.0), (1, 2.0), (2, 2.0)], "y int, x double")
-    rows = sorted(tuple(r) for r in histogram(df, "x", by="y", bins=10).collect())
+    rows = sorted(tuple(r) for r in histogram(df, ["x"], by="y", bins=10).drop("feature").collect())
     assert rows == [(1, 0, 2.0, 2.0, 2), (2, 0, 2.0, 2.0, 1)]
     df2 = spark.createDataFrame([(1, 0.0), (1, 10.0), (1, 5.0)], "y int, x double")
-    bins = sorted((r.bin, r.n) for r in histogram(df2, "x", by="y", bins=10).collect())
+    bins = sorted((r.bin, r.n) for r in histogram(df2, ["x"], by="y", bins=10).collect())
     assert bins == [(0, 1), (5, 1), (9, 1)]       # the maximum falls in the last bin
 
 
 def test_correlations_overall_and_by_group(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (1, 2.0, 4.0), (2, 1.0, 1.0), (2, 2.0, 0.0)],
                                "y int, f double, t double")
-    got = {(r.y, r.feature): r.corr for r in correlations(df, ["f"], "t", by="y").collect()}
-    assert got[(1, "f")] == 1.0 and got[(2, "f")] == -1.0 and (None, "f") in got
+    df = df.unionByName(spark.createDataFrame([(None, 1.0, 2.0), (None, 2.0, 5.0),
+                                               (1, float("nan"), 7.0)], df.schema))
+    got = {(r.y, r.overall): (round(r.corr, 9), r.n)
+           for r in correlations(df, ["f"], "t", by="y").collect()}
+    assert got[(1, False)] == (1.0, 2) and got[(2, False)] == (-1.0, 2)
+    assert got[(None, False)] == (1.0, 2) and got[(None, True)][1] == 6
 
 
 def test_head_tail_and_stage_counts(spark):
@@ -37,3 +41,15 @@ def test_head_tail_and_stage_counts(spark):
     assert [r.i for r in tail(df, ["i"], 3).collect()] == [7, 8, 9]
     sc = {r.stage: (r.n_rows, r.n_keys) for r in stage_counts([("all", df)], "k").collect()}
     assert sc == {"all": (10, 3)}
+
+
+def test_nan_and_null_groups(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", nan), ("a", 4.0), ("a", 6.0)],
+                               "g string, x double")
+    by = {r.g: r for r in describe(df, "x", by=["g"]).collect()}
+    assert (by[None].p50, by[None]["count"]) == (2.0, 2)
+    assert (by["a"].p50, by["a"]["count"], by["a"].mean, by["a"].max) == (5.0, 2, 5.0, 6.0)
+    two = histogram(df.withColumn("z", df.x * 2), ["x", "z"], by="g", bins=2).collect()
+    assert {(r.g, r.feature, r.bin, r.n) for r in two if r.feature == "z"} == {
+        (None, "z", 0, 2), ("a", "z", 1, 2)} and sum(r.n for r in two) == 8

@@ -66,3 +66,22 @@ def test_incremental_equals_full(spark, tmp_root):
     svc = FeatureService("s", [view])
     got = sorted((r.state, r.x) for r in get_online_features(inc_store, svc, req).collect())
     assert got == [("A", 2), ("Z", None)]
+
+
+def test_publish_after_a_crash_and_no_rewind(spark, tmp_root):
+    rows = [("A", D("2021-01-04"), 1), ("A", D("2021-01-11"), 2), ("B", D("2021-01-05"), 3)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_root}/src")
+    view, store = _view(f"{tmp_root}/src"), SnapshotStore(spark, f"{tmp_root}/s")
+    # a run that died after its snapshot and before its state row
+    spark.createDataFrame([("Z",)], "x string").write.parquet(f"{tmp_root}/s/v/000001-dead")
+    first = materialize_incremental(spark, store, view, end_ts=D("2021-02-15"))
+    assert store.current("v").version == 1
+    again = materialize_incremental(spark, store, view, end_ts=D("2021-01-06"))
+    assert snap_rows(again) == snap_rows(first)
+    assert store.current("v").end_ts == D("2021-02-15") and store.current("v").version == 2
+    # values older than the TTL at the end are evicted
+    late = materialize_incremental(spark, store, _view(f"{tmp_root}/src", timedelta(days=40)),
+                                   end_ts=D("2021-02-16"))
+    assert snap_rows(late) == [("A", D("2021-01-11"), 2)]
+    now = materialize_incremental(spark, SnapshotStore(spark, f"{tmp_root}/now"), view)
+    assert now.count() == 0

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from pintime.plans.catalog import QUERIES
 from pintime.functions.time import ts_lit
 
 SF = "/root/testdata/sf0.001"
@@ -50,10 +51,27 @@ def test_time_range_reaches_parquet_scan(spark, tmp_root):
 
 
 def test_no_cross_or_nested_loop_join_in_any_query(spark):
-    skip = {"train_predict", "validation_mae", "feature_importance", "batch_score"}
-    for key, fn in entry.queries().items():
+    skip = {"train_predict", "train_predict_poisson", "validation_mae", "feature_importance",
+            "batch_score"}
+    for key, fn in QUERIES.items():
         if key in skip:
             continue
         text = plan(fn(spark, SF))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Join Cross"):
             assert bad not in text, (key, bad)
+
+
+def test_key_filter_reaches_every_scan_of_the_training_set(spark):
+    text = plan(entry.queries()["filter_state"](spark, SF))
+    scans = re.findall(r"PushedFilters: \[([^\]]*)\]", text)
+    assert scans and all("EqualTo(state,NATION_19)" in s for s in scans)
+
+
+def test_changed_sources_give_new_answers(spark, tmp_root):
+    for t in ("nation", "customer", "supplier", "orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_root}/{t}.parquet")
+    before = entry.queries()["training_set"](spark, tmp_root).count()
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    orders.where("o_orderkey % 3 = 0").write.mode("overwrite").parquet(f"{tmp_root}/orders.parquet")
+    after = entry.queries()["training_set"](spark, tmp_root).count()
+    assert 0 < after < before
