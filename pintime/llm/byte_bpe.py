@@ -36,7 +36,7 @@ from pintime.llm.common import (
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF = 6            # bytes that one merge loop takes
-KEPT = 400_000      # merges of short byte strings that are remembered
+KEPT = 200_000      # merges of short byte strings that are remembered
 
 
 _FORMATS = [struct.Struct(f"<{n}I") for n in range(64)]

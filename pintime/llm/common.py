@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 #: Python work happens on groups of rows of about this many characters, so that
 #: memory follows this bound (or the longest single text), not the Arrow batch.
-GROUP_CHARS = 1_500_000
+GROUP_CHARS = 700_000
 
 #: Unicode White_Space, as the tokenizers' ``\s`` has it (fixed values).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -192,7 +192,7 @@ class ChunkCache:
     LONGEST = 64
 
     def __init__(self, compute: Callable[[list[str]], list], prefix: str = " ",
-                 limit: int = 500_000):
+                 limit: int = 200_000):
         self.compute, self.prefix, self.limit = compute, prefix, limit
         self.plain, self.cut = _Kept(), _Kept()
         self.old_plain: dict = {}
