@@ -309,8 +309,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST,
     """Train on a bounded sample of texts with digits or addresses; None without any."""
     rows = (docs.select(F.col(text_col).cast("string").alias("text"))
             .where((F.char_length("text") <= longest) & F.col("text").rlike("[0-9@]"))
-            .select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(sample))
-    texts = [r["text"] for r in rows.collect()]
+            .select(F.xxhash64("text").alias("h"), "text"))
+    # the least hashes first, so that no task sends texts that aren't chosen
+    chosen = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(sample).collect()]
+    texts = [r["text"] for r in rows.where(F.col("h") <= chosen[-1]).groupBy("h")
+             .agg(F.min("text").alias("text")).orderBy("h").collect()] if chosen else []
     return train(texts) if texts else None
 
 
