@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +40,15 @@ class Field:
 @dataclass
 class FeatureSource:
     """SRC-1: a table (catalog or temp view name) or a parquet path, with the
-    name of its event-time column."""
+    name of its event-time column and, if it is partitioned by the year of its
+    event time, of that partition column."""
 
     name: str
     timestamp_field: str
     table: str | None = None
     path: str | None = None
     created_timestamp_column: str | None = None
+    period: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.table is not None:
@@ -87,9 +89,12 @@ class FeatureView:
     def projection(self) -> FeatureViewProjection:
         return FeatureViewProjection(self, self.feature_names)
 
-    def to_df(self, spark: SparkSession, features: Sequence[str] | None = None) -> DataFrame:
+    def to_df(self, spark: SparkSession, features: Sequence[str] | None = None,
+              time_range: tuple[Column | None, Column | None] = (None, None)) -> DataFrame:
         """Keys, event time, (created time) and the declared features cast to
-        their declared types, e.g. SQL doubles to ``float``."""
+        their declared types, e.g. SQL doubles to ``float``. ``time_range`` bounds
+        the event time, both ends included (None: open); a source that is
+        partitioned by period then reads only the periods it needs."""
         feats = list(features) if features is not None else self.feature_names
         types = {f.name: f.dtype for f in self.schema}
         src = self.source
@@ -97,7 +102,14 @@ class FeatureView:
         if src.created_timestamp_column:
             cols.append(F.col(src.created_timestamp_column))
         cols += [F.col(n).cast(types[n]).alias(n) for n in feats]
-        return src.read(spark).select(*cols)
+        rows = src.read(spark)
+        periods = src.period if src.period in rows.columns else None
+        for bound, inside in zip(time_range, ("__ge__", "__le__"), strict=True):
+            if bound is not None:
+                rows = rows.where(getattr(F.col(src.timestamp_field), inside)(bound))
+                if periods:
+                    rows = rows.where(getattr(F.col(periods), inside)(F.year(bound)))
+        return rows.select(*cols)
 
 
 @dataclass

@@ -93,18 +93,17 @@ def materialize_incremental(spark: SparkSession, store: SnapshotStore, view: Fea
         end_ts = max(end_ts, last.end_ts)       # an earlier end adds nothing and moves nothing
     cur = None if full_refresh else last
     start = cur.end_ts if cur is not None else (end_ts - view.ttl if view.ttl else None)
-    src = view.to_df(spark)
     ts = view.source.timestamp_field
-    cond = F.col(ts) <= F.lit(end_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    src = view.to_df(spark, time_range=(None if start is None else ts_lit(start), ts_lit(end_ts)))
     if start is not None:
-        cond = cond & (F.col(ts) > F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
-    inc = latest_per_key(src.where(cond), view.join_keys, ts, view.feature_names,
+        src = src.where(F.col(ts) > ts_lit(start))
+    inc = latest_per_key(src, view.join_keys, ts, view.feature_names,
                          created=view.source.created_timestamp_column)
     if cur is not None:
         prev = spark.read.parquet(cur.path)
         inc = upsert(prev, inc, view.join_keys, view.feature_names)
     if view.ttl is not None:
-        inc = expire(inc, ts_lit(end_ts.isoformat(sep=" ")), view.ttl)
+        inc = expire(inc, ts_lit(end_ts), view.ttl)
     pub = store.publish(view.name, inc, end_ts, current=last)
     return spark.read.parquet(pub.path)
 

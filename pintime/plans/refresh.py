@@ -15,7 +15,7 @@ from pintime.plans.features import count_features, trend_features
 from pintime.plans.online import SnapshotStore, materialize_incremental
 from pintime.plans.repo import build_repo, count_view, trend_view
 from pintime.plans.workspace import Workspace
-from pintime.sources.sinks import overwrite_table
+from pintime.sources.sinks import write_feature_table
 from pintime.sources.tables import daily_counts, trend_points
 
 log = logging.getLogger(__name__)
@@ -35,8 +35,8 @@ def refresh(spark: SparkSession, sf_dir: str, root: str,
         c_obs, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("state").alias("keys"))
     trend_df = trend_features(trend_points(spark, sf_dir)).observe(
         t_obs, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("state").alias("keys"))
-    overwrite_table(counts_df, counts_path)
-    overwrite_table(trend_df, trend_path)
+    write_feature_table(counts_df, counts_path)
+    write_feature_table(trend_df, trend_path)
     for name, obs in (("weekly_counts", c_obs), ("trend_features", t_obs)):
         log.info("%s: %s", name, obs.get)
     trend, counts = trend_view(path=trend_path), count_view(path=counts_path)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pintime import config
 from pintime.definitions import FeatureService
+from pintime.functions.time import ts_lit
 from pintime.operators.asof import AsofSide, asof_join
 
 
@@ -20,8 +22,10 @@ def get_historical_features(spark: SparkSession, service: FeatureService,
 
     Entity rows come from a frame or a SQL string over registered views. Views
     sharing the same join keys are joined in one pass.
-    ``feature_time_range=(lo, hi)`` bounds the feature scan (pushed to the
-    parquet reader); pass ``(min entity ts - ttl, max entity ts)`` when known.
+    Only features from the oldest entity time less the view's TTL to the newest
+    entity time can match; that range is pushed to the feature scans and prunes
+    their periods. It costs one small aggregate over the entity rows; pass
+    ``feature_time_range=(lo, hi)`` when the bounds are known.
     Errors are raised, not printed (Q7).
     """
     if entity_df is None and entity_query is None:
@@ -29,14 +33,18 @@ def get_historical_features(spark: SparkSession, service: FeatureService,
     entity = entity_df if entity_df is not None else spark.sql(entity_query)
 
     groups: dict[tuple[str, ...], list[AsofSide]] = {}
+    if feature_time_range is None:
+        oldest, newest = entity.agg(F.min(event_timestamp), F.max(event_timestamp)).first()
     for proj in service.projections():
         view = proj.view
-        fdf = view.to_df(spark, proj.features)
         ts = view.source.timestamp_field
+        ttl = ttl_override if ttl_override is not None else view.ttl
         if feature_time_range is not None:
             lo, hi = feature_time_range
-            fdf = fdf.where(fdf[ts].between(lo, hi))
-        ttl = ttl_override if ttl_override is not None else view.ttl
+        else:
+            lo = ts_lit(oldest - ttl) if oldest is not None and ttl is not None else None
+            hi = ts_lit(newest) if newest is not None else None
+        fdf = view.to_df(spark, proj.features, time_range=(lo, hi))
         side = AsofSide(df=fdf, ts=ts, features=proj.features, ttl=ttl,
                         created=view.source.created_timestamp_column)
         groups.setdefault(tuple(view.join_keys), []).append(side)

@@ -18,7 +18,7 @@ from pintime.definitions import FeatureRepo, FeatureService, FeatureView
 from pintime.plans.features import count_features, trend_features
 from pintime.plans.repo import build_repo, count_view, trend_view
 from pintime.session import scratch_dir
-from pintime.sources.sinks import overwrite_table
+from pintime.sources.sinks import write_feature_table
 from pintime.sources.tables import register_raw_views
 
 
@@ -64,7 +64,7 @@ def open_workspace(spark: SparkSession, sf_dir: str,
               "counts": (count_features(spark.table("daily_counts")), config.COUNT_TABLE)}
     for name, (df, view) in tables.items():
         if name in write:
-            overwrite_table(df, f"{root}/{name}")
+            write_feature_table(df, f"{root}/{name}")
             df = spark.read.parquet(f"{root}/{name}")
         df.createOrReplaceTempView(view)
     return Workspace(spark, sf_dir, build_repo(spark, trend_view(), count_view()))

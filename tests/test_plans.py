@@ -75,3 +75,15 @@ def test_changed_sources_give_new_answers(spark, tmp_root):
     orders.where("o_orderkey % 3 = 0").write.mode("overwrite").parquet(f"{tmp_root}/orders.parquet")
     after = entry.queries()["training_set"](spark, tmp_root).count()
     assert 0 < after < before
+
+
+def test_periods_are_pruned(spark):
+    text = plan(entry.queries()["training_set"](spark, SF))
+    found = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
+    assert sum("period" in f for f in found) >= 2
+    from pintime.plans.workspace import open_workspace
+    ws = open_workspace(spark, SF)
+    one = ws.counts.to_df(spark, time_range=(ts_lit("1997-03-01"), ts_lit("1997-09-30")))
+    assert "PartitionFilters: [isnotnull(period" in plan(one)
+    years = {r.y for r in one.select(F.year("date").alias("y")).distinct().collect()}
+    assert years == {1997}
