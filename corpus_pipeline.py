@@ -25,6 +25,10 @@ from pintime.session import scratch_dir
 #: Least share of the leading language; less means that no language leads.
 MIN_LANGUAGE_SHARE = 0.34
 
+#: Percent of the union that near-duplicates share at least. An isolated pair right at
+#: it shares no bucket with probability (1 - 0.8^5)^25 = 5e-5.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs)
@@ -45,7 +49,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.where("doc_id is not null")
-    stay = (near_dedup.near_duplicates(named).where("kept").select("doc_id").distinct())
+    stay = (near_dedup.near_duplicates(named, NEAR_PERCENT).where("kept")
+            .select("doc_id").distinct())
     unique = named.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return unique.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 

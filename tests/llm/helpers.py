@@ -40,8 +40,8 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
 
 
-def brute_components(sets):
-    """Least id reachable over pairs with 100 * intersection >= 85 * union."""
+def brute_components(sets, percent=85):
+    """Least id reachable over pairs with 100 * intersection >= percent * union."""
     parent = {d: d for d in sets}
 
     def root(x):
@@ -54,7 +54,7 @@ def brute_components(sets):
         for b in ids[i + 1:]:
             x, y = sets[a], sets[b]
             both = len(x & y)
-            if both and 100 * both >= 85 * (len(x) + len(y) - both):
+            if both and 100 * both >= percent * (len(x) + len(y) - both):
                 ra, rb = root(a), root(b)
                 parent[max(ra, rb)] = min(ra, rb)
     return {d: root(d) for d in sets}

@@ -42,7 +42,8 @@ def test_quality_stage(stages):
 
 def test_near_duplicate_stage(stages):
     before = {r.doc_id: r.text for r in stages[2].collect()}
-    want = brute_components({d: shingles(t) for d, t in before.items()})
+    want = brute_components({d: shingles(t) for d, t in before.items()},
+                            corpus_pipeline.NEAR_PERCENT)
     assert {r.doc_id for r in stages[3].collect()} == {d for d, c in want.items() if c == d}
     assert stages[3].count() < len(before)
 
