@@ -192,7 +192,7 @@ class ChunkCache:
     LONGEST = 64
 
     def __init__(self, compute: Callable[[list[str]], list], prefix: str = " ",
-                 limit: int = 200_000):
+                 limit: int = 400_000):
         self.compute, self.prefix, self.limit = compute, prefix, limit
         self.plain, self.cut = _Kept(), _Kept()
         self.old_plain: dict = {}
