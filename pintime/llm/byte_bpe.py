@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import struct
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +29,7 @@ from pintime.llm.common import (
     chunks,
     id_text,
     map_text,
+    pack_ids,
     simple_pre_tokens,
     table,
 )
@@ -39,13 +39,6 @@ LEAF = 6            # bytes that one merge loop takes
 KEPT = 200_000      # merges of short byte strings that are remembered
 
 
-_FORMATS = [struct.Struct(f"<{n}I") for n in range(64)]
-
-
-def _pack(ids: list[int]) -> bytes:
-    return _FORMATS[len(ids)].pack(*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
-
-
 class Codec:
     """Ranks of a public vocabulary, and the monoid of encodings under ``join``."""
 
@@ -127,7 +120,7 @@ class Codec:
         return level[0]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        return [_pack(self.encode_bytes(w.encode())) for w in words]
+        return [pack_ids(self.encode_bytes(w.encode())) for w in words]
 
     def _encode_chunks(self, parts: list[str]) -> list[bytes]:
         matches = [(simple_pre_tokens(c) or self.pattern.findall(c), []) for c in parts]

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,6 +170,14 @@ def simple_pre_tokens(chunk: str) -> list[str] | None:
     return None if m is None else [m[1], m[2]] if m[2] else [m[1]]
 
 
+_FORMATS = [struct.Struct(f"<{n}I") for n in range(64)]
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return _FORMATS[len(ids)].pack(*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
+
+
 class _Kept(dict):
     """A dict that notes the keys it lacks and answers None for them."""
 

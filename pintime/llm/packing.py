@@ -22,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintime.llm.common import ChunkCache, chunks, id_text, map_text, table
+from pintime.llm.common import ChunkCache, chunks, id_text, map_text, pack_ids, table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 1
@@ -37,10 +37,10 @@ def _cache(path: str) -> ChunkCache:
     tokenizer = Tokenizer.from_file(path)
 
     def encode(parts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes()
+        return [pack_ids(e.ids)
                 for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    return ChunkCache(encode)
+    return ChunkCache(encode, limit=600_000)
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
