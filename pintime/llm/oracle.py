@@ -143,7 +143,22 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, turns_sha256, length(loss)::BIGINT A
 FROM c
 """
 
+OP4_TOPK_SEARCH = r"""
+WITH e AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: coalesce(x, 0) > 0) AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, e.vec_id AS neighbor_id,
+    len(list_filter(list_zip(q.code, e.code), lambda p: p[1] <> p[2])) AS distance
+  FROM e q JOIN e ON e.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank,
+  neighbor_id, distance::BIGINT AS distance
+FROM pairs
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) <= 10
+"""
+
 ORACLE_SQL = {
+    "op4_topk_search": OP4_TOPK_SEARCH,
     "op3_quality": OP3_QUALITY,
     "op6_near_dedup": OP6_NEAR_DEDUP,
     "op9_chat": OP9_CHAT,

@@ -12,11 +12,13 @@ from pintime.llm.packing import op1_packing
 from pintime.llm.personal_data import op7_personal_data
 from pintime.llm.quality import op3_quality
 from pintime.llm.token_counts import op2_token_counts
+from pintime.llm.topk_search import op4_topk_search
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
     "op3_quality": op3_quality,
+    "op4_topk_search": op4_topk_search,
     "op5_html": op5_html,
     "op6_near_dedup": op6_near_dedup,
     "op7_personal_data": op7_personal_data,
