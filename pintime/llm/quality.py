@@ -7,14 +7,15 @@ come from all documents with a language that read as prose (symbols are at most
 one character in a hundred and capitals one letter in five, so that littered
 texts don't shape what they are judged by): class counts, and each language's
 ``top_words`` most frequent words of up to ``max_letters`` letters, all other
-words being one bucket. A language needs ``min_share`` of the documents, so there
-are at most ``1 / min_share`` references of at most ``top_words`` words, whatever
-the input's size; that bound makes them fit for literals in the plan.
+words being one bucket. A language needs ``min_reference_chars`` characters of such
+text, whatever else the table holds. References are constant arrays in the plan,
+whose expressions do not grow with the languages; the driver collects at most
+``1 + top_words`` short rows a language, and a document's work is linear in them.
 
 Guards: the class histogram judges only texts of ``min_chars`` characters, the
-word histogram only texts of ``min_words`` words and not documents whose own
-``lang`` has no reference; what is not judged passes. ``base_failed`` is a plain
-rule on length and repetition and comes first.
+word histogram only texts of ``min_words`` words, and neither judges documents
+whose own ``lang`` has no reference; what is not judged passes. ``base_failed`` is
+a plain rule on length and repetition and comes first.
 
 Everything of a document is computed inside its row: no text is shuffled, a hot
 source costs nothing extra. Only the references shuffle: counts of short words
@@ -22,11 +23,14 @@ and of classes by language, summed in every task first.
 
 Defined results: null text counts as empty (no words: base_failed, not kept);
 with no usable language nothing but the base rule judges; repeated rows are
-judged one by one; null lang contributes to no reference.
+judged one by one; null lang contributes to no reference and is judged by the
+nearest of all references.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -59,7 +63,9 @@ COMMON = r"[a-z \p{Ll}\p{Nd}\x09-\x0D]+"
 
 TOP_WORDS = 64
 MAX_LETTERS = 6
-MIN_SHARE = 0.002
+#: Characters of prose that make a reference: shares of classes are then known to about half
+#: a percent.
+MIN_REFERENCE_CHARS = 10_000
 MIN_CHARS = 100
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.17
@@ -128,9 +134,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
 
 
 def references(docs: DataFrame, top_words: int = TOP_WORDS, max_letters: int = MAX_LETTERS,
-               min_share: float = MIN_SHARE, id_col: str = "doc_id", text_col: str = "text",
-               lang_col: str = "lang") -> References:
-    """Reference histograms over all documents; the result has a bound, see above."""
+               min_reference_chars: int = MIN_REFERENCE_CHARS, id_col: str = "doc_id",
+               text_col: str = "text", lang_col: str = "lang") -> References:
+    """Reference histograms over all documents, one for each language with enough prose."""
     rows = _rows(docs, id_col, text_col, lang_col).where("lang is not null")
     text = F.col("text")
     measured = rows.select(
@@ -159,8 +165,8 @@ def references(docs: DataFrame, top_words: int = TOP_WORDS, max_letters: int = M
     place = F.row_number().over(Window.partitionBy("lang").orderBy(
         F.col("word") != "", F.desc("n"), "word"))
     top = counts.withColumn("place", place).where(F.col("place") <= top_words + 1)
-    total = rows.agg(F.count("*").alias("n")).scalar()
-    usable = F.max(F.when(own, (F.col("n") >= min_share * total) & (F.col("n_words") > 0))).over(
+    chars = sum((F.col(n) for n in CLASSES[1:]), F.col(CLASSES[0]))
+    usable = F.max(F.when(own, (chars >= min_reference_chars) & (F.col("n_words") > 0))).over(
         Window.partitionBy("lang"))
     kept = top.withColumn("usable", usable).where("usable").orderBy("lang", "place").collect()
     classes, shares, size = {}, {}, {}
@@ -183,17 +189,19 @@ def _root(divergence: Column) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
+def _constant(value: list, schema: str) -> Column:
+    """A nested value as one constant of the plan, however large."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def class_distance(shares: list[Column], refs: References) -> Column:
     """Distance of the shares of ``CLASSES`` to the nearest reference."""
-    def distance(q: list[float]) -> Column:
-        parts = [_part(p, F.lit(x)) for p, x in zip(shares, q, strict=True)]
+    def distance(q: Column) -> Column:
+        parts = [_part(p, q[i]) for i, p in enumerate(shares)]
         return _root(sum(parts[1:], parts[0]))
 
-    return _least([distance(q) for q in refs.classes.values()])
-
-
-def _least(columns: list[Column]) -> Column:
-    return F.least(*columns) if len(columns) > 1 else columns[0]
+    return F.array_min(F.transform(
+        _constant([*refs.classes.values()], "array<array<double>>"), distance))
 
 
 def word_distance(words: Column, refs: References) -> Column:
@@ -208,11 +216,7 @@ def word_distance(words: Column, refs: References) -> Column:
             F.get(s, i).alias("w"),
             (F.coalesce(F.get(b, k + 1), F.size(s)) - i).cast("double").alias("c"))))
 
-    def distance(found: Column, n: Column, place: int, words: dict[str, float]) -> Column:
-        other = 1.0 - sum(words.values())
-        own = F.filter(F.transform(found, lambda e: F.struct(
-            (e["c"] / n).alias("p"), F.get(e["q"], F.lit(place)).alias("q"))),
-            lambda e: e["q"].isNotNull())
+    def distance(own: Column, other: Column) -> Column:
         sums = F.aggregate(own, F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"),
                                          F.lit(0.0).alias("q")),
                            lambda a, e: F.struct((a["d"] + _part(e["p"], e["q"])).alias("d"),
@@ -220,18 +224,28 @@ def word_distance(words: Column, refs: References) -> Column:
                                                  (a["q"] + e["q"]).alias("q")))
         # a reference word that the document lacks adds half its share
         return let(sums, lambda a: _root(
-            a["d"] + 0.5 * (F.lit(1.0 - other) - a["q"])
-            + _part(F.greatest(1.0 - a["p"], F.lit(0.0)), F.lit(other))))
+            a["d"] + 0.5 * (F.lit(1.0) - other - a["q"])
+            + _part(F.greatest(1.0 - a["p"], F.lit(0.0)), other)))
+
+    # each word's shares in the references that have it, found by a hash of the word
+    n_slots = max(1, len(vocabulary))
+    slots: list[dict[str, list]] = [{} for _ in range(n_slots)]
+    for i, own in enumerate(refs.words.values()):
+        for w, q in own.items():
+            slots[zlib.crc32(w.encode()) % n_slots].setdefault(w, []).append({"i": i, "q": q})
+    table_ = _constant(slots, "array<map<string, array<struct<i: int, q: double>>>>")
+    others = _constant([1.0 - sum(own.values()) for own in refs.words.values()], "array<double>")
+
+    def shares(w: Column) -> Column:
+        slot = F.get(table_, (F.crc32(w.cast("binary")) % n_slots).cast("int"))
+        return F.try_element_at(slot, w)
 
-    # each word's share in every reference, null where it is not common
-    shares = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.array(*[
-        F.lit(words.get(w)).cast("double") for words in refs.words.values()]))])
     found = F.sort_array(F.filter(words, lambda w: w.isin(vocabulary)))
-    return F.when(F.size(words) > 0, let(found, lambda s: let(
-        F.transform(runs(s), lambda r: F.struct(
-            r["c"].alias("c"), F.try_element_at(shares, r["w"]).alias("q"))),
-        lambda r: _least([distance(r, F.size(words), i, own)
-                          for i, own in enumerate(refs.words.values())]))))
+    entries = let(found, lambda s: F.flatten(F.transform(runs(s), lambda r: F.transform(
+        shares(r["w"]), lambda e: F.struct(
+            e["i"].alias("i"), (r["c"] / F.size(words)).alias("p"), e["q"].alias("q"))))))
+    return F.when(F.size(words) > 0, let(entries, lambda own: F.array_min(F.transform(
+        others, lambda other, i: distance(F.filter(own, lambda e: e["i"] == i), other)))))
 
 
 def repeat_words(words: Column) -> Column:
@@ -300,9 +314,9 @@ def with_verdict(docs: DataFrame, refs: References, min_chars: int = MIN_CHARS,
     })
     repeated = F.col("_words.n_repeat_words")
     failed = (n < MIN_BASE_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
-    odd_classes = (F.col("_chars") >= min_chars) & (
-        F.coalesce("_class", F.lit(0.0)) > max_class_distance)
     no_reference = ~F.coalesce(F.col(lang_col).isin([*refs.words]), F.lit(True))
+    odd_classes = (F.col("_chars") >= min_chars) & ~no_reference & (
+        F.coalesce("_class", F.lit(0.0)) > max_class_distance)
     odd_words = (n >= min_words) & ~no_reference & (
         F.coalesce("_word", F.lit(0.0)) > max_word_distance)
     return distances.select(*given, F.struct(

@@ -1,6 +1,7 @@
 """Quality rules against a brute-force version, and their SQL."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -93,3 +94,44 @@ def test_sql_agrees_and_no_python(spark):
     assert got.values.tolist() == want.values.tolist()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+HINDI = ("यह एक साफ पाठ है जो किसी छोटी भाषा में लिखा गया और इसमें कोई गड़बड़ नहीं हम लोग सुबह नदी के "
+         "किनारे घूमने गए थे वहाँ बच्चे खेल रहे बाद घर लौट आए").split()
+
+
+def hindi(seed, n):
+    return " ".join(random.Random(seed).choices(HINDI, k=n)) + "।"
+
+
+def verdicts(spark, extra):
+    """Reference languages, and the verdicts on (text, lang) rows beside sf0.01's thousand."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    rows = [(10 ** 9 + i, t, lang) for i, (t, lang) in enumerate(extra)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    refs = quality.references(both)
+    out = quality.quality(both, refs).where(f"doc_id >= {10 ** 9}").orderBy("doc_id").collect()
+    return set(refs.words), out
+
+
+def test_no_rule_rejects_a_language_without_reference(spark):
+    known, (row,) = verdicts(spark, [(hindi(1, 45), "hi")])
+    assert known == {"en", "de", "fr", "es"}
+    assert row.class_distance > quality.MAX_CLASS_DISTANCE and not row.base_failed and row.kept
+
+
+def test_small_share_of_a_large_table_makes_a_reference(spark):
+    junk = " ".join(f"QXZ;{i}.-" for i in range(60))
+    known, rows = verdicts(spark, [(hindi(2, 4000), "hi"), (hindi(3, 60), None), (junk, "hi")])
+    assert known == {"en", "de", "fr", "es", "hi"}
+    assert [r.base_failed for r in rows] == [False] * 3
+    assert [r.kept for r in rows] == [True, True, False]
+
+
+def test_plan_does_not_grow_with_the_languages(spark):
+    docs = table(spark, SF, "documents")
+    refs = quality.references(docs)
+    many = quality.References({f"{k}{i}": v for i in range(75) for k, v in refs.classes.items()},
+                              {f"{k}{i}": v for i in range(75) for k, v in refs.words.items()})
+    few = quality.quality(docs, refs).drop("kept").orderBy("doc_id").collect()
+    assert quality.quality(docs, many).drop("kept").orderBy("doc_id").collect() == few
