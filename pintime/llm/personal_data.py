@@ -6,12 +6,19 @@ a text with these kinds or none:
 
 - nodes are the words with a digit or an ``@``; words without either are none, so
   they part the chains;
-- neighbouring nodes share a chain potential, and the next occurrence of a word
-  with the same digits (six or more) or the same address shares a skip potential,
-  however far away; occurrences are linked one to the next, never all to all;
+- neighbouring nodes share a chain potential, and occurrences of the same address
+  or the same digits share a skip potential, however far away. Digits are those of
+  a word (six or more) or of neighbouring words of a number written with single
+  blanks (10 to 19, as phones and cards have), also where more words of digits
+  follow; words with the same digits of a number are counterparts, and the size and
+  checksum of a repeated number are features of all its words, which a fixed
+  potential ties to each other in place of the chain's. Every occurrence is linked
+  to the first, never all to all, so two of them are two links apart; a word in
+  several repeated numbers is linked by the best (checksum, then the earliest);
+- when spans are looked for, words that a base match touches have its kind;
 - damped sum-product messages run over this loopy graph, for all texts of a group
-  at once, until they settle or ``ROUNDS`` have passed; that makes labels of
-  repeated entities agree within a document.
+  at once, until they settle (``ROUNDS`` ends those that swing for ever); that makes
+  labels of repeated entities agree within a document.
 
 A word that the field gives a kind with a marginal of ``SURE`` or more and that no
 base match touches is an added span (neighbouring words of one kind are one span),
@@ -40,7 +47,8 @@ from pintime.llm.common import annotate, id_text, map_text, table
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE = 600        # texts that the field is fitted to, each of at most LONGEST characters
 LONGEST = 20_000
-ROUNDS, DAMPING = 12, 0.5
+ROUNDS, DAMPING = 200, 0.5
+TIED = 6.0          # for one label of neighbouring words of a number, in nats
 SURE = 0.8
 
 # fixed patterns of the contract
@@ -54,6 +62,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+#: A word of a number over several words; a mark after it ends the number.
+_PART = re.compile(r"([+(]*[0-9][0-9()-]*)[.,;:!?\"']*")
+LEAST_OF_WORDS, MOST_OF_WORDS = 10, 19      # digits of a number over several words
 _QUAD = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 
 
@@ -116,16 +127,21 @@ class Graph:
     start: np.ndarray
     end: np.ndarray
     x: np.ndarray           # words x features
-    links: np.ndarray       # (from, to), chain links first
+    links: np.ndarray       # (from, to): chain, skip, ties inside numbers
     n_chain: int
+    n_tied: int = 0
 
 
 def graph(texts: list[str]) -> Graph:
     where, starts, ends, rows, chain, skip = [], [], [], [], [], []
+    number: dict[int, tuple] = {}   # of a word: rank and first word of its repeated number
+    linked: dict[int, tuple] = {}   # of a word: rank and words of the first occurrence
     for t, text in enumerate(texts):
         if not _DIGIT.search(text) and "@" not in text:
             continue
-        last: dict[str, int] = {}
+        first: dict = {}
+        run: list[tuple[int, str]] = []     # the number's last words: node, digits
+        open_ = False                       # whether it may go on
         before = None
         for m in _NODE.finditer(text):
             k = len(starts)
@@ -149,14 +165,88 @@ def graph(texts: list[str]) -> Graph:
                 prior[_F["alone"]] = own[_F["alone"]] = 0
             rows.append(own)
             before = k
-            key = word.strip(".,;:!?()\"'").lower() if "@" in word else digits
-            if "@" in word or len(digits) >= 6:
-                if key in last:
-                    skip.append((last[key], k))
-                last[key] = k
-    links = np.array(chain + skip, np.int64).reshape(-1, 2)
+            part = _PART.fullmatch(word)
+            if not (part and open_ and text[ends[k - 1]:m.start()] == " "):
+                run = []
+            open_ = bool(part) and part.end(1) == len(word)
+            if "@" in word:
+                address = word.strip(".,;:!?()\"'").lower()
+                if first.setdefault(address, k) != k:
+                    skip.append((first[address], k))
+                continue
+            run = [*run[1 - MOST_OF_WORDS:], (k, digits)]
+            best = _repeat(first, run)
+            if best:
+                rank, whole, there, spans = best
+                better = {j for j, _ in spans if j not in linked or rank > linked[j][0]}
+                for i, j in _counterparts(there, spans) if better else ():
+                    if j in better:
+                        if j not in linked or linked[j][0] != rank:
+                            linked[j] = rank, []
+                        linked[j][1].append(i)
+                if len(there) > 1 or len(spans) > 1:
+                    size = _size(whole)
+                    for nodes in (there, spans):
+                        for i, _ in nodes:
+                            if i not in number or rank > number[i][0]:
+                                number[i] = rank, nodes[0][0]
+                                for name, holds in size.items():
+                                    rows[i][_F[name]] = float(holds)
+    # neighbours in one repeated number are not two entities: their labels agree
+    tied = [(a, b) for a, b in chain if a in number and number[a] == number.get(b)]
+    if tied:
+        inside = set(tied)
+        chain = [link for link in chain if link not in inside]
+    skip += [(i, j) for j, (_, words) in linked.items() for i in words]
+    links = np.array(chain + skip + tied, np.int64).reshape(-1, 2)
     return Graph(np.array(where, np.int64), np.array(starts, np.int64), np.array(ends, np.int64),
-                 np.array(rows, float).reshape(-1, len(FEATURES)), links, len(chain))
+                 np.array(rows, float).reshape(-1, len(FEATURES)), links, len(chain),
+                 len(tied))
+
+
+def _repeat(first: dict, run: list[tuple[int, str]]) -> tuple | None:
+    """Of the numbers that end with the run's last word and were met before, the best: its
+    rank (checksum, then the earliest first occurrence, then length), digits, the (word,
+    digits) of the first occurrence and of this one."""
+    best = None
+    whole, spans = "", []
+    for k, digits in reversed(run):
+        whole, spans = digits + whole, [(k, len(digits)), *spans]
+        if len(spans) > 1 and len(whole) > MOST_OF_WORDS:
+            break
+        if len(whole) < (6 if len(spans) == 1 else LEAST_OF_WORDS):
+            continue
+        there = first.setdefault(whole, spans)
+        if there[-1][0] >= spans[0][0]:     # this one, or one that shares words
+            continue
+        rank = (_size(whole)["luhn"], -there[0][0], len(whole))
+        if best is None or rank > best[0]:
+            best = rank, whole, there, spans
+    return best
+
+
+def _counterparts(there: list[tuple[int, int]], spans: list[tuple[int, int]]
+                  ) -> list[tuple[int, int]]:
+    """Words of two occurrences of a number that share digits."""
+    out, i, j, a, b = [], 0, 0, there[0][1], spans[0][1]
+    while True:
+        out.append((there[i][0], spans[j][0]))
+        if i == len(there) - 1 and j == len(spans) - 1:
+            return out
+        step_a, step_b = a <= b, b <= a
+        if step_a:
+            i += 1
+            a += there[i][1]
+        if step_b:
+            j += 1
+            b += spans[j][1]
+
+
+def _size(digits: str) -> dict[str, bool]:
+    n = len(digits)
+    return {"luhn": 14 <= n <= 19 and luhn(digits), "1-3 digits": 0 < n < 4,
+            "4-6 digits": 4 <= n < 7, "7-13 digits": 7 <= n < 14, "14-19 digits": 14 <= n < 20,
+            "20+ digits": n >= 20}
 
 
 def _own_features(word: str, digits: str) -> list[float]:
@@ -164,9 +254,7 @@ def _own_features(word: str, digits: str) -> list[float]:
     n = len(digits)
     hold = {
         "any": True, "at": "@" in word, "at.dot": bool(_DOMAIN.search(word)),
-        "quad": bool(_QUAD.search(word)), "luhn": 14 <= n <= 19 and luhn(digits),
-        "1-3 digits": 0 < n < 4, "4-6 digits": 4 <= n < 7, "7-13 digits": 7 <= n < 14,
-        "14-19 digits": 14 <= n < 20, "20+ digits": n >= 20, "plus": word[0] == "+",
+        "quad": bool(_QUAD.search(word)), **_size(digits), "plus": word[0] == "+",
         "(digits)": bool(re.fullmatch(r"\([0-9]+\)", word[:24])),
         "digits-digits": bool(re.match(r"[0-9]{2,}-[0-9]{2,}", word)),
         "only digits": n == len(word.rstrip(".,;:!?$%&#*")),
@@ -187,13 +275,20 @@ class Field:
     skip: np.ndarray
 
 
-def infer(g: Graph, field: Field, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of the words, and of the links (from label, to label)."""
+def infer(g: Graph, field: Field, rounds: int = ROUNDS, known: np.ndarray | None = None
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of the words, and of the links (from label, to label).
+
+    Words with a label above 0 in ``known`` have that label.
+    """
     k = field.unary.shape[1]
     unary = g.x @ field.unary
+    if known is not None:
+        unary[known > 0] = np.where(np.eye(k)[known[known > 0]] > 0, 0.0, -50.0)
     n, n_links = len(unary), len(g.links)
     pair = np.empty((n_links, k, k))
     pair[:g.n_chain], pair[g.n_chain:] = field.chain, field.skip
+    pair[n_links - g.n_tied:] = np.eye(k) * TIED
     source = np.r_[g.links[:, 0], g.links[:, 1]]
     target = np.r_[g.links[:, 1], g.links[:, 0]]
     table_ = np.concatenate([pair, pair.transpose(0, 2, 1)])
@@ -221,13 +316,16 @@ def infer(g: Graph, field: Field, rounds: int = ROUNDS) -> tuple[np.ndarray, np.
     return p, both / both.sum(axis=(1, 2), keepdims=True)
 
 
-def base_labels(g: Graph, texts: list[str]) -> np.ndarray:
-    """0 or 1 + kind of each word, by the base spans that touch it."""
+def base_labels(g: Graph, spans: list[list[tuple[int, int, int]]]) -> np.ndarray:
+    """0 or 1 + kind of each word, by the base spans of its text that touch it."""
     out = np.zeros(len(g.start), np.int64)
     for t in np.unique(g.text):
-        own = np.flatnonzero(g.text == t)
-        for s, e, kind in base_spans(texts[t]):
-            hit = own[(g.start[own] < e) & (g.end[own] > s)]
+        a, b = np.searchsorted(g.text, [t, t + 1])
+        for s, e, kind in spans[t]:
+            # the words of a text are in order and apart
+            lo, hi = a + np.searchsorted(g.end[a:b], s, "right"), a + np.searchsorted(
+                g.start[a:b], e, "left")
+            hit = np.arange(lo, hi)
             out[hit[out[hit] == 0]] = kind + 1
     return out
 
@@ -236,7 +334,7 @@ def train(texts: list[str], rounds: int = 80, rate: float = 0.4, decay: float =
     """Fit the field to the base labels of texts."""
     k = len(KINDS) + 1
     g = graph(texts)
-    labels = np.eye(k)[base_labels(g, texts)]
+    labels = np.eye(k)[base_labels(g, [base_spans(t) for t in texts])]
     parts = [np.zeros((len(FEATURES), k)), np.zeros((k, k)), np.zeros((k, k))]
     squares = [np.full_like(p, 1e-8) for p in parts]
     a, b = labels[g.links[:, 0]], labels[g.links[:, 1]]
@@ -244,7 +342,8 @@ def train(texts: list[str], rounds: int = 80, rate: float = 0.4, decay: float =
     for _ in range(rounds):
         p, both = infer(g, Field(*parts))
         gap = seen - both
-        slopes = [g.x.T @ (labels - p), gap[:g.n_chain].sum(axis=0), gap[g.n_chain:].sum(axis=0)]
+        slopes = [g.x.T @ (labels - p), gap[:g.n_chain].sum(axis=0),
+                  gap[g.n_chain:len(gap) - g.n_tied].sum(axis=0)]
         for part, square, slope in zip(parts, squares, slopes, strict=True):
             slope = slope - decay * part
             square += slope ** 2
@@ -264,11 +363,10 @@ def find(texts: list[str], field: Field | None, sure: float = SURE
     g = graph(texts)
     if not len(g.start):
         return out
-    p, _ = infer(g, field)
+    p, _ = infer(g, field, known=base_labels(g, [base for base, _ in out]))
     kind = p[:, 1:].argmax(axis=1)
     sure_at = np.flatnonzero(p[np.arange(len(p)), kind + 1] >= sure)
     before = None
-    chained = set(map(tuple, g.links[:g.n_chain].tolist()))
     for k in sure_at.tolist():
         t = int(g.text[k])
         text, (base, added) = texts[t], out[t]
@@ -280,12 +378,12 @@ def find(texts: list[str], field: Field | None, sure: float = SURE
         if s == e or any(a < e and b > s for a, b, _ in base):
             before = None
             continue
-        if before is not None and (before[0], k) in chained and added and (
-                added[-1][2] == kind[k]):
+        if before == k - 1 and g.text[before] == t and added and added[-1][2] == kind[k] and (
+                not text[g.end[before]:g.start[k]].strip(" \t\n\x0b\x0c\r")):
             added[-1] = (added[-1][0], e, int(kind[k]))
         else:
             added.append((s, e, int(kind[k])))
-        before = (k,)
+        before = k
     return out
 
 

@@ -112,6 +112,28 @@ def test_repeated_numbers_get_one_label(spark):
     assert personal_data.find([text[22:]], None) == [([], [])]
 
 
+def test_repeated_numbers_with_blanks_get_one_label(spark):
+    field = personal_data.fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    card, phone = "4111 1111 1111 1111", "+44 20 7946 0958"
+    for first, again, kind in ((card, f"{card} 12", "CARD"), (phone, f"{phone} 1234", "PHONE"),
+                               (card.replace(" ", ""), f"{card} 12", "CARD")):
+        text = f"first {first} is here. Much later {again} appears in the text"
+        assert personal_data.find([text[len(first) + 7:]], None) == [([], [])]
+        (base, added), = personal_data.find([text], field)
+        rest = again.rpartition(" ")[2]
+        assert personal_data.redact(text, base + added) == (
+            f"first [{kind}] is here. Much later [{kind}] {rest} appears in the text")
+
+
+def test_a_distant_occurrence_reaches_every_repeat(spark):
+    field = personal_data.fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    many = "and 4111 1111 1111 1111 13 there. " * 40
+    (base, added), = personal_data.find([many + "card 4111 1111 1111 1111 is here"], field)
+    assert len(base) == 1 and len(added) == 40
+    g = personal_data.graph(["x 123456 y" * 40])
+    assert (g.links[:, 0] == 0).all() and len(g.links) == 39
+
+
 def test_loopy_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(2)
     g = personal_data.Graph(np.zeros(4, int), np.arange(4), np.arange(4) + 1,
