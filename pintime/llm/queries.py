@@ -6,6 +6,7 @@ from pintime.llm.byte_bpe import op8_byte_bpe
 from pintime.llm.chat import op9_chat
 from pintime.llm.html_extract import op5_html
 from pintime.llm.language_id import op10_language_id
+from pintime.llm.merge_rounds import op12_merge_rounds
 from pintime.llm.near_dedup import op6_near_dedup
 from pintime.llm.oracle import ORACLE_SQL
 from pintime.llm.packing import op1_packing
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat": op9_chat,
     "op10_language_id": op10_language_id,
+    "op12_merge_rounds": op12_merge_rounds,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
