@@ -157,7 +157,55 @@ FROM pairs
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) <= 10
 """
 
+OP11_COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words
+  FROM p),
+g AS (
+  SELECT lang, 1 AS k, unnest(words) AS phrase FROM w
+  UNION ALL
+  SELECT lang, 2, array_to_string(words[i:i + 1], ' ')
+  FROM (SELECT lang, words, unnest(range(1, len(words))) AS i FROM w WHERE len(words) > 1)
+  UNION ALL
+  SELECT lang, 3, array_to_string(words[i:i + 2], ' ')
+  FROM (SELECT lang, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS t FROM f WHERE k > 1 AND a >= 10),
+cuts AS (
+  SELECT lang, phrase, a, t, c, array_to_string(t[1:c], ' ') AS head,
+    array_to_string(t[c + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM often)),
+marked AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r, c,
+    (1000000::HUGEINT * cuts.a * cuts.a) // (x.a::HUGEINT * y.a) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head
+    JOIN f y ON y.lang = cuts.lang AND y.phrase = tail),
+lowest AS (
+  SELECT * FROM marked
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(t[1:2], ' ') AS phrase, a FROM often WHERE k = 3
+  UNION ALL SELECT lang, array_to_string(t[2:3], ' '), a FROM often WHERE k = 3),
+longer AS (SELECT lang, phrase, max(a) AS b FROM inner_ GROUP BY ALL),
+stay AS (
+  SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase)
+  WHERE coalesce(100 * b < 50 * a, true)),
+placed AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM stay)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM placed JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL = {
+    "op11_collocations": OP11_COLLOCATIONS,
     "op4_topk_search": OP4_TOPK_SEARCH,
     "op3_quality": OP3_QUALITY,
     "op6_near_dedup": OP6_NEAR_DEDUP,
