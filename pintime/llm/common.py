@@ -14,7 +14,9 @@ import re
 import struct
 import tempfile
 import zipfile
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -246,3 +248,77 @@ class ChunkCache:
                     if len(c) > self.LONGEST:
                         del kept[c]
         return out
+
+
+def numbered(words: list[str]) -> tuple[np.ndarray, list[str]]:
+    """Each word's number, and the distinct words in the order of their numbers."""
+    index: dict[str, int] = defaultdict(count().__next__)
+    ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+    return ids, list(index)
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return values[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+
+
+def _with(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``array`` with ``more`` after its first ``used`` entries, in more room if need be."""
+    if used + len(more) > len(array):
+        array = np.concatenate([array[:used], np.zeros(used + 2 * len(more), array.dtype)])
+    array[used:used + len(more)] = more
+    return array
+
+
+class TokenCache:
+    """Token ids of chunks; the new ones of a group of texts are computed in one call.
+
+    ``compute(chunks) -> (ids of all chunks in a row, how many each has)``; ``prefix``
+    begins the chunks of the second list. A group's distinct chunks are numbered first, so
+    only those are looked up; ids lie in one array, from which whole texts are gathered.
+    Past ``limit`` chunks, or eight times as many ids, it starts anew with the next group,
+    which bounds memory and changes no result.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+                 prefix: str = " ", limit: int = 500_000):
+        self.compute, self.prefix, self.limit = compute, prefix, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.n = self.used = 0
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _places(self, words: list[str], cut: bool) -> np.ndarray:
+        """Where each chunk's entry is; new ones are computed."""
+        each, distinct = numbered(words)
+        held = self.places[cut]
+        new = [w for w in distinct if w not in held]
+        if new:
+            ids, lengths = self.compute([self.prefix + w for w in new] if cut else new)
+            self.starts = _with(self.starts, self.n, self.used + np.cumsum(lengths) - lengths)
+            self.lengths = _with(self.lengths, self.n, lengths)
+            self.ids = _with(self.ids, self.used, ids)
+            held.update(zip(new, range(self.n, self.n + len(new)), strict=True))
+            self.n, self.used = self.n + len(new), self.used + len(ids)
+        return np.fromiter(map(held.__getitem__, distinct), np.int64, len(distinct))[each]
+
+    def encode(self, parts: list[tuple[list[str], list[str]]]) -> list[bytes]:
+        """For each text's two lists of chunks, all ids as little-endian 32-bit integers."""
+        if self.n > self.limit or self.used > 8 * self.limit:
+            self._forget()
+        plain = self._places([c for a, _ in parts for c in a], False)
+        cut = self._places([c for _, b in parts for c in b], True)
+        order, at, to = [plain[:0]], 0, 0
+        sizes = np.zeros(len(parts), np.int64)
+        for i, (a, b) in enumerate(parts):
+            order += [plain[at:at + len(a)], cut[to:to + len(b)]]
+            at, to, sizes[i] = at + len(a), to + len(b), len(a) + len(b)
+        places = np.concatenate(order)
+        lengths = self.lengths[places]
+        data = gathered(self.ids, self.starts[places], lengths).astype("<u4").tobytes()
+        ends = (4 * np.r_[0, np.cumsum(lengths)][np.cumsum(sizes)]).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]

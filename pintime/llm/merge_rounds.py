@@ -35,11 +35,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pintime.llm.common import (
-    ChunkCache,
+    TokenCache,
     chunks,
+    gathered,
     id_text,
     map_text,
-    pack_ids,
+    numbered,
     simple_pre_tokens,
     table,
 )
@@ -100,14 +101,13 @@ class Vocabulary:
         return rank, self.joined[at]
 
 
-def merge_words(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
-    """The packed ids of each word (not empty), all words merged in step."""
+def merge_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words (none empty) in a row, and how many each has; merged in step."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     long = {i: merge_long(words[i], vocabulary) for i in np.flatnonzero(sizes > LONG).tolist()}
-    short = [i for i in range(len(words)) if i not in long]
-    sizes = sizes[short]
-    raw = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
-    owner = np.repeat(np.arange(len(short), dtype=np.int32), sizes)
+    raw = np.frombuffer(b"".join([b"" if i in long else w for i, w in enumerate(words)]
+                                 if long else words), np.uint8)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.where(sizes > LONG, 0, sizes))
     symbol = vocabulary.first[raw].astype(np.int32)
     rank, join = _ranked(symbol, owner, vocabulary)
     done_symbol, done_owner = [], []
@@ -144,19 +144,14 @@ def merge_words(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
         near = near[near < len(symbol) - 1]
         near = near[owner[near] == owner[near + 1]]
         rank[near], join[near] = vocabulary.search(symbol[near], symbol[near + 1])
-    packed = b""
-    if done_symbol:
-        owner = np.concatenate(done_owner)
-        order = np.argsort(owner, kind="stable")
-        packed = np.concatenate(done_symbol)[order].astype("<u4").tobytes()
-        sizes = np.bincount(owner, minlength=len(short))
-    ends = (4 * np.cumsum(sizes)).tolist()
-    out: list[bytes] = [b""] * len(words)
-    for i, a, b in zip(short, [0, *ends], ends, strict=False):
-        out[i] = packed[a:b]
     for i, ids in long.items():
-        out[i] = ids
-    return out
+        done_symbol.append(ids)
+        done_owner.append(np.full(len(ids), i, np.int32))
+    if not done_symbol:
+        return symbol, sizes
+    owner = np.concatenate(done_owner)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(done_symbol)[order], np.bincount(owner, minlength=len(words))
 
 
 def _ranked(symbol: np.ndarray, owner: np.ndarray,
@@ -168,8 +163,8 @@ def _ranked(symbol: np.ndarray, owner: np.ndarray,
     return rank, join
 
 
-def merge_long(word: bytes, vocabulary: Vocabulary) -> bytes:
-    """One word's packed ids: its pairs in order of rank, over a linked list of symbols."""
+def merge_long(word: bytes, vocabulary: Vocabulary) -> np.ndarray:
+    """One word's ids: its pairs in order of rank, over a linked list of symbols."""
     symbol = vocabulary.first[np.frombuffer(word, np.uint8)].astype(np.int32)
     n = len(symbol)
     after = np.arange(1, n + 1)         # n: no symbol
@@ -212,46 +207,55 @@ def merge_long(word: bytes, vocabulary: Vocabulary) -> bytes:
         pairs = near[after[near] < n]
         rank[pairs], join[pairs] = vocabulary.search(symbol[pairs], symbol[after[pairs]])
         wait(np.unique(np.r_[near, later]))
-    return symbol[symbol >= 0].astype("<u4").tobytes()
+    return symbol[symbol >= 0]
 
 
 class Codec:
-    """Whole texts to packed ids and back, with bounded caches of chunks and words."""
+    """Whole texts to packed ids and back, with a bounded cache of chunks."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.words = ChunkCache(self._merge)
-        self.chunks = ChunkCache(self._encode_chunks)
+        self.chunks = TokenCache(self._encode_chunks)
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
-    def _merge(self, words: list[str]) -> list[bytes]:
-        return merge_words([w.encode() for w in words], self.vocabulary) if words else []
-
     def pre_tokens(self, part: str) -> list[str]:
         """What the library's own pre-tokenizer makes of a text without added tokens."""
         return [part[a:b] for _, (a, b) in self.vocabulary.pre_tokenizer.pre_tokenize_str(part)]
 
-    def _encode_chunks(self, parts: list[str]) -> list[bytes]:
-        words, special = [], []         # special: chunk, place among its words, id
-        for i, c in enumerate(parts):
-            simple = simple_pre_tokens(c)
-            if simple is None and self.special and self.special.search(c):
-                simple = []
-                for piece in self.special.split(c):
-                    if piece in self.vocabulary.added:
-                        special.append((i, len(simple), self.vocabulary.added[piece]))
-                    elif piece:
-                        simple += self.pre_tokens(piece)
-            words.append((self.pre_tokens(c) if simple is None else simple, []))
-        values = self.words.values(words)
-        for i, at, token in reversed(special):
-            values[i].insert(at, pack_ids([token]))
-        return [b"".join(v) for v in values]
+    def _words(self, chunk: str) -> list[str]:
+        """The pre-tokens and added tokens of a chunk."""
+        if chunk.isascii():     # one word, with one mark behind it or none
+            word = chunk[1:] if chunk[0] == " " else chunk
+            if word.isalpha():
+                return [chunk]
+            if word[:-1].isalpha() and word[-1] in ".,;:!?":
+                return [chunk[:-1], word[-1]]
+        if (simple := simple_pre_tokens(chunk)) is not None:
+            return simple
+        if not (self.special and self.special.search(chunk)):
+            return self.pre_tokens(chunk)
+        out = []
+        for piece in self.special.split(chunk):
+            out += [piece] if piece in self.vocabulary.added else self.pre_tokens(piece)
+        return out
+
+    def _encode_chunks(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = [self._words(c) for c in parts]
+        each, distinct = numbered([w for some in words for w in some])
+        added = self.vocabulary.added
+        ids, sizes = merge_words([w.encode() for w in distinct], self.vocabulary)
+        starts = np.cumsum(sizes) - sizes
+        for i, w in enumerate(distinct) if added else ():
+            if w in added:      # one id, in the place of its first symbol
+                ids[starts[i]], sizes[i] = added[w], 1
+        lengths = sizes[each]
+        ends = np.r_[0, np.cumsum(lengths)][np.cumsum([len(some) for some in words])]
+        return gathered(ids, starts[each], lengths), np.diff(ends, prepend=0)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, as little-endian unsigned 32-bit integers."""
-        return [b"".join(v) for v in self.chunks.values([chunks(t) for t in texts])]
+        return self.chunks.encode([chunks(t) for t in texts])
 
     def decode(self, ids: bytes) -> str:
         held = self.vocabulary.bytes

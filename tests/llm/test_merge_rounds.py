@@ -106,18 +106,29 @@ def test_any_order_of_merges(unordered, word):
     vocabulary = merge_rounds.codec(unordered).vocabulary
     assert not vocabulary.in_order
     want = plain_merge(word.encode(), vocabulary)
-    assert ids_of(merge_rounds.merge_words([word.encode()], vocabulary)[0]) == want
-    assert ids_of(merge_rounds.merge_long(word.encode(), vocabulary)) == want
+    assert merge_rounds.merge_words([word.encode()], vocabulary)[0].tolist() == want
+    assert merge_rounds.merge_long(word.encode(), vocabulary).tolist() == want
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.binary(min_size=1, max_size=30), min_size=1, max_size=8))
 def test_rounds_are_the_plain_loop(words):
     vocabulary = merge_rounds.codec(PATH).vocabulary
-    got = merge_rounds.merge_words(words, vocabulary)
-    assert [ids_of(g) for g in got] == [plain_merge(w, vocabulary) for w in words]
-    assert [ids_of(merge_rounds.merge_long(w, vocabulary)) for w in words] == [
-        plain_merge(w, vocabulary) for w in words]
+    want = [plain_merge(w, vocabulary) for w in words]
+    ids, sizes = merge_rounds.merge_words(words, vocabulary)
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+    assert [merge_rounds.merge_long(w, vocabulary).tolist() for w in words] == want
+
+
+def test_a_small_cache_changes_nothing(library):
+    from pintime.llm.common import TokenCache
+    texts = ["one two three", "two  four", "", "one", "five six two"] * 3
+    codec = merge_rounds.codec(PATH)
+    cache = TokenCache(codec._encode_chunks, limit=2)
+    for i in range(0, len(texts), 2):
+        got = cache.encode([merge_rounds.chunks(t) for t in texts[i:i + 2]])
+        assert [ids_of(g) for g in got] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts[i:i + 2]]
 
 
 def test_decoding_of_broken_bytes(library):
