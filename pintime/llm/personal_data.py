@@ -92,6 +92,11 @@ def _emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _small(digits: str) -> bool:
+    """Whether a number without leading zeros, of any length, is at most 255."""
+    return len(digits) <= 2 or (len(digits) == 3 and digits <= "255")
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind), ordered by start, then kind."""
     out = []
@@ -99,7 +104,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(s, e, 0) for s, e in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+            if all(_small(x.lstrip("0")) for x in m[0].split(".")):
                 out.append((m.start(), m.end(), 1))
         for m in _CARD.finditer(text):
             digits = _NOT_DIGIT.sub("", m[0])
@@ -255,10 +260,10 @@ def _own_features(word: str, digits: str) -> list[float]:
     hold = {
         "any": True, "at": "@" in word, "at.dot": bool(_DOMAIN.search(word)),
         "quad": bool(_QUAD.search(word)), **_size(digits), "plus": word[0] == "+",
-        "(digits)": bool(re.fullmatch(r"\([0-9]+\)", word[:24])),
+        "(digits)": bool(re.fullmatch(r"\([0-9]+\)", word)),
         "digits-digits": bool(re.match(r"[0-9]{2,}-[0-9]{2,}", word)),
         "only digits": n == len(word.rstrip(".,;:!?$%&#*")),
-        "letters": any(c.isalpha() for c in word[:64]), "equals": "=" in word, "alone": True,
+        "letters": any(c.isalpha() for c in word), "equals": "=" in word, "alone": True,
     }
     for name, holds in hold.items():
         if holds:

@@ -78,7 +78,8 @@ def plain_spans(text):
     for kind, rx in enumerate(PATTERNS):
         for m in rx.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
-            if (kind == 0 or kind == 1 and all(int(x) <= 255 for x in m[0].split("."))
+            if (kind == 0 or kind == 1 and all(
+                    int(x[-4:]) <= 255 and not x[:-4].strip("0") for x in m[0].split("."))
                     or kind == 2 and 14 <= len(digits) <= 19 and luhn(digits)
                     or kind == 3 and 10 <= len(digits) <= 15):
                 out.append((m.start(), m.end(), kind))
@@ -94,6 +95,22 @@ def test_base_spans_are_the_patterns():
         assert base_spans(text) == plain_spans(text), text
 
 
+def test_numbers_of_any_length():
+    for text in ("0" * 5000 + "1.2.3.4", "1.2.3." + "9" * 5000, "0" * 6000 + "255.0.00.000",
+                 "256.1.1.1", "1.1.1.0256", "00.0.0.0", "+" + "1" * 5000, "4" * 5000):
+        assert base_spans(text) == plain_spans(text), text[:40]
+    assert len(base_spans("0" * 5000 + "1.2.3.4")) == 1
+    (base, _), = personal_data.find(["0" * 5000 + "1.2.3.4 (" + "7" * 30 + ")"], None)
+    assert base == [(0, 5007, 1)]
+
+
+def test_features_see_whole_words():
+    long = personal_data._own_features("(" + "1" * 30 + ")", "1" * 30)
+    assert long[personal_data._F["(digits)"]] == 1.0
+    late = personal_data._own_features("1" * 70 + "x", "1" * 70)
+    assert late[personal_data._F["letters"]] == 1.0
+
+
 def test_long_runs_take_no_quadratic_time():
     for text in ("a" * 200_000, "1" * 200_000, "a." * 100_000 + "@", "@" * 100_000,
                  "1.1." * 50_000, "+1 " * 50_000):
