@@ -13,8 +13,6 @@ length 1); null ids are kept; repeated rows are packed once each.
 
 from __future__ import annotations
 
-import functools
-import os
 import zlib
 
 import numpy as np
@@ -22,30 +20,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pintime.llm.common import ChunkCache, chunks, id_text, map_text, pack_ids, table
+from pintime.llm.common import id_text, map_text, table
+from pintime.llm.merge_rounds import codec
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 1
 MAX_LENGTH = 2048
 
 
-@functools.lru_cache(maxsize=4)
-def _cache(path: str) -> ChunkCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode(parts: list[str]) -> list[bytes]:
-        return [pack_ids(e.ids)
-                for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-
-    return ChunkCache(encode, limit=600_000)
-
-
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """The library's ids of each whole text, as little-endian unsigned 32-bit integers."""
-    return [b"".join(v) for v in _cache(path).values([chunks(t) for t in texts])]
+    """The tokenizer's ids of each whole text, as little-endian unsigned 32-bit integers."""
+    return codec(path).encode(texts)
 
 
 def cut(n: int, max_length: int) -> list[tuple[int, int]]:
