@@ -24,13 +24,12 @@ other columns never clash; without candidates the result is empty. Equal scores
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,51 +54,50 @@ _LETTERS = bytes(range(65, 91))
 _PLAIN = bytes.maketrans(_LETTERS + _BREAKS + b"\t",
                          _LETTERS.lower() + b"\n" * len(_BREAKS) + b" ")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-BREAK = "\n"        # between pieces; after the last word of a chunk that another one continues
+BREAK = "\n"        # between pieces; at the end of a chunk that another one continues
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    return pd.util.hash_array(np.array(words, object), categorize=False)
+def _numbered(words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The words as numbers, the distinct words, and a hash of each of those."""
+    encoded = words.dictionary_encode()
+    names = encoded.dictionary
+    hashes = pd.util.hash_array(names.to_numpy(zero_copy_only=False), categorize=False)
+    return encoded.indices.to_numpy().astype(np.int64), names, hashes
 
 
-def _numbered(tokens: list[str]) -> tuple[np.ndarray, list[str]]:
-    """The tokens as numbers, ``BREAK`` being 0, and what they number."""
-    index: dict[str, int] = defaultdict(count().__next__)
-    index[BREAK]
-    ids = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
-    return ids, list(index)
+def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all lines, and the line of each."""
+    lists = pc.split_pattern(lines, " ")
+    words = lists.flatten()
+    line = np.repeat(np.arange(len(lines)), pc.list_value_length(lists).to_numpy())
+    full = pc.not_equal(words, "")
+    return words.filter(full), line[full.to_numpy(zero_copy_only=False)]
 
 
 def parse(text: str, longest: int = LONGEST, trigger: int = TRIGGER) -> list[str]:
-    """The chunks of a text: words with single blanks, and `` \\n`` where the next chunk
-    begins with this one's last ``longest - 1`` words."""
+    """The chunks of a text: words with single blanks, and a last ``\\n`` where the next
+    chunk begins with this one's last ``longest - 1`` words."""
     plain = text.encode().translate(_PLAIN).decode()
-    tokens = list(filter(None, plain.replace("\n", " \n ").split(" ")))
-    tokens.append(BREAK)
-    ids, names = _numbered(tokens)
-    word = ids != 0
-    overlap = longest - 1
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    if overlap and len(ids) > overlap:
-        h, whole = _hashes(names)[ids], np.ones(len(ids) - overlap + 1, bool)
-        window = np.zeros(len(whole), np.uint64)
+    words, piece = _words(pa.array(plain.split(BREAK), pa.large_string()))
+    n, overlap = len(words), longest - 1
+    if not n:
+        return []
+    ids, _, hashes = _numbered(words)
+    begins = np.r_[True, piece[1:] != piece[:-1]]
+    if overlap and n > overlap:
+        h = hashes[ids]
+        window = np.zeros(n - overlap + 1, np.uint64)
         for k in range(overlap):
-            part = slice(k, k + len(whole))
-            whole &= word[part]
-            window = mix(window * _STEP + h[part])
-        begins[:len(whole)] |= whole & (window % np.uint64(trigger) == 0)
+            window = mix(window * _STEP + h[k:k + len(window)])
+        whole = piece[:len(window)] == piece[overlap - 1:]
+        begins[:len(window)] |= whole & (window % np.uint64(trigger) == 0)
     starts = np.flatnonzero(begins)
-    if not len(starts):
-        return []
-    stops = np.flatnonzero(~word)
-    piece_end = stops[np.searchsorted(stops, starts)]
-    follow = np.r_[starts[1:], len(ids)]
-    goes_on = follow < piece_end        # the next chunk begins inside this piece
-    ends = np.where(goes_on, follow + overlap, piece_end)
-    marks = np.array(["", " " + BREAK], object)[goes_on.astype(int)]
-    return [" ".join(tokens[a:b]) + m
-            for a, b, m in zip(starts.tolist(), ends.tolist(), marks, strict=True)]
+    follow = np.r_[starts[1:], n]
+    goes_on = np.r_[piece[starts[1:]] == piece[starts[:-1]], False]
+    ends = np.where(goes_on, follow + overlap, follow)
+    tokens = words.to_numpy(zero_copy_only=False).tolist()
+    return [" ".join(tokens[a:b]) + BREAK if on else " ".join(tokens[a:b])
+            for a, b, on in zip(starts.tolist(), ends.tolist(), goes_on.tolist(), strict=True)]
 
 
 def dictionary(docs: DataFrame, longest: int = LONGEST, trigger: int = TRIGGER,
@@ -126,31 +124,31 @@ def dictionary(docs: DataFrame, longest: int = LONGEST, trigger: int = TRIGGER,
 class Phrases:
     """The phrases of some chunks: where they start, their slots and their weights."""
 
-    def __init__(self, langs: list[str], chunks: list[str], weights: np.ndarray, longest: int):
-        self.tokens = f" {BREAK} ".join(chunks).split(" ")
-        self.tokens.append(BREAK)
-        self.ids, names = _numbered(self.tokens)
-        self.word = self.ids != 0
-        after = np.r_[~self.word[1:], False]
-        mark = ~self.word & after       # a break before the break that ends the chunk
-        ends = ~self.word & ~mark
-        owner = np.cumsum(ends) - ends
-        self.start = self.word.copy()
-        for k in range(1, longest):     # what starts in the overlap is the next chunk's
-            self.start[:-k] &= ~mark[k:]
-        codes, self.langs = pd.factorize(np.array(langs, object))
-        self.lang = codes[owner]
-        self.weight = weights[owner]
-        self._h = _hashes(names)[self.ids]
-        self._first = mix(_hashes(list(self.langs))[self.lang] + self._h)
+    def __init__(self, langs: pa.Array, chunks: pa.Array, weights: np.ndarray, longest: int):
+        goes_on = pc.ends_with(chunks, BREAK).to_numpy(zero_copy_only=False)
+        self.words, self.chunk = _words(pc.utf8_rtrim(chunks, BREAK))
+        self.ids, self.names, hashes = _numbered(self.words)
+        ends = np.searchsorted(self.chunk, np.arange(len(chunks)), side="right")
+        left = ends[self.chunk] - np.arange(len(self.ids))      # words from here to the end
+        # what starts in the overlap is the next chunk's
+        self.start = ~goes_on[self.chunk] | (left >= longest)
+        encoded = langs.dictionary_encode()
+        self.langs = encoded.dictionary.to_numpy(zero_copy_only=False)
+        self.lang = encoded.indices.to_numpy().astype(np.int64)[self.chunk]
+        self.weight = weights[self.chunk]
+        self._left = left
+        self._h = hashes[self.ids]
+        self._first = mix(pd.util.hash_array(self.langs, categorize=False)[self.lang] + self._h)
 
     def places(self, size: int) -> np.ndarray:
         """Where a phrase of ``size`` words starts that counts here."""
-        inside = self.start.copy()
-        for k in range(1, size):
-            inside[:-k] &= self.word[k:]
-            inside[len(inside) - k:] = False
-        return np.flatnonzero(inside)
+        return np.flatnonzero(self.start & (self._left >= size))
+
+    def text(self, at: np.ndarray, size: int) -> pa.Array:
+        """The phrases of ``size`` words that start at these places."""
+        words = [self.words.take(pa.array(at + k)) for k in range(size)]
+        return words[0] if size == 1 else pc.binary_join_element_wise(
+            *words, pa.scalar(" ", pa.large_string()))
 
     def slots(self, at: np.ndarray, size: int, bits: int) -> np.ndarray:
         h = self._first[at]
@@ -176,13 +174,13 @@ def _map_phrases(chunks: DataFrame, schema: pa.Schema, ddl: str, longest: int,
     """``work`` on groups of chunks of the dictionary, about ``GROUP_CHARS`` characters each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(parts)
-            phrases = Phrases(rows.column("lang").to_pylist(), rows.column("chunk").to_pylist(),
-                              rows.column("n").to_numpy(), longest)
+            rows = pa.Table.from_batches(parts).combine_chunks()
+            one = [rows.column(c).chunk(0) for c in ("lang", "chunk", "n")]
+            phrases = Phrases(one[0], one[1].cast(pa.large_string()), one[2].to_numpy(), longest)
             for columns in work(phrases):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)],
-                    schema=schema)
+                    [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
+                     for c, f in zip(columns, schema, strict=True)], schema=schema)
 
         held, size = [], 0
         for batch in batches:
@@ -230,7 +228,7 @@ def phrase_counts(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST,
         totals = np.bincount(phrases.lang[phrases.start], phrases.weight[phrases.start],
                              len(phrases.langs)).astype(np.int64)
         yield [list(phrases.langs), [""] * len(totals), totals]
-        distinct = 1 + int(phrases.ids.max())
+        distinct = len(phrases.names)
         code = phrases.lang.astype(np.int64)        # numbers of the phrase but its last word
         for size in range(1, longest + 1):
             at = phrases.passing(size, bits)
@@ -241,9 +239,7 @@ def phrase_counts(chunks: DataFrame, least: int = LEAST, longest: int = LONGEST,
             code = np.zeros(len(phrases.ids), np.int64)
             code[at] = inverse
             at_first = at[first]
-            tokens = phrases.tokens
-            yield [phrases.langs[phrases.lang[at_first]],
-                   [" ".join(tokens[i:i + size]) for i in at_first.tolist()],
+            yield [phrases.langs[phrases.lang[at_first]], phrases.text(at_first, size),
                    np.bincount(inverse, phrases.weight[at], len(first)).astype(np.int64)]
 
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.int64())])
@@ -281,6 +277,18 @@ def not_contained(candidates: DataFrame, percent: int = CONTAINED_PERCENT) -> Da
     return candidates.join(longer, ["lang", "phrase"], "left").where(~held).drop("f")
 
 
+def first_of_each(phrases: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` of every language with their ``rank``: first of hashed shares of a
+    language, so that no task sorts all of one."""
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    for shares in (4096, 64):
+        share = F.pmod(F.xxhash64("phrase"), F.lit(shares))
+        phrases = phrases.withColumn("rank", F.row_number().over(
+            Window.partitionBy("lang", share).orderBy(*order))).where(F.col("rank") <= top)
+    return phrases.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,
                  percent: int = CONTAINED_PERCENT, slot_bits: int = SLOT_BITS,
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -290,10 +298,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
                      folder, "dictionary")
     counts = written(phrase_counts(chunks, least, longest, slot_bits), folder, "counts")
     candidates = written(scored(counts), folder, "candidates")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(
-        F.desc("score"), F.desc("a"), "phrase"))
-    ranked = not_contained(candidates, percent).withColumn("rank", place).where(
-        F.col("rank") <= top)
+    ranked = first_of_each(not_contained(candidates, percent), top)
     n = counts.where("phrase = ''").select("lang", F.col("a").alias("n"))
     return ranked.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"),
                                          "phrase", "a", "l", "r", "n", "score")

@@ -54,8 +54,8 @@ def phrases_of(chunks, longest):
     """What the dictionary's chunks count, by plain Python."""
     out = Counter()
     for chunk, n in Counter(chunks).items():
-        goes_on = chunk.endswith(" \n")
-        w = chunk.removesuffix(" \n").split(" ")
+        goes_on = chunk.endswith("\n")
+        w = chunk.removesuffix("\n").split(" ")
         for i in range(len(w) - (longest - 1 if goes_on else 0)):
             for size in range(1, min(longest, len(w) - i) + 1):
                 out[tuple(w[i:i + size])] += n
