@@ -14,12 +14,12 @@ import re
 import struct
 import tempfile
 import zipfile
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,16 +154,22 @@ def chunks(text: str) -> tuple[list[str], list[str]]:
     """
     if not text:
         return [], []
-    if ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " "
-            or _UNUSUAL.search(text)):
+    if not single_blanks(text):
         return _CHUNK.findall(text), []
     words = text.split(" ")
     return words[:1], words[1:]
 
 
+def single_blanks(text: str) -> bool:
+    """Whether a text's white space is single blanks and line ends between words."""
+    return not ("  " in text or " \n" in text or "\n " in text or text[:1] == " "
+                or text[-1:] == " " or _UNUSUAL.search(text))
+
+
 #: A chunk of one Latin word, with or without marks behind it: what the pattern
 #: makes of it needs no general matching.
-_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|&%$#*]*)")
+WORD, MARKS = " ?[A-Za-zÀ-ÖØ-öø-ÿ]+", ".,;:!?|&%$#*"
+_WORD = re.compile(f"({WORD})([{MARKS}]*)")
 
 
 def simple_pre_tokens(chunk: str) -> list[str] | None:
@@ -250,13 +256,6 @@ class ChunkCache:
         return out
 
 
-def numbered(words: list[str]) -> tuple[np.ndarray, list[str]]:
-    """Each word's number, and the distinct words in the order of their numbers."""
-    index: dict[str, int] = defaultdict(count().__next__)
-    ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-    return ids, list(index)
-
-
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches of ``values`` one after the other."""
     before = np.cumsum(lengths) - lengths
@@ -274,51 +273,73 @@ def _with(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
 class TokenCache:
     """Token ids of chunks; the new ones of a group of texts are computed in one call.
 
-    ``compute(chunks) -> (ids of all chunks in a row, how many each has)``; ``prefix``
-    begins the chunks of the second list. A group's distinct chunks are numbered first, so
-    only those are looked up; ids lie in one array, from which whole texts are gathered.
-    Past ``limit`` chunks, or eight times as many ids, it starts anew with the next group,
-    which bounds memory and changes no result.
+    ``compute(chunks) -> (ids of all chunks in a row, how many each has)``. Texts are cut as
+    ``chunks`` cuts them, in Arrow; a group's chunks are numbered, so that only the distinct
+    ones are looked up; ids lie in one array, from which whole texts are gathered. Past
+    ``limit`` chunks, or eight times as many ids, it starts anew with the next group, which
+    bounds memory and changes no result.
     """
 
-    def __init__(self, compute: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 prefix: str = " ", limit: int = 500_000):
-        self.compute, self.prefix, self.limit = compute, prefix, limit
+    def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
+                 limit: int = 600_000):
+        self.compute, self.limit = compute, limit
         self._forget()
 
     def _forget(self) -> None:
-        self.places: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        # by chunk: as it is, and (True) those that a blank precedes
+        self.places: dict[bool, dict[str, int]] = {False: {}, True: {}}
         self.n = self.used = 0
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _places(self, words: list[str], cut: bool) -> np.ndarray:
+    def _held(self, distinct: pa.Array, cut: bool) -> np.ndarray:
         """Where each chunk's entry is; new ones are computed."""
-        each, distinct = numbered(words)
         held = self.places[cut]
-        new = [w for w in distinct if w not in held]
-        if new:
-            ids, lengths = self.compute([self.prefix + w for w in new] if cut else new)
+        words = distinct.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(held.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            some = distinct.take(pa.array(new))
+            ids, lengths = self.compute(pc.binary_join_element_wise(
+                pa.scalar("", some.type), some, pa.scalar(" ", some.type)) if cut else some)
+            at[new] = np.arange(self.n, self.n + len(new))
             self.starts = _with(self.starts, self.n, self.used + np.cumsum(lengths) - lengths)
             self.lengths = _with(self.lengths, self.n, lengths)
             self.ids = _with(self.ids, self.used, ids)
-            held.update(zip(new, range(self.n, self.n + len(new)), strict=True))
+            held.update(zip([words[i] for i in new.tolist()], at[new].tolist(), strict=True))
             self.n, self.used = self.n + len(new), self.used + len(ids)
-        return np.fromiter(map(held.__getitem__, distinct), np.int64, len(distinct))[each]
+        return at
 
-    def encode(self, parts: list[tuple[list[str], list[str]]]) -> list[bytes]:
-        """For each text's two lists of chunks, all ids as little-endian 32-bit integers."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text as little-endian 32-bit integers."""
         if self.n > self.limit or self.used > 8 * self.limit:
             self._forget()
-        plain = self._places([c for a, _ in parts for c in a], False)
-        cut = self._places([c for _, b in parts for c in b], True)
-        order, at, to = [plain[:0]], 0, 0
-        sizes = np.zeros(len(parts), np.int64)
-        for i, (a, b) in enumerate(parts):
-            order += [plain[at:at + len(a)], cut[to:to + len(b)]]
-            at, to, sizes[i] = at + len(a), to + len(b), len(a) + len(b)
-        places = np.concatenate(order)
+        plain = np.array([single_blanks(t) for t in texts], bool)
+        split = pc.split_pattern(pa.array([t for t, p in zip(texts, plain, strict=True) if p],
+                                          pa.large_string()), " ")
+        found = [chunks(t)[0] for t, p in zip(texts, plain, strict=True) if not p]
+        counts = np.zeros(len(texts), np.int64)
+        counts[plain] = pc.list_value_length(split).to_numpy()
+        counts[~plain] = [len(f) for f in found]
+        own = np.argsort(~plain, kind="stable")        # split texts, then the others
+        starts = np.zeros(len(texts), np.int64)
+        starts[own] = np.cumsum(counts[own]) - counts[own]
+        words = pa.concat_arrays([split.flatten(), pa.array(
+            [c for f in found for c in f], pa.large_string())])
+        encoded = words.dictionary_encode()
+        number, distinct = encoded.indices.to_numpy(), encoded.dictionary
+        first = np.zeros(len(words), bool)      # as they are: first words, and found chunks
+        first[starts[plain][counts[plain] > 0]] = True
+        first[int(counts[plain].sum()):] = True
+        places = np.zeros(len(words), np.int64)
+        for cut in (False, True):
+            mine = first != cut
+            used = np.flatnonzero(np.bincount(number[mine], minlength=len(distinct)))
+            where = np.zeros(len(distinct), np.int64)
+            where[used] = self._held(distinct.take(pa.array(used)), cut)
+            places[mine] = where[number[mine]]
+        places = gathered(places, starts, counts)
         lengths = self.lengths[places]
         data = gathered(self.ids, self.starts[places], lengths).astype("<u4").tobytes()
-        ends = (4 * np.r_[0, np.cumsum(lengths)][np.cumsum(sizes)]).tolist()
+        ends = (4 * np.r_[0, np.cumsum(lengths)][np.cumsum(counts)]).tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]

@@ -32,18 +32,11 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from pintime.llm.common import (
-    TokenCache,
-    chunks,
-    gathered,
-    id_text,
-    map_text,
-    numbered,
-    simple_pre_tokens,
-    table,
-)
+from pintime.llm.common import MARKS, WORD, TokenCache, gathered, id_text, map_text, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LONG = 2048
@@ -101,13 +94,19 @@ class Vocabulary:
         return rank, self.joined[at]
 
 
-def merge_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words (none empty) in a row, and how many each has; merged in step."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    long = {i: merge_long(words[i], vocabulary) for i in np.flatnonzero(sizes > LONG).tolist()}
-    raw = np.frombuffer(b"".join([b"" if i in long else w for i, w in enumerate(words)]
-                                 if long else words), np.uint8)
-    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.where(sizes > LONG, 0, sizes))
+def merge_words(raw: np.ndarray, sizes: np.ndarray,
+                vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words (none empty) in a row, and how many each has; merged in step.
+
+    ``raw`` holds the words' bytes one after the other.
+    """
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    long = np.flatnonzero(sizes > LONG)
+    ends = np.cumsum(sizes)
+    late = {i: merge_long(raw[ends[i] - sizes[i]:ends[i]], vocabulary) for i in long.tolist()}
+    if late:
+        short = ~np.isin(owner, long)
+        raw, owner = raw[short], owner[short]
     symbol = vocabulary.first[raw].astype(np.int32)
     rank, join = _ranked(symbol, owner, vocabulary)
     done_symbol, done_owner = [], []
@@ -144,14 +143,14 @@ def merge_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray,
         near = near[near < len(symbol) - 1]
         near = near[owner[near] == owner[near + 1]]
         rank[near], join[near] = vocabulary.search(symbol[near], symbol[near + 1])
-    for i, ids in long.items():
+    for i, ids in late.items():
         done_symbol.append(ids)
         done_owner.append(np.full(len(ids), i, np.int32))
     if not done_symbol:
         return symbol, sizes
     owner = np.concatenate(done_owner)
     order = np.argsort(owner, kind="stable")
-    return np.concatenate(done_symbol)[order], np.bincount(owner, minlength=len(words))
+    return np.concatenate(done_symbol)[order], np.bincount(owner, minlength=len(sizes))
 
 
 def _ranked(symbol: np.ndarray, owner: np.ndarray,
@@ -163,9 +162,9 @@ def _ranked(symbol: np.ndarray, owner: np.ndarray,
     return rank, join
 
 
-def merge_long(word: bytes, vocabulary: Vocabulary) -> np.ndarray:
-    """One word's ids: its pairs in order of rank, over a linked list of symbols."""
-    symbol = vocabulary.first[np.frombuffer(word, np.uint8)].astype(np.int32)
+def merge_long(raw: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The ids of one word's bytes: its pairs in order of rank, over a linked list of symbols."""
+    symbol = vocabulary.first[raw].astype(np.int32)
     n = len(symbol)
     after = np.arange(1, n + 1)         # n: no symbol
     before = np.arange(-1, n)           # one more, so that the last one's neighbour can be set
@@ -210,6 +209,14 @@ def merge_long(word: bytes, vocabulary: Vocabulary) -> np.ndarray:
     return symbol[symbol >= 0]
 
 
+def word_bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all strings in a row, and how many each has."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)
+    return raw[ends[0]:ends[-1]], np.diff(ends)
+
+
 class Codec:
     """Whole texts to packed ids and back, with a bounded cache of chunks."""
 
@@ -219,43 +226,56 @@ class Codec:
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
-    def pre_tokens(self, part: str) -> list[str]:
+    def _cut(self, part: str) -> list[str]:
         """What the library's own pre-tokenizer makes of a text without added tokens."""
         return [part[a:b] for _, (a, b) in self.vocabulary.pre_tokenizer.pre_tokenize_str(part)]
 
-    def _words(self, chunk: str) -> list[str]:
+    def pre_tokens(self, chunk: str) -> list[str]:
         """The pre-tokens and added tokens of a chunk."""
-        if chunk.isascii():     # one word, with one mark behind it or none
-            word = chunk[1:] if chunk[0] == " " else chunk
-            if word.isalpha():
-                return [chunk]
-            if word[:-1].isalpha() and word[-1] in ".,;:!?":
-                return [chunk[:-1], word[-1]]
-        if (simple := simple_pre_tokens(chunk)) is not None:
-            return simple
         if not (self.special and self.special.search(chunk)):
-            return self.pre_tokens(chunk)
+            return self._cut(chunk)
         out = []
         for piece in self.special.split(chunk):
-            out += [piece] if piece in self.vocabulary.added else self.pre_tokens(piece)
+            out += [piece] if piece in self.vocabulary.added else self._cut(piece)
         return out
 
-    def _encode_chunks(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = [self._words(c) for c in parts]
-        each, distinct = numbered([w for some in words for w in some])
-        added = self.vocabulary.added
-        ids, sizes = merge_words([w.encode() for w in distinct], self.vocabulary)
+    def _encode_chunks(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words with marks behind them are two pre-tokens or one; others go to the library's
+        pre-tokenizer. The distinct pre-tokens are merged."""
+        simple = pc.match_substring_regex(parts, f"^{WORD}[{MARKS}]*$").to_numpy(
+            zero_copy_only=False)
+        words = parts.filter(pa.array(simple))
+        marks = pc.replace_substring_regex(words, f"^{WORD}", "")
+        marked = pc.not_equal(marks, "")
+        odd = [self.pre_tokens(c) for c in parts.filter(pa.array(~simple)).to_pylist()]
+        flat = pa.concat_arrays([pc.utf8_rtrim(words, MARKS), marks.filter(marked),
+                                 pa.array([w for some in odd for w in some], parts.type)])
+        encoded = flat.dictionary_encode()
+        each, distinct = encoded.indices.to_numpy(), encoded.dictionary
+        ids, sizes = merge_words(*word_bytes(distinct), self.vocabulary)
         starts = np.cumsum(sizes) - sizes
-        for i, w in enumerate(distinct) if added else ():
-            if w in added:      # one id, in the place of its first symbol
-                ids[starts[i]], sizes[i] = added[w], 1
-        lengths = sizes[each]
-        ends = np.r_[0, np.cumsum(lengths)][np.cumsum([len(some) for some in words])]
-        return gathered(ids, starts[each], lengths), np.diff(ends, prepend=0)
+        for text, token in self.vocabulary.added.items():
+            i = pc.index(distinct, text).as_py()
+            if i >= 0:      # one id, in the place of its first symbol
+                ids[starts[i]], sizes[i] = token, 1
+        # where each chunk's pre-tokens lie in ``flat``: the word, then its marks if any
+        has = marked.to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(parts), np.int64)
+        counts[simple] = 1 + has
+        counts[~simple] = [len(some) for some in odd]
+        order = np.zeros(int(counts.sum()), np.int64)
+        to = np.cumsum(counts) - counts
+        order[to[simple]] = each[:len(words)]
+        order[to[simple][has] + 1] = each[len(words):len(words) + int(has.sum())]
+        rest = each[len(words) + int(has.sum()):]
+        order[gathered(np.arange(len(order)), to[~simple], counts[~simple])] = rest
+        lengths = sizes[order]
+        ends = np.r_[0, np.cumsum(lengths)][np.cumsum(counts)]
+        return gathered(ids, starts[order], lengths), np.diff(ends, prepend=0)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, as little-endian unsigned 32-bit integers."""
-        return self.chunks.encode([chunks(t) for t in texts])
+        return self.chunks.encode(texts)
 
     def decode(self, ids: bytes) -> str:
         held = self.vocabulary.bytes

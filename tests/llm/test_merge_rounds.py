@@ -106,8 +106,9 @@ def test_any_order_of_merges(unordered, word):
     vocabulary = merge_rounds.codec(unordered).vocabulary
     assert not vocabulary.in_order
     want = plain_merge(word.encode(), vocabulary)
-    assert merge_rounds.merge_words([word.encode()], vocabulary)[0].tolist() == want
-    assert merge_rounds.merge_long(word.encode(), vocabulary).tolist() == want
+    raw = np.frombuffer(word.encode(), np.uint8)
+    assert merge_rounds.merge_words(raw, np.array([len(raw)]), vocabulary)[0].tolist() == want
+    assert merge_rounds.merge_long(raw, vocabulary).tolist() == want
 
 
 @settings(max_examples=100, deadline=None)
@@ -115,9 +116,11 @@ def test_any_order_of_merges(unordered, word):
 def test_rounds_are_the_plain_loop(words):
     vocabulary = merge_rounds.codec(PATH).vocabulary
     want = [plain_merge(w, vocabulary) for w in words]
-    ids, sizes = merge_rounds.merge_words(words, vocabulary)
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    ids, sizes = merge_rounds.merge_words(raw, np.array(list(map(len, words))), vocabulary)
     assert ids.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
-    assert [merge_rounds.merge_long(w, vocabulary).tolist() for w in words] == want
+    assert [merge_rounds.merge_long(np.frombuffer(w, np.uint8), vocabulary).tolist()
+            for w in words] == want
 
 
 def test_a_small_cache_changes_nothing(library):
@@ -126,7 +129,7 @@ def test_a_small_cache_changes_nothing(library):
     codec = merge_rounds.codec(PATH)
     cache = TokenCache(codec._encode_chunks, limit=2)
     for i in range(0, len(texts), 2):
-        got = cache.encode([merge_rounds.chunks(t) for t in texts[i:i + 2]])
+        got = cache.encode(texts[i:i + 2])
         assert [ids_of(g) for g in got] == [
             library.encode(t, add_special_tokens=False).ids for t in texts[i:i + 2]]
 
