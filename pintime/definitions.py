@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pintime.sources.periods import PeriodTable
+from pintime.sources.versions import Files
+
 
 @dataclass(frozen=True)
 class Entity:
@@ -41,7 +44,8 @@ class Field:
 class FeatureSource:
     """SRC-1: a table (catalog or temp view name) or a parquet path, with the
     name of its event-time column and, if it is partitioned by the year of its
-    event time, of that partition column."""
+    event time, of that partition column. ``versioned``: the path is that of a
+    ``PeriodTable``, of which the current version is read."""
 
     name: str
     timestamp_field: str
@@ -49,10 +53,13 @@ class FeatureSource:
     path: str | None = None
     created_timestamp_column: str | None = None
     period: str | None = None
+    versioned: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.table is not None:
             return spark.table(self.table)
+        if self.path is not None and self.versioned:
+            return PeriodTable(spark, self.path).read("rows")
         if self.path is not None:
             return spark.read.parquet(self.path)
         raise ValueError(f"source {self.name} has neither table nor path")
@@ -197,8 +204,12 @@ class FeatureRepo:
     def get_feature_view(self, name: str) -> FeatureView:
         return self.views[name]
 
-    def teardown(self, spark: SparkSession) -> None:
-        """Drop every registered source, by what it is: temp view, view or table."""
+    def teardown(self, spark: SparkSession, stored: bool = False) -> None:
+        """Drop every registered source, by what it is: temp view, view or table;
+        ``stored``: also delete the files of path sources."""
+        if stored:
+            for path in {v.source.path for v in self.views.values() if v.source.path}:
+                Files(spark, path).delete(path)
         names = [v.source.table for v in self.views.values() if v.source.table]
         for name in [*names, *self.registered]:
             if not spark.catalog.tableExists(name):

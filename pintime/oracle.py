@@ -137,6 +137,8 @@ ORACLE_SQL: dict[str, str] = {
     "trend_features": sql("SELECT * FROM trend_features"),
     "weekly_counts": sql("SELECT * FROM weekly_counts"),
     "count_features": sql("SELECT * FROM count_features"),
+    "counts_maintained": sql("SELECT * FROM count_features"),
+    "trends_maintained": sql("SELECT * FROM trend_features"),
     "filter_not_in": sql("SELECT * FROM filtered_daily"),
     "fill_zero": sql("SELECT * FROM clean_daily"),
     "entity_rows": sql("SELECT * FROM entity_rows"),

@@ -27,6 +27,7 @@ from pintime.operators.explore import stage_counts as stage_count_table
 from pintime.operators.latest import SNAPSHOT_TS, expire, latest_per_key, upsert
 from pintime.operators.split import temporal_split
 from pintime.plans import features as feat
+from pintime.plans.maintenance import COUNTS, TRENDS, WeeklyFeatures, rebuild, update
 from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, mae, poisson_pipeline, score
 from pintime.plans.model import feature_importance as importance
 from pintime.plans.online import (SnapshotStore, get_online_features, latest_snapshot,
@@ -39,6 +40,7 @@ from pintime.plans.workspace import open_workspace
 from pintime.session import ensure_checkpoint_dir, scratch_dir
 from pintime.sources.csv import (COUNT_CSV_SCHEMA, DAILY_CSV_SCHEMA, load_csv,
                                  read_csv_columns, write_csv)
+from pintime.sources.periods import PERIOD, PeriodTable
 from pintime.sources.requests import build_requests, read_request_keys, write_requests
 from pintime.sources.sinks import overwrite_table, read_table_at
 from pintime.sources.tables import daily_counts, trend_points
@@ -78,6 +80,37 @@ def count_features(spark, sf_dir):
     return feat.count_features(daily_counts(spark, sf_dir))
 
 
+def _earlier_state(raw: DataFrame, measures: list[str]) -> DataFrame:
+    """A raw table as it might have been before its last load: days that came late or were
+    corrected since, days that are gone now, and none of the newest."""
+    late, wrong = F.month("date") == 2, F.dayofyear("date") % 41 == 0
+    newest = F.col("date") >= F.lit(config.FIRST_INCREMENT_END[:10]).cast("date")
+    held = raw.where(~(late & (F.year("date") == 1997)) & ~newest).withColumns({
+        c: F.when(wrong, F.col(c) + 7).otherwise(F.col(c)) for c in measures})
+    gone = raw.where(F.dayofyear("date") % 97 == 0).withColumn(
+        "date", F.date_add("date", 3000))
+    return held.unionByName(gone)
+
+
+def _maintained(spark, label: str, spec: WeeklyFeatures, raw: DataFrame,
+                measures: list[str]) -> DataFrame:
+    """Built from an earlier state of the raw table, then brought up to it."""
+    table = PeriodTable(spark, scratch_dir(spark, label))
+    rebuild(table, spec, _earlier_state(raw, measures))
+    update(table, spec, raw)
+    return table.read("rows").drop(PERIOD)
+
+
+@query("counts_maintained")
+def counts_maintained(spark, sf_dir):
+    return _maintained(spark, "counts", COUNTS, daily_counts(spark, sf_dir), ["daily_count"])
+
+
+@query("trends_maintained")
+def trends_maintained(spark, sf_dir):
+    return _maintained(spark, "trends", TRENDS, trend_points(spark, sf_dir), ["s1", "s2", "s3"])
+
+
 @query("filter_not_in")
 def filter_not_in(spark, sf_dir):
     d = daily_counts(spark, sf_dir)

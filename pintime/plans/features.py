@@ -30,19 +30,25 @@ def trend_avg(points: DataFrame) -> DataFrame:
             .agg(*[F.avg(raw).alias(cur) for raw, cur, _ in _TREND_MEASURES]))
 
 
+def trend_rows(cells: DataFrame, *carry: str) -> DataFrame:
+    """WIN-1 (previous row per state), then FLT-5, over the means of ``trend_avg``;
+    ``carry`` names further columns of the cells to keep."""
+    w = Window.partitionBy("state").orderBy("date")
+    cols = [date_to_ts("date").alias("date"), F.col("state")]
+    for _, cur, prev in _TREND_MEASURES:
+        cols += [F.col(cur), F.lag(cur, 1).over(w).alias(prev)]
+    lagged = cells.select(*cols, *carry)
+    return lagged.na.drop(how="any", subset=["state", *config.TREND_FEATURES]).select(
+        "date", "state", *config.TREND_FEATURES, *carry)
+
+
 def trend_features(points: DataFrame) -> DataFrame:
     """FS-12: AGG-1, then WIN-1 (previous row per state), then FLT-5.
 
     ``lag_1_*`` is the current week's mean and ``lag_2_*`` the previous row's
     (Q2). Null means take part in the lag and are filtered afterwards (Q6).
     """
-    w = Window.partitionBy("state").orderBy("date")
-    cols = [date_to_ts("date").alias("date"), F.col("state")]
-    for _, cur, prev in _TREND_MEASURES:
-        cols += [F.col(cur), F.lag(cur, 1).over(w).alias(prev)]
-    lagged = trend_avg(points).select(*cols)
-    return lagged.na.drop(how="any", subset=["state", *config.TREND_FEATURES]).select(
-        "date", "state", *config.TREND_FEATURES)
+    return trend_rows(trend_avg(points))
 
 
 def clean_daily(daily: DataFrame) -> DataFrame:
@@ -65,17 +71,22 @@ def weekly_counts(daily: DataFrame) -> DataFrame:
     return weekly if whole else as_nullable_int(weekly, [name])
 
 
-def count_features(daily: DataFrame) -> DataFrame:
-    """FS-13: weekly sums, then next week's count as the target (lead) and the
-    previous week's count (lag). Shifts are by row: a missing week is skipped
-    (Q5). Columns in the table's declared order."""
-    weekly = weekly_counts(daily).withColumnRenamed("location", "state")
+def count_rows(cells: DataFrame, *carry: str) -> DataFrame:
+    """WIN-2 and WIN-3 over the weekly sums per state; ``carry`` names further columns to
+    keep. Shifts are by row: a missing week is skipped (Q5)."""
     w = Window.partitionBy("state").orderBy("date")
     cur = "lag_1_weekly_vaccinations_count"
-    return weekly.select(
+    return cells.select(
         date_to_ts("date").alias("date"),
         "state",
         F.col(cur),
         F.lead(cur, 1).over(w).alias("weekly_vaccinations_count"),
         F.lag(cur, 1).over(w).alias("lag_2_weekly_vaccinations_count"),
+        *carry,
     )
+
+
+def count_features(daily: DataFrame) -> DataFrame:
+    """FS-13: weekly sums, then next week's count as the target (lead) and the
+    previous week's count (lag). Columns in the table's declared order."""
+    return count_rows(weekly_counts(daily).withColumnRenamed("location", "state"))

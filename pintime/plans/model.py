@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from pintime import config
 from pintime.functions.vectors import feature_array
+from pintime.sources.versions import VersionLog
 
 
 def assembler(cols: Sequence[str] = config.X_COLS, out: str = "features") -> VectorAssembler:
@@ -96,38 +97,29 @@ def score(model: PipelineModel, features: DataFrame, keys: Sequence[str] = ("sta
 class ModelRegistry:
     """ML-8: models saved under integer versions; the next version is the
     largest stored one plus one (Q12). Every save writes a directory of its own;
-    an append-only version table records its path after the model files are
-    complete, so a save that died is never seen and blocks nothing."""
-
-    _SCHEMA = T.StructType([T.StructField("name", T.StringType()),
-                            T.StructField("version", T.LongType()),
-                            T.StructField("path", T.StringType())])
+    a version log names it after the model files are complete, so a save that died
+    is never seen and blocks nothing, and of two saves that take the same version
+    the second is refused."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        spark.createDataFrame([], self._SCHEMA).write.mode("append").parquet(
-            f"{self.root}/_versions")
 
-    def _versions(self) -> DataFrame:
-        return self.spark.read.schema(self._SCHEMA).parquet(f"{self.root}/_versions")
+    def _log(self, name: str) -> VersionLog:
+        return VersionLog(self.spark, f"{self.root}/{name}/_versions")
 
     def latest(self, name: str) -> int | None:
-        v = self._versions()
-        return v.where(F.col("name") == name).agg(F.max("version").alias("m")).first()["m"]
+        return max(self._log(name).versions(), default=None)
 
     def save(self, name: str, model: PipelineModel) -> int:
         version = (self.latest(name) or 0) + 1
         path = f"{self.root}/{name}/{version}-{uuid.uuid4().hex[:12]}"
         model.write().save(path)
-        row = self.spark.createDataFrame([(name, version, path)], self._SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
+        self._log(name).commit(version, {"path": path})
         return version
 
     def load(self, name: str, version: int = -1) -> PipelineModel:
         """``version=-1`` loads the latest, as the serving config does."""
         v = self.latest(name) if version == -1 else version
-        row = (self._versions().where((F.col("name") == name) & (F.col("version") == v))
-               .agg(F.max("path").alias("path")).first() if v is not None else None)
-        if row is None or row["path"] is None:
+        if v is None or v not in self._log(name).versions():
             raise KeyError(f"no saved model {name!r}, version {version}")
-        return PipelineModel.load(row["path"])
+        return PipelineModel.load(self._log(name).read(v)["path"])

@@ -14,22 +14,26 @@ from pintime.definitions import (
     FeatureView,
     Field,
 )
-from pintime.sources.sinks import PERIOD
+from pintime.sources.periods import PERIOD
 
 state = Entity(name="state", join_keys=("state",))
 
 
-def trend_view(table: str = config.TREND_TABLE, path: str | None = None) -> FeatureView:
+def trend_view(table: str = config.TREND_TABLE, path: str | None = None,
+               versioned: bool = False) -> FeatureView:
     src = FeatureSource(name="vaccine_search_trends_src", timestamp_field="date",
-                        table=None if path else table, path=path, period=PERIOD)
+                        table=None if path else table, path=path, period=PERIOD,
+                        versioned=versioned)
     return FeatureView(name="vaccine_search_trends", entities=[state], ttl=config.DEFAULT_TTL,
                        schema=[Field(n, T.FloatType()) for n in config.TREND_FEATURES],
                        source=src)
 
 
-def count_view(table: str = config.COUNT_TABLE, path: str | None = None) -> FeatureView:
+def count_view(table: str = config.COUNT_TABLE, path: str | None = None,
+               versioned: bool = False) -> FeatureView:
     src = FeatureSource(name="weekly_vaccinations_src", timestamp_field="date",
-                        table=None if path else table, path=path, period=PERIOD)
+                        table=None if path else table, path=path, period=PERIOD,
+                        versioned=versioned)
     return FeatureView(name="weekly_vaccinations", entities=[state], ttl=config.DEFAULT_TTL,
                        schema=[Field(n, T.LongType()) for n in
                                ["lag_1_weekly_vaccinations_count",

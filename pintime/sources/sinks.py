@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-PERIOD = "period"
+from pintime.sources.periods import PERIOD, period_of
 
 
 def write_feature_table(df: DataFrame, path: str, ts: str = "date") -> None:
-    """Replace a feature table, partitioned by the year of its event time, so that
-    increments and bounded retrieval read only the years they need."""
-    overwrite_table(df.withColumn(PERIOD, F.year(ts)), path, partition_by=[PERIOD])
+    """Write a feature table, partitioned by the year of its event time, so that
+    increments and bounded retrieval read only the years they need; a year's rows go to
+    as many files as their size needs. Tables that are kept up are ``PeriodTable``s."""
+    rows = df.withColumn(PERIOD, period_of(ts)).hint("rebalance", PERIOD)
+    overwrite_table(rows, path, partition_by=[PERIOD])
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:

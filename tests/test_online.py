@@ -73,7 +73,7 @@ def test_publish_after_a_crash_and_no_rewind(spark, tmp_root):
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_root}/src")
     view, store = _view(f"{tmp_root}/src"), SnapshotStore(spark, f"{tmp_root}/s")
     # a run that died after its snapshot and before its state row
-    spark.createDataFrame([("Z",)], "x string").write.parquet(f"{tmp_root}/s/v/000001-dead")
+    spark.createDataFrame([("Z",)], "x string").write.parquet(f"{tmp_root}/s/v/layer=dead")
     first = materialize_incremental(spark, store, view, end_ts=D("2021-02-15"))
     assert store.current("v").version == 1
     again = materialize_incremental(spark, store, view, end_ts=D("2021-01-06"))
@@ -85,3 +85,100 @@ def test_publish_after_a_crash_and_no_rewind(spark, tmp_root):
     assert snap_rows(late) == [("A", D("2021-01-11"), 2)]
     now = materialize_incremental(spark, SnapshotStore(spark, f"{tmp_root}/now"), view)
     assert now.count() == 0
+
+
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def sizes(spark, root):
+    """Rows of each layer, by when it was committed."""
+    store = SnapshotStore(spark, root)
+    return [spark.read.parquet(f"{root}/v/layer={n}").count() for n in store.current("v").layers]
+
+
+def test_an_increment_writes_its_rows_alone(spark, tmp_root):
+    many = [(f"K{i}", D("2021-01-04"), i) for i in range(1000)]
+    few = [(f"K{i}", D("2021-01-11"), -i) for i in range(0, 1000, 100)]
+    keyed(spark, many + few).write.parquet(f"{tmp_root}/src")
+    view, root = _view(f"{tmp_root}/src"), f"{tmp_root}/s"
+    store = SnapshotStore(spark, root)
+    materialize_incremental(spark, store, view, end_ts=D("2021-01-05"))
+    snap = materialize_incremental(spark, store, view, end_ts=D("2021-01-12"))
+    assert sizes(spark, root) == [1000, 10]
+    want = {f"K{i}": (-i if i % 100 == 0 else i) for i in range(1000)}
+    assert {r.state: r.x for r in snap.collect()} == want
+    before = store.current("v")
+    store.compact("v")
+    assert sizes(spark, root) == [1000] and store.current("v").version == before.version + 1
+    assert {r.state: r.x for r in store.snapshot("v").collect()} == want
+    assert store.vacuum("v", keep=1) == 2
+    assert {r.state: r.x for r in store.snapshot("v").collect()} == want
+
+
+def test_layers_are_merged_past_a_number(spark, tmp_root):
+    rows = [(k, D("2021-01-01") + timedelta(days=d), d) for d in range(9) for k in "AB"]
+    keyed(spark, rows).write.parquet(f"{tmp_root}/src")
+    store = SnapshotStore(spark, f"{tmp_root}/s", max_deltas=2)
+    depth = []
+    for d in range(9):
+        snap = materialize_incremental(spark, store, _view(f"{tmp_root}/src"),
+                                       end_ts=D("2021-01-01") + timedelta(days=d))
+        depth.append(len(store.current("v").layers))
+        assert {r.state: r.x for r in snap.collect()} == {"A": d, "B": d}
+    assert depth == [1, 2, 3, 1, 2, 3, 1, 2, 3]
+
+
+def test_the_second_of_two_publishers_is_refused(spark, tmp_root):
+    import pytest
+
+    from pintime.plans.online import VersionConflict
+    keyed(spark, [("A", D("2021-01-04"), 1)]).write.parquet(f"{tmp_root}/src")
+    store = SnapshotStore(spark, f"{tmp_root}/s")
+    materialize_incremental(spark, store, _view(f"{tmp_root}/src"), end_ts=D("2021-01-05"))
+    read = store.current("v")
+    rows = store.snapshot("v")
+    store.publish("v", rows, ["state"], D("2021-01-06"), based_on=read)
+    with pytest.raises(VersionConflict):
+        store.publish("v", rows, ["state"], D("2021-01-07"), based_on=read)
+    assert store.current("v").end_ts == D("2021-01-06")
+    store.drop("v")
+    assert store.current("v") is None and store.snapshot("v") is None
+
+
+def test_lookup_prunes_buckets_and_checks_the_ttl(spark, tmp_root):
+    rows = [(f"K{i}", D("2021-01-01") + timedelta(days=i % 30), i) for i in range(300)]
+    keyed(spark, rows).write.parquet(f"{tmp_root}/src")
+    view = _view(f"{tmp_root}/src", timedelta(days=20))
+    store = SnapshotStore(spark, f"{tmp_root}/s", buckets=32)
+    materialize_incremental(spark, store, view, end_ts=D("2021-01-15"))
+    materialize_incremental(spark, store, view, end_ts=D("2021-01-31"))
+    svc = FeatureService("s", [view])
+    asked = spark.createDataFrame([("K7",), ("K29",), ("K0",), (None,), ("K7",), ("no",)],
+                                  "state string")
+    got = get_online_features(store, svc, asked)
+    assert sorted((r.state or "", r.x) for r in got.collect()) == [
+        ("", None), ("K0", None), ("K29", 29), ("K7", None), ("K7", None), ("no", None)]
+    # K7 is of the 8th, K0 of the 1st; a lookup as of an earlier time still serves K7
+    early = get_online_features(store, svc, asked, as_of=D("2021-01-25"))
+    assert {r.state: r.x for r in early.collect()}["K7"] == 7
+    late = get_online_features(store, svc, asked, as_of=D("2022-01-01"))
+    assert all(r.x is None for r in late.collect())
+    plan = got._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan or (
+        "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters", 1)[1][:80])
+    found = {f.split("bucket=")[1].split("/")[0] for f in store.snapshot(
+        "v", buckets={3}).inputFiles()}
+    assert found <= {str(b) for b in range(32)}
+
+
+def test_keys_of_other_types_find_their_buckets(spark, tmp_root):
+    view = FeatureView("v", [Entity("id", ("id",))], None, [Field("x", T.LongType())],
+                       FeatureSource("src", "date", path=f"{tmp_root}/src"))
+    spark.createDataFrame([(i, D("2021-01-04"), i * 2) for i in range(50)],
+                          "id int, date timestamp_ntz, x long").write.parquet(f"{tmp_root}/src")
+    store = SnapshotStore(spark, f"{tmp_root}/s")
+    materialize_incremental(spark, store, view, end_ts=D("2021-02-01"))
+    asked = spark.createDataFrame([(7,), (99,)], "id long")
+    got = get_online_features(store, FeatureService("s", [view]), asked).collect()
+    assert sorted((r.id, r.x) for r in got) == [(7, 14), (99, None)]
