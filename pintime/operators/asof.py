@@ -14,10 +14,14 @@ Plan, one for every size (no range join, no per-row fan-out, no size switch):
    costs one row a task. Feature rows tied on time resolve to the greatest
    struct.
 2. The timeline is cut into (key, time bucket) groups, so a hot key spreads over
-   its buckets and a group has at most as many rows as instants.
-3. The newest feature of each bucket is carried to the later buckets that hold
-   entity instants (one row per key and bucket, a small window by key) and
-   injected there as an older row of the timeline.
+   its buckets. A group of more than ``group_rows`` instants is cut further, at
+   quantiles of its own instants, into ranges of about that many: however the rows of
+   a key crowd together in time, no group holds more. The cuts are at most one value
+   for every ``group_rows`` rows, which bounds their broadcast; where no group is that
+   large, the branch for them is empty and adaptive execution drops it.
+3. The newest feature of each group is carried to the later groups that hold
+   entity instants (one row per key and bucket, and per range of a large group, in
+   small windows) and injected there as an older row of the timeline.
 4. A running ``last(struct, ignorenulls)`` in each group then gives every entity
    instant its newest feature row. Features travel as one struct, so a newest
    row's null feature stays null instead of being back-filled.
@@ -43,6 +47,11 @@ from pyspark.sql import functions as F
 from pintime.config import ASOF_BUCKET_DAYS
 from pintime.functions.time import day_bucket
 
+#: Instants that one group of the timeline should hold, and into how many ranges a larger
+#: group is cut at most.
+GROUP_ROWS = 500_000
+GRID = 1024
+
 
 @dataclass
 class AsofSide:
@@ -65,11 +74,12 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
               keys: Sequence[str], entity_ts: str = "event_timestamp",
-              bucket_days: int | None = ASOF_BUCKET_DAYS) -> DataFrame:
+              bucket_days: int | None = ASOF_BUCKET_DAYS,
+              group_rows: int = GROUP_ROWS) -> DataFrame:
     """Entity columns (in order) followed by each side's features (in order).
 
-    ``bucket_days``: width of the time buckets (None: one bucket a key); any width
-    gives the same result.
+    ``bucket_days``: width of the time buckets (None: one bucket a key); ``group_rows``:
+    instants that one group should hold. Any values give the same result.
     """
     if isinstance(sides, AsofSide):
         sides = [sides]
@@ -86,9 +96,8 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     names = [f"_k{i}" for i in range(len(keys))]
     found = [f"_f{i}" for i in range(len(sides))]
     timeline = _timeline(entity, sides, keys, entity_ts, names, found, bucket_days)
-    if bucket_days:
-        timeline = timeline.unionByName(_carried(timeline, names, found))
-    running = (Window.partitionBy(*names, "_b").orderBy(F.col("_ts").asc_nulls_first())
+    timeline = _grouped(timeline, names, found, group_rows)
+    running = (Window.partitionBy(*names, "_b", "_s").orderBy(F.col("_ts").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     matches = timeline.select(
         *names, "_ts", "_e", *[F.last(f, ignorenulls=True).over(running).alias(f"_m{f}")
@@ -128,17 +137,53 @@ def _timeline(entity: DataFrame, sides: Sequence[AsofSide], keys: list[str], ent
         F.max("_e").alias("_e"), *[F.max(f).alias(f) for f in found])
 
 
-def _carried(timeline: DataFrame, names: list[str], found: list[str]) -> DataFrame:
-    """Rows for the buckets with entity instants: the newest features of all earlier buckets.
+def _grouped(timeline: DataFrame, names: list[str], found: list[str],
+             group_rows: int) -> DataFrame:
+    """The timeline with each row's range ``_s`` of its bucket, and the carried rows.
 
-    They have no time of their own, so they come first in their bucket. A struct
-    begins with its time, so the greatest struct of a bucket is the newest.
+    A carried row holds the newest features of all earlier groups of its key. It has no
+    time of its own, so it comes first in its group. A struct begins with its time, so
+    the greatest struct of a group is the newest.
     """
-    newest = timeline.groupBy(*names, "_b").agg(
-        F.max("_e").alias("_needed"), *[F.max(f).alias(f) for f in found])
+    group = [*names, "_b"]
+    newest = timeline.groupBy(*group).agg(
+        F.count("*").alias("_n"), F.max("_e").alias("_e"), *[F.max(f).alias(f) for f in found])
     earlier = (Window.partitionBy(*names).orderBy("_b")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carried = newest.select(*names, "_b", "_needed", *[
-        F.last(f, ignorenulls=True).over(earlier).alias(f) for f in found]).where("_needed")
-    no_time = F.lit(None).cast(timeline.schema["_ts"].dataType)
-    return carried.select(*names, "_b", no_time.alias("_ts"), F.lit(False).alias("_e"), *found)
+    carried = newest.select(*group, "_n", "_e", *_last(found, earlier)).where("_e")
+
+    large = newest.where(F.col("_n") > group_rows).select(*group, "_n")
+    edges = _edges(timeline, large, group, group_rows)
+    place = F.coalesce(F.size(F.filter("_edges", lambda t: t < F.col("_ts"))), F.lit(0))
+    ranged = timeline.join(F.broadcast(edges), group, "left").withColumn("_s", place)
+
+    no_time = F.lit(None).cast(timeline.schema["_ts"].dataType).alias("_ts")
+    row = [*group, "_s", no_time, F.lit(False).alias("_e"), *found]
+    first = carried.withColumn("_s", F.lit(0)).where(F.col("_n") <= group_rows).select(*row)
+    # large groups: what is carried into them comes before the newest of each range
+    inside = ranged.where("_edges is not null").groupBy(*group, "_s").agg(
+        F.max("_e").alias("_e"), *[F.max(f).alias(f) for f in found])
+    before = carried.where(F.col("_n") > group_rows).select(
+        *group, F.lit(-1).alias("_s"), F.lit(False).alias("_e"), *found)
+    ranges = (Window.partitionBy(*group).orderBy("_s")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    among = inside.unionByName(before).select(*group, "_s", "_e", *_last(found, ranges)).where(
+        "_e").select(*row)
+    return ranged.select(*group, "_s", "_ts", "_e", *found).unionByName(first).unionByName(among)
+
+
+def _last(columns: list[str], window) -> list[Column]:
+    return [F.last(c, ignorenulls=True).over(window).alias(c) for c in columns]
+
+
+def _edges(timeline: DataFrame, large: DataFrame, group: list[str],
+           group_rows: int) -> DataFrame:
+    """Instants at which each large group is cut into ranges of about ``group_rows``: every
+    so many of ``GRID`` quantiles of its instants."""
+    rows = timeline.join(F.broadcast(large), group).select(*group, "_n", "_ts")
+    quantiles = F.percentile_approx("_ts", [i / GRID for i in range(1, GRID)], 10 * GRID)
+    cuts = F.least(F.lit(GRID), F.ceil(F.col("_n") / F.lit(group_rows)))
+    chosen = F.transform(F.sequence(F.lit(1), cuts - 1), lambda i: F.element_at(
+        F.col("_q"), (i * F.lit(GRID) / cuts).cast("int")))
+    return rows.groupBy(*group, "_n").agg(quantiles.alias("_q")).select(
+        *group, F.array_distinct(chosen).alias("_edges"))

@@ -91,8 +91,32 @@ def test_matches_brute_force(spark, ttl_days, bucket_days):
     ents += [(None, base, 2000 + i) for i in range(50)] + [("A", None, 3000 + i) for i in range(30)]
     feats += [f for f in feats if f[0] == "C"] * 20
     ttl = None if ttl_days is None else timedelta(days=ttl_days)
-    got = run(spark, ents, feats, ttl=ttl, bucket_days=bucket_days)
-    assert got == brute(ents, feats, ttl)
+    want = brute(ents, feats, ttl)
+    for group_rows in (500_000, 10):
+        assert run(spark, ents, feats, ttl=ttl, bucket_days=bucket_days,
+                   group_rows=group_rows) == want
+
+
+def test_a_hot_day_is_cut_into_bounded_groups(spark):
+    """Most instants of one key lie inside an hour of one day, half of those in a minute."""
+    from pintime.operators import asof
+    rnd, day = random.Random(3), D("2021-05-05 10:00:00")
+    near = lambda i: day + timedelta(microseconds=rnd.randrange(
+        60 * 10**6 if i % 2 else 3600 * 10**6))
+    feats = [("hot", near(i), float(i), 1.0) for i in range(3000)]
+    feats += [(k, day + timedelta(days=rnd.randrange(-200, 200)), 1.0, None) for k in "abc"
+              for _ in range(40)]
+    ents = [("hot", near(i), i) for i in range(1500)] + [
+        ("hot", day + timedelta(days=d), 2000 + d) for d in (-3, 3, 100)]
+    assert run(spark, ents, feats, group_rows=100) == brute(ents, feats, None)
+    e, f = spark.createDataFrame(ents, ENT), spark.createDataFrame(feats, FEAT)
+    side = asof.AsofSide(df=f, ts="date", features=["f", "g"])
+    timeline = asof._timeline(e, [side], ["state"], "event_timestamp", ["_k0"], ["_f0"], 91)
+    sizes = [r["count"] for r in asof._grouped(timeline, ["_k0"], ["_f0"], 100).groupBy(
+        "_k0", "_b", "_s").count().collect()]
+    assert max(sizes) <= 200 and len(sizes) > 40
+    whole = [r["count"] for r in timeline.groupBy("_k0", "_b").count().collect()]
+    assert max(whole) > 4000
 
 
 def test_two_views_one_pass_and_row_count(spark):
@@ -127,3 +151,29 @@ def test_created_timestamp_breaks_ties(spark):
     assert out.f == 1.0
     snap = latest_per_key(feats, ["state"], "date", ["f"], created="created").first()
     assert snap.f == 1.0
+
+
+def test_few_entity_keys_reduce_the_feature_scan(spark, tmp_root):
+    from pintime.definitions import Entity, FeatureService, FeatureSource, FeatureView, Field
+    from pintime.plans.retrieval import get_historical_features
+    rows = [(f"K{i % 500}", D("2021-01-01") + timedelta(days=i // 500), float(i))
+            for i in range(5000)]
+    spark.createDataFrame(rows, "state string, date timestamp_ntz, x double").write.parquet(
+        f"{tmp_root}/x")
+    view = FeatureView("v", [Entity("state", ("state",))], timedelta(days=100),
+                       [Field("x", T.DoubleType())], FeatureSource("s", "date",
+                                                                   path=f"{tmp_root}/x"))
+    ents = spark.createDataFrame([(f"K{i}", D("2021-01-06"), i) for i in range(10)]
+                                 + [(None, D("2021-01-06"), 10), ("no", None, 11)], ENT)
+    get = lambda n: get_historical_features(
+        spark, FeatureService("f", [view]), ents, few_keys=n)
+    few, all_keys = get(100), get(0)
+    assert sorted(map(str, few.collect())) == sorted(map(str, all_keys.collect()))
+    assert {r.tag: r.x for r in few.collect()}[3] == 2503.0
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "Join LeftSemi" not in (
+        all_keys._jdf.queryExecution().optimizedPlan().toString())
+    # only the rows of the ten keys reach the exchange of the timeline
+    semi = view.to_df(spark).join(ents.select("state").distinct(), "state", "left_semi")
+    assert semi.count() == 100
+    assert plan.index("Aggregate") < plan.index("Join LeftSemi")
