@@ -4,7 +4,7 @@
       rebuild both feature tables under <root>/tables and publish the newest
       values incrementally to the snapshot store under <root>/online (FS-11);
       run it from any scheduler, e.g. daily.
-  python -m pintime train <data_dir> <root> [--trees N] [--objective poisson]
+  python -m pintime train <data_dir> <root> [--trees N] [--objective counts]
       fit the count model on the cleaned training set and save the next
       version under <root>/models (ML-3, ML-5, ML-8).
   python -m pintime score <root> <requests_json> <out_dir>
@@ -35,7 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("data_dir")
     t.add_argument("root")
     t.add_argument("--trees", type=int, default=config.GBT_TREES)
-    t.add_argument("--objective", choices=["squared", "poisson"], default="squared")
+    t.add_argument("--objective", choices=["squared", "poisson", "counts"],
+                   default="squared", help="boosted trees for squared error or for counts "
+                                           "(Poisson), or a Poisson regression")
     s = sub.add_parser("score")
     s.add_argument("root")
     s.add_argument("requests")
@@ -55,9 +57,17 @@ def main(argv: list[str] | None = None) -> None:
         from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, poisson_pipeline
         data = clean_training_set(spark, args.data_dir).select(
             "state", config.EVENT_TS, *config.X_COLS, config.Y_COL).checkpoint()
-        version = ModelRegistry(spark, f"{args.root}/models").save(
-            "predict-counts", fit(data, poisson_pipeline() if args.objective == "poisson"
-                                  else gbt_pipeline(trees=args.trees)))
+        if args.objective == "counts":
+            from datetime import timedelta
+
+            from pintime.operators.split import temporal_split
+            from pintime.plans.boosting import fit_counts
+            model = fit_counts(*temporal_split(data, timedelta(weeks=1), config.EVENT_TS),
+                               trees=args.trees).model
+        else:
+            model = fit(data, poisson_pipeline() if args.objective == "poisson"
+                        else gbt_pipeline(trees=args.trees))
+        version = ModelRegistry(spark, f"{args.root}/models").save("predict-counts", model)
         print("saved model version", version)
     elif args.cmd == "score":
         from pintime.plans.model import ModelRegistry, score

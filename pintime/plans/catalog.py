@@ -27,6 +27,7 @@ from pintime.operators.explore import stage_counts as stage_count_table
 from pintime.operators.latest import SNAPSHOT_TS, expire, latest_per_key, upsert
 from pintime.operators.split import temporal_split
 from pintime.plans import features as feat
+from pintime.plans.boosting import fit_counts
 from pintime.plans.maintenance import COUNTS, TRENDS, WeeklyFeatures, rebuild, update
 from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, mae, poisson_pipeline, score
 from pintime.plans.model import feature_importance as importance
@@ -480,6 +481,27 @@ def train_predict_poisson(spark, sf_dir):
                                         F.col("prediction").cast("float").alias("prediction"))
 
 
+def _boosted(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    train, test = temporal_split(data, timedelta(weeks=1), config.EVENT_TS)
+    return data, fit_counts(train, test)
+
+
+@query("train_predict_boosted")
+def train_predict_boosted(spark, sf_dir):
+    """The reference's objective: boosted trees for counts, stopped by the newest weeks."""
+    data, boosted = _boosted(spark, sf_dir)
+    return boosted.model.transform(data).select(
+        "state", config.EVENT_TS, config.Y_COL,
+        F.col("prediction").cast("float").alias("prediction"))
+
+
+@query("boosting_curve")
+def boosting_curve(spark, sf_dir):
+    """ML-4: the errors after every round on both parts of the split."""
+    return _boosted(spark, sf_dir)[1].curve(spark)
+
+
 @query("feature_tensor")
 def feature_tensor(spark, sf_dir):
     """FN-9: the 8-wide float vector of every request key, and whether it is known."""

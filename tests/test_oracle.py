@@ -11,7 +11,8 @@ from pintime.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["nation", "customer", "supplier", "orders", "lineitem"]
-SLOW = {"train_predict", "validation_mae", "feature_importance", "batch_score"}
+SLOW = {"train_predict", "validation_mae", "feature_importance", "batch_score", "train_predict_boosted",
+        "boosting_curve"}
 
 
 def _norm(v):

@@ -52,7 +52,7 @@ def test_time_range_reaches_parquet_scan(spark, tmp_root):
 
 def test_no_cross_or_nested_loop_join_in_any_query(spark):
     skip = {"train_predict", "train_predict_poisson", "validation_mae", "feature_importance",
-            "batch_score"}
+            "batch_score", "train_predict_boosted", "boosting_curve"}
     for key, fn in QUERIES.items():
         if key in skip:
             continue
