@@ -48,7 +48,12 @@ def ks_test(a: DataFrame, b: DataFrame, features: Sequence[str],
             ranges: int | None = None) -> DataFrame:
     """``feature, statistic, p_value, n_a, n_b, mean_a, mean_b``. Running sums are
     spread over ``ranges`` value ranges (by default as many as the values need)."""
-    counts, distinct = _counted(a, b, features)
+    return ks_of_counts(*_counted(a, b, features), ranges)
+
+
+def ks_of_counts(counts: DataFrame, distinct: int, ranges: int | None = None) -> DataFrame:
+    """``ks_test`` of values counted already: ``feature, value, na, nb``, one row per value and
+    ``distinct`` rows in all."""
     cdf = running_totals(counts, ["feature"], "value", ["na", "nb"],
                          ranges or ranges_for(distinct))
     mean = lambda n: F.try_divide(F.sum(F.col("value") * F.col(n)), F.sum(n))
@@ -70,8 +75,13 @@ def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None) ->
     u = (a.select(F.col(col).cast("string").alias("_cat"), F.lit(0).alias("_side"))
          .unionByName(b.select(F.col(col).cast("string").alias("_cat"), F.lit(1).alias("_side")))
          .where(F.col("_cat").isNotNull()))
-    table = u.groupBy("_cat").agg(F.count_if(F.col("_side") == 0).alias("oa"),
-                                  F.count_if(F.col("_side") == 1).alias("ob"))
+    return chi2_of_counts(u.groupBy("_cat").agg(
+        F.count_if(F.col("_side") == 0).alias("oa"), F.count_if(F.col("_side") == 1).alias("ob")),
+        name or col)
+
+
+def chi2_of_counts(table: DataFrame, name: str) -> DataFrame:
+    """``chi2_test`` of a table with one row per category: its counts ``oa`` and ``ob``."""
     # table totals as one scalar subquery: [n_a, n_b, number of categories]
     tot = table.agg(F.array(F.sum("oa"), F.sum("ob"), F.count(F.lit(1)))).scalar()
     cells = table.select("oa", "ob", tot[0].alias("n_a"), tot[1].alias("n_b"),
@@ -81,7 +91,7 @@ def chi2_test(a: DataFrame, b: DataFrame, col: str, name: str | None = None) ->
     term = (F.try_divide(F.pow(F.col("oa") - ea, 2), ea)
             + F.try_divide(F.pow(F.col("ob") - eb, 2), eb))     # null if a side is empty
     stat = cells.groupBy("n_a", "n_b", "k").agg(F.sum(term).alias("_x"))
-    return stat.select(F.lit(name or col).alias("feature"),
+    return stat.select(F.lit(name).alias("feature"),
                        F.col("_x").alias("statistic"),
                        (F.col("k") - 1).cast("long").alias("dof"),
                        chi2_sf("_x", "k - 1").alias("p_value"),
@@ -118,13 +128,18 @@ def drift_report(a: DataFrame, b: DataFrame, numeric: Sequence[str],
     sizes, plus the share of drifted columns and the dataset verdict."""
     require_rows(a, "reference")
     require_rows(b, "current")
-    rows_ks = ks_test(a, b, numeric).select("feature", F.lit("ks").alias("test"), "statistic",
-                                            "p_value", "n_a", "n_b", "mean_a", "mean_b")
-    cat_frames = [chi2_test(a, b, c) for c in categorical]
+    chi2 = [chi2_test(a, b, c) for c in categorical]
     if target:
-        cat_frames.append(target_drift(a, b, target))
-    rows = rows_ks
-    for c in cat_frames:
+        chi2.append(target_drift(a, b, target))
+    return verdict(ks_test(a, b, numeric), chi2, threshold, share)
+
+
+def verdict(ks: DataFrame, chi2: Sequence[DataFrame], threshold: float = 0.05,
+            share: float = 0.5) -> DataFrame:
+    """The report of some tests: one row per column, and what all of them say."""
+    rows = ks.select("feature", F.lit("ks").alias("test"), "statistic", "p_value", "n_a", "n_b",
+                     "mean_a", "mean_b")
+    for c in chi2:
         rows = rows.unionByName(c.select("feature", F.lit("chi2").alias("test"), "statistic",
                                          "p_value", "n_a", "n_b",
                                          F.lit(None).cast("double").alias("mean_a"),

@@ -92,6 +92,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     counts, distinct = materialize_counted(
         df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by, x.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n")), "quantile_values")
+    return quantiles_of_counts(counts, distinct, probs, by, ranges)
+
+
+def quantiles_of_counts(counts: DataFrame, distinct: int, probs: Sequence[float],
+                        by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``exact_quantiles`` of values that are counted already: ``by..., _v, _n``, one row per
+    distinct value, ``distinct`` rows in all."""
+    by = list(by)
     cum = running_totals(counts, by, "_v", ["_n"], ranges or ranges_for(distinct))
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
     cum = attach(cum, totals, by)

@@ -427,3 +427,6 @@ ORACLE_SQL.update({
     FROM oob_cur c JOIN oob_bounds b ON b.feature = c.feature""",
                                 *SNAPSHOT_CTES, *WINDOW_CTES, *OOB_CTES),
 })
+
+# stored profiles give the report that the scan gives
+ORACLE_SQL["drift_report_profiles"] = ORACLE_SQL["drift_report"]

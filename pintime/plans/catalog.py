@@ -33,6 +33,7 @@ from pintime.plans.model import ModelRegistry, fit, gbt_pipeline, mae, poisson_p
 from pintime.plans.model import feature_importance as importance
 from pintime.plans.online import (SnapshotStore, get_online_features, latest_snapshot,
                                   materialize_incremental)
+from pintime.plans.profiles import DriftProfiles, update_profiles
 from pintime.plans.refresh import refresh
 from pintime.plans.retrieval import get_historical_features
 from pintime.plans.windows import fetch_window, split_windows, window_entity_query
@@ -580,6 +581,19 @@ def drift_report(spark, sf_dir):
                    {"p_value": 6, "mean_a": 6, "mean_b": 6, "share_drifted": 6})
 
 
+@query("drift_report_profiles")
+def drift_report_profiles(spark, sf_dir):
+    """The report of ``drift_report`` from stored profiles, exact."""
+    ws = open_workspace(spark, sf_dir)
+    profiles = DriftProfiles(spark, scratch_dir(spark, "profiles"))
+    update_profiles(spark, ws, profiles, ())
+    shown = profiles.report(config.DRIFT_WINDOW_A, config.DRIFT_WINDOW_B)
+    digits = F.when(F.col("test") == "ks", F.round("statistic", 9)).otherwise(
+        F.round("statistic", 6))
+    return rounded(shown.withColumn("statistic", digits),
+                   {"p_value": 6, "mean_a": 6, "mean_b": 6, "share_drifted": 6})
+
+
 def serving_snapshot(spark, ws) -> DataFrame:
     """Newest serving features per key of the count table (state + X)."""
     counts = latest_snapshot(ws.counts.to_df(spark), ws.counts).select(

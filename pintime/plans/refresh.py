@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pintime.plans.maintenance import COUNTS, TRENDS, rebuild, update
 from pintime.plans.online import SnapshotStore, materialize_incremental
+from pintime.plans.profiles import DriftProfiles, update_profiles
 from pintime.plans.repo import build_repo, count_view, trend_view
 from pintime.plans.workspace import Workspace
 from pintime.sources.periods import PeriodTable
@@ -27,8 +28,10 @@ log = logging.getLogger(__name__)
 
 def refresh(spark: SparkSession, sf_dir: str, root: str,
             end_ts: datetime | None = None, full_refresh: bool = False,
-            changed_days: Iterable[date] | None = None) -> tuple[SnapshotStore, Workspace]:
-    """Counts first, then trends, then publish (the reference's order).
+            changed_days: Iterable[date] | None = None,
+            profiles: bool = False) -> tuple[SnapshotStore, Workspace]:
+    """Counts first, then trends, then publish (the reference's order), then, if asked, the
+    drift profiles of the periods that changed.
 
     ``changed_days``: raw days that are new, late, corrected or gone since the last run
     (None: found by comparing the raw tables with the marks of the last run).
@@ -36,11 +39,13 @@ def refresh(spark: SparkSession, sf_dir: str, root: str,
     end makes reruns repeatable; FN-7)."""
     root = root.rstrip("/")
     counts_path, trend_path = f"{root}/tables/counts", f"{root}/tables/trends"
+    touched: set[int] = set()
     for path, spec, raw in ((counts_path, COUNTS, daily_counts(spark, sf_dir)),
                             (trend_path, TRENDS, trend_points(spark, sf_dir))):
         table = PeriodTable(spark, path)
         done = (rebuild(table, spec, raw) if full_refresh
                 else update(table, spec, raw, changed_days))
+        touched |= set(done.row_periods)
         log.info("%s: version %s, %d changed days, rows of periods %s written", path,
                  done.version and done.version.number, done.days, done.row_periods)
     trend = trend_view(path=trend_path, versioned=True)
@@ -52,4 +57,7 @@ def refresh(spark: SparkSession, sf_dir: str, root: str,
         if end is not None:
             materialize_incremental(spark, store, view, end_ts=end, full_refresh=full_refresh)
     ws = Workspace(spark, sf_dir, repo)
+    if profiles:
+        done = update_profiles(spark, ws, DriftProfiles(spark, f"{root}/profiles"), touched)
+        log.info("profiles of periods %s written", done)
     return store, ws
