@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from pintime import config
 from pintime.functions.nulls import drop_any_null, not_in_keep_nulls
 from pintime.functions.stats import round_p
-from pintime.functions.time import date_to_ts, interval, ts_lit
+from pintime.functions.time import date_to_ts, interval, ts_lit, week_ending_monday
 from pintime.functions.vectors import feature_array
 from pintime.operators.asof import AsofSide, asof_join
 from pintime.operators.drift import chi2_test, ks_test, out_of_bounds, target_drift
 from pintime.operators.drift import drift_report as report
-from pintime.operators.explore import correlations, describe, head, histogram, tail
+from pintime.operators.explore import Stage, correlations, describe, head, histogram, tail
 from pintime.operators.explore import stage_counts as stage_count_table
 from pintime.operators.latest import SNAPSHOT_TS, expire, latest_per_key, upsert
 from pintime.operators.split import temporal_split
@@ -228,12 +228,18 @@ def describe_target(spark, sf_dir):
                    dict.fromkeys(["mean", "std", "p25", "p50", "p75"], 6))
 
 
+def count_stages() -> list[Stage]:
+    """The count job's steps over the raw daily rows: loaded, filtered, weekly."""
+    kept = (not_in_keep_nulls("location", config.EXCLUDED_LOCATIONS)
+            & (F.col("date") >= F.lit(config.DATE_FLOOR).cast("date")))
+    named = F.coalesce("location", F.lit("0"))      # as the filter fills it
+    return [Stage("loaded", F.lit(True), F.col("location")), Stage("filtered", kept, named),
+            Stage("weekly", kept, named, (named.alias("k"), week_ending_monday("date").alias("w")))]
+
+
 @query("stage_counts")
 def stage_counts(spark, sf_dir):
-    daily = daily_counts(spark, sf_dir)
-    weekly = feat.weekly_counts(daily)
-    return stage_count_table([("loaded", daily), ("filtered", feat.clean_daily(daily)),
-                   ("weekly", weekly)], key="location")
+    return stage_count_table(daily_counts(spark, sf_dir), count_stages())
 
 
 @query("training_set_from_df")

@@ -1,6 +1,18 @@
 """Exploration aggregates on hand-made rows."""
 
-from pintime.operators.explore import correlations, describe, head, histogram, stage_counts, tail
+from pyspark.sql import functions as F
+
+from pintime.operators.explore import (
+    Stage,
+    correlations,
+    describe,
+    head,
+    histogram,
+    merged_stage_counts,
+    stage_counts,
+    stage_marks,
+    tail,
+)
 
 
 def test_describe_matches_pandas_quartiles(spark):
@@ -39,10 +51,38 @@ def test_head_tail_and_stage_counts(spark):
     df = spark.createDataFrame([(i, f"k{i % 3}") for i in range(10)], "i int, k string")
     assert [r.i for r in head(df, ["i"], 3).collect()] == [0, 1, 2]
     assert [r.i for r in tail(df, ["i"], 3).collect()] == [7, 8, 9]
-    sc = {r.stage: (r.n_rows, r.n_keys) for r in stage_counts([("all", df)], "k").collect()}
+    all_rows = [Stage("all", F.lit(True), F.col("k"))]
+    sc = {r.stage: (r.n_rows, r.n_keys) for r in stage_counts(df, all_rows).collect()}
     assert sc == {"all": (10, 3)}
 
 
+def test_stages_in_one_scan_and_by_day(spark, tmp_root):
+    rows = [(None if i % 11 == 0 else f"k{i % 700}", i % 50, i % 3) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, w int, day int")
+    df.write.parquet(f"{tmp_root}/rows")
+    df = spark.read.parquet(f"{tmp_root}/rows")
+    kept = F.col("w") < 30
+    stages = [Stage("loaded", F.lit(True), F.col("k")), Stage("kept", kept, F.col("k")),
+              Stage("cells", kept, F.col("k"), (F.col("k"), F.col("w"))),
+              Stage("none", F.col("w") > 99, F.col("k"))]
+    some = [r for r in rows if r[1] < 30]
+    keys = lambda part: len({r[0] for r in part} - {None})
+    want = {"loaded": (4000, keys(rows)), "kept": (len(some), keys(some)),
+            "cells": (len({r[:2] for r in some}), keys(some)), "none": (0, 0)}
+    exact = stage_counts(df, stages)
+    assert {r.stage: (r.n_rows, r.n_keys) for r in exact.collect()} == want
+    plan = stage_counts(df, stages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    stage_marks(df, stages, "day").write.parquet(f"{tmp_root}/marks")
+    marks = spark.read.parquet(f"{tmp_root}/marks")
+    assert marks.count() == 3
+    for r in merged_stage_counts(marks, stages).collect():
+        n, k = want[r.stage]
+        assert abs(r.n_rows - n) <= 0.05 * n and abs(r.n_keys - k) <= 0.05 * k
+    one = {r.stage: r.n_rows for r in merged_stage_counts(marks.where("day = 1"), stages).collect()}
+    assert one["loaded"] == sum(r[2] == 1 for r in rows)
+
+
 def test_nan_and_null_groups(spark):
     nan = float("nan")
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", nan), ("a", 4.0), ("a", 6.0)],
