@@ -42,10 +42,10 @@ class_sums AS (
 refs AS (
   SELECT lang, n_words, a / t AS qa, b / t AS qb, c / t AS qc, e / t AS qe, f / t AS qf
   FROM class_sums
-  WHERE n_docs >= 0.002 * (SELECT count(*) FROM d WHERE lang IS NOT NULL) AND n_words > 0),
+  WHERE t >= 10000 AND n_words > 0),
 prose_words AS (SELECT lang, unnest(letters) AS word FROM prose),
 word_counts AS (
-  SELECT lang, word, count(*) AS n FROM prose_words WHERE length(word) <= 6 GROUP BY lang, word),
+  SELECT lang, word, count(*) AS n FROM prose_words GROUP BY lang, word),
 common AS (
   SELECT w.lang, w.word, w.n / r.n_words AS q
   FROM word_counts w JOIN refs r USING (lang)
@@ -74,16 +74,21 @@ every AS (
     greatest(1 - coalesce(own.p, 0), 0) AS p_other, coalesce(own.q, 0) AS q
   FROM m3 CROSS JOIN rest LEFT JOIN own ON own.doc_id = m3.doc_id AND own.lang = rest.lang
   WHERE len(m3.letters) > 0),
-word_distance AS (
-  SELECT doc_id, min(sqrt(greatest(0, d + 0.5 * (known - q)
+word_by_lang AS (
+  SELECT doc_id, sqrt(greatest(0, d + 0.5 * (known - q)
     + CASE WHEN p_other > 0 THEN 0.5 * p_other * log2(2 * p_other / (p_other + other)) ELSE 0 END
-    + CASE WHEN other > 0 THEN 0.5 * other * log2(2 * other / (p_other + other)) ELSE 0 END)))
-    AS word_distance
-  FROM every GROUP BY doc_id),
+    + CASE WHEN other > 0 THEN 0.5 * other * log2(2 * other / (p_other + other)) ELSE 0 END))
+    AS dist,
+    sqrt(0.5 * known + 0.5 * log2(2 / (1 + other))
+      + CASE WHEN other > 0 THEN 0.5 * other * log2(2 * other / (1 + other)) ELSE 0 END) AS without
+  FROM every),
+word_distance AS (
+  SELECT doc_id, min(dist) AS word_distance, min(dist / without) AS ratio
+  FROM word_by_lang GROUP BY doc_id),
 judged AS (
   SELECT m3.doc_id, m3.lang, chars, n_words, word_chars, n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-    coalesce(n_repeat_words, 0) AS n_repeat_words, class_distance, word_distance
+    coalesce(n_repeat_words, 0) AS n_repeat_words, class_distance, word_distance, ratio
   FROM m3 LEFT JOIN repeats USING (doc_id) LEFT JOIN class_distance USING (doc_id)
     LEFT JOIN word_distance USING (doc_id)),
 failed AS (
@@ -92,8 +97,10 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
   n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed
-  AND NOT (chars >= 100 AND coalesce(class_distance, 0) > 0.17)
-  AND NOT (n_words >= 50 AND (lang IS NULL OR lang IN (SELECT lang FROM refs))
+  AND NOT (chars >= 100 AND coalesce(class_distance, 0) > 0.17
+           AND (coalesce(lang IN (SELECT lang FROM refs), false)
+                OR (lang IS NULL AND n_words >= 50 AND coalesce(ratio <= 0.75, false))))
+  AND NOT (n_words >= 50 AND coalesce(lang IN (SELECT lang FROM refs), false)
            AND coalesce(word_distance, 0) > 0.5) AS kept
 FROM failed
 """

@@ -6,30 +6,32 @@ root of the divergence in bits, 0 to 1); the nearest language counts. References
 come from all documents with a language that read as prose (symbols are at most
 one character in a hundred and capitals one letter in five, so that littered
 texts don't shape what they are judged by): class counts, and each language's
-``top_words`` most frequent words of up to ``max_letters`` letters, all other
-words being one bucket. A language needs ``min_reference_chars`` characters of such
+``top_words`` most frequent words, all other words being one bucket. A language needs ``min_reference_chars`` characters of such
 text, whatever else the table holds. References are constant arrays in the plan,
 whose expressions do not grow with the languages; the driver collects at most
 ``1 + top_words`` short rows a language, and a document's work is linear in them.
 
 Guards: the class histogram judges only texts of ``min_chars`` characters, the
 word histogram only texts of ``min_words`` words, and neither judges documents
-whose own ``lang`` has no reference; what is not judged passes. ``base_failed`` is
+whose own ``lang`` has no reference. A document without ``lang`` is judged, by its
+classes, only if its words are near enough to a reference to be of that language; what is
+not judged passes. ``base_failed`` is
 a plain rule on length and repetition and comes first.
 
 Everything of a document is computed inside its row: no text is shuffled, a hot
-source costs nothing extra. Only the references shuffle: counts of short words
-and of classes by language, summed in every task first.
+source costs nothing extra. Only the references shuffle: counts of words and of
+classes by language, summed in every task first.
 
 Defined results: null text counts as empty (no words: base_failed, not kept);
 with no usable language nothing but the base rule judges; repeated rows are
-judged one by one; null lang contributes to no reference and is judged by the
-nearest of all references.
+judged one by one; null lang contributes to no reference; other columns are kept, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -62,7 +64,6 @@ CLASSES = [*RARE, "space", "small"]
 COMMON = r"[a-z \p{Ll}\p{Nd}\x09-\x0D]+"
 
 TOP_WORDS = 64
-MAX_LETTERS = 6
 #: Characters of prose that make a reference: shares of classes are then known to about half
 #: a percent.
 MIN_REFERENCE_CHARS = 10_000
@@ -70,6 +71,9 @@ MIN_CHARS = 100
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.17
 MAX_WORD_DISTANCE = 0.5
+#: A text without ``lang`` is of a language if it is that much nearer to its reference than a
+#: text without any of its words.
+RECOGNISED = 0.75
 
 
 @dataclass(frozen=True)
@@ -87,7 +91,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def letters_words(text: Column) -> Column:
     """Lower-cased runs of letters."""
-    return F.filter(F.split(F.lower(text), r"[^a-zà-öø-ÿ\p{L}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^a-zà-öø-ÿ\p{L}]+"), "")
 
 
 def _without(text: Column, pattern: str) -> Column:
@@ -124,7 +128,7 @@ def n_spaces(text: Column) -> Column:
 def split_words(text: Column) -> Column:
     for c in SPACES[1:]:
         text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.filter(F.split(text, " "), lambda w: w != "")
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -133,7 +137,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
                        F.col(lang_col).cast("string").alias("lang"))
 
 
-def references(docs: DataFrame, top_words: int = TOP_WORDS, max_letters: int = MAX_LETTERS,
+def references(docs: DataFrame, top_words: int = TOP_WORDS,
                min_reference_chars: int = MIN_REFERENCE_CHARS, id_col: str = "doc_id",
                text_col: str = "text", lang_col: str = "lang") -> References:
     """Reference histograms over all documents, one for each language with enough prose."""
@@ -153,9 +157,8 @@ def references(docs: DataFrame, top_words: int = TOP_WORDS, max_letters: int = M
     # One pass: a first, empty entry carries the document's own numbers. The condition
     # stands inside the array: as a filter it would be pushed below and every measure
     # computed twice; and the words themselves must not stand beside what is exploded.
-    short = F.filter("words", lambda w: F.char_length(w) <= max_letters)
     entries = measured.select("lang", *CLASSES, F.size("words").alias("n_words"), F.when(
-        prose, F.concat(F.array(F.lit("")), short)).alias("entries"))
+        prose, F.concat(F.array(F.lit("")), "words")).alias("entries"))
     entries = entries.select("lang", *CLASSES, "n_words", F.explode_outer("entries").alias("word")
                              ).where("word is not null")
     own = F.col("word") == ""
@@ -205,7 +208,9 @@ def class_distance(shares: list[Column], refs: References) -> Column:
 
 
 def word_distance(words: Column, refs: References) -> Column:
-    """Distance of the histogram of common ``words`` to the nearest reference; null without any."""
+    """``distance`` of the histogram of common ``words`` to the nearest reference, and the least
+    ``ratio`` of a distance to that of a text without any of the reference's words; null
+    without words."""
     vocabulary = sorted({w for words in refs.words.values() for w in words})
 
     def runs(s: Column) -> Column:
@@ -235,6 +240,8 @@ def word_distance(words: Column, refs: References) -> Column:
             slots[zlib.crc32(w.encode()) % n_slots].setdefault(w, []).append({"i": i, "q": q})
     table_ = _constant(slots, "array<map<string, array<struct<i: int, q: double>>>>")
     others = _constant([1.0 - sum(own.values()) for own in refs.words.values()], "array<double>")
+    none = _constant([_distance_without(1.0 - sum(own.values())) for own in refs.words.values()],
+                     "array<double>")
 
     def shares(w: Column) -> Column:
         slot = F.get(table_, (F.crc32(w.cast("binary")) % n_slots).cast("int"))
@@ -244,14 +251,23 @@ def word_distance(words: Column, refs: References) -> Column:
     entries = let(found, lambda s: F.flatten(F.transform(runs(s), lambda r: F.transform(
         shares(r["w"]), lambda e: F.struct(
             e["i"].alias("i"), (r["c"] / F.size(words)).alias("p"), e["q"].alias("q"))))))
-    return F.when(F.size(words) > 0, let(entries, lambda own: F.array_min(F.transform(
-        others, lambda other, i: distance(F.filter(own, lambda e: e["i"] == i), other)))))
+    nearest = lambda each: F.struct(
+        F.array_min(each).alias("distance"),
+        F.array_min(F.zip_with(each, none, lambda d, far: d / far)).alias("ratio"))
+    return F.when(F.size(words) > 0, let(let(entries, lambda own: F.transform(
+        others, lambda other, i: distance(F.filter(own, lambda e: e["i"] == i), other))), nearest))
+
+
+def _distance_without(other: float) -> float:
+    """Distance of a text without a reference's words, whose other words have share ``other``."""
+    half = lambda x, y: 0.5 * x * math.log2(2 * x / (x + y)) if x > 0 else 0.0
+    return math.sqrt(0.5 * (1.0 - other) + half(1.0, other) + half(other, 1.0))
 
 
 def repeat_words(words: Column) -> Column:
     """Words inside windows of eight words that are found twice or more in the text.
 
-    Windows are told apart by 64-bit hashes of their words' 64-bit hashes.
+    Windows are told apart by 64-bit hashes.
     """
     def covered(windows: Column) -> Column:
         ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"),
@@ -269,9 +285,8 @@ def repeat_words(words: Column) -> Column:
         return F.zip_with(h, F.slice(h, F.lit(step + 1), F.size(h)), lambda a, b: F.xxhash64(a, b))
 
     # hashes of 2, 4 and 8 words from each place on; the last seven have no window
-    windows = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(
-        pairs(h, 1), lambda h2: let(pairs(h2, 2), lambda h4: F.slice(
-            pairs(h4, 4), F.lit(1), F.size(h) - (WINDOW - 1)))))
+    windows = let(pairs(words, 1), lambda h2: let(pairs(h2, 2), lambda h4: F.slice(
+        pairs(h4, 4), F.lit(1), F.size(words) - (WINDOW - 1))))
     return F.when(F.size(words) <= WINDOW, 0).otherwise(
         let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), 0)
             .otherwise(covered(w)))).cast("long")
@@ -285,46 +300,56 @@ def dup_lines(text: Column) -> Column:
 def with_verdict(docs: DataFrame, refs: References, min_chars: int = MIN_CHARS,
                  min_words: int = MIN_WORDS, max_class_distance: float = MAX_CLASS_DISTANCE,
                  max_word_distance: float = MAX_WORD_DISTANCE, text_col: str = "text",
-                 lang_col: str = "lang") -> DataFrame:
-    """``docs`` with one more column ``_verdict``: its counts, distances and ``kept``.
+                 lang_col: str = "lang", name: str = "_verdict") -> DataFrame:
+    """``docs`` with one more column ``name``: its counts, distances and ``kept``; the word
+    distance is found where it judges (null elsewhere).
 
-    What a later step uses more than once is a column of an earlier one, so it is
-    computed once a row.
+    The given columns travel in one struct, so none clashes with a step's. What a later
+    step uses more than once is a column of an earlier one, so it is computed once a row.
     """
-    given = docs.columns
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    measured = docs.withColumns({
-        "_words": let(split_words(text), lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words"))),
-        "_rest": uncommon(text), "_lines": dup_lines(text), "_chars": F.char_length(text),
-        "_spaces": n_spaces(text), "_letters": letters_words(text),
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name} already")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("given"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                       F.col(lang_col).cast("string").alias("lang"))
+    text = F.col("text")
+    measured = rows.withColumns({
+        "words": let(split_words(text), lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words"),
+            F.char_length(F.array_join(w, "")).cast("long").alias("chars"))),
+        "rest": uncommon(text), "lines": dup_lines(text), "chars": F.char_length(text),
     })
-    n = F.col("_words.n_words")
+    n, spaces = F.col("words.n_words"), F.col("chars") - F.col("words.chars")
+    repeated = F.col("words.n_repeat_words")
+    failed = (n < MIN_BASE_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
     measured = measured.withColumns({
-        "_symbols": n_symbols(F.col("_rest")),
-        **{f"_{c}": x for c, x in rare_counts(F.col("_rest")).items()}})
-    counts = class_counts(F.col("_chars"), F.col("_spaces"), {c: F.col(f"_{c}") for c in RARE})
-    shares = measured.withColumns({f"_p{i}": F.try_divide(c, F.col("_chars"))
+        "symbols": n_symbols(F.col("rest")),
+        **{f"n_{c}": x for c, x in rare_counts(F.col("rest")).items()}})
+    counts = class_counts(F.col("chars"), spaces, {c: F.col(f"n_{c}") for c in RARE})
+    shares = measured.withColumns({f"p{i}": F.try_divide(c, F.col("chars"))
                                    for i, c in enumerate(counts.values())})
     none = F.lit(None).cast("double")
     distances = shares.withColumns({
-        "_class": class_distance([F.col(f"_p{i}") for i in range(len(CLASSES))], refs)
+        "class_distance": class_distance([F.col(f"p{i}") for i in range(len(CLASSES))], refs)
         if refs.classes else none,
-        "_word": word_distance(F.col("_letters"), refs) if refs.words else none,
+        "nearest": F.when(~failed & (n >= min_words), let(
+            letters_words(text), lambda w: word_distance(w, refs))) if refs.words else F.struct(
+            none.alias("distance"), none.alias("ratio")),
     })
-    repeated = F.col("_words.n_repeat_words")
-    failed = (n < MIN_BASE_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
-    no_reference = ~F.coalesce(F.col(lang_col).isin([*refs.words]), F.lit(True))
-    odd_classes = (F.col("_chars") >= min_chars) & ~no_reference & (
-        F.coalesce("_class", F.lit(0.0)) > max_class_distance)
-    odd_words = (n >= min_words) & ~no_reference & (
-        F.coalesce("_word", F.lit(0.0)) > max_word_distance)
-    return distances.select(*given, F.struct(
-        n.alias("n_words"), (F.col("_chars") - F.col("_spaces")).alias("word_chars"), F.col("_symbols").alias("n_symbols"),
-        F.col("_lines").alias("n_dup_lines"), repeated.alias("n_repeat_words"),
-        failed.alias("base_failed"), (~failed & ~odd_classes & ~odd_words).alias("kept"),
-        F.col("_class").alias("class_distance"), F.col("_word").alias("word_distance"),
-    ).alias("_verdict"))
+    referred = F.coalesce(F.col("lang").isin([*refs.words]), F.lit(False))
+    far = F.coalesce("nearest.distance", F.lit(0.0)) > max_word_distance
+    known = F.col("lang").isNull() & (n >= min_words) & (
+        F.coalesce(F.col("nearest.ratio") <= RECOGNISED, F.lit(False)))
+    odd_classes = (F.col("chars") >= min_chars) & (referred | known) & (
+        F.coalesce("class_distance", F.lit(0.0)) > max_class_distance)
+    odd_words = (n >= min_words) & referred & far
+    return distances.select("given.*", F.struct(
+        n.alias("n_words"), F.col("words.chars").alias("word_chars"),
+        F.col("symbols").alias("n_symbols"), F.col("lines").alias("n_dup_lines"),
+        repeated.alias("n_repeat_words"), failed.alias("base_failed"),
+        (~failed & ~odd_classes & ~odd_words).alias("kept"), "class_distance",
+        F.col("nearest.distance").alias("word_distance"),
+    ).alias(name))
 
 
 def quality(docs: DataFrame, refs: References, id_col: str = "doc_id", text_col: str = "text",

@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from pintime.llm import quality
 from pintime.llm.common import table
@@ -64,7 +65,9 @@ def test_distances_by_hand(spark):
         got = by_id[r.doc_id]
         letters = [w for w in re.split(r"[^\W\d_]+", "")]  # noqa: F841
         words = re.findall(r"[^\W\d_]+", r.text.lower())
-        if words:
+        if got.base_failed or got.n_words < quality.MIN_WORDS:
+            assert got.word_distance is None
+        elif words:
             counts = Counter(words)
             want = []
             for shares in refs.words.values():
@@ -135,3 +138,58 @@ def test_plan_does_not_grow_with_the_languages(spark):
                               {f"{k}{i}": v for i in range(75) for k, v in refs.words.items()})
     few = quality.quality(docs, refs).drop("kept").orderBy("doc_id").collect()
     assert quality.quality(docs, many).drop("kept").orderBy("doc_id").collect() == few
+
+
+def test_without_lang_only_a_recognised_text_is_judged(spark):
+    """A clean text of a language without reference, and littered texts, all without lang."""
+    prose = next(r.text for r in table(spark, SF, "documents").where("lang = 'en'").collect()
+                 if r.text and 900 < len(r.text) < 4000 and not brute(r.text)[4])
+    littered = prose.replace(" ", " ;;--((\"' ")
+    known, (a, b, c) = verdicts(spark, [(hindi(1, 60), None), (prose, None), (littered, None)])
+    assert "hi" not in known
+    assert a.class_distance > quality.MAX_CLASS_DISTANCE and a.kept
+    assert b.kept and not b.base_failed
+    assert c.class_distance > quality.MAX_CLASS_DISTANCE and not c.kept and not c.base_failed
+
+
+def test_common_words_of_any_length(spark):
+    text = "unmistakably long words internationalisation here " * 300
+    refs = quality.references(spark.createDataFrame([(1, text, "en")],
+                                                    "doc_id long, text string, lang string"))
+    assert refs.words["en"]["internationalisation"] == pytest.approx(0.2)
+    assert sum(refs.words["en"].values()) == pytest.approx(1)
+
+
+def test_given_columns_are_kept_whatever_their_names(spark):
+    names = ["given", "text", "lang", "words", "rest", "lines", "chars", "spaces", "letters",
+             "symbols", "n_capital", "p0", "class_distance", "word_distance", "_chars", "_words",
+             "a b", "_verdict2"]
+    df = frame(spark, ["some words are here " * 9, None], extra=False).select(
+        "doc_id", "source", *[F.lit(f"mine {n}").alias(n) if n not in ("text", "lang")
+                              else F.col(n) for n in names])
+    refs = quality.references(df, min_reference_chars=1)
+    out = quality.with_verdict(df, refs)
+    assert out.columns == [*df.columns, "_verdict"]
+    assert sorted(map(str, out.drop("_verdict").collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(ValueError):
+        quality.with_verdict(out, refs)
+
+
+def test_sql_and_engine_take_the_same_references(spark, tmp_path):
+    """A language with many short documents and little text, one with text in one document,
+    and rows without lang."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    extra = [(10**9 + i, hindi(i, 5), "hi") for i in range(60)]
+    extra += [(2 * 10**9, hindi(99, 4000), "mr"), (2 * 10**9 + 1, hindi(98, 60), None),
+              (2 * 10**9 + 2, "QX;-" * 60 + " a b c d e" * 9, "hi"),
+              (2 * 10**9 + 3, "QX;- Z9; " * 3 + hindi(7, 60), "mr")]
+    both = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    path = str(tmp_path / "documents.parquet")
+    both.toPandas().to_parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    want = con.execute(ORACLE_SQL["op3_quality"]).fetchdf().sort_values("doc_id")
+    refs = quality.references(both)
+    assert set(refs.words) == {"en", "de", "fr", "es", "mr"}
+    got = quality.quality(both, refs).select(quality.COLUMNS).toPandas().sort_values("doc_id")
+    assert got[list(want.columns)].values.tolist() == want.values.tolist()
