@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Python work happens on groups of rows of about this many characters, so that
 #: memory follows this bound (or the longest single text), not the Arrow batch.
@@ -52,7 +53,7 @@ def ship(spark: SparkSession) -> None:
     context._pintime_shipped = folder
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
@@ -106,11 +107,11 @@ def annotate(df: DataFrame, text_col: str, added: str,
              work: Callable[[list[str]], dict[str, list]]) -> DataFrame:
     """All columns of ``df`` and those that ``work(texts)`` adds (null text: empty).
 
-    ``df`` must not have columns of the added names.
+    ``df`` must not have columns of the added names; ``carried`` puts any columns out of
+    their way.
     """
     arrow = _arrow_schema(added)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
-                       + [added])
+    schema = T.StructType([*df.schema.fields, *T.DataType.fromDDL(added).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,6 +133,13 @@ def annotate(df: DataFrame, text_col: str, added: str,
     return map_arrow(df, run, schema)
 
 
+def carried(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``doc``, a struct of all columns, and ``text``: no other name can clash with what is
+    added. ``select("doc.*")`` gives the columns back."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"),
+                       docs[f"`{text_col}`"].cast("string").alias("text"))
+
+
 def _arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(),
              "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),

@@ -116,13 +116,22 @@ def fit(labelled: DataFrame, slots: int = SLOTS, sample: int = SAMPLE, min_rows:
 def mixtures(texts: list[str], model: Model, penalty: float = PENALTY
              ) -> tuple[np.ndarray, np.ndarray]:
     """Proportions of the chosen languages (texts x languages) and letters of each text."""
+    return explained(texts, model, penalty)[:2]
+
+
+def explained(texts: list[str], model: Model, penalty: float = PENALTY
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``mixtures``, and how much better they explain each text than a background in which
+    every trigram is as likely as any other: the mean gain in log-likelihood a letter. A text
+    in a language that was not learned has mostly trigrams that no learned language has, which
+    the smoothed mixtures explain worse than the background does (0 without letters)."""
     k, n_texts = len(model.languages), len(texts)
     slots = len(model.probability)
     text, slot = trigrams(texts, slots)
     letters = np.bincount(text, minlength=n_texts)
-    out = np.zeros((n_texts, k))
+    out, gain = np.zeros((n_texts, k)), np.zeros(n_texts)
     if not len(text) or not k:
-        return out, letters
+        return out, letters, gain
     key, count = np.unique(text * slots + slot, return_counts=True)
     owner, p = key // slots, model.probability[key % slots]
     starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
@@ -142,6 +151,7 @@ def mixtures(texts: list[str], model: Model, penalty: float = PENALTY
         pi, _ = step(pi)
     rank = np.argsort(np.argsort(-pi, axis=1, kind="stable"), axis=1, kind="stable")
     best_score, best = np.full(len(starts), -np.inf), np.zeros_like(pi)
+    best_fit = np.zeros(len(starts))
     for size_of_set in range(1, k + 1):
         part = np.where(rank < size_of_set, np.maximum(pi, 1e-12), 0)
         part /= part.sum(axis=1, keepdims=True)
@@ -152,8 +162,10 @@ def mixtures(texts: list[str], model: Model, penalty: float = PENALTY
         score = fit_ - penalty * size_of_set * np.log(size + 1) / 2
         better = score > best_score
         best_score[better], best[better] = score[better], part[better]
+        best_fit[better] = fit_[better]
     out[present] = best
-    return out, letters
+    gain[present] = 3 * best_fit / size + np.log(slots)
+    return out, letters, gain
 
 
 def leading(share: np.ndarray, letters: np.ndarray, model: Model
@@ -185,14 +197,16 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, id_col: st
 
 def with_language(docs: DataFrame, model: Model, penalty: float = PENALTY,
                   text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns _lang_pred, _score and _shares (of ``model.languages``)."""
+    """``docs`` with the columns _lang_pred, _score, _shares (of ``model.languages``) and _gain
+    (a letter's gain over the background; below 0 no learned language explains the text)."""
     def work(texts: list[str]) -> dict[str, list]:
-        share, letters = mixtures(texts, model, penalty)
+        share, letters, gain = explained(texts, model, penalty)
         lang, score = leading(share, letters, model)
-        return {"_lang_pred": lang, "_score": score, "_shares": list(share)}
+        return {"_lang_pred": lang, "_score": score, "_shares": list(share),
+                "_gain": gain.tolist()}
 
-    return annotate(docs, text_col, "_lang_pred string, _score double, _shares array<double>",
-                    work)
+    return annotate(docs, text_col, "_lang_pred string, _score double, _shares array<double>, "
+                                    "_gain double", work)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
