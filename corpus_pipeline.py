@@ -5,11 +5,13 @@ and returns the documents that stay, with the columns of ``docs``; the last one
 returns packed sequences. ``run`` applies them to ``documents``, writing every
 stage to the shared folder, which cuts lineage.
 
-Defined results: documents without a letter go in the first stage, those that the
-quality rules reject in the second (so null, empty and very short texts never
-reach the third); of near-duplicates the one with the least doc_id stays; of rows
-with the same doc_id one stays; rows without a doc_id are no one's duplicate.
-Extra columns are kept as they are up to the last stage.
+Defined results: documents without a letter, without a leading language, or that no
+learned language explains better than a background of even trigrams go in the first
+stage, those that the quality rules reject in the second (so null, empty and very short
+texts never reach the third); of a group of near-duplicate rows the one with the least
+doc_id stays (rows without one come last; then by a hash of the text), whether ids repeat
+or not, and different texts under one doc_id stay both. Extra columns are kept as they
+are up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pintime.llm import language_id, near_dedup, packing, personal_data, quality
-from pintime.llm.common import table
+from pintime.llm.common import carried, table
 from pintime.llm.components import written
 from pintime.session import scratch_dir
 
@@ -34,35 +36,48 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.fit(docs)
     if not model.languages:     # nothing to learn from: nothing is rejected
         return docs
-    known = language_id.with_language(docs, model)
+    known = language_id.with_language(carried(docs), model)
     return known.where((F.col("_lang_pred") != language_id.UNKNOWN)
-                       & (F.col("_score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+                       & (F.col("_score") >= MIN_LANGUAGE_SHARE)
+                       & (F.col("_gain") > 0)).select("doc.*")
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.with_verdict(docs, quality.references(docs))
+    verdict = next(n for n in (f"verdict{i}" for i in range(len(docs.columns) + 1))
+                   if n not in docs.columns)
+    judged = quality.with_verdict(docs, quality.references(docs), name=verdict)
     # A filter would be pushed below the verdict's steps and compute them again; a
     # generated column can't be.
-    return (judged.select(*docs.columns, F.explode(F.array("_verdict.kept")).alias("_kept"))
-            .where("_kept").drop("_kept"))
+    return judged.select(F.struct(*[judged[f"`{c}`"] for c in docs.columns]).alias("doc"),
+                         F.explode(F.array(judged[f"{verdict}.kept"])).alias("kept")
+                         ).where("kept").select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = docs.where("doc_id is not null")
-    stay = (near_dedup.near_duplicates(named, NEAR_PERCENT).where("kept")
-            .select("doc_id").distinct())
-    unique = named.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return unique.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    folder = scratch_dir(spark, "near-duplicates")
+    # rows get a key of their own, so that neither a repeated nor a missing doc_id matters
+    rows = written(docs.select(
+        F.monotonically_increasing_id().alias("key"),
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")), folder, "rows")
+    groups = near_dedup.near_duplicates(
+        rows.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text")), NEAR_PERCENT)
+    order = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").alias("id"),
+                     F.xxhash64("doc.text").alias("h"), "key")
+    first = groups.select(F.col("doc_id").alias("key"), "component_id").join(
+        rows.select("key", order.alias("order")), "key").groupBy("component_id").agg(
+        F.min("order").alias("first")).select(F.col("first.key").alias("key"))
+    return rows.join(first, "key", "left_semi").select("doc.*")
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = personal_data.redacted(docs, personal_data.fit(docs))
+    clean = personal_data.redacted(carried(docs), personal_data.fit(docs))
     changed = F.col("_found") > 0
-    new = {"text": F.when(changed, F.col("_redacted")).otherwise(F.col("text"))}
+    new = {"text": F.when(changed, F.col("_redacted")).otherwise(F.col("doc.text"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(changed, F.char_length("_redacted").cast("long")).otherwise(
-            F.col("n_chars"))
-    return clean.withColumns(new).select(*docs.columns)
+            F.col("doc.n_chars"))
+    return clean.select(*[new[c].alias(c) if c in new else F.col(f"doc.`{c}`").alias(c)
+                          for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
