@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_right
+from collections.abc import Iterable
 from html import unescape
 from math import exp, log, log1p
 
@@ -34,22 +36,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pintime.llm.common import annotate, table
-from pintime.llm.labelled_pages import PAGES
+from pintime.llm.labelled_pages import PAGES, composed
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)"
                     r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|$)|<(?=/?[a-zA-Z])[^>]*(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z]+")
+_STOP = re.compile(r"[.!?;:]")
 
 # fixed values of HTML
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
         "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
-NEVER = RAW | {"head", "template", "svg", "math", "select", "option", "button", "object", "canvas",
-               "audio", "video", "datalist"}
+NEVER = RAW | {"head", "template", "select", "option", "button", "canvas", "audio", "video",
+               "datalist"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
           "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike",
-          "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "label"}
+          "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "label",
+          "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mfrac", "msup", "msub",
+          "msubsup", "msqrt", "mroot", "mfenced", "mstyle", "mover", "munder", "tspan"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: A start tag of the first kind ends open elements of the second, not past the third.
 ENDS = {
@@ -58,6 +63,11 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
 
+#: Composed pages that the model is trained on, beside the written ones.
+COMPOSED = 160
+#: How much less likely than the field says a page without main text is taken to be.
+EMPTY = 0.01
+
 #: Words of class, id and role, by what they say of an element.
 HINTS = {
     "advert": "ad ads advert advertisement advertising sponsor sponsored promo promotion banner",
@@ -84,9 +94,15 @@ class Node:
 
 
 def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
-    """Elements in page order, and the text: (element, characters); -1 parts blocks."""
+    """Elements in page order, and the text: (element, characters); -1 parts blocks.
+
+    Where the open elements of each tag stand is kept, so no tag walks the stack: the work is
+    linear in the page, however many elements are open or unclosed.
+    """
     nodes = [Node("body", "", -1)]
     stack, pieces, at, hidden = [0], [], 0, 0
+    places: dict[str, list[int]] = {}       # by tag, where it is open in the stack
+    blocks = [0]                            # where elements that are not inline are
     low = None
 
     def text(end: int) -> None:
@@ -94,14 +110,29 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             part = html[at:end]
             pieces.append((stack[-1], unescape(part) if "&" in part else part))
 
+    def push(tag: str, attributes: str) -> None:
+        nodes.append(Node(tag, attributes, stack[-1]))
+        places.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            blocks.append(len(stack))
+        stack.append(len(nodes) - 1)
+
     def pop(upto: int) -> None:
         nonlocal hidden
         while len(stack) > upto:
             tag = nodes[stack.pop()].tag
+            places[tag].pop()
             hidden -= tag in NEVER
             if tag not in INLINE:
+                blocks.pop()
                 pieces.append((-1, ""))
 
+    def first_after(tags: Iterable[str], place: int) -> int:
+        """The lowest open element of these tags above ``place``; the stack's end if none."""
+        found = [p[i] for t in tags if (p := places.get(t))
+                 and (i := bisect_right(p, place)) < len(p)]
+        return min(found, default=len(stack))
+
     while (m := _TOKEN.search(html, at)) is not None:
         text(m.start())
         at = m.end()
@@ -109,29 +140,25 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if not tag or not m[4]:
             continue
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == tag:
-                    pop(k)
-                    break
+            if places.get(tag):
+                pop(places[tag][-1])
             continue
         if tag in ("html", "body"):
             nodes[0].attributes += m[3]
             continue
         if tag not in INLINE and tag not in VOID:
             # a block ends an open paragraph; items and cells end their like
-            ends, until = ENDS.get(tag, ((), ()))
-            for k in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[k]].tag
-                if open_tag == "p" or open_tag in ends:
-                    pop(k)
-                elif open_tag in until or (open_tag not in INLINE and not ends):
-                    break
+            if tag in ENDS:
+                ends, until = ENDS[tag]
+                wall = max((p[-1] for t in until if (p := places.get(t))), default=0)
+                pop(first_after(("p", *ends), wall))
+            elif nodes[stack[blocks[-1]]].tag == "p":
+                pop(blocks[-1])
             pieces.append((-1, ""))
         if tag in VOID:
             pieces.append((-1, ""))
             continue
-        nodes.append(Node(tag, m[3], stack[-1]))
-        stack.append(len(nodes) - 1)
+        push(tag, m[3])
         hidden += tag in NEVER
         if tag in RAW:
             low = html.lower() if low is None else low
@@ -158,10 +185,11 @@ def _fixed(tag: str, attributes: str) -> tuple[str, ...]:
 
 def features(nodes: list[Node], pieces: list[tuple[int, str]]) -> list[list[str]]:
     """Names of the features that hold for each element."""
-    own = [""] * len(nodes)
+    marked, sentence = [False] * len(nodes), [False] * len(nodes)
     for k, t in pieces:
         if k >= 0 and not t.isspace():
-            own[k] = own[k] + t if len(own[k]) < 400 else own[k]
+            marked[k] = marked[k] or "©" in t or "rights reserved" in t
+            sentence[k] = sentence[k] or _STOP.search(t) is not None
             nodes[k].length += len(t.strip())
     linked = [0] * len(nodes)
     total = [n.length for n in nodes]
@@ -176,12 +204,10 @@ def features(nodes: list[Node], pieces: list[tuple[int, str]]) -> list[list[str]
         size = n.length
         names.append("own none" if not size else "own word" if size < 25 else
                      "own line" if size < 100 else "own text")
-        if size:
-            t = own[k]
-            if "©" in t or "rights reserved" in t:
-                names.append("copyright")
-            if re.search(r"[.!?;:]", t):
-                names.append("sentence")
+        if marked[k]:
+            names.append("copyright")
+        if sentence[k]:
+            names.append("sentence")
         if total[k] and 2 * linked[k] > total[k]:
             names.append("mostly links")
         out.append(names)
@@ -213,14 +239,25 @@ class Model:
             full[k] = belief[k] + down(full[parents[k]] - sent[k])
         return belief, sent, full
 
+    def empty(self, parents: list[int], belief: list[float]) -> float:
+        """The probability that no element is main text, from the upward beliefs."""
+        (a, b), _ = self.pair.tolist()
+        whole = _add(0.0, belief[0])        # log of all labellings' weight over that of none
+        for k in range(1, len(parents)):
+            whole += _add(0.0, b - a + belief[k])
+        return exp(-whole)
+
     def log_odds(self, nodes: list[Node], names: list[list[str]]) -> list[float]:
         weight = self.weights
         return [sum(weight.get(x, 0.0) for x in own) for own in names]
 
     def kept(self, nodes: list[Node], pieces: list[tuple[int, str]]) -> list[bool]:
-        names = features(nodes, pieces)
-        _, _, full = self.messages([n.parent for n in nodes], self.log_odds(nodes, names))
-        return [x >= 0 for x in full]
+        """Elements that are main text rather than not, given that a page has some: a labelling
+        without any counts ``EMPTY`` times."""
+        names, parents = features(nodes, pieces), [n.parent for n in nodes]
+        belief, _, full = self.messages(parents, self.log_odds(nodes, names))
+        least = 0.5 * (1 - (1 - EMPTY) * self.empty(parents, belief))
+        return [1 / (1 + exp(-max(-500.0, min(500.0, x)))) >= least for x in full]
 
 
 def _add(x: float, y: float) -> float:
@@ -229,15 +266,21 @@ def _add(x: float, y: float) -> float:
     return hi + log1p(exp(lo - hi))
 
 
-def train(pages: list[str] | None = None, rounds: int = 200, rate: float = 0.3,
+def labelled(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
+    """``parse`` of a page whose elements have labels."""
+    nodes, pieces = parse(page)
+    for k, n in enumerate(nodes):
+        own = re.search(r"\by=([01])", n.attributes)
+        n.label = int(own[1]) if own else nodes[n.parent].label if k else 0
+    return nodes, pieces
+
+
+def train(pages: list[str] | None = None, rounds: int = 100, rate: float = 0.3,
           decay: float = 0.01) -> Model:
     """Fit the weights to labelled pages by gradient ascent on their likelihood."""
     data = []
-    for page in PAGES if pages is None else pages:
-        nodes, pieces = parse(page)
-        for k, n in enumerate(nodes):
-            own = re.search(r"\by=([01])", n.attributes)
-            n.label = int(own[1]) if own else nodes[n.parent].label if k else 0
+    for page in [*PAGES, *composed(COMPOSED, 1)] if pages is None else pages:
+        nodes, pieces = labelled(page)
         data.append(([n.parent for n in nodes], features(nodes, pieces),
                      [n.label for n in nodes], nodes))
     weights: dict[str, float] = {x: 0.0 for _, names, _, _ in data for own in names for x in own}
@@ -280,6 +323,11 @@ def main_text(html: str, model: Model) -> str:
         return ""
     nodes, pieces = parse(html)
     keep = model.kept(nodes, pieces) if len(nodes) > 1 else [True]
+    return joined(pieces, keep)
+
+
+def joined(pieces: list[tuple[int, str]], keep: list[bool]) -> str:
+    """The text of the kept elements, white space made single blanks."""
     return " ".join("".join(" " if k < 0 else t if keep[k] else " " for k, t in pieces).split())
 
 

@@ -1,9 +1,12 @@
 """Small labelled pages that the extraction model is trained on.
 
 Written for this purpose. The attribute ``y`` labels an element and all below it
-that have no ``y`` of their own: 1 is main text, 0 (the default) is not.
+that have no ``y`` of their own: 1 is main text, 0 (the default) is not. ``PAGES`` are whole
+pages; ``composed`` puts pages together from parts, over many more shapes.
 """
 
+import random
+
 PAGES = [
     """<html><body><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>
     <article y=1><h1>Harbour reopens after storm</h1><p>The harbour opened again on Monday, two weeks
@@ -102,3 +105,126 @@ PAGES = [
     who work late to get home? Has any one thought of that at all, I wonder.</p></article><article
     class=comment><p>No.</p></article></section></body>""",
 ]
+
+_TEXT = """The river rose by a metre over night.|Nobody was hurt, the fire chief said.|Work on the new
+line begins in May.|It will cost four million.|She has written three books so far, and a fourth is on
+its way.|Tickets are sold at the door.|The council met behind closed doors on Tuesday.|Both sides hope
+for an end of the strike before the holidays.|First melt the butter, then add the flour.|Stir until it
+thickens; this takes five minutes.|The bridge stays shut.|Prices fell for the third month in a row,
+which surprised most of those who follow the market.|He played the second half with a broken toe.|In
+the north it will rain.|A study of nine towns found no such link.|The old mill was sold last year.|We
+asked ten readers what they think of it.|Its roof is made of slate, as all roofs were at the time.|No
+one knows why.|The birds come back each spring, and leave again when the first frost is near.|That is
+all.|Trains run every hour, on Sundays every two.|Energy is neither made nor lost.|His brother keeps
+the shop.|The court has not yet decided.""".replace("\n", " ").split("|")
+_HEAD = """Harbour opens again|A quiet win|Bread without yeast|How bridges age|The long strike|Night
+trains|What the birds know|Three towns, one school|Notes from the hills|Mill sold|Rain at last|The
+price of salt""".replace("\n", " ").split("|")
+_LINK = """Home|News|Sports|Weather|About us|Contact|Shop|Login|Archive|Imprint|Local|World|Opinion|
+Privacy|Jobs|Help|Ten tips for the road|Coffee made well|Dry summer ahead""".replace("\n", "").split("|")
+_TALK = """Great news, I will book at once!|My aunt says the same.|Who pays for all this?|I have lived
+here for thirty years and never saw such a mess. Shame on them.|Thanks for the recipe.|First!|You got
+the date wrong.|Same here, every day at six.""".replace("\n", " ").split("|")
+_SELL = """Buy two, pay one.|Win a phone today.|Our new bikes are light, fast and strong, and cost a
+third less this week.|Sale ends tonight.|Get our letter each Friday.|Order your copy now!""".replace(
+    "\n", " ").split("|")
+
+#: What holds the article on composed pages ("" is the body itself).
+HOLDERS = ["article", "article", "main", "div class=content", "div class=post", "div class=story",
+           "div id=main", "section", "div", "div class=entry", "article class=post", ""]
+
+
+def _some(rng: random.Random, pool: list[str], low: int, high: int) -> list[str]:
+    return [rng.choice(pool) for _ in range(rng.randint(low, high))]
+
+
+def _paragraph(rng: random.Random) -> str:
+    text = " ".join(_some(rng, _TEXT, 1, rng.choice([1, 2, 5])))
+    if rng.random() < 0.2:
+        a, _, b = text.partition(" ")
+        text = f"{a} <{(t := rng.choice(['b', 'em', 'a href=x', 'span', 'i']))}>{b}</{t.split()[0]}>"
+    return f"<p>{text}</p>"
+
+
+def _links(rng: random.Random, low: int = 2, high: int = 5) -> str:
+    return "".join(f"<li><a href={i}>{t}</a></li>" for i, t in enumerate(
+        _some(rng, _LINK, low, high)))
+
+
+def _outside(rng: random.Random, y: str) -> dict[str, str]:
+    """Parts of a page that are not its main text, by kind."""
+    sell, talk = rng.choice(_SELL), [f"<div class=comment><p>{t}</p></div>"
+                                     for t in _some(rng, _TALK, 1, 3)]
+    return {
+        "nav": rng.choice([f"<nav{y}><ul>{_links(rng)}</ul></nav>",
+                           f"<div class=menu{y}><ul>{_links(rng)}</ul></div>",
+                           f"<div id=nav{y}><a href=1>Home</a> <a href=2>News</a></div>",
+                           f"<ul class=breadcrumb{y}>{_links(rng, 2, 3)}</ul>"]),
+        "header": rng.choice([f"<header{y}><a href=/>The Paper</a> <span>{rng.choice(_LINK)}</span>"
+                              "</header>",
+                              f"<header{y}><h1>Daily Post</h1><p>News since 1920.</p></header>",
+                              f"<div class=header{y}><div class=logo>Town Times</div></div>"]),
+        "ad": rng.choice([f"<div class=ad{y}>{sell}</div>",
+                          f"<div class=\"sponsored box\"{y}><p>{sell}</p></div>",
+                          f"<aside class=promo{y}><a href=b>{sell}</a></aside>"]),
+        "notice": rng.choice([f"<div class=cookie-notice{y}><p>We use cookies. By going on you agree."
+                              "</p></div>",
+                              f"<div class=notice{y}><p>This site may be slow on Sunday night.</p>"
+                              "</div>"]),
+        "side": rng.choice([f"<aside{y}><h3>Popular</h3><ul>{_links(rng)}</ul></aside>",
+                            f"<div class=sidebar{y}><p>Weather: rain, ten degrees.</p>"
+                            f"<ul>{_links(rng)}</ul></div>"]),
+        "talk": rng.choice([f"<section class=comments{y}><h3>Comments</h3>{''.join(talk)}</section>",
+                            f"<div id=comments{y}>{''.join(talk)}</div>"]),
+        "form": rng.choice([f"<form{y}><label>Get our letter</label><input name=m></form>",
+                            f"<form class=search{y}><p>Search this site</p><input></form>"]),
+        "foot": rng.choice([f"<footer{y}>&copy; 2020 Daily Post. All rights reserved.</footer>",
+                            f"<div class=footer{y}><a href=i>Imprint</a> Terms of use</div>",
+                            f"<footer{y}><p>Made in the north. Write to us.</p></footer>"]),
+    }
+
+
+def _inside(rng: random.Random) -> str:
+    """The article: short or long, with the parts that articles have."""
+    head = rng.choice(["", *[f"<{h}>{rng.choice(_HEAD)}</{h}>" for h in ("h1", "h1", "h2")]])
+    if head and rng.random() < 0.2:
+        head = f"<header>{head}</header>"
+    body = [_paragraph(rng) for _ in range(rng.choice([1, 1, 2, 2, 3, 5]))]
+    extras = [
+        f"<ul>{_links(rng, 2, 3)}</ul>",
+        "<ul>" + "".join(f"<li>{t}</li>" for t in _some(rng, _TEXT, 2, 3)) + "</ul>",
+        f"<form y=0><label>{rng.choice(_LINK)}</label><input></form>",
+        f"<div class=ad y=0>{rng.choice(_SELL)}</div>",
+        f"<blockquote><p>{rng.choice(_TEXT)}</p></blockquote>",
+        f"<figure><img src=a><figcaption>{rng.choice(_HEAD)}.</figcaption></figure>",
+        "<table><tr><td>Monday</td><td>12 mm</td></tr><tr><td>Tuesday</td><td>3 mm</td></tr></table>",
+        "<p>It holds that <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here.</p>",
+        "<svg><text>Map of the lines</text></svg>", "<object><p>A plan of the hall.</p></object>",
+        f"<h2>{rng.choice(_HEAD)}</h2>{_paragraph(rng)}", f"<div>{_paragraph(rng)}</div>",
+        "<pre>level = 3.2</pre>", f"<aside class=related y=0><a href=q>{rng.choice(_HEAD)}</a></aside>",
+    ]
+    for extra in rng.sample(extras, rng.choice([0, 0, 1, 1, 2])):
+        body.insert(rng.randint(1, len(body)), extra)
+    foot = rng.choice(["", "", "", f"<footer y=0><a href=t>Tags: {rng.choice(_LINK)}</a></footer>"])
+    return head + "".join(body) + foot
+
+
+def composed(n: int, seed: int, holders: list[str] | None = None) -> list[str]:
+    """``n`` labelled pages over many shapes: what holds the article, what it has, what is
+    around it, alone or within wrappers."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        holder = rng.choice(HOLDERS if holders is None else holders)
+        bare = not holder
+        parts = _outside(rng, " y=0" if bare else "")
+        order = rng.sample(list(parts), rng.choice([0, 0, 1, 2, 3, 5]))
+        before = "".join(parts[k] for k in order if k in ("nav", "header", "notice", "ad"))
+        after = "".join(parts[k] for k in order if k not in ("nav", "header", "notice", "ad"))
+        inside = _inside(rng)
+        if not bare:
+            inside = f"<{holder} y=1>{inside}</{holder.split()[0]}>"
+        page = before + inside + after
+        if not bare and rng.random() < 0.3:
+            page = f"<div class={rng.choice(['wrapper', 'container', 'page'])}>{page}</div>"
+        out.append(f"<html><body{' y=1' if bare else ''}>{page}</body></html>")
+    return out

@@ -1,8 +1,13 @@
 """HTML extraction, personal data and language ID: fixtures, brute force, held-out accuracy."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
+import time
+import zlib
+from collections import Counter
 from html import unescape
 from itertools import product
 
@@ -11,6 +16,7 @@ import pytest
 
 from pintime.llm import html_extract, language_id, personal_data
 from pintime.llm.common import table
+from pintime.llm.labelled_pages import composed
 from pintime.llm.personal_data import base_spans, luhn
 from tests.llm.helpers import ODD_TEXTS, SF, frame
 
@@ -44,6 +50,67 @@ def test_messages_are_exact_marginals():
     assert full == pytest.approx((np.log(weight[:, 1]) - np.log(weight[:, 0])).tolist())
 
 
+def test_probability_of_no_main_text_is_exact():
+    rng = random.Random(2)
+    for _ in range(20):
+        pair = np.array([[rng.gauss(0, 1) for _ in range(2)] for _ in range(2)])
+        n = rng.randint(1, 8)
+        parents = [-1] + [rng.randrange(k) for k in range(1, n)]
+        odds = [rng.gauss(0, 2) for _ in range(n)]
+        weight = lambda y: np.exp(sum(o * a for o, a in zip(odds, y, strict=True)) + sum(
+            pair[y[parents[k]], y[k]] for k in range(1, n)))
+        total = sum(weight(y) for y in itertools.product((0, 1), repeat=n))
+        model = html_extract.Model({}, pair)
+        belief, _, _ = model.messages(parents, odds)
+        assert model.empty(parents, belief) == pytest.approx(weight((0,) * n) / total)
+
+
+SHORT = {
+    "<article><p>Rain fell all day.</p><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul>"
+    "</article>": "Rain fell all day.",
+    "<article><p>Rain fell all day.</p><form><input></form><p>It stopped at night.</p></article>":
+        "Rain fell all day. It stopped at night.",
+    "<article><header><h1>Rain</h1></header><p>Rain fell all day.</p><footer>By Ann</footer>"
+    "</article>": "Rain Rain fell all day.",
+    "<div><h1>Rain</h1><p>Rain fell all day.</p><p>It stopped at night.</p></div>":
+        "Rain Rain fell all day. It stopped at night.",
+    "<p>Rain fell all day. It stopped at night.</p>": "Rain fell all day. It stopped at night.",
+    "<article><h1>Physics</h1><p>Energy <math><mi>E</mi>=<mi>mc</mi></math> is the formula.</p>"
+    "<p>It is well known.</p></article>": "Physics Energy E=mc is the formula. It is well known.",
+}
+
+
+@pytest.mark.parametrize("page", SHORT)
+def test_short_pages_have_text(page):
+    got = html_extract.main_text(page, html_extract.trained())
+    assert got.startswith(SHORT[page])
+
+
+def test_held_out_shapes():
+    """Pages that the model was not trained on: other seeds, and holders it never saw."""
+    others = ["div class=text", "section id=story", "td", "div class=page", "div class=x12",
+              "div itemprop=articleBody"]
+    for pages in (composed(300, 99), composed(300, 77, others)):
+        both = got = want = empty = 0
+        for page in pages:
+            nodes, pieces = html_extract.labelled(page)
+            truth = html_extract.joined(pieces, [n.label == 1 for n in nodes]).split()
+            text = html_extract.main_text(re.sub(" y=[01]", "", page), html_extract.trained())
+            a, b = Counter(truth), Counter(text.split())
+            both, got, want = both + (a & b).total(), got + b.total(), want + a.total()
+            empty += not text
+        assert both / got >= 0.98 and both / want >= 0.95 and empty / len(pages) <= 0.05
+
+
+def test_unclosed_elements_take_linear_time():
+    started = time.time()
+    for page in ("<p>" + "<b>x" * 100_000 + "</i>" * 100_000, "<div>" * 50_000 + "</p>" * 50_000,
+                 "<ul><li><ul>" + "<div>" * 30_000 + "<li></li>" * 30_000,
+                 "<p>" + "<b>" * 50_000 + "<div></div>" * 50_000):
+        html_extract.parse(page)
+    assert time.time() - started < 30
+
+
 def test_articles_of_the_pages_table(spark):
     rows = html_extract.op5_html(spark, "/root/testdata/sf0.01").collect()
     html = {r.page_id: r.html for r in table(spark, "/root/testdata/sf0.01", "pages").collect()}
@@ -212,3 +279,68 @@ def test_language_mixtures_and_odd_texts(spark):
     assert empty.languages == []
     assert {r.lang_pred for r in language_id.identify(frame(spark, ["abc"]), empty).collect()} == {
         "und"}
+
+
+def plain_mixture(text, model):
+    """EM over the learned languages, then the penalised choice among the nested sets of the
+    likeliest ones, with plain loops."""
+    slots = len(model.probability)
+    _, found = language_id.trigrams([text], slots)
+    counts = Counter(found.tolist())
+    k, n = len(model.languages), sum(counts.values())
+    if not n:
+        return [0.0] * k
+
+    def step(pi):
+        out = [0.0] * k
+        for slot, c in counts.items():
+            joint = [model.probability[slot][j] * pi[j] for j in range(k)]
+            whole = math.fsum(joint)
+            out = [o + c * x / whole for o, x in zip(out, joint, strict=True)]
+        return [o / n for o in out]
+
+    pi = [1 / k] * k
+    for _ in range(language_id.ROUNDS):
+        pi = step(pi)
+    order = sorted(range(k), key=lambda j: -pi[j])
+    best = None
+    for size in range(1, k + 1):
+        part = [max(pi[j], 1e-12) if j in order[:size] else 0.0 for j in range(k)]
+        part = [x / sum(part) for x in part]
+        for _ in range(language_id.REFITS if size > 1 else 0):
+            part = step(part)
+        fit = math.fsum(c * math.log(math.fsum(model.probability[s][j] * part[j] for j in range(k)))
+                        for s, c in counts.items()) / 3
+        score = fit - language_id.PENALTY * size * math.log(n + 1) / 2
+        if best is None or score > best[0]:
+            best = score, part
+    return best[1]
+
+
+def test_language_mixtures_against_plain_loops(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = language_id.fit(docs)
+    texts = [r.text for r in docs.limit(60).collect() if r.text and len(r.text) < 4000]
+    en, de = texts[0], next(r.text for r in docs.where("lang = 'de'").collect() if r.text)
+    texts += [en[:400] + " " + de[:300], en[:40], "a", "", "123 456", "日本語", en[:900] + de[:200]]
+    shares, letters = language_id.mixtures(texts, model)
+    for i, t in enumerate(texts):
+        assert shares[i].tolist() == pytest.approx(plain_mixture(t, model), abs=1e-9), t[:60]
+        assert letters[i] == 0 or shares[i].sum() == pytest.approx(1)
+
+
+def test_query_predicts_by_the_plain_mixture(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    got = {r.doc_id: r for r in language_id.op10_language_id(spark, sf).collect()}
+    rows = docs.collect()
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows[:80]:
+        want, g = plain_mixture(r.text or "", model), got[r.doc_id]
+        assert g.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if max(want, default=0) == 0:
+            assert (g.lang_pred, g.score) == ("und", 0.0)
+        else:
+            assert g.lang_pred == model.languages[want.index(max(want))]
+            assert g.score == pytest.approx(max(want), abs=1e-9)
