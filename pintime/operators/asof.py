@@ -5,7 +5,7 @@ key whose time is at or before the entity time and no older than the side's
 TTL (``entity_ts - ttl <= feature_ts <= entity_ts``). Unmatched entity rows keep
 null features; every entity row appears exactly once, duplicates included.
 
-Plan, one for every size (no range join, no per-row fan-out, no size switch):
+Plan (no range join, no per-row fan-out):
 
 1. A match depends only on (key, instant). So the entity rows' instants and the
    feature rows of *all* sides become one timeline with one row per key and
@@ -14,11 +14,12 @@ Plan, one for every size (no range join, no per-row fan-out, no size switch):
    costs one row a task. Feature rows tied on time resolve to the greatest
    struct.
 2. The timeline is cut into (key, time bucket) groups, so a hot key spreads over
-   its buckets. A group of more than ``group_rows`` instants is cut further, at
-   quantiles of its own instants, into ranges of about that many: however the rows of
-   a key crowd together in time, no group holds more. The cuts are at most one value
-   for every ``group_rows`` rows, which bounds their broadcast; where no group is that
-   large, the branch for them is empty and adaptive execution drops it.
+   its buckets. With ``group_rows``, which retrieval gives where the rows are more than
+   that in all, a group of more instants is cut further, at quantiles of its own
+   instants, into ranges of about that many: however the rows of a key crowd together
+   in time, no group holds more. The timeline is then written once, as it is read
+   several times; the cuts are at most one value for every ``group_rows`` rows, which
+   bounds their broadcast.
 3. The newest feature of each group is carried to the later groups that hold
    entity instants (one row per key and bucket, and per range of a large group, in
    small windows) and injected there as an older row of the timeline.
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 
 from pintime.config import ASOF_BUCKET_DAYS
 from pintime.functions.time import day_bucket
+from pintime.session import scratch_dir
 
 #: Instants that one group of the timeline should hold, and into how many ranges a larger
 #: group is cut at most.
@@ -75,11 +77,12 @@ def _all(conditions: Sequence[Column]) -> Column:
 def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
               keys: Sequence[str], entity_ts: str = "event_timestamp",
               bucket_days: int | None = ASOF_BUCKET_DAYS,
-              group_rows: int = GROUP_ROWS) -> DataFrame:
+              group_rows: int | None = None) -> DataFrame:
     """Entity columns (in order) followed by each side's features (in order).
 
     ``bucket_days``: width of the time buckets (None: one bucket a key); ``group_rows``:
-    instants that one group should hold. Any values give the same result.
+    instants that one group should hold (None: no group is known to hold too many). Any
+    values give the same result.
     """
     if isinstance(sides, AsofSide):
         sides = [sides]
@@ -96,7 +99,13 @@ def asof_join(entity: DataFrame, sides: AsofSide | Sequence[AsofSide],
     names = [f"_k{i}" for i in range(len(keys))]
     found = [f"_f{i}" for i in range(len(sides))]
     timeline = _timeline(entity, sides, keys, entity_ts, names, found, bucket_days)
-    timeline = _grouped(timeline, names, found, group_rows)
+    if group_rows is not None:
+        timeline = _grouped(_written(timeline), names, found, group_rows)
+    elif bucket_days:
+        timeline = timeline.unionByName(_carried(timeline, names, found)).withColumn(
+            "_s", F.lit(0))
+    else:
+        timeline = timeline.withColumn("_s", F.lit(0))
     running = (Window.partitionBy(*names, "_b", "_s").orderBy(F.col("_ts").asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     matches = timeline.select(
@@ -137,14 +146,33 @@ def _timeline(entity: DataFrame, sides: Sequence[AsofSide], keys: list[str], ent
         F.max("_e").alias("_e"), *[F.max(f).alias(f) for f in found])
 
 
-def _grouped(timeline: DataFrame, names: list[str], found: list[str],
-             group_rows: int) -> DataFrame:
-    """The timeline with each row's range ``_s`` of its bucket, and the carried rows.
+def _written(timeline: DataFrame) -> DataFrame:
+    """The timeline in the shared scratch folder: what follows reads it several times."""
+    spark = timeline.sparkSession
+    path = scratch_dir(spark, "asof-timeline")
+    timeline.write.parquet(path)
+    return spark.read.schema(timeline.schema).parquet(path)
+
 
-    A carried row holds the newest features of all earlier groups of its key. It has no
-    time of its own, so it comes first in its group. A struct begins with its time, so
-    the greatest struct of a group is the newest.
+def _carried(timeline: DataFrame, names: list[str], found: list[str]) -> DataFrame:
+    """Rows for the buckets with entity instants: the newest features of all earlier buckets.
+
+    They have no time of their own, so they come first in their bucket. A struct begins
+    with its time, so the greatest struct of a bucket is the newest.
     """
+    newest = timeline.groupBy(*names, "_b").agg(
+        F.max("_e").alias("_needed"), *[F.max(f).alias(f) for f in found])
+    earlier = (Window.partitionBy(*names).orderBy("_b")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carried = newest.select(*names, "_b", "_needed", *_last(found, earlier)).where("_needed")
+    no_time = F.lit(None).cast(timeline.schema["_ts"].dataType)
+    return carried.select(*names, "_b", no_time.alias("_ts"), F.lit(False).alias("_e"), *found)
+
+
+def _grouped(timeline: DataFrame, names: list[str], found: list[str],
+             group_rows: int) -> DataFrame:
+    """The timeline with each row's range ``_s`` of its bucket, and the carried rows: those
+    hold the newest features of all earlier groups of their key."""
     group = [*names, "_b"]
     newest = timeline.groupBy(*group).agg(
         F.count("*").alias("_n"), F.max("_e").alias("_e"), *[F.max(f).alias(f) for f in found])

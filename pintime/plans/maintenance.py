@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,8 +133,14 @@ def _within(column: str, ranges: Sequence[tuple[date, date]]) -> Column:
             merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
             merged.append((a, b))
-    return reduce(lambda x, y: x | y, [
-        F.col(column).between(F.lit(a), F.lit(b)) for a, b in merged])
+    days = [a for a, b in merged if a == b]
+    some = [F.col(column).between(F.lit(a), F.lit(b)) for a, b in merged if a < b]
+    if days:
+        some.append(F.col(column).isin(days))
+    while len(some) > 1:        # a balanced tree, however many ranges there are
+        some = [x | y for x, y in zip(some[::2], some[1::2], strict=False)] + (
+            some[-1:] if len(some) % 2 else [])
+    return some[0]
 
 
 def _outside(column: str, ranges: Sequence[tuple[date, date]]) -> Column:

@@ -92,7 +92,7 @@ def test_matches_brute_force(spark, ttl_days, bucket_days):
     feats += [f for f in feats if f[0] == "C"] * 20
     ttl = None if ttl_days is None else timedelta(days=ttl_days)
     want = brute(ents, feats, ttl)
-    for group_rows in (500_000, 10):
+    for group_rows in (None, 500_000, 10):
         assert run(spark, ents, feats, ttl=ttl, bucket_days=bucket_days,
                    group_rows=group_rows) == want
 
@@ -168,6 +168,8 @@ def test_few_entity_keys_reduce_the_feature_scan(spark, tmp_root):
     get = lambda n: get_historical_features(
         spark, FeatureService("f", [view]), ents, few_keys=n)
     few, all_keys = get(100), get(0)
+    cut = get_historical_features(spark, FeatureService("f", [view]), ents, group_rows=50)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, all_keys.collect()))
     assert sorted(map(str, few.collect())) == sorted(map(str, all_keys.collect()))
     assert {r.tag: r.x for r in few.collect()}[3] == 2503.0
     plan = few._jdf.queryExecution().optimizedPlan().toString()

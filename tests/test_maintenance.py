@@ -117,6 +117,15 @@ def test_raw_scan_is_bounded_by_the_touched_weeks(spark, steady, tmp_root):
     assert "GreaterThanOrEqual(date,1998-03-03)" in text and "LessThanOrEqual(date,1998-03-09" in text
 
 
+def test_thousands_of_scattered_days(spark, tmp_root):
+    rows = {(date(1996, 1, 2) + timedelta(days=3 * d), "A"): d % 7 for d in range(1, 1200)}
+    table = PeriodTable(spark, f"{tmp_root}/many")
+    rebuild(table, COUNTS, frame(spark, COUNTS, rows))
+    raw = frame(spark, COUNTS, {k: v + 1 for k, v in rows.items() if v != 3})
+    assert update(table, COUNTS, raw).days == 1199
+    assert rows_of(table.read("rows").drop(PERIOD)) == rows_of(count_features(raw))
+
+
 def test_a_dead_writer_and_two_writers(spark, steady):
     table, rows = steady
     version = table.current()
