@@ -289,7 +289,7 @@ class TokenCache:
     """
 
     def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
-                 limit: int = 600_000):
+                 limit: int = 300_000):
         self.compute, self.limit = compute, limit
         self._forget()
 
@@ -350,4 +350,5 @@ class TokenCache:
         lengths = self.lengths[places]
         data = gathered(self.ids, self.starts[places], lengths).astype("<u4").tobytes()
         ends = (4 * np.r_[0, np.cumsum(lengths)][np.cumsum(counts)]).tolist()
+        pa.default_memory_pool().release_unused()   # what the group's arrays took
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
